@@ -1,6 +1,8 @@
 """All named queries; importing this module registers them."""
 
 from tallyfold.plans import (  # noqa: F401
+    assess_queries,
+    feature_queries,
     relational_queries,
     stats_queries,
 )
