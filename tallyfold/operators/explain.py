@@ -33,29 +33,30 @@ def partial_dependence(df: DataFrame, score: Score, inputs: Sequence[str], bins:
             ]
         ).alias("r")
     ).scalar()
-    own = {c: F.col(c) for c in inputs}
-    rows = df.select(*inputs, ranges.alias("_r"))
-    points = []
-    for c in inputs:
-        lo, hi = F.col(f"_r.{c}.lo"), F.col(f"_r.{c}.hi")
-        for b in range(bins):
-            at = lo + (hi - lo) * F.lit(b / (bins - 1))
-            points.append(
-                F.struct(
-                    F.lit(c).alias("variable"),
-                    F.lit(b + 1).alias("bin_num"),
-                    at.alias("bin_value"),
-                    score({**own, c: at}).alias("_p"),
-                )
-            )
+    which, step = F.expr(f"cast(_point div {bins} as int)"), F.col("_point") % bins
+    share = step / F.lit(float(bins - 1))
+    grid = {c: F.col(f"_r.{c}.lo") + (F.col(f"_r.{c}.hi") - F.col(f"_r.{c}.lo")) * share for c in inputs}
+    spread = df.select(
+        *inputs, ranges.alias("_r"), F.explode(F.sequence(F.lit(0), F.lit(bins * len(inputs) - 1))).alias("_point")
+    )
+    moved = {c: F.when(which == i, grid[c]).otherwise(F.col(c)) for i, c in enumerate(inputs)}
+    at = F.coalesce(*[F.when(which == i, grid[c]) for i, c in enumerate(inputs)])
+    points = spread.select("_point", at.alias("_at"), score(moved).alias("_p"))
+    names = F.array(*[F.lit(c) for c in inputs])
     return (
-        rows.select(F.inline(F.array(*points)))
-        .groupBy("variable", "bin_num")
+        points.groupBy("_point")
         .agg(
-            F.max("bin_value").alias("bin_value"),
+            F.max("_at").alias("bin_value"),
             F.avg("_p").alias("mean_prediction"),
             (F.stddev_samp("_p") / F.sqrt(F.count("*"))).alias("standard_error"),
         )
+        .select(
+            F.element_at(names, which + 1).alias("variable"),
+            (step + 1).alias("bin_num"),
+            "bin_value",
+            "mean_prediction",
+            "standard_error",
+        )
     )
 
 
@@ -68,13 +69,9 @@ def background(df: DataFrame, key: str, inputs: Sequence[str], n: int, seed: int
     return sample.agg(rows.alias("b")).scalar()
 
 
-def coalition_value(score: Score, inputs: Sequence[str], known: frozenset, bg: Column) -> Column:
-    """Mean score over the background with the inputs in `known` taken from the row."""
-
-    def add(acc: Column, b: Column) -> Column:
-        return acc + score({c: F.col(c) if c in known else b[c] for c in inputs})
-
-    return F.aggregate(bg, F.lit(0.0), add) / F.size(bg)
+def coalition_value(score: Score, inputs: Sequence[str], known: frozenset) -> Column:
+    """Mean score with the inputs in `known` from the row and the others from background _b."""
+    return F.avg(score({c: F.col(c) if c in known else F.col(f"_b.{c}") for c in inputs}))
 
 
 def shapley_plan(inputs: Sequence[str], permutations: Sequence[Sequence[str]] | None = None):
@@ -124,11 +121,10 @@ def shapley(
     needed = sorted({s for terms in plan.values() for _, a, b in terms for s in (a, b)}, key=lambda s: (len(s), sorted(s)))
     at = {s: i for i, s in enumerate(needed)}
     bg = background(df, key, inputs, background_rows, seed)
-    rows = (df if sample is None else sample).select(key, *inputs).withColumn("_bg", bg)
-    # The coalition values are columns of their own so that each is evaluated once.
-    valued = rows.select(
-        key, *[coalition_value(score, inputs, s, F.col("_bg")).alias(f"_v{i}") for s, i in at.items()]
-    )
+    # Each row meets the few background rows inside its task; the map side folds them back to
+    # one row per key before the shuffle, and each coalition is evaluated once, in codegen.
+    rows = (df if sample is None else sample).select(key, *inputs, F.explode(bg).alias("_b"))
+    valued = rows.groupBy(key).agg(*[coalition_value(score, inputs, s).alias(f"_v{i}") for s, i in at.items()])
     effects = []
     for c, terms in plan.items():
         total = F.lit(0.0)

@@ -2,7 +2,9 @@
 
 from tallyfold.plans import (  # noqa: F401
     assess_queries,
+    decision_queries,
     feature_queries,
+    model_queries,
     relational_queries,
     stats_queries,
 )
