@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -136,7 +137,7 @@ def intercept(model: PipelineModel) -> float:
 def coefficient_table(df: DataFrame, model: PipelineModel, inputs: Sequence[str]) -> DataFrame:
     """(variable, coefficient, odds ratio): one row per term, a handful of literals."""
     terms = {"intercept": intercept(model), **coefficients(model, inputs)}
-    rows = [(c, b, float(2.718281828459045**b)) for c, b in terms.items()]
+    rows = [(c, b, math.exp(b)) for c, b in terms.items()]
     return df.sparkSession.createDataFrame(rows, "variable string, coefficient double, odds_ratio double")
 
 

@@ -1,9 +1,12 @@
-"""Time series: one group per series, ordered by time."""
+"""Time series: one group per series, ordered by time. Inputs are aggregated to the grid
+(hour, day, month) first, so a series is as long as its calendar, not as its raw rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,3 +18,132 @@ def difference(df: DataFrame, series: str, time: str, value: str, lags: Sequence
     for lag in lags:
         df = df.withColumn(out, F.col(out) - F.lag(out, lag).over(w))
     return df
+
+
+def to_grid(df: DataFrame, series: str, time: str, value: str, unit: str, how: str = "sum") -> DataFrame:
+    """Aggregate to the interval grid."""
+    slot = F.date_trunc(unit, time).alias("slot")
+    return df.groupBy(series, slot).agg(getattr(F, how)(value).alias("value"), F.count("*").alias("n"))
+
+
+def regularize(grid: DataFrame, series: str, unit: str) -> DataFrame:
+    """All slots from each series' first to its last; empty slots have NULL value and n = 0."""
+    step = F.expr(f"INTERVAL 1 {unit}")
+    ends = grid.groupBy(series).agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"))
+    slots = ends.select(series, F.explode(F.sequence("lo", "hi", step)).alias("slot"))
+    return slots.join(grid, [series, "slot"], "left").select(
+        series, "slot", "value", F.coalesce("n", F.lit(0)).alias("n")
+    )
+
+
+def ar1_fit(grid: DataFrame, series: str, time: str, value: str) -> DataFrame:
+    """ARIMA(1,1,0) on the log by conditional least squares, all series in one job.
+
+    One row per series: phi, constant, innovation variance, the last log level and difference.
+    """
+    logged = grid.filter(F.col(value) > 0).withColumn("_y", F.ln(value))
+    w = Window.partitionBy(series).orderBy(time)
+    d = difference(logged, series, time, "_y", [1], "_d").withColumn("_l", F.lag("_d", 1).over(w))
+    return d.groupBy(series).agg(
+        F.regr_slope("_d", "_l").alias("phi"),
+        F.regr_intercept("_d", "_l").alias("constant"),
+        (F.regr_syy("_d", "_l") * (1 - F.regr_r2("_d", "_l")) / (F.regr_count("_d", "_l") - 2)).alias("sigma2"),
+        F.regr_count("_d", "_l").alias("n"),
+        F.max(time).alias("last_time"),
+        F.max_by("_y", time).alias("last_log"),
+        F.max_by("_d", time).alias("last_diff"),
+    )
+
+
+def ar1_forecast(fit: DataFrame, series: str, lead: int) -> DataFrame:
+    """Closed-form forecasts 1..lead. The sum of h AR(1) differences around their mean m is
+    h*m + (d - m) * phi * (1 - phi^h) / (1 - phi)."""
+    phi, h = F.col("phi"), F.col("step")
+    mean = F.col("constant") / (1 - phi)
+    steps = fit.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(lead))))
+    moved = h * mean + (F.col("last_diff") - mean) * phi * (1 - F.pow(phi, h)) / (1 - phi)
+    return steps.select(series, "step", F.exp(F.col("last_log") + moved).alias("forecast"))
+
+
+def _innovations(w: np.ndarray, theta: float, seasonal: float, s: int) -> np.ndarray:
+    """e_t = w_t + theta e_(t-1) + seasonal e_(t-s) - theta seasonal e_(t-s-1), zero before the start."""
+    e = np.zeros(len(w) + s + 1)
+    for t, value in enumerate(w, start=s + 1):
+        e[t] = value + theta * e[t - 1] + seasonal * e[t - s] - theta * seasonal * e[t - s - 1]
+    return e[s + 1 :]
+
+
+def airline_one(values: np.ndarray, s: int, lead: int) -> tuple[float, float, float, np.ndarray]:
+    """(theta, seasonal theta, innovation variance, log forecasts) of one short series, by
+    conditional sum of squares on a grid that is refined around its best point."""
+    y = np.log(values)
+    w = np.diff(y)
+    w = w[s:] - w[:-s]
+    centre, half = (0.0, 0.0), 0.95
+    for _ in range(6):
+        grid = np.linspace(-half, half, 9)
+        tried = [
+            (float(np.sum(_innovations(w, a, b, s) ** 2)), a, b)
+            for a in np.clip(centre[0] + grid, -0.98, 0.98)
+            for b in np.clip(centre[1] + grid, -0.98, 0.98)
+        ]
+        best = min(tried)
+        centre, half = (best[1], best[2]), half / 3
+    theta, seasonal = centre
+    e = list(_innovations(w, theta, seasonal, s))
+    history, future = list(y), []
+    padded = [0.0] * (s + 1) + e
+    for _ in range(lead):
+        step = -theta * padded[-1] - seasonal * padded[-s] + theta * seasonal * padded[-s - 1]
+        level = history[-1] + history[-s] - history[-s - 1] + step
+        history.append(level)
+        padded.append(0.0)
+        future.append(level)
+    return theta, seasonal, best[0] / max(len(w) - 2, 1), np.array(future)
+
+
+def airline(grid: DataFrame, series: str, time: str, value: str, season: int, lead: int) -> DataFrame:
+    """Log, differences (1, season), MA(1)(season), no constant; forecasts per series.
+
+    A gridded series is one pandas frame of calendar length; Spark spreads the series.
+    """
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        ordered = pdf.sort_values(time)
+        values = ordered[value].to_numpy(dtype=float)
+        if len(values) < 2 * season + 2 or (values <= 0).any():
+            return pd.DataFrame({series: [], "step": [], "theta": [], "seasonal_theta": [], "sigma2": [], "forecast": []})
+        theta, seasonal, sigma2, logs = airline_one(values, season, lead)
+        return pd.DataFrame(
+            {
+                series: pdf[series].iloc[0],
+                "step": range(1, lead + 1),
+                "theta": theta,
+                "seasonal_theta": seasonal,
+                "sigma2": sigma2,
+                "forecast": np.exp(logs),
+            }
+        )
+
+    kind = dict(grid.dtypes)[series]
+    schema = f"{series} {kind}, step int, theta double, seasonal_theta double, sigma2 double, forecast double"
+    return grid.select(series, time, value).groupBy(series).applyInPandas(fit, schema)
+
+
+def panel_pairs(
+    wide: DataFrame, time: str, categories: Sequence[str], first: str = "sa_", second: str = "nsa_"
+) -> DataFrame:
+    """A wide panel with two versions of each category -> (time, category, first, second).
+
+    The two versions sit in the same wide row, so no self-join is needed.
+    """
+    pairs = [
+        F.struct(
+            F.lit(c).alias("category"),
+            F.col(f"{first}{c}").cast("double").alias("adjusted"),
+            F.col(f"{second}{c}").cast("double").alias("unadjusted"),
+        )
+        for c in categories
+    ]
+    long = wide.select(time, F.inline(F.array(*pairs)))
+    return long.filter("adjusted IS NOT NULL OR unadjusted IS NOT NULL")

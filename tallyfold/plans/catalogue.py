@@ -6,6 +6,8 @@ from tallyfold.plans import (  # noqa: F401
     feature_queries,
     model_queries,
     relational_queries,
+    series_text_queries,
     stats_queries,
+    synth_queries,
 )
 from tallyfold.plans.registry import REGISTRY  # noqa: F401

@@ -294,7 +294,7 @@ def rules_validate_schema(spark, d):
 
 @query(
     "reconcile_amounts",
-    "o_orderkey:i subtotal:f4 tax:f4 math_consistent:b unlabeled_delta:b items_ok:b",
+    "o_orderkey:i subtotal:f8 tax:f8 math_consistent:b unlabeled_delta:b items_ok:b",
     """WITH i AS (SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount)) AS subtotal,
          sum(l_extendedprice * (1 - l_discount) * l_tax) AS tax, sum(l_extendedprice) AS items FROM lineitem GROUP BY 1)
        SELECT o_orderkey, subtotal, tax, abs(subtotal + tax - o_totalprice) <= greatest(0.02, 0.005 * (subtotal + tax))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyfold.operators import assess, fairness, models, sampling, scoring, selection
 from tallyfold.plans.registry import query
 from tallyfold.plans.views import FEATURES, SCORED, scored
+from tallyfold.session import cut_lineage
 
 Y = "event"
 TREES = 20  # boosted trees per query; the library default is 100
@@ -23,6 +24,11 @@ def _train(spark, d):
     return _rows(spark, d).filter("part = 1")
 
 
+def _stored(df):
+    """Written once for loops that read it many times."""
+    return cut_lineage(df)
+
+
 @query("train_logit_l2", "variable:s coefficient:f6 odds_ratio:f6")
 def train_logit_l2(spark, d):
     train = _train(spark, d)
@@ -130,7 +136,7 @@ def train_importance(spark, d):
 
 @query("train_kfold", "fold:i predicted:i wrong:i n:i")
 def train_kfold(spark, d):
-    folded = sampling.kfold(_rows(spark, d), "account_id", 3, seed=3)
+    folded = _stored(sampling.kfold(_rows(spark, d).select("account_id", Y, *FEATURES), "account_id", 3, seed=3))
     held_out = models.cross_validate(
         folded.select("fold", Y, *FEATURES), "fold", [1, 2, 3], lambda t: models.logit(t, FEATURES, Y, tol=1e-6), Y
     )
@@ -162,7 +168,7 @@ def score_tree_expr(spark, d):
 def select_rfe(spark, d):
     """Recursive elimination with cross-validation on the training rows only."""
     inputs = ["n_lines", "avg_disc", "amount"]
-    folded = sampling.kfold(_train(spark, d).select("account_id", "qty", *inputs), "account_id", 3, seed=1)
+    folded = _stored(sampling.kfold(_train(spark, d).select("account_id", "qty", *inputs), "account_id", 3, seed=1))
 
     def loss(model, held_out):
         e = F.col("qty") - F.col("predicted")
@@ -183,7 +189,7 @@ def select_rfe(spark, d):
 
 @query("select_stepwise", "step:i action:s variable:s aic:f4")
 def select_stepwise(spark, d):
-    train = _train(spark, d).select(Y, "n_lines", "qty", "avg_disc")
+    train = _stored(_train(spark, d).select(Y, "n_lines", "qty", "avg_disc"))
     base = train.agg(F.avg(Y).alias("m"), F.count(Y).alias("n")).first()
 
     def aic(inputs):
@@ -200,7 +206,7 @@ def select_stepwise(spark, d):
 
 @query("select_best_model", "model:s inputs:s r2:f6 best:b")
 def select_best_model(spark, d):
-    rows = _rows(spark, d).select("qty", "n_lines", "avg_disc", "amount", "part")
+    rows = _stored(_rows(spark, d).select("qty", "n_lines", "avg_disc", "amount", "part"))
     fits = {
         "linear": lambda t, x: models.linear(t, x, "qty"),
         "tree": lambda t, x: models.tree_regression(t, x, "qty", "tree"),
@@ -214,7 +220,7 @@ def select_best_model(spark, d):
 @query("fair_mitigate_egr", "iteration:i demographic_parity:f6")
 def fair_mitigate_egr(spark, d):
     """Demographic parity over segments; the score is refitted on reweighted rows."""
-    rows = _train(spark, d).select("account_id", Y, *FEATURES, "segment")
+    rows = _stored(_train(spark, d).select("account_id", Y, *FEATURES, "segment"))
 
     def fit_score(data, label, weight):
         return models.probability(models.logit(data, FEATURES, label, weight=weight, tol=1e-6), data)
