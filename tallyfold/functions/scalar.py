@@ -111,21 +111,23 @@ def equal_width_bin(x: ColumnOrName, low: ColumnOrName, high: ColumnOrName, n: i
     return F.least(F.coalesce(raw, F.lit(0)), F.lit(n - 1)).cast("bigint")
 
 
-def running_sum(values: Column, block: int = 64) -> Column:
-    """Exclusive running totals of an int array, in about n*block steps and without a shuffle."""
+def running_sum(values: str, block: int = 64) -> Column:
+    """Exclusive running totals of an int array column, in about n*block steps, no shuffle.
 
-    def total(arr: Column) -> Column:
-        return F.aggregate(arr, F.lit(0), lambda acc, v: acc + v)
+    Totals up to each block are made once per row; inside a block the items are added up.
+    Takes a column name: an expression would be evaluated again for every item.
+    """
+    arr = F.col(values)
 
-    def before_block(b: Column) -> Column:
-        return total(F.slice(values, F.lit(1), b * block))
+    def total(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), lambda acc, v: acc + v)
 
-    starts = F.transform(
-        F.sequence(F.lit(0), F.floor(F.size(values) / F.lit(block)).cast("int")), before_block
-    )
+    def block_start(b: Column) -> Column:
+        return F.struct((b * block + 1).alias("at"), total(F.slice(arr, F.lit(1), b * block)).alias("before"))
 
-    def before_item(v: Column, i: Column) -> Column:
-        b = F.floor(i / F.lit(block)).cast("int")
-        return F.element_at(starts, b + 1) + total(F.slice(values, b * block + 1, i % block))
+    def inside(s: Column) -> Column:
+        items = F.slice(arr, s["at"], F.lit(block))
+        return F.transform(items, lambda v, j: s["before"] + total(F.slice(arr, s["at"], j)))
 
-    return F.transform(values, before_item)
+    last = F.greatest(F.floor((F.size(arr) - 1) / F.lit(block)).cast("int"), F.lit(0))
+    return F.flatten(F.transform(F.transform(F.sequence(F.lit(0), last), block_start), inside))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.functions.scalar import bin_of, hash_uniform
-from tallyfold.operators.prep import observed_levels, quantile_edges
+from tallyfold.operators.prep import quantile_edges
 from tallyfold.operators.ranking import rank_by_value
 from tallyfold.session import cut_lineage
 
@@ -113,29 +113,46 @@ def mixture_table(df: DataFrame, column: str, max_clusters: int = 10, seed: int
     components has the lowest BIC among 1..max_clusters."""
     rows = VectorAssembler(inputCols=[column], outputCol="features", handleInvalid="skip").transform(df.select(column))
     stored = cut_lineage(rows.select("features"))
-    n = stored.count()
-    best = None
-    for k in range(1, max_clusters + 1):
+    x = F.col(column).cast("double")
+    one = df.agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.var_pop(x).alias("var")).first()
+    n, std = one["n"], math.sqrt(one["var"])
+    single = -0.5 * n * (math.log(2 * math.pi * one["var"]) + 1.0)
+    best = (-2.0 * single + 2 * math.log(n), None)
+    for k in range(2, max_clusters + 1):
         model = GaussianMixture(k=k, seed=seed, maxIter=50).fit(stored)
         bic = -2.0 * model.summary.logLikelihood + (3 * k - 1) * math.log(n)
-        if best is None or bic < best[0]:
+        if bic < best[0]:
             best = (bic, model)
     model = best[1]
+    if model is None:
+        return [(0, 1.0, one["mean"], std)]
     parts = [(float(w), g) for w, g in zip(model.weights, model.gaussians, strict=True)]
     return [(i, w, float(g.mean[0]), math.sqrt(float(g.cov.toArray()[0][0]))) for i, (w, g) in enumerate(parts)]
 
 
-def level_sampler(df: DataFrame, column: str) -> Column:
-    """[{level, upto}] of a class column as a scalar subquery: cumulative shares in level order."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    listed = counts.agg(F.array_sort(F.collect_list(F.struct(F.col(column).cast("string").alias("level"), "n"))).alias("l"))
-    total = F.aggregate("l", F.lit(0).cast("bigint"), lambda acc, x: acc + x["n"])
+def level_shares(df: DataFrame, columns: Sequence[str], at_most: int = 1000) -> dict[str, list[tuple[str, float]]]:
+    """Levels of class columns with their cumulative shares, in one job. Columns with more
+    levels are refused, so the answer is short."""
+    pairs = [F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]
+    counts = df.select(F.inline(F.array(*pairs))).filter("v IS NOT NULL").groupBy("c", "v").agg(F.count("*").alias("n"))
+    rows = counts.limit(at_most * len(columns) + 1).collect()
+    out = {}
+    for c in columns:
+        mine = sorted((r["v"], r["n"]) for r in rows if r["c"] == c)
+        if len(mine) > at_most:
+            raise ValueError(f"{c} has more than {at_most} levels: not a class variable")
+        total, so_far, shares = sum(n for _, n in mine), 0, []
+        for v, n in mine:
+            so_far += n
+            shares.append((v, so_far / total))
+        out[c] = shares
+    return out
 
-    def upto(x: Column, i: Column) -> Column:
-        before = F.aggregate(F.slice("l", F.lit(1), i + 1), F.lit(0).cast("bigint"), lambda acc, y: acc + y["n"])
-        return F.struct(x["level"].alias("level"), (before / total).alias("upto"))
 
-    return listed.select(F.transform("l", upto).alias("s")).scalar()
+def _draw_level(u: Column, shares: Sequence[tuple[str, float]]) -> Column:
+    """The first level whose cumulative share exceeds u."""
+    passed = F.size(F.filter(F.array(*[F.lit(upto) for _, upto in shares]), lambda upto: upto <= u))
+    return F.element_at(F.array(*[F.lit(level) for level, _ in shares]), passed + 1)
 
 
 def synthesize(
@@ -147,13 +164,10 @@ def synthesize(
     inverse distribution function through `grid` quantiles. Columns must be class variables of
     bounded level count. All draws are hashes of the row id.
     """
-    observed_levels(df, nominal)  # refuses columns with too many levels
     out = df.sparkSession.range(rows).withColumnRenamed("id", "row_id")
     new: dict[str, Column] = {}
-    for c in nominal:
-        u = hash_uniform("row_id", f"{seed}{c}")
-        drawn = F.filter(level_sampler(df, c), lambda x, u=u: x["upto"] > u)
-        new[c] = F.element_at(drawn, 1)["level"]
+    for c, shares in level_shares(df, nominal).items():
+        new[c] = _draw_level(hash_uniform("row_id", f"{seed}{c}"), shares)
     if interval:
         probs = [i / grid for i in range(grid + 1)]
         row = df.agg(*[F.percentile_approx(c, probs, 100_000).alias(c) for c in interval]).first()

@@ -116,9 +116,13 @@ def text_terms(spark, d):
     "term:s parent:s parent_n:i",
     r"""WITH t AS (SELECT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS term FROM documents),
        c AS (SELECT term, count(*) AS n FROM t GROUP BY 1),
-       p AS (SELECT a.term, b.term AS parent, b.n AS parent_n FROM c a JOIN c b ON a.n <= 2 AND b.n >= 50
-         AND abs(length(a.term) - length(b.term)) <= 1 AND damerau_levenshtein(a.term, b.term) <= 1
-         AND levenshtein(a.term, b.term) <= 1)
+       v AS (SELECT term, n, i, left(term, i - 1) || substr(term, i + 1) AS shorter,
+         left(term, i - 1) || '_' || substr(term, i + 1) AS hole
+         FROM (SELECT term, n, unnest(range(1, length(term) + 1)) AS i FROM c WHERE n <= 2 OR n >= 50)),
+       r AS (SELECT * FROM v WHERE n <= 2), f AS (SELECT * FROM v WHERE n >= 50),
+       p AS (SELECT r.term, f.term AS parent, f.n AS parent_n FROM r JOIN f ON r.hole = f.hole
+         UNION SELECT r.term, c.term, c.n FROM r JOIN c ON r.shorter = c.term AND c.n >= 50
+         UNION SELECT c.term, f.term, f.n FROM f JOIN c ON f.shorter = c.term AND c.n <= 2)
        SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY term ORDER BY parent_n DESC, parent) = 1""",
 )
 def text_spell(spark, d):

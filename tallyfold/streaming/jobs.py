@@ -11,8 +11,13 @@ from tallyfold.session import scratch_path
 
 
 def stream_table(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet path as a stream of its files, with the schema the files declare now."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    """A parquet path as a stream of its files, with the schema the files declare now.
+
+    The file source wants a folder or a pattern; the pattern here matches the path alone,
+    be it one file or a folder of files.
+    """
+    pattern = f"{path[:-1]}[{path[-1]}]"
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(pattern)
 
 
 def start(stream: DataFrame, out: str, checkpoint: str, mode: str = "append", **trigger):
