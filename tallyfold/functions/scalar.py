@@ -111,23 +111,25 @@ def equal_width_bin(x: ColumnOrName, low: ColumnOrName, high: ColumnOrName, n: i
     return F.least(F.coalesce(raw, F.lit(0)), F.lit(n - 1)).cast("bigint")
 
 
-def running_sum(values: str, block: int = 64) -> Column:
-    """Exclusive running totals of an int array column, in about n*block steps, no shuffle.
+def running_sum(values: str, block: int = 256) -> Column:
+    """Exclusive running totals of an int array column, without a shuffle.
 
-    Totals up to each block are made once per row; inside a block the items are added up.
-    Takes a column name: an expression would be evaluated again for every item.
+    An array is cut into blocks: one total per block, then a short list grown item by item
+    inside it, so long arrays do not copy long lists. Takes a column name: an expression
+    would be evaluated again for every item.
     """
     arr = F.col(values)
 
-    def total(part: Column) -> Column:
-        return F.aggregate(part, F.lit(0), lambda acc, v: acc + v)
-
     def block_start(b: Column) -> Column:
-        return F.struct((b * block + 1).alias("at"), total(F.slice(arr, F.lit(1), b * block)).alias("before"))
+        before = F.aggregate(F.slice(arr, F.lit(1), b * block), F.lit(0), lambda acc, v: acc + v)
+        return F.struct((b * block + 1).alias("at"), before.alias("before"))
 
     def inside(s: Column) -> Column:
         items = F.slice(arr, s["at"], F.lit(block))
-        return F.transform(items, lambda v, j: s["before"] + total(F.slice(arr, s["at"], j)))
+        grown = F.aggregate(
+            items, F.array(s["before"]), lambda acc, v: F.concat(acc, F.array(F.element_at(acc, -1) + v))
+        )
+        return F.slice(grown, F.lit(1), F.size(items))
 
     last = F.greatest(F.floor((F.size(arr) - 1) / F.lit(block)).cast("int"), F.lit(0))
     return F.flatten(F.transform(F.transform(F.sequence(F.lit(0), last), block_start), inside))

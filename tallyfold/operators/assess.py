@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.operators.ranking import rank_by_value, running_totals
+from tallyfold.session import cut_lineage
 
 
 def safe_ratio(a: Column, b: Column) -> Column:
@@ -36,11 +37,11 @@ def confusion(df: DataFrame, y: str, p: str, cut: float = 0.5, by: Sequence[str]
 
 
 def lift_table(
-    df: DataFrame, key: str, y: str, p: str, by: Sequence[str] = (), bins: int = 20
+    df: DataFrame, key: str, y: str, p: str, by: Sequence[str] = (), bins: int = 20, stored: bool = False
 ) -> DataFrame:
     """Lift by descending score in bins of ceil(N/bins) rows. The ranking is distributed;
     only the at most `bins` rows per group reach the cumulating window."""
-    ranked = rank_by_value(df.select(key, y, p, *by), p, key, by, rank="_rank", total="_total")
+    ranked = rank_by_value(df.select(key, y, p, *by), p, key, by, rank="_rank", total="_total", stored=stored)
     size = F.ceil(F.col("_total") / bins)
     cells = ranked.groupBy(*by, F.ceil(F.col("_rank") / size).alias("bin")).agg(
         F.count("*").alias("n"), F.sum(y).alias("events")
@@ -202,8 +203,12 @@ def same(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def assess_groups(df: DataFrame, key: str, y: str, p: str, by: Sequence[str]) -> DataFrame:
-    """Fit statistics, AUC, Gini, best KS and top-bin lift per group."""
-    lift = lift_table(df, key, y, p, by).filter("bin = 1").select(*by, F.col("lift").alias("lift_top"))
+    """Fit statistics, AUC, Gini, best KS and top-bin lift per group.
+
+    The four columns they share are written once; five passes read them.
+    """
+    df = cut_lineage(df.select(key, y, p, *by))
+    lift = lift_table(df, key, y, p, by, stored=True).filter("bin = 1").select(*by, F.col("lift").alias("lift_top"))
     ks = best_ks(df, y, p, by=by).select(*by, "ks", F.col("cutoff").alias("ks_cutoff"))
     out = fit_stats(df, y, p, by=by)
     for other in (auc(df, y, p, by), ks, lift):

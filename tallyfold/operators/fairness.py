@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.operators.assess import fit_columns, rank_by_value, safe_ratio, same, score_curve
+from tallyfold.operators.assess import fit_columns, safe_ratio, same, score_curve
+from tallyfold.operators.ranking import rank_by_value
+from tallyfold.session import cut_lineage
 
 BY = ["bias_var", "level"]
 
@@ -36,7 +39,8 @@ def group_metrics(
         raise ValueError("event_level is 0 or 1")
     event = F.col(y) if event_level == 1 else 1 - F.col(y)
     prob = F.col(p) if event_level == 1 else F.round(1 - F.col(p), 9)
-    rows = by_level(df.select(key, event.alias("_y"), prob.alias("_p"), *sensitive), sensitive, [key, "_y", "_p"])
+    narrow = cut_lineage(df.select(key, event.alias("_y"), prob.alias("_p"), *sensitive))
+    rows = by_level(narrow, sensitive, [key, "_y", "_p"])
 
     said, is_event = F.col("_p") >= cut, F.col("_y") == 1
     counts = rows.groupBy(*BY).agg(
@@ -71,7 +75,7 @@ def group_metrics(
         )
     )
 
-    ranked = rank_by_value(rows, "_p", key, BY, rank="_rank", total="_total")
+    ranked = rank_by_value(rows, "_p", key, BY, rank="_rank", total="_total", stored=True)
     size = F.ceil(F.col("_total") / 20)
     top = ranked.groupBy(*BY).agg(
         F.sum(F.when((F.col("_rank") > size) & (F.col("_rank") <= 2 * size), F.col("_y")).otherwise(0)).alias("_e2"),
@@ -188,8 +192,6 @@ def mitigate(
     trail: list[dict] = []
     scores: list[Column] = []
     current = df
-    import math
-
     for step in range(max_iters):
         norm = 1.0 + sum(math.exp(v) for v in theta.values())
         lam = {k: bound * math.exp(v) / norm for k, v in theta.items()}

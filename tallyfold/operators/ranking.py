@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyfold.functions.scalar import col, hash_int
+from tallyfold.session import cut_lineage
 
 BUCKET, SUB = "_bucket", "_sub"
 
@@ -110,11 +111,16 @@ def rank_by_value(
     descending: bool = True,
     rank: str = "rank",
     total: str = "total",
+    stored: bool = False,
 ) -> DataFrame:
     """1-based rank by a non-null number, ties in order of a unique numeric key, per group.
 
-    Runs one small job now: quantiles of the column and the key (a bounded list).
+    The rows are read three times (quantiles, bucket sizes, ranks), so they are written once
+    and the input is not computed again; pass narrow rows, and stored=True for rows that come
+    straight from files. The quantiles of the column and the key are fetched as a short list.
     """
+    if not stored:
+        df = cut_lineage(df)
     value = col(column).cast("double")
     prepared = df.withColumn("_value", -value if descending else value)
     prepared = prepared.withColumn("_tie", F.col(tie_break).cast("double"))

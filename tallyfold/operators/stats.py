@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyfold.functions.scalar import equal_width_bin, normal_cdf
 from tallyfold.operators.ranking import running_totals
 from tallyfold.operators.relational import wide_to_long
+from tallyfold.session import cut_lineage
 
 
 def one_way(df: DataFrame, column: str) -> DataFrame:
@@ -148,10 +149,11 @@ def kernel_density(
 def edf_tests(df: DataFrame, value: str, group: str, a, b) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov D, Kuiper V and Cramer-von Mises W2 of classes a and b.
 
-    Rows collapse to one per distinct value before the running sums.
+    Rows collapse to one per distinct value before the running sums. The two columns are
+    written once, for the sizes, the cut and the curves.
     """
     x = F.col(value).cast("double")
-    used = df.filter(F.col(group).isin(a, b) & x.isNotNull())
+    used = cut_lineage(df.filter(F.col(group).isin(a, b) & x.isNotNull()).select(value, group))
     per_value = used.groupBy(x.alias("_x")).agg(
         F.count_if(F.col(group) == a).alias("_na"), F.count_if(F.col(group) == b).alias("_nb")
     )

@@ -62,7 +62,7 @@ def smote(
     so no task grows with the class, and only `neighbours` rows per row leave a block.
     """
     rows = df.filter(F.col(class_column) == class_to_augment).select(key, F.col(vector).alias("_v"))
-    rows = rows.withColumn("_v", F.transform("_v", lambda x: x.cast("double")))
+    rows = cut_lineage(rows.withColumn("_v", F.transform("_v", lambda x: x.cast("double"))))
     kind = dict(df.dtypes)[key]
     schema = f"{key} {kind}, _near {kind}, _d double, _v array<double>, _nv array<double>"
 
@@ -89,7 +89,7 @@ def smote(
             F.lit(0.0),
             lambda acc, v: acc + v,
         )
-        ranked = rank_by_value(rows.withColumn("_dot", dot), "_dot", key, descending=False)
+        ranked = rank_by_value(rows.withColumn("_dot", dot), "_dot", key, descending=False, stored=True)
         blocks = ranked.withColumn("_block", F.expr(f"(rank - 1) div {block}"))
         part = blocks.select("_block", key, "_v").groupBy("_block").applyInPandas(nearest, schema)
         found = part if found is None else found.unionByName(part)

@@ -218,7 +218,7 @@ def profile_model_card(spark, d):
 )
 def win_row_number(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return ranking.rank_by_value(orders, "o_totalprice", "o_orderkey", rank="row_number")
+    return ranking.rank_by_value(orders, "o_totalprice", "o_orderkey", rank="row_number", stored=True)
 
 
 @query(
