@@ -111,25 +111,33 @@ def equal_width_bin(x: ColumnOrName, low: ColumnOrName, high: ColumnOrName, n: i
     return F.least(F.coalesce(raw, F.lit(0)), F.lit(n - 1)).cast("bigint")
 
 
-def running_sum(values: str, block: int = 256) -> Column:
-    """Exclusive running totals of an int array column, without a shuffle.
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once, also inside higher-order functions."""
+    return F.element_at(F.transform(F.array(value), lambda v: body(v)), 1)
 
-    An array is cut into blocks: one total per block, then a short list grown item by item
-    inside it, so long arrays do not copy long lists. Takes a column name: an expression
-    would be evaluated again for every item.
+
+def running_sum(values: Column, block: int = 16) -> Column:
+    """Exclusive running totals of an int array, without a shuffle.
+
+    Two levels keep the work low on long arrays: sums of blocks, their running totals, and
+    running totals inside a block.
     """
-    arr = F.col(values)
 
-    def block_start(b: Column) -> Column:
-        before = F.aggregate(F.slice(arr, F.lit(1), b * block), F.lit(0), lambda acc, v: acc + v)
-        return F.struct((b * block + 1).alias("at"), before.alias("before"))
+    def total(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), lambda acc, v: acc + v)
+
+    def run(arr: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.greatest(F.floor((F.size(arr) - 1) / block).cast("int"), F.lit(0)))
+        sums = F.transform(blocks, lambda b: total(F.slice(arr, b * block + 1, F.lit(block))))
+
+        def block_totals(s: Column) -> Column:
+            def inside(b: Column) -> Column:
+                items = F.slice(arr, b * block + 1, F.lit(block))
+                before = total(F.slice(s, F.lit(1), b))
+                return let(before, lambda t: let(items, lambda x: F.transform(x, lambda v, j: t + total(F.slice(x, F.lit(1), j)))))
+
+            return F.flatten(F.transform(blocks, inside))
 
-    def inside(s: Column) -> Column:
-        items = F.slice(arr, s["at"], F.lit(block))
-        grown = F.aggregate(
-            items, F.array(s["before"]), lambda acc, v: F.concat(acc, F.array(F.element_at(acc, -1) + v))
-        )
-        return F.slice(grown, F.lit(1), F.size(items))
+        return let(sums, block_totals)
 
-    last = F.greatest(F.floor((F.size(arr) - 1) / F.lit(block)).cast("int"), F.lit(0))
-    return F.flatten(F.transform(F.transform(F.sequence(F.lit(0), last), block_start), inside))
+    return let(values, run)

@@ -24,8 +24,7 @@ def terms(df: DataFrame, key: str, text: str) -> DataFrame:
     """
     pieces = F.regexp_extract_all(text, F.lit(r"[^\p{L}]*\p{L}+"), F.lit(0))
     cut = df.select(key, pieces.alias("_p"))
-    measured = cut.select(key, "_p", F.transform("_p", F.length).alias("_l"))
-    zipped = measured.select(key, "_p", running_sum("_l").alias("_o"))
+    zipped = cut.select(key, "_p", running_sum(F.transform("_p", F.length)).alias("_o"))
     rows = zipped.select(key, F.posexplode(F.arrays_zip("_p", "_o")).alias("_pos", "_z"))
     term = F.regexp_extract(F.col("_z._p"), TERM, 0)
     return rows.select(

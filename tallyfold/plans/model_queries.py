@@ -225,6 +225,6 @@ def fair_mitigate_egr(spark, d):
     def fit_score(data, label, weight):
         return models.probability(models.logit(data, FEATURES, label, weight=weight, tol=1e-6), data)
 
-    _, trail = fairness.mitigate(rows, Y, "segment", fit_score, max_iters=3, learning_rate=5.0, tolerance=0.005)
+    _, trail = fairness.mitigate(rows, Y, "segment", fit_score, max_iters=3, learning_rate=0.01, tolerance=0.005)
     out = [(t["iteration"], float(t["demographic_parity"])) for t in trail]
     return spark.createDataFrame(out, "iteration int, demographic_parity double")
