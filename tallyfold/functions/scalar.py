@@ -35,8 +35,8 @@ def normal_cdf(x: ColumnOrName) -> Column:
 def logistic(x: ColumnOrName) -> Column:
     """1/(1+exp(-x)) with x held in [-500, 500] so exp never overflows; NULL stays NULL."""
     x = col(x)
-    held = F.when(x > 500.0, 500.0).when(x < -500.0, -500.0).otherwise(x)
-    return 1.0 / (1.0 + F.exp(-held))
+    held = F.greatest(F.least(x, F.lit(500.0)), F.lit(-500.0))
+    return F.when(x.isNotNull(), 1.0 / (1.0 + F.exp(-held)))
 
 
 def any_missing(cols: Sequence[ColumnOrName]) -> Column:

@@ -11,24 +11,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyfold.functions.scalar import any_missing, linear_predictor, logistic
+from tallyfold.functions.scalar import linear_predictor, logistic
 from tallyfold.session import scratch_path
 
 
-def logit_columns(
-    coefs: Mapping[str, float], intercept: float, target: str, cut: float = 0.5
-) -> dict[str, Column]:
-    """P_<target>1, P_<target>0 and I_<target>. A missing input gives NULL scores and a blank class."""
-    missing = any_missing(list(coefs))
-    p1 = F.when(~missing, F.round(logistic(linear_predictor(coefs, intercept)), 9))
-    label = F.when(missing, "").when(p1 >= cut, "1").otherwise("0")
-    return {f"P_{target}1": p1, f"P_{target}0": 1 - p1, f"I_{target}": label}
-
-
 def score_logit(
     df: DataFrame, coefs: Mapping[str, float], intercept: float, target: str, cut: float = 0.5
 ) -> DataFrame:
-    return df.withColumns(logit_columns(coefs, intercept, target, cut))
+    """Adds P_<target>1, P_<target>0 and I_<target>. A missing input gives NULL scores (a sum
+    with NULL is NULL) and a blank class. Each step is a column, so it is computed once."""
+    p1 = f"P_{target}1"
+    scored = df.withColumn("_xbeta", linear_predictor(coefs, intercept)).withColumn(
+        p1, F.round(logistic("_xbeta"), 9)
+    )
+    return scored.drop("_xbeta").withColumns({f"P_{target}0": 1 - F.col(p1), f"I_{target}": classify(p1, cut)})
 
 
 def classify(p: str | Column, cut: float | Column, op: str = ">=") -> Column:
