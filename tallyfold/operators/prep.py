@@ -4,12 +4,14 @@ transform is a map over the rows: nothing is joined and nothing is shuffled."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.functions.scalar import bin_of
+from tallyfold.operators.ranking import order_statistics
 
 ACCURACY = 100_000
 
@@ -73,38 +75,48 @@ def one_hot(df: DataFrame, columns: Sequence[str], levels: Mapping[str, Sequence
 
 
 def quantile_edges(
-    df: DataFrame, columns: Sequence[str], bins: int, interpolate: bool = True, accuracy: int = ACCURACY
+    df: DataFrame, columns: Sequence[str], bins: int, interpolate: bool = True, accuracy: int = ACCURACY,
+    exact: bool = False,
 ) -> dict[str, list[float]]:
     """Inner bin edges per column, duplicates dropped.
 
     Order statistics come from mergeable sketches with rank error n/accuracy, hence exact up
-    to `accuracy` rows; no task ever holds a column. With `interpolate`, edges lie between
-    the two neighbouring order statistics, which needs the counts first.
+    to `accuracy` rows, and no task ever holds a column. `exact` makes them exact at any size,
+    for one shuffle of the distinct values per column. With `interpolate`, edges lie between
+    the two neighbouring order statistics; without, an edge is the value at rank ceil(q*n).
     """
     probs = [i / bins for i in range(1, bins)]
-    if not interpolate:
+    if not interpolate and not exact:
         row = df.agg(*[F.percentile_approx(c, probs, accuracy).alias(c) for c in columns]).first()
         return {c: sorted({float(v) for v in row[c] or []}) for c in columns}
     counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    spots, wanted = {}, []
-    for c in columns:
-        n = counts[c]
-        if not n:
-            continue
-        at = [q * (n - 1) for q in probs]
-        spots[c] = [(min(int(k), n - 1), min(int(k) + 1, n - 1), k - int(k)) for k in at]
-        ranks = [(i + 0.5) / n for low, high, _ in spots[c] for i in (low, high)]
-        wanted.append(F.percentile_approx(c, ranks, accuracy).alias(c))
+    ranks = {c: _edge_ranks(counts[c], probs, interpolate) for c in columns if counts[c]}
+    values: dict[str, dict[int, float]] = {}
+    if exact:
+        values = {c: order_statistics(df, c, [r for lo, hi, _ in at for r in (lo, hi)]) for c, at in ranks.items()}
+    elif ranks:
+        listed = {c: sorted({r for lo, hi, _ in at for r in (lo, hi)}) for c, at in ranks.items()}
+        picks = [
+            F.percentile_approx(c, [(r - 0.5) / counts[c] for r in rs], accuracy).alias(c) for c, rs in listed.items()
+        ]
+        row = df.agg(*picks).first()
+        values = {c: dict(zip(rs, (float(v) for v in row[c]), strict=True)) for c, rs in listed.items()}
     edges: dict[str, list[float]] = {c: [] for c in columns}
-    if wanted:
-        row = df.agg(*wanted).first()
-        for c, where in spots.items():
-            v = [float(x) for x in row[c]]
-            between = [v[2 * i] + w * (v[2 * i + 1] - v[2 * i]) for i, (_, _, w) in enumerate(where)]
-            edges[c] = sorted(set(between))
+    for c, at in ranks.items():
+        v = values[c]
+        edges[c] = sorted({v[lo] + w * (v[hi] - v[lo]) for lo, hi, w in at})
     return edges
 
 
+def _edge_ranks(n: int, probs: Sequence[float], interpolate: bool) -> list[tuple[int, int, float]]:
+    """(lower rank, upper rank, weight of the upper), 1-based, for each probability."""
+    if not interpolate:
+        ranks = [max(1, math.ceil(q * n)) for q in probs]
+        return [(r, r, 0.0) for r in ranks]
+    at = [q * (n - 1) for q in probs]
+    return [(int(k) + 1, min(int(k) + 2, n), k - int(k)) for k in at]
+
+
 def apply_bins(df: DataFrame, edges: Mapping[str, Sequence[float]], suffix: str = "_bin") -> DataFrame:
     return df.withColumns({f"{c}{suffix}": bin_of(c, e) for c, e in edges.items()})
 
@@ -191,8 +203,6 @@ def woe_table(df: DataFrame, edges: Mapping[str, Sequence[float]], target: str,
         .groupBy("variable", "bin")
         .agg(F.count_if("_e").alias("events"), F.count_if(~F.col("_e")).alias("nonevents"))
     )
-    from pyspark.sql import Window
-
     w = Window.partitionBy("variable")
     good = (F.col("nonevents") + 0.5) / F.sum("nonevents").over(w)
     bad = (F.col("events") + 0.5) / F.sum("events").over(w)

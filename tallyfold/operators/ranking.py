@@ -168,3 +168,20 @@ def running_totals(
     joined = _attach(local, offsets, by, [BUCKET])
     out = joined.withColumns({new: F.col(f"_l_{new}") + F.col(f"_o_{new}") for new in sums})
     return out.drop(BUCKET, *[f"_l_{new}" for new in sums], *[f"_o_{new}" for new in sums])
+
+
+def order_statistics(df: DataFrame, column: str, ranks: Sequence[int]) -> dict[int, float]:
+    """Exact values at 1-based ranks, at any table size.
+
+    Equal values collapse to one row with a count, running totals locate each rank, and only
+    the wanted values reach the driver.
+    """
+    x = F.col(column).cast("double")
+    counts = cut_lineage(df.filter(x.isNotNull()).groupBy(x.alias("_x")).agg(F.count("*").alias("_n")))
+    upto = running_totals(counts, "_x", {"_c": "_n"})
+    wanted = F.filter(
+        F.array(*[F.lit(int(r)).cast("bigint") for r in sorted(set(ranks))]),
+        lambda r: (r > F.col("_c") - F.col("_n")) & (r <= F.col("_c")),
+    )
+    rows = upto.select(F.explode(wanted).alias("rank"), "_x").collect()
+    return {r["rank"]: r["_x"] for r in rows}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyfold.functions import scalar as fn
-from tallyfold.operators import prep, sampling, selection
+from tallyfold.operators import prep, selection
+from tallyfold.operators.flow import prepare
 from tallyfold.plans.registry import query
 from tallyfold.plans.stats_queries import _ranked_sql, normal_cdf_sql
 from tallyfold.plans.views import (
@@ -383,8 +384,6 @@ def prep_iv(spark, d):
           ELSE 2 END AS analytic_partition, CAST(region = 2 AS INT) AS region_asia FROM s, m""",
 )
 def flow_prep(spark, d):
-    from tallyfold.operators.flow import prepare
-
     rows = loans(spark, d).withColumn("period", F.quarter("opened"))
     return prepare(
         rows, key="account_id", scale=["amount"], dummies={"region": REGION_CODES}, seed=10, period="period"

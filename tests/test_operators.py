@@ -362,6 +362,14 @@ def test_quantile_edges_interpolate(spark):
     assert edges == pytest.approx(list(np.quantile(xs, [0.25, 0.5, 0.75])))
 
 
+def test_exact_edges_equal_sketch_edges_on_small_tables(skewed):
+    for interpolate in (True, False):
+        sketch = prep.quantile_edges(skewed, ["p", "key"], 7, interpolate)
+        exact = prep.quantile_edges(skewed, ["p", "key"], 7, interpolate, exact=True)
+        for column, edges in exact.items():
+            assert sketch[column] == pytest.approx(edges)
+
+
 def test_smote_stays_between_neighbours(spark):
     df = spark.range(200).select(
         "id", F.array(*[fn.hash_uniform("id", i).cast("float") for i in range(4)]).alias("v"), (F.col("id") % 4).cast("int").alias("label")
