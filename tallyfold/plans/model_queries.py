@@ -116,6 +116,33 @@ def train_gamma(spark, d):
     return _glm_report(spark, d, "gamma")
 
 
+def _fitted_levels(spark, d, family, **params):
+    """Fitted mean per level of a 0/1 input: with an intercept and no penalty, any log-link
+    family fits the (weighted) mean of each level."""
+    train = _train(spark, d).select(Y, "qty", "n_lines")
+    fitted = models.prediction(models.glm(train, [Y], "qty", family, **params), train)
+    return fitted.groupBy(Y).agg(F.count("*").alias("n"), F.avg("predicted").alias("fitted"))
+
+
+@query(
+    "train_tweedie_check",
+    "event:i n:i fitted:f3",
+    f"""WITH {SCORED} SELECT event, count(*) AS n, sum(qty * n_lines) / sum(n_lines) AS fitted
+        FROM scored WHERE part = 1 GROUP BY 1""",
+)
+def train_tweedie_check(spark, d):
+    return _fitted_levels(spark, d, "tweedie", weight="n_lines")
+
+
+@query(
+    "train_gamma_check",
+    "event:i n:i fitted:f3",
+    f"WITH {SCORED} SELECT event, count(*) AS n, avg(qty) AS fitted FROM scored WHERE part = 1 GROUP BY 1",
+)
+def train_gamma_check(spark, d):
+    return _fitted_levels(spark, d, "gamma")
+
+
 @query(
     "train_linear",
     "variable:s coefficient:f6",
@@ -149,6 +176,22 @@ def score_model(spark, d):
     return models.probability(model, _rows(spark, d).select("account_id", Y, *FEATURES))
 
 
+@query(
+    "score_model_check",
+    "rows:i equal:i",
+    f"WITH {SCORED} SELECT count(*) AS rows, count(*) AS equal FROM scored",
+)
+def score_model_check(spark, d):
+    """The stored model and its coefficients as score code agree on every row."""
+    model = models.logit(_train(spark, d), FEATURES, Y, tol=1e-6)
+    rows = models.probability(model, _rows(spark, d).select("account_id", Y, *FEATURES))
+    coefs = models.coefficients(model, FEATURES)
+    both = scoring.score_logit(rows, coefs, models.intercept(model), Y)
+    return both.agg(
+        F.count("*").alias("rows"), F.count_if(F.abs(F.col("p") - F.col("P_event1")) < 1e-8).alias("equal")
+    )
+
+
 @query(
     "score_tree_expr",
     "rows:i equal:i",
