@@ -48,7 +48,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE) ->
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         ends = np.cumsum(sizes, dtype=np.int64)
         at = 0
         while at < batch.num_rows:

@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm import kernel
+from tallyfold.llm.common import bit_filter, passes
 from tallyfold.llm.components import components
 from tallyfold.session import cut_lineage
 
@@ -89,13 +90,23 @@ def _signature_rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[p
         yield pa.RecordBatch.from_arrays([batch.column("row_key").cast(pa.int64()), *plain, *lists], schema=schema)
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _set_rows(batches: Iterator[pa.RecordBatch], width: int, shared) -> Iterator[pa.RecordBatch]:
+    """The shingle sets of the rows whose key passes the filter, each (key, set) once in a task."""
+    bits, given = shared.value, set()
     for batch in kernel.slices(batches, "text"):
-        sets = list(shingle_sets(batch, "text", width))
+        wanted = passes(bits, batch.column("key_hash").to_numpy().view(np.uint64))
+        batch = batch.filter(pa.array(wanted))
+        keys, sets = [], []
+        for key, s in zip(batch.column("row_key").to_pylist(), shingle_sets(batch, "text", width), strict=True):
+            mark = (key, len(s), int(s.sum(dtype=np.uint64)))
+            if mark not in given:
+                given.add(mark)
+                keys.append(key)
+                sets.append(s)
         offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-        values = np.concatenate(sets) if sets else np.empty(0, dtype=np.uint64)
+        values = np.concatenate([*sets, np.empty(0, dtype=np.uint64)])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row_key").cast(pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))],
+            [pa.array(keys, type=pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))],
             names=["row_key", "shingles"],
         )
 
@@ -113,22 +124,20 @@ def _similar(a: str, b: str, percent: int):
     return same <= F.lit(_MINIMA - (expected * _MINIMA - MARGIN * spread))
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    pairs = cut_lineage(pairs)
-    ids = pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct()
-    needed = texts.join(ids, texts["row_key"] == ids["k"], "left_semi").distinct()
-    sets = cut_lineage(needed.mapInArrow(lambda it: _set_rows(it, width), "row_key bigint, shingles array<bigint>"))
-    left = sets.select(F.col("row_key").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("row_key").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    return cut_lineage(
-        pairs.join(left, "a")
-        .join(right, "b")
-        .filter(F.lit(100) * both >= F.lit(percent) * (F.size("sa") + F.size("sb") - both))
-        .select("a", "b")
-        .distinct()
-    )
+def _compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int, *more: Column) -> DataFrame:
+    """Pairs (a, b) with both shingle sets as sa and sb, and whether they are linked.
+
+    Only the sets of members of pairs are made and shuffled; texts stay where they are read.
+    """
+    ids = pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).select(F.xxhash64("k").alias("h"))
+    shared = texts.sparkSession.sparkContext.broadcast(bit_filter(ids, "h"))
+    hashed = texts.filter("row_key IS NOT NULL").withColumn("key_hash", F.xxhash64("row_key"))
+    sets = cut_lineage(hashed.mapInArrow(lambda it: _set_rows(it, width, shared), "row_key bigint, shingles array<bigint>"))
+    right = pairs.join(sets.select(F.col("row_key").alias("b"), F.col("shingles").alias("sb")), "b")
+    both = right.join(sets.select(F.col("row_key").alias("a"), F.col("shingles").alias("sa")), "a")
+    common = F.size(F.array_intersect("sa", "sb"))
+    linked = F.lit(100) * common >= F.lit(percent) * (F.size("sa") + F.size("sb") - common)
+    return both.select("a", "b", linked.alias("linked"), *more)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -141,12 +150,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
     Candidates agree in all ROWS minima of one of BANDS bands: a pair at the threshold is
     missed with a chance of (1 - 0.75**4)**40 = 2.5e-7. Equal sets are one class from the
-    start. Inside a band bucket each class is first compared with the bucket's least class
-    only; after those links are joined to components, the members outside a bucket's main
-    component are compared with all the others of different components. So large groups of
-    copies cost one comparison per member, and no link between components is passed over.
-    The packed low bits drop pairs MARGIN deviations below the threshold; the full sets
-    decide the rest.
+    start. Each band bucket has a hub, its class with the most company over all bands. The
+    packed low bits, corrected for chance collisions, drop pairs MARGIN deviations below the
+    threshold; the full sets decide the rest.
+
+    First every member of a bucket is compared with the hub, so a large group of copies
+    costs one comparison for each member. For the pairs that the full sets were read for,
+    the difference to the hub is kept (what a set has more and what it lacks). After the
+    links with hubs are joined to components, only members of different components remain:
+    near ones are compared by their differences inside the join, which gives links and no
+    other pairs; those far from the hub are compared by packed bits and then by full sets.
 
     The key must be an integer. Rows with a null key stay, with null component_id and
     kept = true. Repeated keys are one node: they join the classes of all their texts.
@@ -164,48 +177,63 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     )
     several = nodes.groupBy("rep").count().filter("count > 1").select("rep")
     banded = nodes.select("rep", "n_shingles", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top")).filter("pivot < top")
-    members = cut_lineage(banded.select("band", "rep").join(buckets.select("band", "pivot"), "band"))
-    bits = nodes.select("rep", "bits")
-
-    def estimated(pairs: DataFrame) -> DataFrame:
-        return (
-            pairs.join(bits.select(F.col("rep").alias("a"), F.col("bits").alias("bits_a")), "a")
-            .join(bits.select(F.col("rep").alias("b"), F.col("bits").alias("bits_b")), "b")
-            .filter(_similar("bits_a", "bits_b", percent))
-            .select("a", "b")
-            .distinct()
+    buckets = banded.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("top"), F.count(F.lit(1)).alias("n")).filter("low < top")
+    members = cut_lineage(banded.select("band", "rep").join(buckets.select("band", "n"), "band"))
+    company = members.groupBy("rep").agg(F.sum("n").alias("company"))
+    hubs = members.join(company, "rep").groupBy("band").agg(F.max_by("rep", F.struct("company", -F.col("rep"))).alias("hub"))
+    bits = nodes.select("rep", "n_shingles", "bits")
+    hub_bits = bits.select(F.col("rep").alias("hub"), F.col("bits").alias("hub_bits"))
+    groups = cut_lineage(
+        members.join(hubs, "band").filter("rep <> hub").select("hub", "rep").distinct().join(bits, "rep").join(hub_bits, "hub").select(
+            F.col("hub"), "rep", "n_shingles", "bits", _similar("bits", "hub_bits", percent).alias("near")
         )
-
-    stars = members.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    tested = cut_lineage(estimated(stars))
-    links = _confirmed(tested, texts, width, percent)
-    first = cut_lineage(components(links, "a", "b"))
-
-    labelled = members.join(first.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "band", "rep", F.coalesce("component", "rep").alias("label")
-    )
-    counts = labelled.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = counts.groupBy("band").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
-    mixed = cut_lineage(
-        labelled.join(main.filter("labels > 1").select("band", "main"), "band").join(bits, "rep").select("band", "rep", "label", "main", "bits")
     )
-    outside = mixed.filter("label <> main").select("band", F.col("rep").alias("a"), F.col("label").alias("label_a"), F.col("bits").alias("bits_a"))
-    others = mixed.select("band", F.col("rep").alias("b"), F.col("label").alias("label_b"), "main", F.col("bits").alias("bits_b"))
-    # A pair of two outside members comes once, by its lesser key.
-    again = (
-        outside.join(
-            others,
-            (outside["band"] == others["band"])
-            & (F.col("label_a") != F.col("label_b"))
-            & ((F.col("label_b") == F.col("main")) | (F.col("a") < F.col("b")))
-            & _similar("bits_a", "bits_b", percent),
+    stars = groups.filter("near").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    near = cut_lineage(
+        _compared(
+            stars, texts, width, percent,
+            F.array_except("sb", "sa").alias("more"), F.array_except("sa", "sb").alias("less"), F.size("sb").alias("size"), F.size("sa").alias("hub_size"),
         )
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    )
+    links = near.filter("linked").select("a", "b")
+    label = cut_lineage(components(links, "a", "b")).withColumnRenamed("component", "label")
+
+    # Only groups with members outside the hub's component are looked at again.
+    labelled = groups.join(label.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    labelled = labelled.join(label.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")), "hub", "left")
+    labelled = cut_lineage(labelled.withColumn("outside", F.col("label") != F.coalesce("hub_label", "hub")).drop("hub_label"))
+    open_hubs = labelled.filter("outside").select("hub").distinct()
+    left = labelled.join(open_hubs, "hub", "left_semi")
+
+    def side(df: DataFrame, mark: str, *columns: str) -> DataFrame:
+        return df.select("hub", *(F.col(c).alias(f"{c}_{mark}") for c in ("rep", "label", "outside", "bits", *columns)))
+
+    def different(x: str, y: str):
+        """Members of different components whose bits allow a link; a pair of the same kind comes once."""
+        return (F.col(f"label_{x}") != F.col(f"label_{y}")) & _similar(f"bits_{x}", f"bits_{y}", percent)
+
+    once = ~F.col("outside_y") | (F.col("rep_x") < F.col("rep_y"))
+    deltas = near.select(F.col("a").alias("hub"), F.col("b").alias("rep"), "more", "less", "size", "hub_size")
+    close = left.filter("near").drop("n_shingles").join(deltas, ["hub", "rep"])
+    added = ("more", "less", "size")
+    # Symmetric difference of two sets by way of the hub: what both changed alike cancels out.
+    alike = F.size(F.array_intersect("more_x", "more_y")) + F.size(F.array_intersect("less_x", "less_y"))
+    apart = F.size("more_x") + F.size("less_x") + F.size("more_y") + F.size("less_y") - 2 * alike
+    union = (F.col("size_x") + F.col("size_y") + apart) / 2
+    linked = F.lit(100) * (union - apart) >= F.lit(percent) * union
+    by_hub = (
+        side(close.filter("outside"), "x", *added).join(side(close, "y", *added), "hub")
+        .filter(different("x", "y") & once & linked)
+        .select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b"))
+    )
+    # A pair of which one is far from the hub has one member outside, or both are in different components anyway.
+    far = side(left.filter("NOT near"), "x").join(side(left, "y", "near"), "hub")
+    by_bits = (
+        far.filter(different("x", "y") & (F.col("near_y") | (F.col("rep_x") < F.col("rep_y"))))
+        .select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b"))
         .distinct()
-        .join(tested, ["a", "b"], "left_anti")
     )
-    more = _confirmed(again, texts, width, percent)
+    more = _compared(cut_lineage(by_bits), texts, width, percent).filter("linked").select("a", "b").union(by_hub)
 
     # Different texts under one key hang together by that key.
     repeated = keyed.groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("row_key")

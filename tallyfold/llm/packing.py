@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import string
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,89 +19,128 @@ from tallyfold.session import cut_lineage
 WINDOW = 4096
 END = 2
 #: Tokens of one shard, about.
-SHARD_TOKENS = 3_000_000
+SHARD_TOKENS = 1_500_000
 #: Documents of one shard, at most about.
-SHARD_DOCUMENTS = 4_000
+SHARD_DOCUMENTS = 2_000
 #: Terms of a seed document that are looked up: those with the largest weight.
 QUERY_TERMS = 48
 K1 = 1.2
 B = 0.75
 #: Words whose ids a worker remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
+#: Bytes of text that are tokenized at once: the more, the fewer distinct words in all.
+TOKENIZE_SLICE = 6 << 20
 
-_PUNCTUATION = ".,;:!?"
+_PUNCTUATION = string.punctuation
+
+
+#: Byte values as the characters that byte-level vocabularies use for them.
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_SIGNS = {b: chr(b) for b in _VISIBLE} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 
 class WordTokens:
-    """Token ids by white-space separated word: the pre-tokenizer never joins across white space."""
+    """Token ids by white-space separated word: the pre-tokenizer never joins across white space.
+
+    Plain words (Latin letters) are cut from the ASCII signs after them, one token run of their own, and given to the merge
+    model directly, since normalisation only lowers them; all other words take the whole
+    way. Words met in a second batch are remembered.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
-
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=np.int64) for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-
-    def lookup(self, words: list[str]) -> list[np.ndarray]:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = words
-        self.known.update(zip(new, self._encode(new), strict=True))
-        return [self.known[w] for w in words]
+        self.merge = self.tokenizer.model.tokenize
+        self.known: dict[str, bytes] = {}
+        self.met: set[int] = set()
+
+    def _plain(self, word: str) -> bytes:
+        signs = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_SIGNS)
+        return array("I", [t.id for t in self.merge(signs)]).tobytes()
+
+    def _other(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def lookup(self, words: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words in a row, and how many each has."""
+        known, met, fresh = self.known, self.met, self._plain if plain else self._other
+        out = []
+        for word in words:
+            name = word if plain else "\0" + word
+            ids = known.get(name)
+            if ids is None:
+                ids = fresh(word)
+                mark = hash(name)
+                if mark in met:
+                    known[name] = ids
+                else:
+                    met.add(mark)
+            out.append(ids)
+        if len(known) > REMEMBERED:
+            known.clear()
+        if len(met) > 3 * REMEMBERED:
+            met.clear()
+        sizes = np.fromiter(map(len, out), dtype=np.int64, count=len(out)) // 4
+        return np.frombuffer(b"".join(out), dtype=np.uint32), sizes
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids begin (one entry more)."""
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
-        flat = lists.flatten()
-        per_text = pc.list_value_length(lists).to_numpy().astype(np.int64)
-        filled = flat.filter(pc.not_equal(pc.binary_length(flat), 0))
-        if len(filled) != len(flat):
-            empty = pc.equal(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
-            per_text = per_text - np.bincount(np.repeat(np.arange(len(per_text)), per_text)[empty], minlength=len(per_text))
-        coded = filled.dictionary_encode()
+        data, bounds = kernel.utf8(texts)
+        starts, ends, rows = kernel.spans(data, bounds, kernel.WORD)
+        if len(starts) == 0:
+            return np.empty(0, dtype=np.uint32), np.zeros(len(texts) + 1, dtype=np.int64)
+        # Words as an Arrow array over the same bytes: each value runs to the next word, blanks are cut.
+        offsets = np.append(starts, ends[-1])
+        words = pc.ascii_rtrim_whitespace(pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data)))
+        coded = words.dictionary_encode()
         ids, begins = self._by_word(coded.dictionary)
-        sizes = np.diff(begins)
         codes = coded.indices.to_numpy(zero_copy_only=False)
-        lengths = sizes[codes]
+        lengths = np.diff(begins)[codes]
         total = np.concatenate([[0], np.cumsum(lengths)])
         out = ids[np.repeat(begins[codes] - total[:-1], lengths) + np.arange(total[-1])]
-        return out, total[np.concatenate([[0], np.cumsum(per_text)])]
+        return out, total[np.searchsorted(rows, np.arange(len(texts) + 1))]
 
     def _by_word(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of each distinct word. A plain word and the ASCII signs after it are looked up apart."""
+        """The ids of each distinct word, and where they begin (one entry more)."""
         lowered = pc.utf8_lower(words)
-        core = pc.utf8_rtrim(lowered, _PUNCTUATION)
-        plain = pc.match_substring_regex(core, r"^[a-zß-öø-ÿ]+$")
-        core = pc.if_else(plain, core, words)
-        tail = pc.if_else(plain, pc.utf8_slice_codeunits(lowered, 0), "")
-        pieces = []
-        for part in (core, _tails(tail, core, plain)):
-            coded = part.dictionary_encode()
-            found = self.lookup(coded.dictionary.to_pylist())
-            sizes = np.array([len(f) for f in found], dtype=np.int64)
-            flat = np.concatenate([*found, np.empty(0, dtype=np.int64)])
-            pieces.append((flat, np.concatenate([[0], np.cumsum(sizes)]), sizes, coded.indices.to_numpy(zero_copy_only=False)))
-        a, b = (p[2][p[3]] for p in pieces)
-        begins = np.concatenate([[0], np.cumsum(a + b)])
-        ids = np.empty(begins[-1], dtype=np.int64)
-        for (flat, starts, _, codes), sizes, to in ((pieces[0], a, begins[:-1]), (pieces[1], b, begins[:-1] + a)):
-            before = np.concatenate([[0], np.cumsum(sizes)])
-            within = np.arange(before[-1]) - np.repeat(before[:-1], sizes)
-            ids[np.repeat(to, sizes) + within] = flat[np.repeat(starts[codes], sizes) + within]
-        return ids, begins
-
-
-def _tails(lowered: pa.Array, core: pa.Array, plain: pa.Array) -> pa.Array:
-    """What follows the core of a plain word; nothing for others."""
-    sizes = pc.subtract(pc.binary_length(lowered), pc.binary_length(core)).to_numpy(zero_copy_only=False)
-    sizes = np.where(plain.to_numpy(zero_copy_only=False), sizes, 0)
+        core = pc.ascii_rtrim(lowered, _PUNCTUATION)
+        plain = pc.match_substring_regex(core, "^[a-zß-öø-ÿ]+$")
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        sizes = np.zeros(len(words), dtype=np.int64)
+        parts = []
+        cores = core.filter(plain).dictionary_encode()
+        tails = _tails(lowered.filter(plain), core.filter(plain)).dictionary_encode()
+        others = words.filter(pc.invert(plain))
+        for coded, is_core in ((cores, True), (tails, False)):
+            flat, own = self.lookup(coded.dictionary.to_pylist(), is_core)
+            parts.append((flat, np.concatenate([[0], np.cumsum(own)]), own, coded.indices.to_numpy(zero_copy_only=False), is_core))
+        flat, own = self.lookup(others.to_pylist(), False)
+        sizes[is_plain] = parts[0][2][parts[0][3]] + parts[1][2][parts[1][3]]
+        sizes[~is_plain] = own
+        begins = np.concatenate([[0], np.cumsum(sizes)])
+        out = np.empty(begins[-1], dtype=np.uint32)
+        to = begins[:-1][is_plain]
+        for found, starts, own_sizes, codes, _ in parts:
+            n = own_sizes[codes]
+            _copy(found, starts[codes], out, to, n)
+            to = to + n
+        _copy(flat, np.cumsum(own) - own, out, begins[:-1][~is_plain], own)
+        return out, begins
+
+
+def _copy(source: np.ndarray, at: np.ndarray, target: np.ndarray, to: np.ndarray, n: np.ndarray) -> None:
+    """target[to[k] : to[k] + n[k]] = source[at[k] : at[k] + n[k]] for all k."""
+    within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    target[np.repeat(to, n) + within] = source[np.repeat(at, n) + within]
+
+
+def _tails(lowered: pa.Array, core: pa.Array) -> pa.Array:
+    """What follows the core of each word."""
+    sizes = pc.subtract(pc.binary_length(lowered), pc.binary_length(core)).to_numpy(zero_copy_only=False).astype(np.int64)
     data, bounds = kernel.utf8(lowered)
-    ends = bounds[1:]
     begins = np.concatenate([[0], np.cumsum(sizes)])
-    take = np.repeat(ends - sizes - begins[:-1], sizes) + np.arange(begins[-1])
+    take = np.repeat(bounds[1:] - sizes - begins[:-1], sizes) + np.arange(begins[-1])
     raw = pa.py_buffer(np.ascontiguousarray(data[take]).tobytes())
     return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(begins.astype(np.int64).tobytes()), raw)
 
@@ -108,48 +149,60 @@ _TOKENS: dict[str, WordTokens] = {}
 
 
 def _tokenize(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[pa.RecordBatch]:
+    """A row for each document, and at the end of the task one for each token that it met.
+
+    Rows of documents have ids; the others have the token as n_tokens and the number of
+    documents with it as sketch. So the counting needs no second pass over the ids.
+    """
     if path not in _TOKENS:
         _TOKENS[path] = WordTokens(path)
     tokens = _TOKENS[path]
-    for batch in kernel.slices(batches, "text", 4 * kernel.SLICE):
-        n = batch.num_rows
+    totals = np.zeros(1 << 16, dtype=np.int64)
+    key_type = None
+    for batch in kernel.slices(batches, "text", TOKENIZE_SLICE):
+        n, key_type = batch.num_rows, batch.column("row_key").type
         ids, begins = tokens.ids(batch.column("text"))
         place = begins + np.arange(n + 1)
-        out = np.full(place[-1], end, dtype=np.int64)
-        out[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(begins))] = ids
-        wide = out.max(initial=0) >= 1 << 16
-        raw = out.astype("<u4" if wide else "<u2")
-        size = 4 if wide else 2
+        out = np.full(place[-1], end, dtype=np.uint32)
+        inner = np.ones(len(out), dtype=bool)
+        inner[place[1:] - 1] = False
+        out[inner] = ids
+        row, token, _ = _distinct(np.repeat(np.arange(n), np.diff(place)), out)
+        found = np.bincount(token, minlength=len(totals))
+        totals = found + np.pad(totals, (0, len(found) - len(totals)))
+        size = 4 if out.max(initial=0) >= 1 << 16 else 2
+        raw = out.astype(f"<u{size}")
         data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer((place * size).tobytes()), pa.py_buffer(raw.tobytes())])
-        sketch = [_sketch(np.unique(out[a:b])) for a, b in zip(place[:-1], place[1:], strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row_key"), pa.array(np.diff(place)), pa.array(np.array(sketch, dtype=np.int64)), data.cast(pa.binary())],
+            [batch.column("row_key"), pa.array(np.diff(place)), pa.array(_sketches(row, token, n)), data.cast(pa.binary())],
             names=["row_key", "n_tokens", "sketch", "ids"],
         )
+    if key_type is not None:
+        used = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(len(used), key_type), pa.array(used), pa.array(totals[used]), pa.nulls(len(used), pa.binary())], names=["row_key", "n_tokens", "sketch", "ids"]
+        )
 
 
-def _sketch(tokens: np.ndarray) -> int:
-    """Documents with many common tokens often share it: the least of the tokens' hashes, by order of three hashes."""
-    mixed = kernel.mix(tokens.astype(np.uint64)[:, None] + np.array([11, 22, 33], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    parts = mixed.min(axis=0) >> np.uint64(43)
-    return int((parts[0] << np.uint64(42)) | (parts[1] << np.uint64(21)) | parts[2])
+def _distinct(rows: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, tokens and counts of the distinct tokens of each row, by row and token."""
+    both, counts = np.unique(rows.astype(np.int64) << 32 | tokens.astype(np.int64), return_counts=True)
+    return both >> 32, both & 0xFFFFFFFF, counts
 
 
-def _unpacked(raw, n: int) -> np.ndarray:
-    data = np.frombuffer(raw, dtype=np.uint8)
-    return data.view("<u4" if len(data) == 4 * n else "<u2").astype(np.int64)
+def _sketches(row: np.ndarray, token: np.ndarray, n: int) -> np.ndarray:
+    """Documents with many common tokens often share it: the least of three hashes over the distinct tokens."""
+    begins = np.searchsorted(row, np.arange(n))
+    out = np.zeros(n, dtype=np.uint64)
+    for seed in (11, 22, 33):
+        hashes = kernel.mix(np.arange(int(token.max()) + 1, dtype=np.uint64) + np.uint64(seed << 40)) >> np.uint64(43)
+        out = (out << np.uint64(21)) | np.minimum.reduceat(hashes[token], begins)
+    return out.view(np.int64)
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    totals = np.zeros(1 << 16, dtype=np.int64)
-    for batch in batches:
-        for raw, n in zip(batch.column("ids"), batch.column("n_tokens").to_pylist(), strict=True):
-            seen = np.unique(_unpacked(raw.as_buffer(), n))
-            if seen[-1] >= len(totals):
-                totals = np.concatenate([totals, np.zeros(int(seen[-1]) + 1 - len(totals), dtype=np.int64)])
-            totals[seen] += 1
-    used = np.flatnonzero(totals)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(totals[used])], names=["token", "n"])
+def _unpacked(raw, n: int) -> np.ndarray:
+    data = np.frombuffer(raw, dtype=np.uint8)
+    return data.view("<u4" if len(data) == 4 * n else "<u2")
 
 
 class Shard:
@@ -158,51 +211,51 @@ class Shard:
     def __init__(self, documents: list[np.ndarray], idf: np.ndarray, mean_length: float):
         self.size = len(documents)
         lengths = np.array([len(d) for d in documents])
-        owner, term, weight = [], [], []
-        self.query: list[np.ndarray] = []
-        for k, d in enumerate(documents):
-            t, count = np.unique(d, return_counts=True)
-            norm = K1 * (1 - B + B * lengths[k] / mean_length)
-            w = idf[t] * count * (K1 + 1) / (count + norm)
-            owner.append(np.full(len(t), k))
-            term.append(t)
-            weight.append(w)
+        owner, term, counts = _distinct(np.repeat(np.arange(self.size), lengths), np.concatenate(documents))
+        norm = K1 * (1 - B + B * lengths / mean_length)
+        weight = (idf[term] * counts * (K1 + 1) / (counts + norm[owner])).astype(np.float32)
+        first = np.searchsorted(owner, np.arange(self.size + 1))
+        self.query = []
+        for k in range(self.size):
+            t, w = term[first[k] : first[k + 1]], weight[first[k] : first[k + 1]]
             self.query.append(t[np.argpartition(-w, QUERY_TERMS)[:QUERY_TERMS]] if len(t) > QUERY_TERMS else t)
-        terms = np.concatenate(term)
-        order = np.argsort(terms, kind="stable")
-        self.owner, self.weight = np.concatenate(owner)[order], np.concatenate(weight)[order]
-        self.begin = np.searchsorted(terms[order], np.arange(len(idf) + 1))
+        order = np.argsort(term, kind="stable")
+        self.owner, self.weight = owner[order], weight[order]
+        self.begin = np.searchsorted(term[order], np.arange(len(idf) + 1))
 
-    def neighbours(self, seed: int) -> np.ndarray:
-        """All documents that share a query term with the seed, best first (ties: the first in the shard)."""
+    def neighbours(self, seed: int, unused: np.ndarray, most: int = 64) -> list[int]:
+        """The `most` best unused documents that share a query term with the seed, worst first (ties: by place)."""
         lists = [slice(self.begin[t], self.begin[t + 1]) for t in self.query[seed]]
         owner = np.concatenate([self.owner[s] for s in lists])
         score = np.bincount(owner, weights=np.concatenate([self.weight[s] for s in lists]), minlength=self.size)
-        found = np.flatnonzero(score)
-        return found[np.argsort(-score[found], kind="stable")]
+        found = np.flatnonzero((score > 0) & unused)
+        if len(found) > most:
+            found = found[np.argpartition(-score[found], most)[:most]]
+        return found[np.lexsort((found, -score[found]))][::-1].tolist()
 
 
 def pack_shard(documents: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int) -> list[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of every piece.
 
     The seed of a window is what was cut off in the window before, else the first unused
-    document. Unused neighbours follow by score until the window is full; the one that does
-    not fit is cut, and its rest seeds the next window. When no neighbour is left the first
-    unused documents follow, so only the last window of a shard can stay short.
+    document. Unused neighbours follow by score until the window is full, and the index is
+    asked again when they run out; the one that does not fit is cut, and its rest seeds the
+    next window. When no neighbour is left the first unused document follows, so only the
+    last window of a shard can stay short.
     """
     index = Shard(documents, idf, mean_length)
     unused = np.ones(index.size, dtype=bool)
     pieces = []
-    sequence = offset = first = 0
+    sequence = offset = first = seed = 0
     rest: tuple[int, int] | None = None
     queue: list[int] = []
     while True:
         if rest is not None:
             doc, start = rest
         else:
-            while queue and not unused[queue[-1]]:
-                queue.pop()
-            if queue:
+            if offset and not queue:
+                queue = index.neighbours(seed, unused)
+            if offset and queue:
                 doc = queue.pop()
             else:
                 while first < index.size and not unused[first]:
@@ -213,8 +266,7 @@ def pack_shard(documents: list[np.ndarray], idf: np.ndarray, mean_length: float,
             start = 0
             unused[doc] = False
         if offset == 0:
-            near = index.neighbours(doc)
-            queue = near[unused[near]][::-1].tolist()
+            seed, queue = doc, []
         length = min(window - offset, len(documents[doc]) - start)
         pieces.append((doc, start, length, sequence, offset))
         offset += length
@@ -223,7 +275,7 @@ def pack_shard(documents: list[np.ndarray], idf: np.ndarray, mean_length: float,
             sequence, offset = sequence + 1, 0
 
 
-def _packed(batches: Iterator[pa.RecordBatch], shared, window: int) -> Iterator[pa.RecordBatch]:
+def _packed(batches: Iterator[pa.RecordBatch], shared, window: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     idf, mean_length = shared.value
     keys, documents, shard, n_tokens, part = [], [], None, 0, 0
 
@@ -232,10 +284,10 @@ def _packed(batches: Iterator[pa.RecordBatch], shared, window: int) -> Iterator[
         crc = [zlib.crc32(documents[d][s : s + n].astype("<u4").tobytes()) for d, s, n, _, _ in pieces]
         at = np.array(pieces, dtype=np.int64).reshape(-1, 5)
         sizes = np.array([len(d) for d in documents])
-        ids = pa.array([documents[d][s : s + n].astype("<u4").tobytes() for d, s, n, _, _ in pieces], type=pa.binary())
+        ids = [documents[d][s : s + n].astype("<u4").tobytes() if with_ids else None for d, s, n, _, _ in pieces]
         columns = [
             pa.concat_arrays(keys).take(pa.array(at[:, 0])), pa.array(at[:, 1]), pa.array(at[:, 2]), pa.array(crc, type=pa.int64()),
-            pa.array(sizes[at[:, 0]]), pa.array((np.int64(shard) << 40) + (np.int64(part) << 24) + at[:, 3]), pa.array(at[:, 4]), ids,
+            pa.array(sizes[at[:, 0]]), pa.array((np.int64(shard) << 40) + (np.int64(part) << 24) + at[:, 3]), pa.array(at[:, 4]), pa.array(ids, type=pa.binary()),
         ]
         names = ["row_key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
         return pa.RecordBatch.from_arrays(columns, names=names)
@@ -257,14 +309,14 @@ def _packed(batches: Iterator[pa.RecordBatch], shared, window: int) -> Iterator[
         yield out()
 
 
-def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", window: int = WINDOW, end: int = END) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", window: int = WINDOW, end: int = END, with_ids: bool = True) -> DataFrame:
     """(key, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids): the pieces of all documents.
 
-    Documents are tokenized once into a stored table (ids and a short lexical sketch), the
-    document frequencies of all tokens are counted over it, and its rows are range
-    partitioned by sketch and key: lexically close documents come together, and a large
-    group of copies is cut evenly over shards, each of about SHARD_TOKENS tokens. Each shard
-    is indexed and packed by itself (pack_shard).
+    Documents are tokenized once into a stored table (ids and a short lexical sketch) with
+    the document frequencies of all tokens. Its rows are range partitioned by sketch and
+    key: lexically close documents come together, and a large group of copies is cut evenly
+    over shards, each of about SHARD_TOKENS tokens. Each shard is indexed and packed by
+    itself (pack_shard). ids are little-endian unsigned 32-bit, or null unless with_ids.
 
     Null and empty texts are the end id alone. Every id of every row lies in one piece;
     repeated rows and null keys are packed like others. No rows in, no rows out. Other
@@ -274,9 +326,10 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     source = docs.select(F.col(key).alias("row_key"), F.col(text).alias("text"))
     key_type = dict(source.dtypes)["row_key"]
     schema = f"row_key {key_type}, n_tokens bigint, sketch bigint, ids binary"
-    tokens = cut_lineage(source.mapInArrow(lambda it: _tokenize(it, tokenizer, end), schema))
+    stored = cut_lineage(source.mapInArrow(lambda it: _tokenize(it, tokenizer, end), schema))
+    tokens = stored.filter("ids IS NOT NULL")
     n, total = tokens.agg(F.count(F.lit(1)), F.sum("n_tokens")).first()
-    counted = tokens.select("ids", "n_tokens").mapInArrow(_frequencies, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).toArrow()
+    counted = stored.filter("ids IS NULL").groupBy(F.col("n_tokens").alias("token")).agg(F.sum("sketch").alias("n")).toArrow()
     token = counted.column("token").to_numpy()
     idf = np.zeros(int(token.max(initial=0)) + 1)
     frequency = counted.column("n").to_numpy()
@@ -285,4 +338,4 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     shards = max(1, -(-(total or 0) // SHARD_TOKENS), -(-n // SHARD_DOCUMENTS))
     placed = tokens.repartitionByRange(int(shards), "sketch", "row_key").withColumn("shard", F.spark_partition_id())
     out = f"row_key {key_type}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
-    return placed.select("row_key", "n_tokens", "ids", "shard").mapInArrow(lambda it: _packed(it, shared, window), out).withColumnRenamed("row_key", key)
+    return placed.select("row_key", "n_tokens", "ids", "shard").mapInArrow(lambda it: _packed(it, shared, window, with_ids), out).withColumnRenamed("row_key", key)

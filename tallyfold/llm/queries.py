@@ -21,7 +21,7 @@ def op1_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), with_ids=False).drop("ids")
 
 
 def op3_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,14 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm import kernel
+from tallyfold.llm.common import bit_filter, passes
 from tallyfold.session import cut_lineage
 
 #: Tokens of a seed, and so the least length of a tile.
 WIDTH = 5
 #: Share of a test item's tokens that tiles must cover.
 COVERAGE = 0.5
-#: The filter that seeds of documents pass first has 2**25 bits (4 MB) at any size of the benchmark.
-FILTER_BITS = 25
 
 #: Signs that separate words although their bytes are not ASCII.
 _SIGNS = " ‘’‚“”„«»–—…¿¡·"
@@ -50,8 +49,7 @@ def _hits(batches: Iterator[pa.RecordBatch], shared, width: int) -> Iterator[pa.
     bits = shared.value
     for batch in kernel.slices(batches, "text"):
         seeds, rows, at, _ = _seeds(batch, width)
-        cell = seeds >> np.uint64(64 - FILTER_BITS)
-        found = (bits[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))) & np.uint64(1) == 1
+        found = passes(bits, seeds)
         seeds, rows, at = seeds[found], rows[found], at[found]
         take = pa.array(rows)
         yield pa.RecordBatch.from_arrays(
@@ -135,16 +133,7 @@ def overlaps(
     item_type = dict(items.dtypes)["item_id"]
     seeds = cut_lineage(items.mapInArrow(lambda it: _item_rows(it, width), f"item_id {item_type}, seed bigint, item_at bigint, item_tokens bigint"))
 
-    cell = F.shiftrightunsigned("seed", 64 - FILTER_BITS)
-    words = (
-        seeds.select(F.shiftright(cell, 6).alias("word"), cell.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-        .toArrow()
-    )
-    bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
-    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    shared = spark.sparkContext.broadcast(bits)
+    shared = spark.sparkContext.broadcast(bit_filter(seeds, "seed"))
 
     source = docs.select(F.col(key).alias("row_key"), F.xxhash64(text).alias("text_key"), _plain(text).alias("text"))
     key_type = dict(source.dtypes)["row_key"]
