@@ -12,17 +12,16 @@ MIN_PAGES = 5
 
 #: Elements that end a line of text.
 _BLOCKS = "p|br|div|li|ul|ol|h[1-6]|article|section|nav|header|footer|title|table|tr|td|th|blockquote|pre|hr"
-HIDDEN = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
 BREAKS = rf"(?i)</?(?:{_BLOCKS})(?:[\s/][^>]*)?>"
-TAGS = r"<[^>]*>"
+HIDDEN = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->|<[^>]*>"
+BLANKS = " \t\r"
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")]
 
 
 def html_text(html: str | Column) -> Column:
     """The visible text of a page, one line for each block element."""
-    out = F.regexp_replace(html, HIDDEN, "")
-    out = F.regexp_replace(out, BREAKS, "\n")
-    out = F.regexp_replace(out, TAGS, "")
+    out = F.regexp_replace(html, BREAKS, "\n")
+    out = F.regexp_replace(out, HIDDEN, "")
     for name, sign in ENTITIES:
         out = F.replace(out, F.lit(name), F.lit(sign))
     return out
@@ -34,7 +33,7 @@ def host_of(url: str | Column) -> Column:
 
 
 def _trimmed(line: Column) -> Column:
-    return F.trim(F.translate(line, "\t\r", "  "))
+    return F.btrim(line, F.lit(BLANKS))
 
 
 def boilerplate_lines(docs: DataFrame, text: str, site: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:

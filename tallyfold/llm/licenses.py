@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import math
+import operator
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +73,10 @@ TEMPLATES = [
 ]
 
 
+#: Words that plain texts are full of; they are the last choice as anchors.
+_COMMON = {"a", "and", "any", "are", "as", "by", "for", "in", "is", "of", "on", "or", "that", "the", "this", "to", "under", "use", "with"}
+
+
 def words(text: Column) -> Column:
     """Lower-case runs of ASCII letters and digits."""
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+", -1), lambda w: w != "")
@@ -86,6 +95,27 @@ def template_grams(spark: SparkSession, templates: list[tuple[str, str]]) -> Dat
     return t.select("template", "license", F.size("grams").alias("size"), F.explode("grams").alias("gram"))
 
 
+def anchors(templates: list[tuple[str, str]], threshold: float) -> list[str]:
+    """Words of which each text that reaches the threshold holds at least one.
+
+    A fitting text has at least size * threshold / (2 - threshold) of a template's bigrams.
+    For each template the longest words (common ones last) are taken until so many bigrams hold one of them
+    that the others alone would be too few.
+    """
+    chosen: set[str] = set()
+    for _, text in templates:
+        listed = re.findall("[a-z0-9]+", text.lower())
+        grams = set(zip(listed, listed[1:], strict=False)) or {(listed[0],)}
+        needed = math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9)
+        own: set[str] = set()
+        for word in sorted(set(listed), key=lambda w: (w in _COMMON, w not in chosen, -len(w), w)):
+            if sum(not own.intersection(g) for g in grams) < needed:
+                break
+            own.add(word)
+        chosen |= own
+    return sorted(chosen)
+
+
 def scan(
     docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, templates: list[tuple[str, str]] | None = None
 ) -> DataFrame:
@@ -101,17 +131,24 @@ def scan(
     key are taken apart, and the best license of a line number is reported for the key.
     A null key is kept. Other columns are not read.
     """
-    grams = template_grams(docs.sparkSession, templates or TEMPLATES)
+    templates = templates or TEMPLATES
+    grams = template_grams(docs.sparkSession, templates)
+    names = anchors(templates, threshold)
+
+    def anchored(value: Column) -> Column:
+        return functools.reduce(operator.or_, (F.contains(value, F.lit(w)) for w in names))
+
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     least, most = grams.agg(F.min("size"), F.max("size")).first()
-    source = docs.select(F.col(key).alias("row_key"), F.col(text).alias("text"))
+    # Lower case comes first, so that the texts and lines without an anchor word can be left out unsplit.
+    source = docs.select(F.col(key).alias("row_key"), F.lower(F.col(text)).alias("text")).filter(anchored(F.col("text")))
     lines = F.split("text", "\n", -1)
     units = F.concat(
         F.transform(lines, lambda x, k: F.struct((k + 1).alias("line"), x.alias("unit"))),
         F.when(F.size(lines) > 1, F.array(F.struct(F.lit(0).alias("line"), F.col("text").alias("unit")))).otherwise(F.array().cast("array<struct<line:int,unit:string>>")),
     )
-    # A bigram is at least two characters long, so a unit that is too short or has far too few spaces is left out early.
-    split = source.select("row_key", F.xxhash64("text").alias("text_key"), F.explode(units).alias("u")).select("row_key", "text_key", "u.line", words(F.col("u.unit")).alias("words"))
+    split = source.select("row_key", F.xxhash64("text").alias("text_key"), F.explode(units).alias("u")).filter(anchored(F.col("u.unit")))
+    split = split.select("row_key", "text_key", "u.line", words(F.col("u.unit")).alias("words"))
     sized = split.filter(F.size("words") >= int(least * low)).withColumn("grams", bigrams(F.col("words")))
     sized = sized.withColumn("own", F.size("grams")).filter(F.col("own").between(least * low, most * high))
     pairs = (

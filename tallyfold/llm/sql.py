@@ -10,16 +10,15 @@ def _quoted(text: str) -> str:
 
 
 def _html_text(column: str) -> str:
-    out = f"regexp_replace({column}, {_quoted(boilerplate.HIDDEN)}, '', 'g')"
-    out = f"regexp_replace({out}, {_quoted(boilerplate.BREAKS)}, chr(10), 'g')"
-    out = f"regexp_replace({out}, {_quoted(boilerplate.TAGS)}, '', 'g')"
+    out = f"regexp_replace({column}, {_quoted(boilerplate.BREAKS)}, chr(10), 'g')"
+    out = f"regexp_replace({out}, {_quoted(boilerplate.HIDDEN)}, '', 'g')"
     for name, sign in boilerplate.ENTITIES:
         out = f"replace({out}, {_quoted(name)}, {_quoted(sign)})"
     return out
 
 
 def site_lines() -> str:
-    trimmed = "trim(translate(x, chr(9) || chr(13), '  '))"
+    trimmed = "trim(x, ' ' || chr(9) || chr(13))"
     return f"""
 WITH p AS (
   SELECT page_id, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)), '') AS host,
