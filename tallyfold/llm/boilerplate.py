@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.session import cut_lineage
+
 #: A line is boilerplate when more than this share of its site's pages has it ...
 RATIO = 0.1
 #: ... and at least so many pages do.
@@ -64,7 +66,8 @@ def drop_boilerplate(
     pages of their own. Clashing column names are no matter: only n_lines and n_dropped are
     added, in place of columns of that name.
     """
-    marked = boilerplate_lines(docs, text, site, ratio, min_pages).select(F.col("site").alias("__site"), F.col("lines").alias("__boilerplate"))
+    # Stored first, so that its size is known when the join is planned: few lines go to the texts, not the texts to them.
+    marked = cut_lineage(boilerplate_lines(docs, text, site, ratio, min_pages)).select(F.col("site").alias("__site"), F.col("lines").alias("__boilerplate"))
     lines = F.split(F.col(text), "\n", -1)
     names = docs.columns
     out = docs.join(marked, F.col(site) == F.col("__site"), "left")

@@ -7,6 +7,7 @@ Memory is bounded by the slice (SLICE bytes, or one text when that is longer).
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,6 +57,15 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE) ->
             upto = max(at + 1, int(np.searchsorted(ends, base + limit, "right")))
             yield batch.slice(at, upto - at)
             at = upto
+    _release()
+
+
+def _release() -> None:
+    """Hands freed memory back to the system: workers are used again for later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def spans(data: np.ndarray, bounds: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
