@@ -43,7 +43,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents whose text covers a test item go."""
     keyed = docs.select(F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_key")).alias("row"), "text")
     found = tiling.contaminated(keyed, table(spark, sf_dir, "benchmark"), key="row").select("row").distinct()
-    leaks = found.select(F.col("row.doc_id").alias("leak_id"), F.col("row.text_key").alias("leak_key"))
+    leaks = cut_lineage(found.select(F.col("row.doc_id").alias("leak_id"), F.col("row.text_key").alias("leak_key")))
     same = F.col("doc_id").eqNullSafe(F.col("leak_id")) & (F.xxhash64("text") == F.col("leak_key"))
     return docs.join(leaks, same, "left_anti").select(DOCUMENT_COLUMNS)
 
