@@ -57,10 +57,10 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE) ->
             upto = max(at + 1, int(np.searchsorted(ends, base + limit, "right")))
             yield batch.slice(at, upto - at)
             at = upto
-    _release()
+    release()
 
 
-def _release() -> None:
+def release() -> None:
     """Hands freed memory back to the system: workers are used again for later stages."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

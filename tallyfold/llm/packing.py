@@ -27,9 +27,9 @@ QUERY_TERMS = 48
 K1 = 1.2
 B = 0.75
 #: Words whose ids a worker remembers before it starts anew.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 #: Bytes of text that are tokenized at once: the more, the fewer distinct words in all.
-TOKENIZE_SLICE = 6 << 20
+TOKENIZE_SLICE = 5 << 20
 
 _PUNCTUATION = string.punctuation
 
@@ -96,10 +96,15 @@ class WordTokens:
         coded = words.dictionary_encode()
         ids, begins = self._by_word(coded.dictionary)
         codes = coded.indices.to_numpy(zero_copy_only=False)
+        # A slice has fewer than 2**31 ids, so narrow numbers do.
+        begins = begins.astype(np.int32)
         lengths = np.diff(begins)[codes]
-        total = np.concatenate([[0], np.cumsum(lengths)])
-        out = ids[np.repeat(begins[codes] - total[:-1], lengths) + np.arange(total[-1])]
-        return out, total[np.searchsorted(rows, np.arange(len(texts) + 1))]
+        total = np.zeros(len(codes) + 1, dtype=np.int32)
+        np.cumsum(lengths, out=total[1:])
+        at = np.repeat(begins[codes] - total[:-1], lengths)
+        at += np.arange(total[-1], dtype=np.int32)
+        out = ids[at]
+        return out, total[np.searchsorted(rows, np.arange(len(texts) + 1))].astype(np.int64)
 
     def _by_word(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of each distinct word, and where they begin (one entry more)."""
@@ -167,7 +172,7 @@ def _tokenize(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterato
         inner = np.ones(len(out), dtype=bool)
         inner[place[1:] - 1] = False
         out[inner] = ids
-        row, token, _ = _distinct(np.repeat(np.arange(n), np.diff(place)), out)
+        row, token, _ = _distinct(np.repeat(np.arange(n, dtype=np.int32), np.diff(place)), out)
         found = np.bincount(token, minlength=len(totals))
         totals = found + np.pad(totals, (0, len(found) - len(totals)))
         size = 4 if out.max(initial=0) >= 1 << 16 else 2
@@ -177,6 +182,8 @@ def _tokenize(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterato
             [batch.column("row_key"), pa.array(np.diff(place)), pa.array(_sketches(row, token, n)), data.cast(pa.binary())],
             names=["row_key", "n_tokens", "sketch", "ids"],
         )
+        del ids, out, inner, row, token, raw, data
+        kernel.release()
     if key_type is not None:
         used = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays(
@@ -186,8 +193,13 @@ def _tokenize(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterato
 
 def _distinct(rows: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows, tokens and counts of the distinct tokens of each row, by row and token."""
-    both, counts = np.unique(rows.astype(np.int64) << 32 | tokens.astype(np.int64), return_counts=True)
-    return both >> 32, both & 0xFFFFFFFF, counts
+    narrow = rows[-1:].max(initial=0) < 1 << 16 and tokens.max(initial=0) < 1 << 16
+    kind, shift = (np.uint32, 16) if narrow else (np.int64, 32)
+    both = rows.astype(kind)
+    both <<= kind(shift)
+    both |= tokens.astype(kind)
+    both, counts = np.unique(both, return_counts=True)
+    return (both >> kind(shift)).astype(np.int64), (both & kind((1 << shift) - 1)).astype(np.int64), counts
 
 
 def _sketches(row: np.ndarray, token: np.ndarray, n: int) -> np.ndarray:
@@ -211,7 +223,7 @@ class Shard:
     def __init__(self, documents: list[np.ndarray], idf: np.ndarray, mean_length: float):
         self.size = len(documents)
         lengths = np.array([len(d) for d in documents])
-        owner, term, counts = _distinct(np.repeat(np.arange(self.size), lengths), np.concatenate(documents))
+        owner, term, counts = _distinct(np.repeat(np.arange(self.size, dtype=np.int32), lengths), np.concatenate(documents))
         norm = K1 * (1 - B + B * lengths / mean_length)
         weight = (idf[term] * counts * (K1 + 1) / (counts + norm[owner])).astype(np.float32)
         first = np.searchsorted(owner, np.arange(self.size + 1))
