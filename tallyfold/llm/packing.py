@@ -6,6 +6,7 @@ import string
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -78,7 +79,7 @@ class WordTokens:
                     met.add(mark)
             out.append(ids)
         if len(known) > REMEMBERED:
-            known.clear()
+            self.known = dict(islice(known.items(), len(known) // 2, None))
         if len(met) > 3 * REMEMBERED:
             met.clear()
         sizes = np.fromiter(map(len, out), dtype=np.int64, count=len(out)) // 4
