@@ -109,14 +109,14 @@ class WordTokens:
 
     def _by_word(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of each distinct word, and where they begin (one entry more)."""
-        lowered = pc.utf8_lower(words)
-        core = pc.ascii_rtrim(lowered, _PUNCTUATION)
-        plain = pc.match_substring_regex(core, "^[a-zß-öø-ÿ]+$")
+        core = pc.ascii_rtrim(words, _PUNCTUATION)
+        # Letters whose lower case is one letter of the same set; others go the whole way.
+        plain = pc.match_substring_regex(core, "^[A-Za-zÀ-ÖØ-öø-ÿ]+$")
         is_plain = plain.to_numpy(zero_copy_only=False)
         sizes = np.zeros(len(words), dtype=np.int64)
         parts = []
-        cores = core.filter(plain).dictionary_encode()
-        tails = _tails(lowered.filter(plain), core.filter(plain)).dictionary_encode()
+        cores = pc.utf8_lower(core.filter(plain)).dictionary_encode()
+        tails = _tails(words.filter(plain), core.filter(plain)).dictionary_encode()
         others = words.filter(pc.invert(plain))
         for coded, is_core in ((cores, True), (tails, False)):
             flat, own = self.lookup(coded.dictionary.to_pylist(), is_core)
@@ -141,10 +141,10 @@ def _copy(source: np.ndarray, at: np.ndarray, target: np.ndarray, to: np.ndarray
     target[np.repeat(to, n) + within] = source[np.repeat(at, n) + within]
 
 
-def _tails(lowered: pa.Array, core: pa.Array) -> pa.Array:
+def _tails(words: pa.Array, core: pa.Array) -> pa.Array:
     """What follows the core of each word."""
-    sizes = pc.subtract(pc.binary_length(lowered), pc.binary_length(core)).to_numpy(zero_copy_only=False).astype(np.int64)
-    data, bounds = kernel.utf8(lowered)
+    sizes = pc.subtract(pc.binary_length(words), pc.binary_length(core)).to_numpy(zero_copy_only=False).astype(np.int64)
+    data, bounds = kernel.utf8(words)
     begins = np.concatenate([[0], np.cumsum(sizes)])
     take = np.repeat(bounds[1:] - sizes - begins[:-1], sizes) + np.arange(begins[-1])
     raw = pa.py_buffer(np.ascontiguousarray(data[take]).tobytes())

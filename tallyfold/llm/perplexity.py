@@ -101,6 +101,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(data) == 0:
             continue
         keys, _ = gram_keys(data, bounds, batch.column("language").to_numpy())
+        if len(keys) == 0:
+            continue
         held.append(np.unique(keys, return_counts=True))
         if sum(len(k) for k, _ in held) > HELD:
             held = [_merged(held)]
