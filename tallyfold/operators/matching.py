@@ -59,7 +59,8 @@ def cluster_key(columns: Sequence[str]) -> Column:
 
     A record with a missing rule column matches nobody and gets NULL.
     """
-    parts = [F.col(c).cast("string") for c in columns]
+    # The separator is escaped inside values, so different records never give one text.
+    parts = [F.replace(F.replace(F.col(c).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")) for c in columns]
     missing = [p.isNull() for p in parts]
     id_ = F.md5(F.concat_ws("|", *parts))
     for m in missing:

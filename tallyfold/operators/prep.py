@@ -76,13 +76,12 @@ def one_hot(df: DataFrame, columns: Sequence[str], levels: Mapping[str, Sequence
 
 def quantile_edges(
     df: DataFrame, columns: Sequence[str], bins: int, interpolate: bool = True, accuracy: int = ACCURACY,
-    exact: bool = False,
+    exact: bool = True,
 ) -> dict[str, list[float]]:
     """Inner bin edges per column, duplicates dropped.
 
-    Order statistics come from mergeable sketches with rank error n/accuracy, hence exact up
-    to `accuracy` rows, and no task ever holds a column. `exact` makes them exact at any size,
-    for one shuffle of the distinct values per column. With `interpolate`, edges lie between
+    Order statistics are exact at any size, for one shuffle of the distinct values per column.
+    Without `exact` they come from mergeable sketches with rank error n/accuracy. With `interpolate`, edges lie between
     the two neighbouring order statistics; without, an edge is the value at rank ceil(q*n).
     """
     probs = [i / bins for i in range(1, bins)]
@@ -171,7 +170,7 @@ def column_spec(df: DataFrame, keep: Sequence[str], spec: Sequence[tuple[str, Se
             wanted += [f"{c}_log" for c in columns]
         elif step == "standardize":
             m = _moments(df, columns, F.stddev_samp)
-            out = out.withColumns({f"{c}_std": (F.col(c) - m[c]["mean"]) / m[c]["std"] for c in columns})
+            out = out.withColumns({f"{c}_std": F.try_divide(F.col(c) - m[c]["mean"], m[c]["std"]) for c in columns})
             wanted += [f"{c}_std" for c in columns]
         elif step == "poly2":
             out = poly2(out, columns)
@@ -204,8 +203,8 @@ def woe_table(df: DataFrame, edges: Mapping[str, Sequence[float]], target: str,
         .agg(F.count_if("_e").alias("events"), F.count_if(~F.col("_e")).alias("nonevents"))
     )
     w = Window.partitionBy("variable")
-    good = (F.col("nonevents") + 0.5) / F.sum("nonevents").over(w)
-    bad = (F.col("events") + 0.5) / F.sum("events").over(w)
+    good = F.try_divide(F.col("nonevents") + 0.5, F.sum("nonevents").over(w))
+    bad = F.try_divide(F.col("events") + 0.5, F.sum("events").over(w))
     woe = F.ln(good / bad)
     return counts.withColumns({"woe": woe, "iv": (good - bad) * woe})
 

@@ -32,10 +32,9 @@ def _window(by: Sequence[str]):
 
 
 def _attach(df: DataFrame, small: DataFrame, by: Sequence[str], cut: Sequence[str]) -> DataFrame:
-    """Join bucket facts back; groups match NULL-safely so that no row is lost."""
+    """Join bucket facts back; groups and buckets match NULL-safely so that no row is lost."""
     renamed = small.withColumnsRenamed({c: f"_r_{c}" for c in [*by, *cut]})
-    on = [F.col(c) == F.col(f"_r_{c}") for c in cut]
-    on += [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in by]
+    on = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in [*cut, *by]]
     return df.join(renamed, on).drop(*[f"_r_{c}" for c in [*by, *cut]])
 
 
@@ -44,7 +43,8 @@ def _rank(
 ) -> DataFrame:
     sizes = df.groupBy(*by, *cut).agg(F.count("*").alias("_n"))
     w = _window(by)
-    before = F.sum("_n").over(w.orderBy(*cut).rowsBetween(Window.unboundedPreceding, -1))
+    # Rows without a value lie in the NULL bucket and come last.
+    before = F.sum("_n").over(w.orderBy(*[F.col(c).asc_nulls_last() for c in cut]).rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select(
         *by,
         *cut,

@@ -47,7 +47,7 @@ def ar1_fit(grid: DataFrame, series: str, time: str, value: str) -> DataFrame:
     return d.groupBy(series).agg(
         F.regr_slope("_d", "_l").alias("phi"),
         F.regr_intercept("_d", "_l").alias("constant"),
-        (F.regr_syy("_d", "_l") * (1 - F.regr_r2("_d", "_l")) / (F.regr_count("_d", "_l") - 2)).alias("sigma2"),
+        F.try_divide(F.regr_syy("_d", "_l") * (1 - F.regr_r2("_d", "_l")), F.regr_count("_d", "_l") - 2).alias("sigma2"),
         F.regr_count("_d", "_l").alias("n"),
         F.max(time).alias("last_time"),
         F.max_by("_y", time).alias("last_log"),

@@ -162,8 +162,8 @@ def edf_tests(df: DataFrame, value: str, group: str, a, b) -> DataFrame:
     ).scalar()
     curves = running_totals(per_value, "_x", {"_ca": "_na", "_cb": "_nb"}).withColumn("_n", sizes)
     na, nb = F.col("_n.a").cast("double"), F.col("_n.b").cast("double")
-    curves = curves.withColumn("_d", F.col("_ca") / na - F.col("_cb") / nb)
-    weight = na * nb / ((na + nb) * (na + nb))
+    curves = curves.withColumn("_d", F.try_divide(F.col("_ca"), na) - F.try_divide(F.col("_cb"), nb))
+    weight = F.try_divide(na * nb, (na + nb) * (na + nb))
     return curves.agg(
         F.max(F.abs("_d")).alias("ks_d"),
         (F.greatest(F.max("_d"), F.lit(0.0)) + F.greatest(F.max(-F.col("_d")), F.lit(0.0))).alias("kuiper_v"),

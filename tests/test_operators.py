@@ -416,3 +416,32 @@ def test_edf_tests_against_direct_sums(spark, skewed):
     d = np.array([f(a, x) - f(b, x) for x in sorted(set(a) | set(b))])
     got = stats.edf_tests(skewed.filter("g IS NOT NULL"), "p", "y", 1, 0).first()
     assert got["ks_d"] == pytest.approx(np.abs(d).max()) and got["kuiper_v"] == pytest.approx(max(d.max(), 0) + max(-d.min(), 0))
+
+
+def test_rank_keeps_rows_without_a_value(spark):
+    rows = [(k, None if k % 4 == 0 else k / 100.0) for k in range(40)]
+    ranked = ranking.rank_by_value(spark.createDataFrame(rows, "key long, p double"), "p", "key").collect()
+    assert sorted(r["rank"] for r in ranked) == list(range(1, 41))
+    assert all(r["rank"] > 30 for r in ranked if r["p"] is None)
+
+
+def test_different_records_never_share_a_cluster(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("a\\", "|c"), ("a", "\\|c"), ("a|b", "c")]
+    df = spark.createDataFrame(rows, "x string, y string").withColumn("id", matching.cluster_key(["x", "y"]))
+    assert df.select("id").distinct().count() == 4
+
+
+def test_edges_are_exact_beyond_the_sketch(spark):
+    n = 120_000
+    df = spark.range(n).select(((F.col("id") * 7919) % n).cast("double").alias("x"))
+    want = np.quantile(np.arange(n, dtype=float), [i / 7 for i in range(1, 7)], method="averaged_inverted_cdf")
+    got = prep.quantile_edges(df, ["x"], 7)["x"]
+    assert max(abs(a - b) for a, b in zip(got, want, strict=True)) <= 1.0
+
+
+def test_small_groups_do_not_fail(spark):
+    short = spark.createDataFrame([("s", t, float(t + 1) ** 1.1) for t in range(4)], "s string, t int, v double")
+    assert series.ar1_fit(short, "s", "t", "v").first()["sigma2"] is None
+    flat = spark.createDataFrame([(1.0, 0)] * 5, "x double, y int")
+    table = prep.woe_table(flat, {"x": [0.5]}, "y", 1).collect()
+    assert all(r["woe"] is None for r in table)
