@@ -20,9 +20,9 @@ from tallyfold.session import cut_lineage
 WINDOW = 4096
 END = 2
 #: Tokens of one shard, about.
-SHARD_TOKENS = 1_500_000
+SHARD_TOKENS = 1_000_000
 #: Documents of one shard, at most about.
-SHARD_DOCUMENTS = 2_000
+SHARD_DOCUMENTS = 1_500
 #: Terms of a seed document that are looked up: those with the largest weight.
 QUERY_TERMS = 48
 K1 = 1.2
@@ -30,7 +30,7 @@ B = 0.75
 #: Words whose ids a worker remembers before it starts anew.
 REMEMBERED = 150_000
 #: Bytes of text that are tokenized at once: the more, the fewer distinct words in all.
-TOKENIZE_SLICE = 5 << 20
+TOKENIZE_SLICE = 4 << 20
 
 _PUNCTUATION = string.punctuation
 
@@ -289,6 +289,9 @@ def pack_shard(documents: list[np.ndarray], idf: np.ndarray, mean_length: float,
 
 
 def _packed(batches: Iterator[pa.RecordBatch], shared, window: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+    # Tokenizing is over; its words would only take memory from the index.
+    _TOKENS.clear()
+    kernel.release()
     idf, mean_length = shared.value
     keys, documents, shard, n_tokens, part = [], [], None, 0, 0
 
@@ -311,6 +314,7 @@ def _packed(batches: Iterator[pa.RecordBatch], shared, window: int, with_ids: bo
             if shard != shards[r]:
                 if documents:
                     yield out()
+                    kernel.release()
                 keys, documents, n_tokens, part, shard = [], [], 0, 0, shards[r]
             elif n_tokens > 2 * SHARD_TOKENS or len(documents) >= 2 * SHARD_DOCUMENTS:
                 yield out()
