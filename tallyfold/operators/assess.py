@@ -1,7 +1,8 @@
 """Assessment of scored tables.
 
-Conventions: `y` is 0/1 with 1 the event, `p` the event probability rounded to 9 digits.
-Ties in a ranking are broken by the row key. Every function takes `by`, so partitions,
+Conventions: `y` is 0/1 with 1 the event, `p` the event probability at full precision.
+Ties in a ranking are broken by the row key. A row without a score takes part in no measure;
+`fit_columns` counts such rows as n_missing. Every function takes `by`, so partitions,
 periods and groups are assessed in one job.
 """
 
@@ -12,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.operators.ranking import rank_by_value, running_totals
+from tallyfold.operators.ranking import order_statistics, rank_by_value, running_totals
 from tallyfold.session import cut_lineage
 
 
@@ -26,6 +27,10 @@ def hit(p: str, cut: float | Column, op: str = ">=") -> Column:
     return {">=": p_ >= cut, ">": p_ > cut}[op]
 
 
+def has_score(df: DataFrame, p: str) -> DataFrame:
+    return df.filter(F.col(p).isNotNull())
+
+
 def confusion(df: DataFrame, y: str, p: str, cut: float = 0.5, by: Sequence[str] = ()) -> DataFrame:
     said, event = hit(p, cut), F.col(y) == 1
     return df.groupBy(*by).agg(
@@ -41,7 +46,7 @@ def lift_table(
 ) -> DataFrame:
     """Lift by descending score in bins of ceil(N/bins) rows. The ranking is distributed;
     only the at most `bins` rows per group reach the cumulating window."""
-    ranked = rank_by_value(df.select(key, y, p, *by), p, key, by, rank="_rank", total="_total", stored=stored)
+    ranked = rank_by_value(has_score(df, p).select(key, y, p, *by), p, key, by, rank="_rank", total="_total", stored=stored)
     size = F.ceil(F.col("_total") / bins)
     cells = ranked.groupBy(*by, F.ceil(F.col("_rank") / size).alias("bin")).agg(
         F.count("*").alias("n"), F.sum(y).alias("events")
@@ -76,7 +81,7 @@ def roc_table(df: DataFrame, y: str, p: str, steps: int = 1000, by: Sequence[str
     Rows collapse to at most steps+1 cells per group first. `ks_flag` marks the best KS.
     """
     event = F.col(y) == 1
-    cells = df.groupBy(*by, F.floor(F.col(p) * steps).cast("int").alias("cell")).agg(
+    cells = has_score(df, p).groupBy(*by, F.floor(F.col(p) * steps).cast("int").alias("cell")).agg(
         F.count_if(event).alias("_n1"), F.count_if(~event).alias("_n0")
     )
     groups = cells.groupBy(*by).agg(F.sequence(F.lit(0), F.lit(steps)).alias("_all"))
@@ -116,15 +121,14 @@ def roc_table(df: DataFrame, y: str, p: str, steps: int = 1000, by: Sequence[str
 def score_curve(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
     """(by, p, n1, n0, c1, c0): class counts per distinct score and cumulated upwards.
 
-    With 9-digit scores a cell of 0.001 holds at most a million distinct values, which
-    bounds every window; a score shared by many rows is one row here.
+    A score shared by many rows is one row here. The counts are written once: their quantiles
+    cut them into even buckets, then the windows run inside a bucket.
     """
     event = F.col(y) == 1
-    counts = df.groupBy(*by, F.col(p).alias("p")).agg(
+    counts = has_score(df, p).groupBy(*by, F.col(p).alias("p")).agg(
         F.count_if(event).alias("n1"), F.count_if(~event).alias("n0")
     )
-    cell = F.floor(F.col("p") * 1000).cast("int")
-    return running_totals(counts, "p", {"c1": "n1", "c0": "n0"}, by, cell)
+    return running_totals(cut_lineage(counts), "p", {"c1": "n1", "c0": "n0"}, by)
 
 
 def auc(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
@@ -172,18 +176,21 @@ def class_report(df: DataFrame, y: str, p: str, cut: float = 0.5) -> DataFrame:
 
 def accuracy(df: DataFrame, y: str, p: str, cut: float = 0.5, by: Sequence[str] = ()) -> DataFrame:
     right = (hit(p, cut) == (F.col(y) == 1)).cast("double")
-    return df.groupBy(*by).agg(F.count("*").alias("n"), F.avg(right).alias("accuracy"))
+    return df.groupBy(*by).agg(F.count(p).alias("n"), F.avg(right).alias("accuracy"))
 
 
 def fit_columns(y: str, p: str, cut: float = 0.5) -> list[Column]:
-    """Aggregates: rows, events, ASE, RASE, log loss, misclassification."""
+    """Aggregates over the scored rows: rows, events, ASE, RASE, log loss, misclassification;
+    and the number of rows without a score."""
     y_, p_ = F.col(y), F.col(p)
     held = F.greatest(F.least(p_, F.lit(1 - 1e-15)), F.lit(1e-15))
-    loss = -F.when(y_ == 1, F.ln(held)).otherwise(F.ln(1 - held))
+    # least and greatest skip NULL, so a missing score is ruled out by name.
+    loss = -F.when(p_.isNull(), None).when(y_ == 1, F.ln(held)).otherwise(F.ln(1 - held))
     square = (y_ - p_) * (y_ - p_)
     return [
-        F.count("*").alias("n"),
-        F.sum(y_).alias("events"),
+        F.count(p_).alias("n"),
+        F.count_if(p_.isNull()).alias("n_missing"),
+        F.sum(F.when(p_.isNotNull(), y_)).alias("events"),
         F.avg(square).alias("ase"),
         F.sqrt(F.avg(square)).alias("rase"),
         F.avg(loss).alias("mcll"),
@@ -196,8 +203,8 @@ def fit_stats(df: DataFrame, y: str, p: str, cut: float = 0.5, by: Sequence[str]
 
 
 def same(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Join two per-group results."""
-    return a.join(b.withColumnsRenamed({c: f"_{c}" for c in by}), [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]).drop(
+    """Join two per-group results; a group without scores has only the first."""
+    return a.join(b.withColumnsRenamed({c: f"_{c}" for c in by}), [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by], "left").drop(
         *[f"_{c}" for c in by]
     )
 
@@ -222,10 +229,10 @@ def regression_fit(
     """MAE, MSE, RMSE, mean Tweedie deviance (1 < power < 2), its D2 and the absolute-error D2."""
     y_, m = F.col(y).cast("double"), F.col(pred).cast("double")
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    n = df.agg(F.count(y_).alias("n")).first()["n"]
+    median = order_statistics(df, y, [(n + 1) // 2])[(n + 1) // 2] if n else None
     base = df.agg(
-        F.struct(
-            (F.sum(w * y_) / F.sum(w)).alias("mean"), F.percentile_approx(y_, 0.5, 100_000).alias("median")
-        ).alias("b")
+        F.struct((F.sum(w * y_) / F.sum(w)).alias("mean"), F.lit(median).cast("double").alias("median")).alias("b")
     ).scalar()
 
     def deviance(mu: Column) -> Column:

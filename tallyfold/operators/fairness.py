@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.operators.assess import fit_columns, safe_ratio, same, score_curve
+from tallyfold.operators.assess import fit_columns, has_score, safe_ratio, same, score_curve
 from tallyfold.operators.ranking import rank_by_value
 from tallyfold.session import cut_lineage
 
@@ -33,12 +33,13 @@ def group_metrics(
     """Counts, rates, ranking and fit measures per level of each sensitive variable.
 
     `event_level` says which class (1 or 0) counts as the event; `p` is always P(y = 1).
-    Lift measures are those of the top two of 20 bins (10 % depth).
+    Lift measures are those of the top two of 20 bins (10 % depth). Rows without a score are
+    counted as n_missing and take part in nothing else.
     """
     if event_level not in (0, 1):
         raise ValueError("event_level is 0 or 1")
     event = F.col(y) if event_level == 1 else 1 - F.col(y)
-    prob = F.col(p) if event_level == 1 else F.round(1 - F.col(p), 9)
+    prob = F.col(p) if event_level == 1 else 1 - F.col(p)
     narrow = cut_lineage(df.select(key, event.alias("_y"), prob.alias("_p"), *sensitive))
     rows = by_level(narrow, sensitive, [key, "_y", "_p"])
 
@@ -75,7 +76,7 @@ def group_metrics(
         )
     )
 
-    ranked = rank_by_value(rows, "_p", key, BY, rank="_rank", total="_total", stored=True)
+    ranked = rank_by_value(has_score(rows, "_p"), "_p", key, BY, rank="_rank", total="_total", stored=True)
     size = F.ceil(F.col("_total") / 20)
     top = ranked.groupBy(*BY).agg(
         F.sum(F.when((F.col("_rank") > size) & (F.col("_rank") <= 2 * size), F.col("_y")).otherwise(0)).alias("_e2"),
@@ -108,7 +109,7 @@ def group_metrics(
             mine: F.col("predicted_event"),
             other: 1.0 - F.col("predicted_event"),
         }
-    ).select(*BY, "n", "tp", "fp", "tn", "fn", *METRICS)
+    ).select(*BY, "n", "n_missing", "tp", "fp", "tn", "fn", *METRICS)
 
 
 def _long(metrics: DataFrame) -> DataFrame:

@@ -20,9 +20,9 @@ def prepare(
     seed: int,
     period: str,
 ) -> DataFrame:
-    """All periods at once: z-scores over the whole table with originals under orig_, known
+    """All periods at once: z-scores inside each period with originals under orig_, known
     codes as dummies, and an exact 60/30/10 partition inside every period."""
-    out = prep.standardize(df, scale, keep_prefix="orig_")
+    out = prep.standardize_within(df, scale, period, keep_prefix="orig_")
     for column, codes in dummies.items():
         out = prep.dummies(out, column, codes)
     ranked = rank_by_hash(out, key, seed, [period], "_rank", "_total")

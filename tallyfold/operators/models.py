@@ -97,7 +97,7 @@ def tree_regression(
 
 def glm(
     df: DataFrame, inputs: Sequence[str], target: str, family: str, weight: str | None = None,
-    power: float = 1.8, reg: float = 0.0, max_iter: int = 50,
+    power: float = 1.8, reg: float = 0.0, max_iter: int = 100,
 ) -> PipelineModel:
     """Generalised linear models with log link (binomial: logit), iteratively reweighted."""
     est = GeneralizedLinearRegression(
@@ -112,6 +112,50 @@ def glm(
     return _fit([_assembler(inputs), est], df, [*inputs, target, weight])
 
 
+def penalised_tweedie(
+    df: DataFrame, inputs: Sequence[str], target: str, alpha: float, weight: str, power: float = 1.8,
+    rounds: int = 20, tolerance: float = 1e-7,
+) -> PipelineModel:
+    """Tweedie GLM that minimises half the mean unit deviance plus alpha/2 * |b|^2, weighted.
+
+    The estimator divides the penalised sums by the working weights w * mu^(2-power) and not by
+    the row weights, so its regParam is alpha * sum(w) / sum(w * mu^(2-power)). As mu is an
+    outcome of the fit, the fit is repeated until that ratio stands.
+    """
+    reg, model = alpha, None
+    for _ in range(rounds):
+        model = glm(df, inputs, target, "tweedie", weight=weight, power=power, reg=reg)
+        w = F.col(weight)
+        working = F.sum(w * F.pow("predicted", F.lit(2.0 - power)))
+        now = alpha * prediction(model, df).agg((F.sum(w) / working).alias("r")).first()["r"]
+        if abs(now - reg) <= tolerance * reg:
+            return model
+        reg = now
+    raise ValueError(f"the penalty did not settle in {rounds} fits")
+
+
+def tweedie_equations(
+    df: DataFrame, inputs: Sequence[str], target: str, weight: str, model: PipelineModel, alpha: float,
+    power: float = 1.8,
+) -> DataFrame:
+    """Score equations of the penalised fit, per term: sum(w mu^(1-power) (y - mu) x) / sum(w)
+    minus alpha * b, which is zero at the optimum (the intercept has no penalty)."""
+    rows = prediction(model, df)
+    w, mu = F.col(weight), F.col("predicted")
+    pull = w * F.pow(mu, F.lit(1.0 - power)) * (F.col(target) - mu)
+    slopes = coefficients(model, inputs)
+    terms = [("intercept", F.lit(1.0), 0.0), *[(c, F.col(c).cast("double"), alpha * slopes[c]) for c in inputs]]
+    parts = [
+        F.struct(
+            F.lit(name).alias("variable"),
+            F.count("*").alias("n"),
+            (F.sum(pull * x) / F.sum(w) - F.lit(held)).alias("imbalance"),
+        )
+        for name, x, held in terms
+    ]
+    return rows.agg(F.array(*parts).alias("_e")).select(F.inline("_e"))
+
+
 def linear(df: DataFrame, inputs: Sequence[str], target: str) -> PipelineModel:
     est = LinearRegression(featuresCol=FEATURES, labelCol=target, solver="normal")
     return _fit([_assembler(inputs), est], df, [*inputs, target])
@@ -147,11 +191,10 @@ def importance_table(df: DataFrame, model: PipelineModel, inputs: Sequence[str])
     return table.orderBy(F.desc("importance"), "variable")
 
 
-def probability(model: PipelineModel, df: DataFrame, out: str = "p", digits: int = 9) -> DataFrame:
+def probability(model: PipelineModel, df: DataFrame, out: str = "p") -> DataFrame:
     """Score a table and keep its columns beside P(event)."""
     scored = model.transform(df)
-    p = F.round(vector_to_array("probability")[1], digits)
-    return scored.withColumn(out, p).select(*df.columns, out)
+    return scored.withColumn(out, vector_to_array("probability")[1]).select(*df.columns, out)
 
 
 def prediction(model: PipelineModel, df: DataFrame, out: str = "predicted") -> DataFrame:

@@ -35,6 +35,23 @@ def standardize(
     return df.withColumns({**kept, **scaled})
 
 
+def standardize_within(
+    df: DataFrame, columns: Sequence[str], by: str, keep_prefix: str | None = None
+) -> DataFrame:
+    """z-scores as `standardize`, with the moments of each group of `by` for itself.
+
+    The moments are one row per group, aggregated on the map side and joined back.
+    """
+    used = df.dropna(subset=list(columns))
+    parts = [F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std")).alias(c) for c in columns]
+    moments = used.groupBy(F.col(by).alias("_by")).agg(F.struct(*parts).alias("_m"))
+    joined = df.join(moments, F.col(by).eqNullSafe(F.col("_by")), "left")
+    kept = {f"{keep_prefix}{c}": F.col(c) for c in columns} if keep_prefix else {}
+    m = F.col("_m")
+    scaled = {c: (F.col(c) - m[c]["mean"]) / F.nullif(m[c]["std"], F.lit(0.0)) for c in columns}
+    return joined.withColumns({**kept, **scaled}).drop("_by", "_m")
+
+
 def log_scale(df: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFrame:
     """Natural log, then z-score with the population standard deviation."""
     logs = {f"{c}{suffix}": F.ln(F.when(F.col(c) > 0, F.col(c))) for c in columns}

@@ -21,9 +21,7 @@ def score_logit(
     """Adds P_<target>1, P_<target>0 and I_<target>. A missing input gives NULL scores (a sum
     with NULL is NULL) and a blank class. Each step is a column, so it is computed once."""
     p1 = f"P_{target}1"
-    scored = df.withColumn("_xbeta", linear_predictor(coefs, intercept)).withColumn(
-        p1, F.round(logistic("_xbeta"), 9)
-    )
+    scored = df.withColumn("_xbeta", linear_predictor(coefs, intercept)).withColumn(p1, logistic("_xbeta"))
     return scored.drop("_xbeta").withColumns({f"P_{target}0": 1 - F.col(p1), f"I_{target}": classify(p1, cut)})
 
 

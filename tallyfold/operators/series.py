@@ -7,16 +7,34 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def difference(df: DataFrame, series: str, time: str, value: str, lags: Sequence[int], out: str) -> DataFrame:
-    """Successive differences at the given lags, e.g. [1, 12]."""
-    w = Window.partitionBy(series).orderBy(time)
+def slot_number(time: str, unit: str) -> Column:
+    """Consecutive numbers of the hours, days or months of a calendar."""
+    at = F.col(time)
+    return {
+        "hour": F.floor(F.unix_timestamp(at.cast("timestamp")) / 3600),
+        "day": F.unix_date(at.cast("date")).cast("bigint"),
+        "month": (F.year(at) * 12 + F.month(at)).cast("bigint"),
+    }[unit]
+
+
+def lagged(value: str, series: str, time: str, lag: int, unit: str) -> Column:
+    """The value `lag` slots of the calendar earlier, NULL where that slot has no row."""
+    w = Window.partitionBy(series).orderBy(slot_number(time, unit)).rangeBetween(-lag, -lag)
+    return F.max(value).over(w)
+
+
+def difference(
+    df: DataFrame, series: str, time: str, value: str, lags: Sequence[int], out: str, unit: str = "day"
+) -> DataFrame:
+    """Successive differences at the given lags, e.g. [1, 12], by calendar and not by row: a
+    gridded series need not be regularised, its empty slots give NULL."""
     df = df.withColumn(out, F.col(value))
     for lag in lags:
-        df = df.withColumn(out, F.col(out) - F.lag(out, lag).over(w))
+        df = df.withColumn(out, F.col(out) - lagged(out, series, time, lag, unit))
     return df
 
 
@@ -36,14 +54,15 @@ def regularize(grid: DataFrame, series: str, unit: str) -> DataFrame:
     )
 
 
-def ar1_fit(grid: DataFrame, series: str, time: str, value: str) -> DataFrame:
+def ar1_fit(grid: DataFrame, series: str, time: str, value: str, unit: str = "day") -> DataFrame:
     """ARIMA(1,1,0) on the log by conditional least squares, all series in one job.
 
     One row per series: phi, constant, innovation variance, the last log level and difference.
+    Slots that are empty or not positive leave a gap, over which no difference is taken.
     """
     logged = grid.filter(F.col(value) > 0).withColumn("_y", F.ln(value))
-    w = Window.partitionBy(series).orderBy(time)
-    d = difference(logged, series, time, "_y", [1], "_d").withColumn("_l", F.lag("_d", 1).over(w))
+    d = difference(logged, series, time, "_y", [1], "_d", unit)
+    d = d.withColumn("_l", lagged("_d", series, time, 1, unit))
     return d.groupBy(series).agg(
         F.regr_slope("_d", "_l").alias("phi"),
         F.regr_intercept("_d", "_l").alias("constant"),
@@ -51,7 +70,7 @@ def ar1_fit(grid: DataFrame, series: str, time: str, value: str) -> DataFrame:
         F.regr_count("_d", "_l").alias("n"),
         F.max(time).alias("last_time"),
         F.max_by("_y", time).alias("last_log"),
-        F.max_by("_d", time).alias("last_diff"),
+        F.max_by("_d", F.when(F.col("_d").isNotNull(), F.col(time))).alias("last_diff"),
     )
 
 
@@ -65,9 +84,10 @@ def ar1_forecast(fit: DataFrame, series: str, lead: int) -> DataFrame:
     return steps.select(series, "step", F.exp(F.col("last_log") + moved).alias("forecast"))
 
 
-def _innovations(w: np.ndarray, theta: float, seasonal: float, s: int) -> np.ndarray:
-    """e_t = w_t + theta e_(t-1) + seasonal e_(t-s) - theta seasonal e_(t-s-1), zero before the start."""
-    e = np.zeros(len(w) + s + 1)
+def _innovations(w: np.ndarray, theta: np.ndarray, seasonal: np.ndarray, s: int) -> np.ndarray:
+    """e_t = w_t + theta e_(t-1) + seasonal e_(t-s) - theta seasonal e_(t-s-1), zero before the
+    start; one column per candidate (theta, seasonal), one pass over time for all of them."""
+    e = np.zeros((len(w) + s + 1, len(theta)))
     for t, value in enumerate(w, start=s + 1):
         e[t] = value + theta * e[t - 1] + seasonal * e[t - s] - theta * seasonal * e[t - s - 1]
     return e[s + 1 :]
@@ -82,15 +102,13 @@ def airline_one(values: np.ndarray, s: int, lead: int) -> tuple[float, float, fl
     centre, half = (0.0, 0.0), 0.95
     for _ in range(6):
         grid = np.linspace(-half, half, 9)
-        tried = [
-            (float(np.sum(_innovations(w, a, b, s) ** 2)), a, b)
-            for a in np.clip(centre[0] + grid, -0.98, 0.98)
-            for b in np.clip(centre[1] + grid, -0.98, 0.98)
-        ]
-        best = min(tried)
+        a, b = np.meshgrid(np.clip(centre[0] + grid, -0.98, 0.98), np.clip(centre[1] + grid, -0.98, 0.98))
+        a, b = a.ravel(), b.ravel()
+        squares = np.sum(_innovations(w, a, b, s) ** 2, axis=0)
+        best = min(zip(squares.tolist(), a.tolist(), b.tolist(), strict=True))
         centre, half = (best[1], best[2]), half / 3
     theta, seasonal = centre
-    e = list(_innovations(w, theta, seasonal, s))
+    e = _innovations(w, np.array([theta]), np.array([seasonal]), s)[:, 0].tolist()
     history, future = list(y), []
     padded = [0.0] * (s + 1) + e
     for _ in range(lead):
@@ -105,14 +123,16 @@ def airline_one(values: np.ndarray, s: int, lead: int) -> tuple[float, float, fl
 def airline(grid: DataFrame, series: str, time: str, value: str, season: int, lead: int) -> DataFrame:
     """Log, differences (1, season), MA(1)(season), no constant; forecasts per series.
 
-    A gridded series is one pandas frame of calendar length; Spark spreads the series.
+    A regularised series is one pandas frame of calendar length; Spark spreads the series. A
+    series that is too short, has empty slots or values that are not positive gives one row
+    with step 0 and NULL elsewhere.
     """
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         ordered = pdf.sort_values(time)
         values = ordered[value].to_numpy(dtype=float)
-        if len(values) < 2 * season + 2 or (values <= 0).any():
-            return pd.DataFrame({series: [], "step": [], "theta": [], "seasonal_theta": [], "sigma2": [], "forecast": []})
+        if len(values) < 2 * season + 2 or not (values > 0).all():
+            return pd.DataFrame({series: pdf[series].iloc[:1], "step": 0, "theta": None, "seasonal_theta": None, "sigma2": None, "forecast": None})
         theta, seasonal, sigma2, logs = airline_one(values, season, lead)
         return pd.DataFrame(
             {

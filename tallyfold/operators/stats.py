@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from tallyfold.functions.scalar import equal_width_bin, normal_cdf
+from tallyfold.functions.scalar import equal_width_bin
 from tallyfold.operators.ranking import running_totals
 from tallyfold.operators.relational import wide_to_long
 from tallyfold.session import cut_lineage
@@ -55,8 +58,40 @@ def simple_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.array(*parts).alias("_s")).select(F.inline("_s"))
 
 
+def beta_share(x: float, a: float, b: float) -> float:
+    """Regularised incomplete beta function by its continued fraction (modified Lentz)."""
+    if x <= 0.0 or x >= 1.0:
+        return float(x >= 1.0)
+    if x > (a + 1.0) / (a + b + 2.0):
+        return 1.0 - beta_share(1.0 - x, b, a)
+    tiny = 1e-300
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    c, d = 1.0, 1.0 / ((1.0 - (a + b) * x / (a + 1.0)) or tiny)
+    value, m = d, 1
+    while True:
+        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        for term in (even, odd):
+            d = 1.0 / ((1.0 + term * d) or tiny)
+            c = (1.0 + term / c) or tiny
+            value *= c * d
+        if abs(c * d - 1.0) < 1e-15 or m > 10_000:
+            return front * value
+        m += 1
+
+
+@F.pandas_udf(DoubleType())
+def t_tail(t: pd.Series, free: pd.Series) -> pd.Series:
+    """P(|T| > t) of Student's t; for result rows, a few per pair of columns."""
+    tails = [
+        None if math.isnan(x) or math.isnan(v) else beta_share(v / (v + x * x), v / 2.0, 0.5)
+        for x, v in zip(t.astype(float), free.astype(float), strict=True)
+    ]
+    return pd.Series(tails, dtype="float64")
+
+
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long Pearson matrix with p-values (normal tail of the t statistic), in one pass."""
+    """Long Pearson matrix with two-sided p-values of Student's t, in one pass over the rows."""
     pairs = list(combinations_with_replacement(columns, 2))
     parts = []
     for a, b in pairs:
@@ -74,8 +109,9 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         "r",
         "n",
     )
-    t = F.abs("r") * F.sqrt((F.col("n") - 2) / (1 - F.col("r") * F.col("r")))
-    tail = F.when(F.abs("r") < 1, F.round(2 * (1 - normal_cdf(t)), 9))
+    known = (F.abs("r") < 1) & (F.col("n") > 2)
+    free = F.when(known, F.col("n") - 2).cast("double")
+    tail = t_tail(F.abs("r") * F.sqrt(free / (1 - F.col("r") * F.col("r"))), free)
     return mirrored.select(
         F.col("_p.a").alias("variable"), F.col("_p.b").alias("with_variable"), "r", "n", tail.alias("p_value")
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.scalar import bin_of, hash_uniform
 from tallyfold.operators.prep import quantile_edges
-from tallyfold.operators.ranking import rank_by_value
+from tallyfold.operators.ranking import order_statistics, rank_by_value
 from tallyfold.session import cut_lineage
 
 
@@ -70,7 +70,7 @@ def smote(
         x = np.stack(pdf["_v"].to_numpy())
         ids, n = pdf[key].to_numpy(), len(pdf)
         if n < 2:
-            return pd.DataFrame({key: [], "_near": [], "_d": [], "_v": [], "_nv": []})
+            return pd.DataFrame({key: ids[:0], "_near": ids[:0], "_d": np.zeros(0), "_v": [], "_nv": []})
         squares = (x * x).sum(axis=1)
         d = np.sqrt(np.maximum(squares[:, None] + squares[None, :] - 2.0 * x @ x.T, 0.0))
         np.fill_diagonal(d, np.inf)
@@ -161,22 +161,34 @@ def synthesize(
     """A table of `rows` independent draws that keeps each column's distribution.
 
     Nominal columns follow the original level frequencies; interval columns are drawn from the
-    inverse distribution function through `grid` quantiles. Columns must be class variables of
-    bounded level count. All draws are hashes of the row id.
+    inverse distribution function through `grid` exact quantiles. A column keeps its share of
+    missing values. All draws are hashes of the row id.
     """
     out = df.sparkSession.range(rows).withColumnRenamed("id", "row_id")
     new: dict[str, Column] = {}
+    filled = df.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in [*nominal, *interval]]).first().asDict()
     for c, shares in level_shares(df, nominal).items():
+        if not shares:
+            new[c] = F.lit(None).cast("string")
+            continue
         new[c] = _draw_level(hash_uniform("row_id", f"{seed}{c}"), shares)
     if interval:
-        probs = [i / grid for i in range(grid + 1)]
-        row = df.agg(*[F.percentile_approx(c, probs, 100_000).alias(c) for c in interval]).first()
         for c in interval:
+            n = filled[c]
+            ranks = [max(1, -(-i * n // grid)) for i in range(grid + 1)]
+            values = order_statistics(df, c, ranks) if n else {}
+            if not n:
+                new[c] = F.lit(None).cast("double")
+                continue
             at = hash_uniform("row_id", f"{seed}{c}") * grid
             step = F.floor(at).cast("int")
-            table = F.array(*[F.lit(float(v)) for v in row[c]])
+            table = F.array(*[F.lit(float(values[r])) for r in ranks])
             low, high = F.element_at(table, step + 1), F.element_at(table, step + 2)
             new[c] = low + (at - step) * (high - low)
+    for c, value in new.items():
+        if 0 < filled[c] < filled["_rows"]:
+            gone = hash_uniform("row_id", f"{seed}{c}|missing") >= filled[c] / filled["_rows"]
+            new[c] = F.when(~gone, value)
     return out.withColumns(new)
 
 

@@ -43,6 +43,23 @@ def assess_lift(spark, d):
     return assess.lift_table(scored(spark, d), KEY, Y, P)
 
 
+# A score whose input is missing for some rows: those rows are left out of every measure.
+_HOLED = f"{SCORED.replace('scored AS', 'whole AS')}, scored AS (SELECT * FROM whole WHERE status <> 'P')"
+
+
+def _holed(spark, d):
+    return scored(spark, d).withColumn(P, F.when(F.col("status") != "P", F.col(P)))
+
+
+@query(
+    "assess_lift_missing",
+    "bin:i n:i events:i resp:f6 cumresp:f6",
+    f"WITH {_HOLED}, {LIFT_SQL.format(by='', keys='')} SELECT * FROM l",
+)
+def assess_lift_missing(spark, d):
+    return assess.lift_table(_holed(spark, d), KEY, Y, P)
+
+
 ROC_SQL = """cells AS (SELECT {keys} CAST(floor(p * 1000) AS BIGINT) AS cell, sum(event) AS n1,
    sum(1 - event) AS n0 FROM scored GROUP BY ALL),
  grid AS (SELECT {keys} g.cell FROM ({groups}) CROSS JOIN range(1001) AS g(cell)),
@@ -164,6 +181,17 @@ def assess_all_by_part(spark, d):
     return assess.assess_groups(scored(spark, d), KEY, Y, P, ["part"])
 
 
+@query(
+    "assess_all_missing",
+    f"part:i n_missing:i {_KPI}",
+    f"""SELECT a.*, m.n_missing FROM ({_all_sql("part", _HOLED)}) AS a JOIN
+        (WITH {SCORED} SELECT part, count(*) FILTER (status = 'P') AS n_missing FROM scored GROUP BY 1) AS m
+        ON a.part = m.part""",
+)
+def assess_all_missing(spark, d):
+    return assess.assess_groups(_holed(spark, d), KEY, Y, P, ["part"])
+
+
 @query(
     "assess_regression",
     "mae:f6 mse:f4 rmse:f6 tweedie_deviance:f6 d2_tweedie:f6 d2_absolute:f6",
@@ -197,12 +225,12 @@ def assess_odds(spark, d):
 @query(
     "assess_kfold_freq",
     "fold:i predicted:i wrong:i n:i",
-    f"""WITH {SCORED}, f AS (SELECT event, p, ceil(rnk * 5 / CAST(total AS DOUBLE)) AS fold
+    f"""WITH {SCORED}, f AS (SELECT event, p, ceil(rnk * 10 / CAST(total AS DOUBLE)) AS fold
           FROM ({_ranked_sql('scored', 'account_id', 3)}))
         SELECT fold, round(p) AS predicted, abs(event - round(p)) AS wrong, count(*) AS n FROM f GROUP BY 1, 2, 3""",
 )
 def assess_kfold_freq(spark, d):
-    folded = sampling.kfold(scored(spark, d).select(KEY, Y, P), KEY, 5, seed=3)
+    folded = sampling.kfold(scored(spark, d).select(KEY, Y, P), KEY, 10, seed=3)
     return assess.fold_frequencies(folded, "fold", Y, P)
 
 
@@ -413,7 +441,7 @@ def explain_importance(spark, d):
     return means.unpivot([], FOUR, "variable", "mean_abs").orderBy(F.desc("mean_abs"))
 
 
-_PERIOD = SCORED.replace("SELECT *, round(", "SELECT *, year(opened) AS period, round(")
+_PERIOD = SCORED.replace("SELECT *, CAST(1", "SELECT *, year(opened) AS period, CAST(1")
 
 
 @query("monitor_kpi", f"period:i {_KPI}", _all_sql("period", _PERIOD))

@@ -12,7 +12,7 @@ from tallyfold.plans.stats_queries import normal_cdf_sql
 from tallyfold.plans.views import COEFS, FEATURES, INTERCEPT, LOANS, SCORED, XBETA_SQL, loans, scored, table
 
 _HOLED = f"""{LOANS}, h AS (SELECT * REPLACE (CASE WHEN status <> 'P' THEN net_worth END AS net_worth) FROM loans),
- s AS (SELECT account_id, round(1 / (1 + exp(-{XBETA_SQL})), 9) AS p FROM h)"""
+ s AS (SELECT account_id, 1 / (1 + exp(-{XBETA_SQL})) AS p FROM h)"""
 
 
 @query(

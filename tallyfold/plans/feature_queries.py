@@ -377,11 +377,11 @@ def prep_iv(spark, d):
     "flow_prep",
     "period:i account_id:i amount:f6 orig_amount:f2 analytic_partition:i region_asia:i",
     f"""WITH {LOANS}, p AS (SELECT *, quarter(opened) AS period FROM loans),
-        m AS (SELECT avg(amount) AS am, stddev_samp(amount) AS asd FROM p),
+        m AS (SELECT period, avg(amount) AS am, stddev_samp(amount) AS asd FROM p GROUP BY 1),
         s AS ({_ranked_sql('p', 'account_id', 10, 'period')})
         SELECT period, account_id, (amount - am) / asd AS amount, amount AS orig_amount,
           CASE WHEN rnk <= round(total * 0.6) THEN 1 WHEN rnk <= round(total * 0.6) + round(total * 0.3) THEN 0
-          ELSE 2 END AS analytic_partition, CAST(region = 2 AS INT) AS region_asia FROM s, m""",
+          ELSE 2 END AS analytic_partition, CAST(region = 2 AS INT) AS region_asia FROM s JOIN m USING (period)""",
 )
 def flow_prep(spark, d):
     rows = loans(spark, d).withColumn("period", F.quarter("opened"))
@@ -394,10 +394,6 @@ def flow_prep(spark, d):
 DICTIONARY = {
     "marital_status": "Single:0, Married:1, Divorced:2",
     "region": "California:0, New York:1, Florida:2, Texas:3, NE:4, South:5, MidWest:6: West:7",
-    "self_id_race_ethnicity": (
-        "White/Caucasian:0, Black/African-American:1, Asian: 2, Indigenous/Native American:3, "
-        "Hawaiian/Pacific Islander: 4, Hispanic/Latino(a): 5, Multiracial: 6, Other:7"
-    ),
 }
 
 

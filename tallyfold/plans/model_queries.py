@@ -13,11 +13,11 @@ from tallyfold.plans.views import FEATURES, SCORED, scored
 from tallyfold.session import cut_lineage
 
 Y = "event"
-TREES = 20  # boosted trees per query; the library default is 100
 
 
 def _rows(spark, d):
-    return scored(spark, d).drop("p")
+    """The modelling rows, written once: training reads them many times."""
+    return _stored(scored(spark, d).select("account_id", Y, *FEATURES, "segment", "priority", "part"))
 
 
 def _train(spark, d):
@@ -35,6 +35,32 @@ def train_logit_l2(spark, d):
     return models.coefficient_table(train, models.logit(train, FEATURES, Y, c=1.0), FEATURES)
 
 
+def _observed_sql(y: str) -> str:
+    return f"WITH {SCORED} " + " UNION ALL ".join(
+        f"SELECT '{n}' AS variable, avg({x} * {y}) AS observed, avg({x} * {y}) AS fitted FROM scored WHERE part = 1"
+        for n, x in [("intercept", "1.0::DOUBLE"), *[(c, c) for c in FEATURES]]
+    )
+
+
+@query("train_logit_l2_check", "variable:s observed:f3 fitted:f3", _observed_sql("event"))
+def train_logit_l2_check(spark, d):
+    """With penalty |b|^2/2 beside c times the loss, sum(x*y) = sum(x*p) + b/c, term by term."""
+    train = _train(spark, d)
+    model = models.logit(train, FEATURES, Y, c=1.0)
+    n, slopes = train.count(), models.coefficients(model, FEATURES)
+    held = F.coalesce(*[F.when(F.col("variable") == c, b / n) for c, b in slopes.items()], F.lit(0.0))
+    equations = models.score_equations(models.probability(model, train), FEATURES, Y, "p")
+    return equations.withColumn("fitted", F.col("fitted") + held)
+
+
+@query("train_logit_event0_check", "variable:s observed:f3 fitted:f3", _observed_sql("(1 - event)"))
+def train_logit_event0_check(spark, d):
+    """Modelling event 0 (good credit): P(0) meets the observed share of zeros, term by term."""
+    train = _train(spark, d).withColumn("good", 1 - F.col(Y))
+    fitted = models.probability(models.logit(train, FEATURES, "good"), train)
+    return models.score_equations(fitted, FEATURES, "good", "p")
+
+
 @query("train_logit_mle", "variable:s coefficient:f6 std_error:f6 p_value:f6")
 def train_logit_mle(spark, d):
     """Binomial GLM: coefficients with standard errors and p-values."""
@@ -52,24 +78,18 @@ def train_logit_mle(spark, d):
     return spark.createDataFrame(rows, "variable string, coefficient double, std_error double, p_value double")
 
 
-_MOMENTS = " UNION ALL ".join(
-    f"SELECT '{n}' AS variable, avg({x} * event) AS observed, avg({x} * event) AS fitted FROM scored WHERE part = 1"
-    for n, x in [("intercept", "1.0::DOUBLE"), *[(c, c) for c in FEATURES]]
-)
-
-
-@query("train_logit_mle_check", "variable:s observed:f3 fitted:f3", f"WITH {SCORED} {_MOMENTS}")
+@query("train_logit_mle_check", "variable:s observed:f3 fitted:f3", _observed_sql("event"))
 def train_logit_mle_check(spark, d):
     """At the likelihood maximum the mean of x*p equals the mean of x*y, term by term."""
     train = _train(spark, d)
-    fitted = models.probability(models.logit(train, FEATURES, Y), train, digits=15)
+    fitted = models.probability(models.logit(train, FEATURES, Y), train)
     return models.score_equations(fitted, FEATURES, Y, "p")
 
 
 def _gbt_report(spark, d, **params):
     rows = _rows(spark, d).withColumn("_validate", F.col("part") == 0)
     used = rows.filter("part < 2")
-    model = models.boosted_trees(used, FEATURES, Y, trees=TREES, validation="_validate", **params)
+    model = models.boosted_trees(used, FEATURES, Y, validation="_validate", **params)
     return assess.accuracy(models.probability(model, rows), Y, "p", by=["part"])
 
 
@@ -85,30 +105,48 @@ def train_gbt_d3(spark, d):
 
 @query("train_rf", "part:i n:i accuracy:f6")
 def train_rf(spark, d):
-    model = models.forest(_train(spark, d), FEATURES, Y, trees=20, depth=10)
-    return assess.accuracy(models.probability(model, _rows(spark, d)), Y, "p", by=["part"])
+    rows = _rows(spark, d)
+    model = models.forest(rows.filter("part = 1"), FEATURES, Y)
+    return assess.accuracy(models.probability(model, rows), Y, "p", by=["part"])
 
 
 @query("train_gbt_reg", "mae:f4 rmse:f4 d2_absolute:f6")
 def train_gbt_reg(spark, d):
-    train = _train(spark, d)
+    rows = _rows(spark, d)
     model = models.tree_regression(
-        train, ["n_lines", "avg_disc"], "qty", "boosting", nominal=["segment", "priority"], maxIter=TREES
+        rows.filter("part = 1"), ["n_lines", "avg_disc"], "qty", "boosting", nominal=["segment", "priority"], maxIter=100, stepSize=0.1
     )
-    scored_rows = models.prediction(model, _rows(spark, d).filter("part = 0"))
+    scored_rows = models.prediction(model, rows.filter("part = 0"))
     return assess.regression_fit(scored_rows, "qty", "predicted")
 
 
+_GLM = ["n_lines", "avg_disc"]
+
+
 def _glm_report(spark, d, family, **params):
     train = _train(spark, d)
-    model = models.glm(train, ["n_lines", "avg_disc"], "qty", family, **params)
-    return models.coefficient_table(train, model, ["n_lines", "avg_disc"])
+    return models.coefficient_table(train, models.glm(train, _GLM, "qty", family, **params), _GLM)
 
 
 @query("train_tweedie", "variable:s coefficient:f6 odds_ratio:f6")
 def train_tweedie(spark, d):
     """Tweedie, power 1.8, log link, penalty 0.1, weighted by exposure."""
-    return _glm_report(spark, d, "tweedie", weight="n_lines", reg=0.1)
+    train = _train(spark, d)
+    model = models.penalised_tweedie(train, _GLM, "qty", 0.1, "n_lines")
+    return models.coefficient_table(train, model, _GLM)
+
+
+@query(
+    "train_tweedie_penalty_check",
+    "variable:s n:i imbalance:f6",
+    f"""WITH {SCORED} SELECT variable, count(*) AS n, 0.0::DOUBLE AS imbalance FROM scored,
+        (VALUES ('intercept'), ('n_lines'), ('avg_disc')) AS v(variable) WHERE part = 1 GROUP BY 1""",
+)
+def train_tweedie_penalty_check(spark, d):
+    """The penalised score equations hold, term by term."""
+    train = _train(spark, d)
+    model = models.penalised_tweedie(train, _GLM, "qty", 0.1, "n_lines")
+    return models.tweedie_equations(train, _GLM, "qty", "n_lines", model, 0.1)
 
 
 @query("train_gamma", "variable:s coefficient:f6 odds_ratio:f6")
@@ -158,22 +196,23 @@ def train_linear(spark, d):
 @query("train_importance", "variable:s importance:f6")
 def train_importance(spark, d):
     train = _train(spark, d)
-    return models.importance_table(train, models.boosted_trees(train, FEATURES, Y, trees=TREES), FEATURES)
+    return models.importance_table(train, models.boosted_trees(train, FEATURES, Y), FEATURES)
 
 
 @query("train_kfold", "fold:i predicted:i wrong:i n:i")
 def train_kfold(spark, d):
-    folded = _stored(sampling.kfold(_rows(spark, d).select("account_id", Y, *FEATURES), "account_id", 3, seed=3))
+    folded = _stored(sampling.kfold(_rows(spark, d).select("account_id", Y, *FEATURES), "account_id", 10, seed=3))
     held_out = models.cross_validate(
-        folded.select("fold", Y, *FEATURES), "fold", [1, 2, 3], lambda t: models.logit(t, FEATURES, Y, tol=1e-6), Y
+        folded.select("fold", Y, *FEATURES), "fold", range(1, 11), lambda t: models.logit(t, FEATURES, Y, tol=1e-6), Y
     )
     return assess.fold_frequencies(held_out, "fold", Y, "p")
 
 
 @query("score_model", "account_id:i p:f6")
 def score_model(spark, d):
-    model = models.logit(_train(spark, d), FEATURES, Y, tol=1e-6)
-    return models.probability(model, _rows(spark, d).select("account_id", Y, *FEATURES))
+    rows = _rows(spark, d)
+    model = models.logit(rows.filter("part = 1"), FEATURES, Y, tol=1e-6)
+    return models.probability(model, rows.select("account_id", Y, *FEATURES))
 
 
 @query(
@@ -183,8 +222,9 @@ def score_model(spark, d):
 )
 def score_model_check(spark, d):
     """The stored model and its coefficients as score code agree on every row."""
-    model = models.logit(_train(spark, d), FEATURES, Y, tol=1e-6)
-    rows = models.probability(model, _rows(spark, d).select("account_id", Y, *FEATURES))
+    stored = _rows(spark, d)
+    model = models.logit(stored.filter("part = 1"), FEATURES, Y, tol=1e-6)
+    rows = models.probability(model, stored.select("account_id", Y, *FEATURES))
     coefs = models.coefficients(model, FEATURES)
     both = scoring.score_logit(rows, coefs, models.intercept(model), Y)
     return both.agg(
@@ -211,7 +251,7 @@ def score_tree_expr(spark, d):
 def select_rfe(spark, d):
     """Recursive elimination with cross-validation on the training rows only."""
     inputs = ["n_lines", "avg_disc", "amount"]
-    folded = _stored(sampling.kfold(_train(spark, d).select("account_id", "qty", *inputs), "account_id", 3, seed=1))
+    folded = _stored(sampling.kfold(_train(spark, d).select("account_id", "qty", *inputs), "account_id", 10, seed=1))
 
     def loss(model, held_out):
         e = F.col("qty") - F.col("predicted")
@@ -224,7 +264,7 @@ def select_rfe(spark, d):
         fit=lambda t, x: models.tree_regression(t, x, "qty", "tree", maxDepth=4),
         loss=loss,
         importances=lambda m, x: dict(zip(x, m.stages[-1].featureImportances.toArray(), strict=True)),
-        folds=[1, 2, 3],
+        folds=range(1, 11),
     )
     rows = [(e["n"], ",".join(e["inputs"]), float(e["loss"]), e["drops"], e["best"]) for e in trail]
     return spark.createDataFrame(rows, "n int, inputs string, loss double, drops string, best boolean")
@@ -232,7 +272,7 @@ def select_rfe(spark, d):
 
 @query("select_stepwise", "step:i action:s variable:s aic:f4")
 def select_stepwise(spark, d):
-    train = _stored(_train(spark, d).select(Y, "n_lines", "qty", "avg_disc"))
+    train = _train(spark, d).select(Y, "n_lines", "qty", "avg_disc")
     base = train.agg(F.avg(Y).alias("m"), F.count(Y).alias("n")).first()
 
     def aic(inputs):
@@ -240,7 +280,7 @@ def select_stepwise(spark, d):
             m, n = base["m"], base["n"]
             return -2 * n * (m * math.log(m) + (1 - m) * math.log(1 - m)) + 2
         model = models.logit(train, inputs, Y, tol=1e-6)
-        mcll = assess.fit_stats(models.probability(model, train, digits=15), Y, "p").first()["mcll"]
+        mcll = assess.fit_stats(models.probability(model, train), Y, "p").first()["mcll"]
         return 2 * base["n"] * mcll + 2 * (len(inputs) + 1)
 
     rows = [(e["step"], e["action"], e["variable"], float(e["aic"])) for e in selection.stepwise(["n_lines", "qty", "avg_disc"], aic)]
@@ -249,7 +289,7 @@ def select_stepwise(spark, d):
 
 @query("select_best_model", "model:s inputs:s r2:f6 best:b")
 def select_best_model(spark, d):
-    rows = _stored(_rows(spark, d).select("qty", "n_lines", "avg_disc", "amount", "part"))
+    rows = _rows(spark, d).select("qty", "n_lines", "avg_disc", "amount", "part")
     fits = {
         "linear": lambda t, x: models.linear(t, x, "qty"),
         "tree": lambda t, x: models.tree_regression(t, x, "qty", "tree"),
@@ -263,11 +303,11 @@ def select_best_model(spark, d):
 @query("fair_mitigate_egr", "iteration:i demographic_parity:f6")
 def fair_mitigate_egr(spark, d):
     """Demographic parity over segments; the score is refitted on reweighted rows."""
-    rows = _stored(_train(spark, d).select("account_id", Y, *FEATURES, "segment"))
+    rows = _train(spark, d).select("account_id", Y, *FEATURES, "segment")
 
     def fit_score(data, label, weight):
         return models.probability(models.logit(data, FEATURES, label, weight=weight, tol=1e-6), data)
 
-    _, trail = fairness.mitigate(rows, Y, "segment", fit_score, max_iters=3, learning_rate=0.01, tolerance=0.005)
+    _, trail = fairness.mitigate(rows, Y, "segment", fit_score, max_iters=10, learning_rate=0.01, tolerance=0.005)
     out = [(t["iteration"], float(t["demographic_parity"])) for t in trail]
     return spark.createDataFrame(out, "iteration int, demographic_parity double")

@@ -484,7 +484,7 @@ def entity_match_multi(spark, d):
     """SELECT c_custkey, s_name, levenshtein(lower(replace(c_name, 'Customer', 'Party')),
          lower(replace(s_name, 'Supplier', 'Party'))) AS distance
        FROM customer, supplier WHERE levenshtein(lower(replace(c_name, 'Customer', 'Party')),
-         lower(replace(s_name, 'Supplier', 'Party'))) <= 1""",
+         lower(replace(s_name, 'Supplier', 'Party'))) <= 2""",
 )
 def fuzzy_join(spark, d):
     customers = table(spark, d, "customer").select(
@@ -493,5 +493,5 @@ def fuzzy_join(spark, d):
     suppliers = table(spark, d, "supplier").select(
         "s_name", F.replace("s_name", F.lit("Supplier"), F.lit("Party")).alias("known")
     )
-    near = matching.fuzzy_join(customers, "party", suppliers, "known", k=1)
+    near = matching.fuzzy_join(customers, "party", suppliers, "known", k=2)
     return near.join(suppliers, "known").select("c_custkey", "s_name", "distance")

@@ -20,11 +20,11 @@ def _daily(spark, d):
 DAILY = """s AS (SELECT event_type, CAST(ts AS DATE) AS slot, sum(value) AS value, count(*) AS n
    FROM events GROUP BY 1, 2)"""
 AR1 = f"""{DAILY}, y AS (SELECT event_type, slot, ln(value) AS y FROM s WHERE value > 0),
- d AS (SELECT *, y - lag(y) OVER (PARTITION BY event_type ORDER BY slot) AS dy FROM y),
- l AS (SELECT *, lag(dy) OVER (PARTITION BY event_type ORDER BY slot) AS ly FROM d),
+ d AS (SELECT y.*, y.y - b.y AS dy FROM y LEFT JOIN y b ON b.event_type = y.event_type AND b.slot = y.slot - 1),
+ l AS (SELECT d.*, b.dy AS ly FROM d LEFT JOIN d b ON b.event_type = d.event_type AND b.slot = d.slot - 1),
  f AS (SELECT event_type, regr_slope(dy, ly) AS phi, regr_intercept(dy, ly) AS constant, regr_count(dy, ly) AS n,
    regr_syy(dy, ly) * (1 - regr_r2(dy, ly)) / (regr_count(dy, ly) - 2) AS sigma2,
-   max_by(y, slot) AS last_log, max_by(dy, slot) AS last_diff FROM l GROUP BY 1)"""
+   max_by(y, slot) AS last_log, max_by(dy, slot) FILTER (dy IS NOT NULL) AS last_diff FROM l GROUP BY 1)"""
 
 
 @query("ts_ar1_fit", "event_type:s phi:f7 constant:f7 sigma2:f7 n:i", f"WITH {AR1} SELECT * FROM f")
@@ -46,9 +46,10 @@ def ts_ar1_forecast(spark, d):
 @query(
     "ts_seasonal_diff",
     "event_type:s slot:d w:f7",
-    f"""WITH {DAILY}, d AS (SELECT event_type, slot, ln(value) - lag(ln(value)) OVER w AS d1 FROM s
-          WINDOW w AS (PARTITION BY event_type ORDER BY slot))
-        SELECT event_type, slot, d1 - lag(d1, 7) OVER (PARTITION BY event_type ORDER BY slot) AS w FROM d""",
+    f"""WITH {DAILY}, d AS (SELECT s.event_type, s.slot, ln(s.value) - ln(b.value) AS d1 FROM s
+          LEFT JOIN s b ON b.event_type = s.event_type AND b.slot = s.slot - 1)
+        SELECT d.event_type, d.slot, d.d1 - b.d1 AS w FROM d
+        LEFT JOIN d b ON b.event_type = d.event_type AND b.slot = d.slot - 7""",
 )
 def ts_seasonal_diff(spark, d):
     logged = _daily(spark, d).withColumn("y", F.ln("value"))
@@ -57,7 +58,8 @@ def ts_seasonal_diff(spark, d):
 
 @query("ts_airline", "event_type:s step:i theta:f4 seasonal_theta:f4 sigma2:f6 forecast:f2")
 def ts_airline(spark, d):
-    return series.airline(_daily(spark, d), "event_type", "slot", "value", season=7, lead=4)
+    regular = series.regularize(_daily(spark, d), "event_type", "day")
+    return series.airline(regular, "event_type", "slot", "value", season=7, lead=4)
 
 
 @query(

@@ -77,8 +77,14 @@ _PAIRS = [(a, b) for a in NUMERIC for b in NUMERIC]
         for a, b in _PAIRS
     )
     + "), t AS (SELECT *, CASE WHEN variable <> with_variable THEN"
-    " abs(r) * sqrt((n - 2) / (1 - r * r)) END AS t FROM c)"
-    f" SELECT variable, with_variable, r, n, 2 * (1 - {normal_cdf_sql('t')}) AS p_value FROM t",
+    " atan(abs(r) / sqrt(1 - r * r)) END AS angle FROM c),"
+    # P(|T| <= t) is the integral of cos(u)^(n-3) from 0 to atan(t / sqrt(n-2)), over that to pi/2.
+    " area AS (SELECT variable, with_variable,"
+    " sum(CASE WHEN i IN (0, 20000) THEN 0.5 ELSE 1 END * pow(cos(angle * i / 20000), n - 3)) * angle AS part,"
+    " sum(CASE WHEN i IN (0, 20000) THEN 0.5 ELSE 1 END * pow(abs(cos(pi() / 2 * i / 20000)), n - 3)) * pi() / 2 AS whole"
+    " FROM t, range(20001) AS g(i) GROUP BY variable, with_variable, angle)"
+    " SELECT t.variable, t.with_variable, r, n, 1 - part / whole AS p_value"
+    " FROM t JOIN area ON t.variable = area.variable AND t.with_variable = area.with_variable",
 )
 def stats_corr(spark, d):
     return stats.correlations(loans(spark, d), NUMERIC)
@@ -225,9 +231,11 @@ def win_row_number(spark, d):
     "win_diff",
     "event_type:s day:d total:f4 diff1:f4 diff7:f4 diff1_7:f4",
     """WITH s AS (SELECT event_type, CAST(ts AS DATE) AS day, sum(value) AS total FROM events GROUP BY 1, 2),
-       a AS (SELECT *, total - lag(total, 1) OVER w AS diff1, total - lag(total, 7) OVER w AS diff7
-             FROM s WINDOW w AS (PARTITION BY event_type ORDER BY day))
-       SELECT *, diff1 - lag(diff1, 7) OVER (PARTITION BY event_type ORDER BY day) AS diff1_7 FROM a""",
+       a AS (SELECT s.*, s.total - b.total AS diff1, s.total - c.total AS diff7 FROM s
+             LEFT JOIN s b ON b.event_type = s.event_type AND b.day = s.day - 1
+             LEFT JOIN s c ON c.event_type = s.event_type AND c.day = s.day - 7)
+       SELECT a.*, a.diff1 - b.diff1 AS diff1_7 FROM a
+       LEFT JOIN a b ON b.event_type = a.event_type AND b.day = a.day - 7""",
 )
 def win_diff(spark, d):
     """Lag and seasonal differences of daily series; the window sees one row per day."""

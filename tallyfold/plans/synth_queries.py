@@ -42,7 +42,7 @@ def synth_smote(spark, d):
 
 @query("synth_gmm", "component:i weight:f4 mean:f2 std:f2")
 def synth_gmm(spark, d):
-    rows = synth.mixture_table(table(spark, d, "orders"), "o_totalprice", max_clusters=3)
+    rows = synth.mixture_table(table(spark, d, "orders"), "o_totalprice", max_clusters=10)
     return spark.createDataFrame(rows, "component int, weight double, mean double, std double")
 
 
@@ -129,7 +129,7 @@ def portfolio_trials(spark, d):
 
 def _decide_event(df):
     """Score, review routing and rules on one event record: expressions only."""
-    p = F.round(logistic(linear_predictor({"value": 0.02}, -1.0)), 9)
+    p = logistic(linear_predictor({"value": 0.02}, -1.0))
     out = df.withColumn("p", p).withColumn("review_decision", rules.review_band(F.col("p"), 0.75, 0.5))
     return rules.apply_rules(
         out, [rules.Rule("flag_error", when=[("event_type", "= 'error'"), ("p", ">= 0.5")], then=[("alert", "1")])]
@@ -139,7 +139,7 @@ def _decide_event(df):
 @query(
     "stream_score",
     "event_id:i p:f6 review_decision:s alert:i",
-    """WITH s AS (SELECT event_id, event_type, round(1 / (1 + exp(-(-1 + 0.02::DOUBLE * value))), 9) AS p FROM events)
+    """WITH s AS (SELECT event_id, event_type, 1 / (1 + exp(-(-1 + 0.02::DOUBLE * value))) AS p FROM events)
        SELECT event_id, p, CASE WHEN p >= 0.75 THEN 'auto_escalate' WHEN p >= 0.5 THEN 'review' ELSE 'do_not_review' END
        AS review_decision, CASE WHEN event_type = 'error' AND p >= 0.5 THEN 1 END AS alert FROM s""",
 )

@@ -88,7 +88,7 @@ LOANS = """loans AS (
 
 
 def score_col():
-    return F.round(logistic(linear_predictor(COEFS, INTERCEPT)), 9)
+    return logistic(linear_predictor(COEFS, INTERCEPT))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +109,7 @@ def uniform_sql(key: str, seed) -> str:
 
 
 SCORED = f"""{LOANS}, scored AS (
- SELECT *, round(CAST(1 / (1 + exp(-{XBETA_SQL})) AS DOUBLE), 9) AS p,
+ SELECT *, CAST(1 / (1 + exp(-{XBETA_SQL})) AS DOUBLE) AS p,
         CASE WHEN {uniform_sql('account_id', 10)} < 0.6 THEN 1
              WHEN {uniform_sql('account_id', 10)} < 0.9 THEN 0 ELSE 2 END AS part
  FROM loans)"""
