@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def slot_number(time: str, unit: str) -> Column:
-    """Consecutive numbers of the hours, days or months of a calendar."""
+def slot_number(df: DataFrame, time: str, unit: str) -> Column:
+    """Consecutive numbers of the hours, days or months of a calendar; integers are numbers already."""
     at = F.col(time)
+    if dict(df.dtypes)[time] in ("smallint", "int", "bigint"):
+        return at.cast("bigint")
     return {
         "hour": F.floor(F.unix_timestamp(at.cast("timestamp")) / 3600),
         "day": F.unix_date(at.cast("date")).cast("bigint"),
@@ -21,9 +23,9 @@ def slot_number(time: str, unit: str) -> Column:
     }[unit]
 
 
-def lagged(value: str, series: str, time: str, lag: int, unit: str) -> Column:
+def lagged(df: DataFrame, value: str, series: str, time: str, lag: int, unit: str) -> Column:
     """The value `lag` slots of the calendar earlier, NULL where that slot has no row."""
-    w = Window.partitionBy(series).orderBy(slot_number(time, unit)).rangeBetween(-lag, -lag)
+    w = Window.partitionBy(series).orderBy(slot_number(df, time, unit)).rangeBetween(-lag, -lag)
     return F.max(value).over(w)
 
 
@@ -34,7 +36,7 @@ def difference(
     gridded series need not be regularised, its empty slots give NULL."""
     df = df.withColumn(out, F.col(value))
     for lag in lags:
-        df = df.withColumn(out, F.col(out) - lagged(out, series, time, lag, unit))
+        df = df.withColumn(out, F.col(out) - lagged(df, out, series, time, lag, unit))
     return df
 
 
@@ -62,7 +64,7 @@ def ar1_fit(grid: DataFrame, series: str, time: str, value: str, unit: str = "da
     """
     logged = grid.filter(F.col(value) > 0).withColumn("_y", F.ln(value))
     d = difference(logged, series, time, "_y", [1], "_d", unit)
-    d = d.withColumn("_l", lagged("_d", series, time, 1, unit))
+    d = d.withColumn("_l", lagged(d, "_d", series, time, 1, unit))
     return d.groupBy(series).agg(
         F.regr_slope("_d", "_l").alias("phi"),
         F.regr_intercept("_d", "_l").alias("constant"),

@@ -445,3 +445,58 @@ def test_small_groups_do_not_fail(spark):
     flat = spark.createDataFrame([(1.0, 0)] * 5, "x double, y int")
     table = prep.woe_table(flat, {"x": [0.5]}, "y", 1).collect()
     assert all(r["woe"] is None for r in table)
+
+
+def test_lags_follow_the_calendar(spark):
+    days = [("s", d, v) for d, v in [("2024-01-02", 1.0), ("2024-01-03", 4.0), ("2024-01-10", 9.0)]]
+    df = spark.createDataFrame(days, "s string, d string, v double").withColumn("d", F.to_date("d"))
+    once = series.difference(df, "s", "d", "v", [1], "w").orderBy("d").collect()
+    assert [r["w"] for r in once] == [None, 3.0, None]
+    weekly = series.difference(df, "s", "d", "v", [7], "w").orderBy("d").collect()
+    assert [r["w"] for r in weekly] == [None, None, 5.0]
+
+
+def test_airline_marks_a_series_it_cannot_fit(spark):
+    df = spark.createDataFrame([("a", t, -1.0) for t in range(40)], "s string, t int, v double")
+    rows = series.airline(df, "s", "t", "v", season=7, lead=3).collect()
+    assert len(rows) == 1 and rows[0]["step"] == 0 and rows[0]["forecast"] is None
+
+
+def test_missing_scores_take_part_in_no_measure(spark):
+    rows = [(i, i % 2, None if i % 4 == 0 else (i + 0.5) / 40) for i in range(40)]
+    df = spark.createDataFrame(rows, "key int, y int, p double")
+    kept = df.filter("p IS NOT NULL")
+    fit, want = assess.fit_stats(df, "y", "p").first().asDict(), assess.fit_stats(kept, "y", "p").first().asDict()
+    assert fit.pop("n_missing") == 10 and want.pop("n_missing") == 0 and fit == pytest.approx(want)
+    assert assess.lift_table(df, "key", "y", "p", bins=4).collect() == assess.lift_table(kept, "key", "y", "p", bins=4).collect()
+    assert assess.auc(df, "y", "p").first() == assess.auc(kept, "y", "p").first()
+
+
+def test_tiny_probabilities_stay_distinct(spark):
+    df = spark.createDataFrame([(1, -27.0), (2, -28.0)], "key int, x double")
+    p = [r["P_y1"] for r in scoring.score_logit(df, {"x": 1.0}, 0.0, "y").orderBy("key").collect()]
+    assert p == pytest.approx([math.exp(-27.0), math.exp(-28.0)], rel=1e-9)
+
+
+def test_student_tail():
+    # df 1 is the Cauchy distribution, df 2 has a closed form.
+    for x in (0.0, 0.3, 2.0, 40.0):
+        assert stats.beta_share(1 / (1 + x * x), 0.5, 0.5) == pytest.approx(1 - 2 * math.atan(x) / math.pi, abs=1e-12)
+        assert stats.beta_share(2 / (2 + x * x), 1.0, 0.5) == pytest.approx(1 - x / math.sqrt(2 + x * x), abs=1e-12)
+
+
+def test_synthetic_columns_keep_their_missing_share(spark):
+    df = spark.range(400).select(
+        F.when(F.col("id") % 2 == 0, F.col("id").cast("double")).alias("x"),
+        F.when(F.col("id") % 4 > 0, F.lit("a")).alias("c"),
+        F.lit(None).cast("double").alias("none"),
+    )
+    got = synth.synthesize(df, ["c"], ["x", "none"], 4000, seed=1).agg(F.count("x"), F.count("c"), F.count("none")).first()
+    assert got[0] == pytest.approx(2000, abs=200) and got[1] == pytest.approx(3000, abs=200) and got[2] == 0
+
+
+def test_standardize_within_groups(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 10.0), ("b", 30.0), ("c", 5.0)], "g string, x double")
+    got = {(r["g"], r["orig_x"]): r["x"] for r in prep.standardize_within(df, ["x"], "g", "orig_").collect()}
+    assert got["a", 1.0] == pytest.approx(-(0.5**0.5)) and got["b", 30.0] == pytest.approx(0.5**0.5)
+    assert got["c", 5.0] is None
