@@ -55,14 +55,12 @@ def fn_normcdf(spark, d):
     "fn_logistic",
     "c_custkey:i prob:f6 extreme:f6",
     """SELECT c_custkey, 1 / (1 + exp(-(c_acctbal - 4500) / 3000)) AS prob,
-       CASE WHEN c_acctbal > 4500 THEN 1 ELSE 0 END AS extreme FROM customer WHERE c_acctbal <> 4500""",
+       CASE WHEN c_acctbal > 4500 THEN 1 WHEN c_acctbal = 4500 THEN 0.5 ELSE 0 END AS extreme FROM customer""",
 )
 def fn_logistic(spark, d):
     z = (F.col("c_acctbal") - 4500) / 3000
-    return (
-        table(spark, d, "customer")
-        .filter("c_acctbal <> 4500")
-        .select("c_custkey", fn.logistic(z).alias("prob"), fn.logistic(z * 1e9).alias("extreme"))
+    return table(spark, d, "customer").select(
+        "c_custkey", fn.logistic(z).alias("prob"), fn.logistic(z * 1e9).alias("extreme")
     )
 
 

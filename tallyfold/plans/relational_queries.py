@@ -93,10 +93,23 @@ def src_view_bridge(spark, d):
     )
 
 
-@query("src_binary_files", "label:s file:s extension:s bytes:i")
+@query(
+    "src_binary_files",
+    "label:s bytes:i",
+    """SELECT CASE WHEN length(html) >= 1000 THEN 'long' ELSE 'short' END AS label, sum(strlen(html) + 1) AS bytes
+       FROM pages WHERE html IS NOT NULL GROUP BY 1""",
+)
 def src_binary_files(spark, d):
-    """Lists the table files with their folder label; the content column is pruned away."""
-    return io.labelled_files(spark, d, "*.parquet").drop("content", "path")
+    """Pages written to one folder for each label and read back as binary files; the bytes of
+    a label are the same however many files it was written to."""
+    pages = table(spark, d, "pages").filter("html IS NOT NULL")
+    label = F.when(F.length("html") >= 1000, "long").otherwise("short")
+    path = scratch_path(spark, "labelled")
+    pages.select(F.col("html").alias("value"), label.alias("label")).write.partitionBy("label").text(path)
+    files = io.labelled_files(spark, path, "*.txt")
+    return files.groupBy(F.regexp_replace("label", "^label=", "").alias("label")).agg(
+        F.sum(F.length("content")).alias("bytes")
+    )
 
 
 _NARRATIVE_SQL = r"""trim(regexp_replace(replace(text, '"', ''), '\n+', ' ', 'g'))"""
