@@ -19,6 +19,8 @@ ROWS = 4
 BANDS = 40
 BITS = 2
 PERCENT = 75
+#: Members of a bucket group that one task compares; larger groups are cut into slices of about this size.
+SLICE = 256
 #: Standard deviations below the threshold at which the estimate may drop a pair (chance below 1e-6).
 MARGIN = 5.0
 
@@ -202,11 +204,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     labelled = groups.join(label.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     labelled = labelled.join(label.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")), "hub", "left")
     labelled = cut_lineage(labelled.withColumn("outside", F.col("label") != F.coalesce("hub_label", "hub")).drop("hub_label"))
-    open_hubs = labelled.filter("outside").select("hub").distinct()
-    left = labelled.join(open_hubs, "hub", "left_semi")
+    open_hubs = labelled.groupBy("hub").agg(F.count_if("outside").alias("out"), F.ceil(F.count(F.lit(1)) / SLICE).alias("slices"))
+    left = labelled.join(open_hubs.filter("out > 0").drop("out"), "hub")
 
     def side(df: DataFrame, mark: str, *columns: str) -> DataFrame:
-        return df.select("hub", *(F.col(c).alias(f"{c}_{mark}") for c in ("rep", "label", "outside", "bits", *columns)))
+        """The x side of a group goes to each of its slices, a row of the y side to one."""
+        slices = F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)
+        slice_ = F.explode(slices) if mark == "x" else F.pmod(F.xxhash64("rep"), F.col("slices"))
+        return df.select("hub", slice_.alias("slice"), *(F.col(c).alias(f"{c}_{mark}") for c in ("rep", "label", "outside", "bits", *columns)))
 
     def different(x: str, y: str):
         """Members of different components whose bits allow a link; a pair of the same kind comes once."""
@@ -222,12 +227,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     union = (F.col("size_x") + F.col("size_y") + apart) / 2
     linked = F.lit(100) * (union - apart) >= F.lit(percent) * union
     by_hub = (
-        side(close.filter("outside"), "x", *added).join(side(close, "y", *added), "hub")
+        side(close.filter("outside"), "x", *added).join(side(close, "y", *added), ["hub", "slice"])
         .filter(different("x", "y") & once & linked)
         .select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b"))
     )
     # A pair of which one is far from the hub has one member outside, or both are in different components anyway.
-    far = side(left.filter("NOT near"), "x").join(side(left, "y", "near"), "hub")
+    far = side(left.filter("NOT near"), "x").join(side(left, "y", "near"), ["hub", "slice"])
     by_bits = (
         far.filter(different("x", "y") & (F.col("near_y") | (F.col("rep_x") < F.col("rep_y"))))
         .select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b"))

@@ -213,8 +213,13 @@ def test_near_duplicates_against_brute_force(spark, texts):
     assert {d: (r["n_shingles"], r["component_id"], r["kept"]) for d, r in got.items()} == {d: (len(sets[d]), want[d], want[d] == d) for d in sets}
 
 
-def test_near_duplicates_of_one_large_group(spark):
-    """Copies edited to different degrees: links between members that are not linked with the hub count too."""
+@pytest.mark.parametrize("size", [minhash.SLICE, 16])
+def test_near_duplicates_of_one_large_group(spark, monkeypatch, size):
+    """Copies edited to different degrees: links between members that are not linked with the hub count too.
+
+    Cut into slices or not, the group gives the same links.
+    """
+    monkeypatch.setattr(minhash, "SLICE", size)
     rng = np.random.default_rng(5)
     base = [f"b{i}" for i in range(120)]
     rows = {}
