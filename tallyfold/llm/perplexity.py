@@ -2,29 +2,31 @@
 
 from __future__ import annotations
 
+import functools
+import math
+import operator
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.llm import kernel
-from tallyfold.llm.common import crc_mod
 from tallyfold.session import cut_lineage
 
 ORDER = 5
-#: Characters are folded to 2**11 symbols, languages to 2**8 model groups: a key has 8 + 5 * 11 = 63 bits.
-SYMBOL_BITS = 11
+#: `gram` has the low 11 bits of each symbol and 8 of the language, `high` the other 10 bits of each symbol (zero for
+#: most scripts): with the whole `language` they are the full key, and no two n-grams share one.
+SYMBOL_BITS, HIGH_BITS = 11, 10
 LANGUAGE_BITS = 8
-#: Slots of the sorted model arrays (a prime below 2**24): at most 8 bytes each, 134 MB in all.
-SLOTS = 16_777_213
+KEY = ["gram", "high", "language"]
 #: Distinct n-grams a counting task holds before it hands them on.
-HELD = 4_000_000
+HELD = 2_000_000
 #: A document is rejected this many robust deviations from its language's median.
 BAND = 6.0
-#: Least robust deviation of the log perplexity.
-SPREAD = 0.05
+#: Least robust deviation of the log perplexity; it only keeps a language of near equal scores from a band of no width.
+SPREAD = 0.01
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -32,10 +34,8 @@ _LANGUAGE_SHIFT = ORDER * SYMBOL_BITS
 
 
 def _symbol_table() -> np.ndarray:
-    """Code points to symbols: 0 pad, 1 white space, others below 1024 as they are, the rest folded above."""
-    points = np.arange(0x110000, dtype=np.int64)
-    folded = 1024 + (points * 2654435761 >> 12) % 1024
-    table = np.where(points < 1024, np.maximum(points, 2), folded)
+    """Code points to symbols: 0 pad, 1 white space, others as they are."""
+    table = np.maximum(np.arange(0x110000, dtype=np.int64), 2)
     table[list(kernel.SPACES)] = 1
     return table
 
@@ -43,8 +43,8 @@ def _symbol_table() -> np.ndarray:
 _TABLE: list[np.ndarray] = []
 
 
-def gram_keys(data: np.ndarray, bounds: np.ndarray, language: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ORDER-gram that ends at each character of the rows, and the row of each.
+def gram_keys(data: np.ndarray, bounds: np.ndarray, language: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ORDER-gram that ends at each character of the rows as gram and high, and the row of each.
 
     White space runs are one boundary symbol, one stands before each row, and contexts
     before that are padded. Rows without a word have no n-grams.
@@ -68,43 +68,78 @@ def gram_keys(data: np.ndarray, bounds: np.ndarray, language: np.ndarray) -> tup
     last[:-1] = rows[1:] != rows[:-1]
     trailing = last & (symbols == 1)
     symbols, rows = symbols[~trailing], rows[~trailing]
-    keys = symbols + (language[rows] << _LANGUAGE_SHIFT)
-    for j in range(1, ORDER):
-        if len(symbols) > j:
-            keys[j:] += np.where(rows[j:] == rows[:-j], symbols[:-j], 0) << (SYMBOL_BITS * j)
-    real = np.ones(len(rows), dtype=bool)
-    real[1:] = rows[1:] != rows[:-1]
-    return keys[~real], rows[~real]
+    real = np.zeros(len(rows), dtype=bool)
+    real[1:] = rows[1:] == rows[:-1]
 
+    def joined(symbols: np.ndarray, bits: int) -> np.ndarray:
+        keys = symbols.copy()
+        for j in range(1, ORDER):
+            if len(symbols) > j:
+                keys[j:] += np.where(rows[j:] == rows[:-j], symbols[:-j], 0) << (bits * j)
+        return keys[real]
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([p[0] for p in parts])
-    counts = np.concatenate([p[1] for p in parts])
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], np.add.reduceat(counts, first)
+    high = symbols >> SYMBOL_BITS
+    rows_of = rows[real]
+    gram = joined(symbols & ((1 << SYMBOL_BITS) - 1), SYMBOL_BITS) + ((language & ((1 << LANGUAGE_BITS) - 1)) << _LANGUAGE_SHIFT)[rows_of]
+    return gram, joined(high, HIGH_BITS) if high.any() else np.zeros(len(rows_of), dtype=np.int64), rows_of
+
+
+def fingerprints(gram: np.ndarray, high: np.ndarray, language: np.ndarray) -> np.ndarray:
+    """64 bits of each full key; a task or a block tells its n-grams apart by them."""
+    rest = language.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    if high.any():
+        rest = rest + kernel.mix(high.view(np.uint64) + np.uint64(1))
+    return kernel.mix(gram.view(np.uint64) + kernel.mix(rest))
+
+
+def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Parts are fingerprints, counts and columns of the key; equal fingerprints are summed."""
+    prints, counts, *columns = (np.concatenate(p) for p in zip(*parts, strict=True))
+    order = np.argsort(prints, kind="stable")
+    prints, counts = prints[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]]))
+    return prints[first], np.add.reduceat(counts, first), *(c[order[first]] for c in columns)
+
+
+def _longs(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+
+
+def _distinct(batch: pa.RecordBatch) -> tuple[np.ndarray, ...] | None:
+    """fingerprint, count, gram, high, language and fold of the n-grams of a batch; one without folds is all of fold 0."""
+    data, bounds = kernel.utf8(batch.column("text"))
+    if len(data) == 0:
+        return None
+    languages = _longs(batch, "language")
+    folds = _longs(batch, "fold") if "fold" in batch.schema.names else np.zeros(batch.num_rows, dtype=np.int64)
+    gram, high, rows = gram_keys(data, bounds, languages)
+    if len(gram) == 0:
+        return None
+    prints = fingerprints(gram, high, languages[rows]) + folds.astype(np.uint64)[rows]
+    prints, first, n = np.unique(prints, return_index=True, return_counts=True)
+    rows = rows[first]
+    return prints, n.astype(np.int64), gram[first], high[first], languages[rows], folds[rows]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    """Counts of the n-grams by full key and fold; rows without a fold are counted by `gram` only."""
+    held: list[tuple[np.ndarray, ...]] = []
+    folded = True
 
     def out() -> Iterator[pa.RecordBatch]:
-        keys, counts = _merged(held)
-        for at in range(0, len(keys), 1 << 16):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[at : at + (1 << 16)]), pa.array(counts[at : at + (1 << 16)])], names=["gram", "n"]
-            )
+        _, n, *columns = _merged(held)
+        arrays = dict(zip([*KEY, "fold"], columns, strict=True)) if folded else {"gram": columns[0]}
+        arrays["n"] = n
+        for at in range(0, len(n), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(a[at : at + (1 << 16)]) for a in arrays.values()], names=list(arrays))
 
     for batch in kernel.slices(batches, "text"):
-        data, bounds = kernel.utf8(batch.column("text"))
-        if len(data) == 0:
-            continue
-        keys, _ = gram_keys(data, bounds, batch.column("language").to_numpy())
-        if len(keys) == 0:
+        folded = "fold" in batch.schema.names
+        found = _distinct(batch)
+        if found is None:
             continue
-        held.append(np.unique(keys, return_counts=True))
-        if sum(len(k) for k, _ in held) > HELD:
+        held.append(found)
+        if sum(len(k[0]) for k in held) > HELD:
             held = [_merged(held)]
             if len(held[0][0]) > HELD // 2:
                 yield from out()
@@ -113,69 +148,96 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from out()
 
 
-def _mask(order: int):
-    """The language and the last `order` symbols of a key of one order more, in SQL."""
-    low = (1 << (SYMBOL_BITS * order)) - 1
-    high = ((1 << LANGUAGE_BITS) - 1) << _LANGUAGE_SHIFT
-    return F.col("gram").bitwiseAND(F.lit(high | low))
-
-
-def _discounts(grams: DataFrame) -> DataFrame:
-    """Modified Kneser-Ney discounts of one order by language group, from the counts of counts."""
-    language = F.shiftright("gram", _LANGUAGE_SHIFT).alias("language")
-    of = [F.sum((F.col("c") == k).cast("double")).alias(f"t{k}") for k in (1, 2, 3, 4)]
-    t = grams.groupBy(language).agg(*of)
-    ready = (F.col("t1") > 0) & (F.col("t2") > 0) & (F.col("t3") > 0)
-    y = F.col("t1") / F.expr("nullif(t1 + 2 * t2, 0)")
-    out = [F.col("language").alias("discount_language")]
-    for k in (1, 2, 3):
-        d = F.lit(float(k)) - (k + 1) * y * F.col(f"t{k + 1}") / F.expr(f"nullif(t{k}, 0)")
-        out.append(F.when(ready & (d > 0.05) & (d < k), d).otherwise(F.lit(0.5 * k)).alias(f"d{k}"))
+def _tail(order: int, skip: int = 0) -> list[Column]:
+    """The key of the last `order` symbols, in SQL, without the last `skip` of them."""
+
+    def cut(name: str, bits: int) -> Column:
+        return F.shiftright(F.col(name).bitwiseAND(F.lit((1 << (bits * order)) - 1)), bits * skip)
+
+    return [cut("gram", SYMBOL_BITS).alias("gram"), cut("high", HIGH_BITS).alias("high"), F.col("language")]
+
+
+def _discounts(grams: DataFrame, models: list[str]) -> DataFrame:
+    """Modified Kneser-Ney discounts of one order by language and model, from the counts of counts; n_grams counts the language's n-grams."""
+    of = [F.sum((F.col(f"c{m}") == k).cast("double")).alias(f"t{k}{m}") for m in models for k in (1, 2, 3, 4)]
+    t = grams.groupBy("language").agg(F.count(F.lit(1)).alias("n_grams"), *of)
+    out = [F.col("language").alias("discount_language"), F.col("n_grams")]
+    for m in models:
+        ready = (F.col(f"t1{m}") > 0) & (F.col(f"t2{m}") > 0) & (F.col(f"t3{m}") > 0)
+        y = F.col(f"t1{m}") / F.expr(f"nullif(t1{m} + 2 * t2{m}, 0)")
+        for k in (1, 2, 3):
+            d = F.lit(float(k)) - (k + 1) * y * F.col(f"t{k + 1}{m}") / F.expr(f"nullif(t{k}{m}, 0)")
+            out.append(F.when(ready & (d > 0.05) & (d < k), d).otherwise(F.lit(0.5 * k)).alias(f"d{k}{m}"))
     return t.select(*out)
 
 
 def kneser_ney(counts: DataFrame) -> DataFrame:
-    """(gram, c, logp): interpolated modified Kneser-Ney log probabilities of the counted n-grams.
+    """(gram, high, language, and c<m>, logp<m> for each model m): interpolated modified Kneser-Ney log probabilities.
 
-    counts has (gram, n) of the highest order. Lower orders count the distinct left
-    extensions. A context has at most 2**SYMBOL_BITS successors, so its window is bounded;
-    discounts are at most 2**LANGUAGE_BITS rows.
+    counts has the key of n-grams of the highest order, and a column n<m> for each model; an
+    n-gram that a model has not counted (n<m> is 0) gets what its back-off gives. Without
+    `language`, the bits in gram are the language; without `high` it is 0. Lower orders count
+    the distinct left extensions. A context has at most as many successors as its language has
+    symbols, so its window is bounded.
     """
-    grams = {ORDER: counts.select("gram", F.col("n").alias("c"))}
+    models = [name[1:] for name in counts.columns if name.startswith("n")]
+    absent = {"high": F.lit(0).cast("bigint"), "language": F.shiftright("gram", _LANGUAGE_SHIFT)}
+    counts = counts.withColumns({k: v for k, v in absent.items() if k not in counts.columns})
+    grams = {ORDER: counts.select(*KEY, *(F.col(f"n{m}").alias(f"c{m}") for m in models))}
     for order in range(ORDER - 1, 0, -1):
-        grams[order] = cut_lineage(grams[order + 1].groupBy(_mask(order).alias("gram")).agg(F.count(F.lit(1)).alias("c")))
+        seen = [F.sum((F.col(f"c{m}") > 0).cast("bigint")).alias(f"c{m}") for m in models]
+        grams[order] = cut_lineage(grams[order + 1].groupBy(*_tail(order)).agg(*seen))
     lower = None
     for order in range(1, ORDER + 1):
-        g = grams[order].join(
-            F.broadcast(_discounts(grams[order])), F.shiftright("gram", _LANGUAGE_SHIFT) == F.col("discount_language")
-        )
-        context = F.struct(F.shiftright("gram", _LANGUAGE_SHIFT), F.shiftright(_low("gram", order), SYMBOL_BITS))
-        over = Window.partitionBy(context)
-        discount = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-        g = g.withColumn("total", F.sum("c").over(over)).withColumn("freed", F.sum(discount).over(over))
-        own, rest = (F.col("c") - discount) / F.col("total"), F.col("freed") / F.col("total")
+        # A row for each language; without the hint the window below could be dealt by language alone.
+        g = grams[order].join(F.broadcast(_discounts(grams[order], models)), F.col("language") == F.col("discount_language"))
+        over = Window.partitionBy(*_tail(order, 1))
         if lower is None:
-            g = g.select("gram", "c", (own + rest / (1 << SYMBOL_BITS)).alias("p"))
+            below = {m: 1.0 / F.greatest(F.col("n_grams"), F.lit(1 << SYMBOL_BITS)) for m in models}
         else:
-            g = g.join(lower, _mask(order - 1) == F.col("shorter")).select("gram", "c", (own + rest * F.col("below")).alias("p"))
-        lower = g.select(F.col("gram").alias("shorter"), F.col("p").alias("below"))
-    return g.select("gram", "c", F.log("p").alias("logp"))
-
-
-def _low(name: str, order: int):
-    return F.col(name).bitwiseAND(F.lit((1 << (SYMBOL_BITS * order)) - 1))
-
-
-def model_arrays(model: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The model as sorted slot numbers with their log probabilities; never more than SLOTS entries."""
-    slots = (
-        model.groupBy(F.pmod("gram", F.lit(SLOTS)).cast("int").alias("slot"))
-        .agg((F.sum(F.col("c") * F.col("logp")) / F.sum("c")).cast("float").alias("logp"))
-        .toArrow()
-    )
-    slot, logp = slots.column("slot").to_numpy(), slots.column("logp").to_numpy()
-    order = np.argsort(slot, kind="stable")
-    return slot[order], logp[order]
+            below = {m: F.col(f"below{m}") for m in models}
+        added = {}
+        for m in models:
+            c = F.col(f"c{m}")
+            discount = F.when(c == 0, 0.0).when(c == 1, F.col(f"d1{m}")).when(c == 2, F.col(f"d2{m}")).otherwise(F.col(f"d3{m}"))
+            added |= {f"total{m}": F.sum(c).over(over), f"freed{m}": F.sum(discount).over(over), f"own{m}": c - discount}
+        g = g.withColumns(added)
+        if lower is not None:
+            keys = zip(_tail(order - 1), KEY, strict=True)
+            g = g.join(lower, functools.reduce(operator.and_, (a == F.col(f"shorter_{k}") for a, k in keys)))
+        p = []
+        for m in models:
+            total = F.col(f"total{m}")
+            p.append(F.when(total > 0, F.col(f"own{m}") / total + F.col(f"freed{m}") / total * below[m]).otherwise(below[m]).alias(f"p{m}"))
+        g = g.select(*KEY, *(f"c{m}" for m in models), *p)
+        lower = g.select(*(F.col(k).alias(f"shorter_{k}") for k in KEY), *(F.col(f"p{m}").alias(f"below{m}") for m in models))
+    return g.select(*KEY, *(f"c{m}" for m in models), *(F.log(f"p{m}").alias(f"logp{m}") for m in models))
+
+
+class Lookup:
+    """Log probabilities of both models by fingerprint: sorted, with an index by the leading bits."""
+
+    def __init__(self, gram: np.ndarray, high: np.ndarray, language: np.ndarray, logp: np.ndarray):
+        prints = fingerprints(gram, high, language)
+        order = np.argsort(prints, kind="stable")
+        self.prints, self.logp = prints[order], np.ascontiguousarray(logp[order]).ravel()
+        bits = max(1, math.ceil(math.log2(len(prints) + 2)))
+        self.shift = np.uint64(64 - bits)
+        self.starts = np.searchsorted(self.prints, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+
+    @classmethod
+    def of(cls, table: pa.Table) -> Lookup:
+        key = [table.column(k).to_numpy() for k in KEY]
+        return cls(*key, np.stack([table.column(f"logp{m}").to_numpy() for m in (0, 1)], axis=1).astype(np.float32))
+
+    def __call__(self, prints: np.ndarray, model: np.ndarray) -> np.ndarray:
+        """All texts were counted, so every fingerprint is there."""
+        at = self.starts[(prints >> self.shift).astype(np.int64)].astype(np.int64)
+        behind = np.flatnonzero(self.prints[at] != prints)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[self.prints[at[behind]] != prints[behind]]
+        return self.logp[2 * at + model]
 
 
 def _base(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
@@ -229,18 +291,7 @@ def _repeats(hashes: np.ndarray, rows: np.ndarray, every: bool) -> np.ndarray:
     return marked
 
 
-_DENSE: dict[int, np.ndarray] = {}
-
-
-def _dense(shared) -> np.ndarray:
-    """The sorted arrays spread over their slots, once in each worker; unseen slots get the least value."""
-    if shared.id not in _DENSE:
-        slots, logp = shared.value
-        table = np.full(SLOTS, logp.min() if len(logp) else 0.0, dtype=np.float32)
-        table[slots] = logp
-        _DENSE.clear()
-        _DENSE[shared.id] = table
-    return _DENSE[shared.id]
+_LOOKUP: dict[int, Lookup] = {}
 
 
 class _Shared:
@@ -254,22 +305,35 @@ class _Shared:
         return self.broadcast.value
 
 
+def _lookup(shared) -> Lookup:
+    if shared.id not in _LOOKUP:
+        _LOOKUP.clear()
+        _LOOKUP[shared.id] = Lookup(*shared.value)
+    return _LOOKUP[shared.id]
+
+
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
+def _scored(batch: pa.RecordBatch, lookup: Lookup) -> pa.RecordBatch:
+    data, bounds = kernel.utf8(batch.column("text"))
+    base = _base(data, bounds)
+    n = batch.num_rows
+    total, size = np.zeros(n), np.zeros(n, dtype=np.int64)
+    if len(data):
+        languages, other = _longs(batch, "language"), 1 - _longs(batch, "fold")
+        gram, high, rows = gram_keys(data, bounds, languages)
+        if len(gram):
+            logp = lookup(fingerprints(gram, high, languages[rows]), other[rows])
+            total, size = np.bincount(rows, weights=logp, minlength=n), np.bincount(rows, minlength=n)
+    log_perplexity = pa.array(-total / np.maximum(size, 1), mask=size == 0)
+    arrays = [batch.column("row_key"), batch.column("lang"), *(pa.array(base[k].astype(np.int64)) for k in _COUNTS)]
+    return pa.RecordBatch.from_arrays([*arrays, log_perplexity], names=["row_key", "lang", *_COUNTS, "log_perplexity"])
+
+
 def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    table = _dense(shared)
     for batch in kernel.slices(batches, "text"):
-        data, bounds = kernel.utf8(batch.column("text"))
-        base = _base(data, bounds)
-        n = batch.num_rows
-        total, size = np.zeros(n), np.zeros(n, dtype=np.int64)
-        if len(data):
-            keys, rows = gram_keys(data, bounds, batch.column("language").to_numpy())
-            total, size = np.bincount(rows, weights=table[keys % SLOTS], minlength=n), np.bincount(rows, minlength=n)
-        log_perplexity = pa.array(-total / np.maximum(size, 1), mask=size == 0)
-        arrays = [batch.column("row_key"), batch.column("lang"), *(pa.array(base[k].astype(np.int64)) for k in _COUNTS)]
-        yield pa.RecordBatch.from_arrays([*arrays, log_perplexity], names=["row_key", "lang", *_COUNTS, "log_perplexity"])
+        yield _scored(batch, _lookup(shared))
 
 
 def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", band: float = BAND) -> DataFrame:
@@ -277,29 +341,35 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     log_perplexity, lower, upper, kept) for each row.
 
     The model is a character 5-gram over whole texts (white space runs are one boundary),
-    one for each language, counted over all rows. Perplexity is per character, under the
-    model of the row's language. The bands are the median of log perplexity over the
-    language's rows that pass the base rules, minus and plus `band` robust deviations
-    (1.4826 times the median absolute deviation, at least SPREAD).
+    one for each language, counted over all rows in two folds by the hash of the text: a row
+    is scored by the fold that it and its exact copies are not in, unseen n-grams by back-off.
+    Perplexity is per character, under the model of the row's language. The bands are the
+    median of log perplexity over the language's rows that pass the base rules, minus and plus
+    `band` robust deviations (1.4826 times the median absolute deviation, at least SPREAD).
 
-    The model's size does not follow the input without end: log probabilities lie in at
-    most SLOTS slots. n-grams that meet in a slot share their weighted mean.
+    The model's size follows the input: no n-gram is merged with another. A language whose rows all lie in one fold has no model; its rows score alike.
 
     Null or empty text, or text without a word: no words, base_failed, log_perplexity
     null. A null language is a group of its own. Repeated rows count and are scored each;
     a null key is kept as it is. No rows in, no rows out. Other columns are not read.
     """
     spark = docs.sparkSession
+    language = F.col(lang).cast("string")
     source = docs.select(
-        F.col(key).alias("row_key"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"),
-        crc_mod(F.col(lang), 1 << LANGUAGE_BITS).cast("bigint").alias("language"),
+        F.col(key).alias("row_key"), F.col(text).alias("text"), language.alias("lang"),
+        F.when(language.isNull(), F.lit(0)).otherwise(F.xxhash64(language)).alias("language"),
+        F.coalesce(F.pmod(F.xxhash64(text), F.lit(2)), F.lit(0)).cast("bigint").alias("fold"),
     )
-    partial = source.select("text", "language").mapInArrow(_count, "gram bigint, n bigint")
-    counts = cut_lineage(partial.groupBy("gram").agg(F.sum("n").alias("n")))
-    arrays = spark.sparkContext.broadcast(model_arrays(kneser_ney(counts)))
+    partial = source.select("text", "language", "fold").mapInArrow(_count, "gram bigint, high bigint, language bigint, fold bigint, n bigint")
+    by_fold = [F.sum(F.when(F.col("fold") == m, F.col("n")).otherwise(F.lit(0))).alias(f"n{m}") for m in (0, 1)]
+    counts = cut_lineage(partial.groupBy(*KEY).agg(*by_fold))
+    schema = f"row_key {dict(source.dtypes)['row_key']}, lang string, " + ", ".join(f"{c} bigint" for c in _COUNTS) + ", log_perplexity double"
+    model = kneser_ney(counts)
+    found = model.select(*KEY, *(F.col(f"logp{m}").cast("float").alias(f"logp{m}") for m in (0, 1))).toArrow()
+    key_columns = [found.column(k).to_numpy() for k in KEY]
+    arrays = spark.sparkContext.broadcast((*key_columns, np.stack([found.column(f"logp{m}").to_numpy() for m in (0, 1)], axis=1)))
     shared = _Shared(arrays, id(arrays))
-    schema = f"row_key {dict(source.dtypes)['row_key']}, lang string, " + ", ".join(f"{c} bigint" for c in _COUNTS)
-    scored = source.mapInArrow(lambda it: _score(it, shared), f"{schema}, log_perplexity double")
+    scored = source.mapInArrow(lambda it: _score(it, shared), schema)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     scored = cut_lineage(scored.withColumn("base_failed", failed))
     return within_bands(scored, band).withColumnRenamed("row_key", key)

@@ -112,6 +112,18 @@ def test_bands_reject_both_ends(spark):
     assert gone == {90, 91, 92}
 
 
+@pytest.mark.parametrize("amount", [3, 30, 100])
+def test_planted_gibberish_is_rejected(spark, amount):
+    """Random letters are no language, be they few (memorised by a model that counts them) or many."""
+    draw = np.random.default_rng(amount)
+    junk = [(10**8 + k, " ".join("".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), draw.integers(3, 10))) for _ in range(120)), "en") for k in range(amount)]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang = 'en'").select("doc_id", "text", "lang")
+    out = perplexity.quality(docs.unionByName(spark.createDataFrame(junk, "doc_id long, text string, lang string"))).collect()
+    assert not any(r["kept"] for r in out if r["doc_id"] >= 10**8)
+    sound = [r["kept"] for r in out if r["doc_id"] < 10**8 and not r["base_failed"]]
+    assert sum(sound) >= 0.9 * len(sound)
+
+
 def test_packing_round_trip(spark, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
