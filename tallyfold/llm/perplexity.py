@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +22,10 @@ ORDER = 5
 SYMBOL_BITS, HIGH_BITS = 11, 10
 LANGUAGE_BITS = 8
 KEY = ["gram", "high", "language"]
+#: A model of at most so many n-grams goes to all workers (16 bytes each); a larger one is joined to the texts' blocks.
+LOCAL = 4_000_000
+#: Bytes of text in a block of the join.
+BLOCK = 4 << 20
 #: Distinct n-grams a counting task holds before it hands them on.
 HELD = 2_000_000
 #: A document is rejected this many robust deviations from its language's median.
@@ -315,7 +320,7 @@ def _lookup(shared) -> Lookup:
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def _scored(batch: pa.RecordBatch, lookup: Lookup) -> pa.RecordBatch:
+def _scored(batch: pa.RecordBatch, lookup: Lookup | None) -> pa.RecordBatch:
     data, bounds = kernel.utf8(batch.column("text"))
     base = _base(data, bounds)
     n = batch.num_rows
@@ -336,6 +341,38 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
         yield _scored(batch, _lookup(shared))
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with the number of their block: at most BLOCK bytes of text, or one row."""
+    first = TaskContext.get().partitionId() << 32
+    for k, batch in enumerate(kernel.slices(batches, "text", BLOCK)):
+        yield batch.append_column("block", pa.array(np.full(batch.num_rows, first + k)))
+
+
+def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, gram, high, language): the n-grams of each block."""
+    for batch in kernel.slices(batches, "text"):
+        blocks = _longs(batch, "block")
+        for block in np.unique(blocks):
+            found = _distinct(batch.filter(pa.array(blocks == block)))
+            if found is not None:
+                columns = [np.full(len(found[0]), block), *found[2:5]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["block", *KEY])
+
+
+def _score_block(rows: pa.Table, model: pa.Table) -> pa.Table:
+    lookup = Lookup.of(model) if model.num_rows else None
+    out = [_scored(batch, lookup) for batch in kernel.slices(iter(rows.combine_chunks().to_batches()), "text")]
+    return pa.Table.from_batches(out)
+
+
+def _by_blocks(source: DataFrame, model: DataFrame, schema: str) -> DataFrame:
+    """The scores with a model of any size: joined by full key to the n-grams of each block of texts."""
+    stored = cut_lineage(source.mapInArrow(_blocks, ", ".join(f"{n} {t}" for n, t in [*source.dtypes, ("block", "bigint")])))
+    wanted = stored.select("text", "language", "block").mapInArrow(_wanted, "block bigint, gram bigint, high bigint, language bigint").distinct()
+    found = wanted.join(model.select(*KEY, "logp0", "logp1"), KEY)
+    return stored.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_score_block, schema)
+
+
 def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", band: float = BAND) -> DataFrame:
     """(key, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     log_perplexity, lower, upper, kept) for each row.
@@ -347,7 +384,9 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     median of log perplexity over the language's rows that pass the base rules, minus and plus
     `band` robust deviations (1.4826 times the median absolute deviation, at least SPREAD).
 
-    The model's size follows the input: no n-gram is merged with another. A language whose rows all lie in one fold has no model; its rows score alike.
+    The model's size follows the input: no n-gram is merged with another. Up to LOCAL n-grams
+    are looked up in each worker; more are joined to the texts, block by block, for the same
+    scores. A language whose rows all lie in one fold has no model; its rows score alike.
 
     Null or empty text, or text without a word: no words, base_failed, log_perplexity
     null. A null language is a group of its own. Repeated rows count and are scored each;
@@ -365,11 +404,14 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     counts = cut_lineage(partial.groupBy(*KEY).agg(*by_fold))
     schema = f"row_key {dict(source.dtypes)['row_key']}, lang string, " + ", ".join(f"{c} bigint" for c in _COUNTS) + ", log_perplexity double"
     model = kneser_ney(counts)
-    found = model.select(*KEY, *(F.col(f"logp{m}").cast("float").alias(f"logp{m}") for m in (0, 1))).toArrow()
-    key_columns = [found.column(k).to_numpy() for k in KEY]
-    arrays = spark.sparkContext.broadcast((*key_columns, np.stack([found.column(f"logp{m}").to_numpy() for m in (0, 1)], axis=1)))
-    shared = _Shared(arrays, id(arrays))
-    scored = source.mapInArrow(lambda it: _score(it, shared), schema)
+    if counts.count() <= LOCAL:
+        found = model.select(*KEY, *(F.col(f"logp{m}").cast("float").alias(f"logp{m}") for m in (0, 1))).toArrow()
+        key_columns = [found.column(k).to_numpy() for k in KEY]
+        arrays = spark.sparkContext.broadcast((*key_columns, np.stack([found.column(f"logp{m}").to_numpy() for m in (0, 1)], axis=1)))
+        shared = _Shared(arrays, id(arrays))
+        scored = source.mapInArrow(lambda it: _score(it, shared), schema)
+    else:
+        scored = _by_blocks(source, model, schema)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     scored = cut_lineage(scored.withColumn("base_failed", failed))
     return within_bands(scored, band).withColumnRenamed("row_key", key)

@@ -124,6 +124,32 @@ def test_planted_gibberish_is_rejected(spark, amount):
     assert sum(sound) >= 0.9 * len(sound)
 
 
+def test_model_of_any_size_gives_the_same_scores(spark, docs, odd, monkeypatch):
+    """A model too large for the workers is joined to blocks of texts."""
+    rows = docs.select("doc_id", "text", "lang").unionByName(odd.select("doc_id", "text", "lang"))
+
+    def scores():
+        return sorted(((r["doc_id"] or -1, r["lang"] or "", r["n_words"], r["log_perplexity"] or 0.0, r["kept"]) for r in perplexity.quality(rows).collect()))
+
+    whole = scores()
+    monkeypatch.setattr(perplexity, "LOCAL", 0)
+    monkeypatch.setattr(perplexity, "BLOCK", 1 << 14)
+    blocks = scores()
+    assert len(blocks) == len(whole)
+    for a, b in zip(whole, blocks, strict=True):
+        assert a[:3] == b[:3] and a[4] == b[4] and abs(a[3] - b[3]) < 1e-5
+
+
+def test_ngrams_are_not_merged(spark):
+    """Signs that agree in their low bits and languages that agree in theirs have keys of their own."""
+    texts = [chr(0x4E00) * 9, chr(0x4E00 + 2048) * 9, chr(0x4E00 + 4096) * 9]
+    rows = [(t, k, 0) for t in texts for k in (1, 1 + (1 << 8))]
+    df = spark.createDataFrame(rows, "text string, language long, fold long")
+    counts = df.mapInArrow(perplexity._count, "gram bigint, high bigint, language bigint, fold bigint, n bigint")
+    assert counts.groupBy(*perplexity.KEY).count().count() == 6 * 5
+    assert counts.agg(F.sum("n")).first()[0] == 6 * 9
+
+
 def test_packing_round_trip(spark, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
