@@ -19,11 +19,13 @@ _KEYWORDS = ["password", "passwd", "secret", "token", "apikey", "api_key"]
 
 #: Candidates for the entropy test: whole runs of key characters with a digit in them.
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}"
+#: Lower-case words joined by separators: a slug or path, or a key behind a prefix.
+JOINED = r"^[a-z0-9]+(?:[_/-][a-z0-9]+)+$"
 #: Character class of a candidate (the first that fits) and the entropy of a window that it must reach.
 CLASSES = [
     ("hex", r"^[0-9a-f]+$|^[0-9A-F]+$", 3.0),
     ("base32", r"^[A-Z2-7]+=*$", 3.4),
-    ("word", r"^[a-z]+[0-9]+$|^[a-z0-9]+(?:[_/-][a-z0-9]+)+$", 4.1),
+    ("word", rf"^[a-z]+[0-9]+$|{JOINED}", 4.1),
     ("base64", r"^.*$", 3.75),
 ]
 #: Candidates that fit one of these are no secrets.
@@ -120,6 +122,17 @@ def _least(value: Column) -> Column:
     return out
 
 
+def _strong(value: Column) -> Column:
+    """Whether a candidate reaches its class's entropy, or one part of joined words does by itself.
+
+    A part counts when it fills a window and mixes letters and digits; it has the class that
+    it would have as a candidate, so a prefix does not raise what is asked of the key behind it.
+    """
+    mixed = F.filter(F.split(value, "[_/-]", -1), lambda p: (F.length(p) >= WINDOW) & p.rlike("[a-z]") & p.rlike("[0-9]"))
+    part = F.when(value.rlike(JOINED), F.exists(mixed, lambda p: window_entropy(p) >= _least(p))).otherwise(F.lit(False))
+    return (window_entropy(value) >= _least(value)) | part
+
+
 def _allowed(value: Column) -> Column:
     out = F.lit(False)
     for pattern in ALLOWED:
@@ -160,7 +173,7 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     )
     based = found.withColumn("base", F.array_sort(F.concat(_tagged(F.col("assign"), "assign"), _tagged(F.col("access"), "access"), _tagged(F.col("hex"), "hex"))))
     free = F.filter("candidates", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])) & ~_allowed(c["value"]) & c["value"].rlike("[A-Za-z]"))
-    strong = F.filter(free, lambda c: window_entropy(c["value"]) >= _least(c["value"]))
+    strong = F.filter(free, lambda c: _strong(c["value"]))
     out = based.withColumn("strong", F.when(F.size("candidates") > 0, strong).otherwise(_none()))
     return out.select(
         key,

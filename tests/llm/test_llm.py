@@ -332,6 +332,22 @@ def test_secrets_against_brute_force(spark, texts):
     assert got[10**6 + 2]["spans"] == "entropy:2:26"
 
 
+def test_secrets_behind_prefixes(spark):
+    """Random lower-case keys are found with a prefix as without; slugs and paths are not keys."""
+    draw = np.random.default_rng(5)
+    shapes = [("key-", 32), ("sk-", 32), ("sk-", 48), ("tok_", 24), ("sk-", 20), ("", 32)]
+    keys = [(k, prefix + "".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), n))) for k, (prefix, n) in enumerate(shapes) for _ in range(300)]
+    plain = [
+        "the-2019-annual-report-of-internationalization-efforts", "src/main/python3/operators/streaming/windowed_kpis_v2", "blog/2024/11/07/how-we-moved-4-services",
+        "a_very_long_snake_case_identifier_with_2_numbers", "docs-internationalizationguidelines2024", "id-123e4567-e89b-12d3-a456-426614174000",
+    ]
+    rows = spark.createDataFrame([(k, f"see {v} there") for k, v in keys] + [(100, f"see {v} there") for v in plain], "doc_id long, text string")
+    found = collections.Counter(r["doc_id"] for r in secrets.find_secrets(rows).collect() if r["spans"])
+    share = [found[k] / 300 for k in range(len(shapes))]
+    print("found", dict(zip(shapes, share, strict=True)))
+    assert min(share) > 0.65 and min(share[:3]) > 0.9 and found[100] == 0  # one window of 20 often falls below 3.75 bits
+
+
 def test_window_entropy(spark):
     def plain(s):
         best = 0.0
