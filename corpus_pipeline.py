@@ -11,8 +11,6 @@ from tallyfold.session import cut_lineage
 
 #: A document goes when its main language has less than this share of it.
 MIN_SHARE = 0.4
-#: Texts that are boilerplate beyond this share are copies, which the next stage handles.
-MAX_FRAME = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +25,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that a source repeats over its documents are cut; every document stays."""
-    cut = boilerplate.drop_boilerplate(docs.select(DOCUMENT_COLUMNS), max_share=MAX_FRAME)
+    """Lines that a source repeats over its documents are cut; every document stays.
+
+    Documents of equal text count as one, as copies are for the next stage.
+    """
+    cut = boilerplate.drop_boilerplate(docs.select(DOCUMENT_COLUMNS), copies=False)
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", n_chars).select(DOCUMENT_COLUMNS)
 

@@ -38,21 +38,26 @@ def _trimmed(line: Column) -> Column:
     return F.btrim(line, F.lit(BLANKS))
 
 
-def boilerplate_lines(docs: DataFrame, text: str, site: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate_lines(docs: DataFrame, text: str, site: str, ratio: float = RATIO, min_pages: int = MIN_PAGES, copies: bool = True) -> DataFrame:
     """(site, lines): 64-bit hashes of each site's boilerplate lines.
 
-    Counts are summed before they are shuffled. The shares of a site's lines add up to its
+    Without copies, a site's pages of equal text count as one page. Counts are summed before they are shuffled. The shares of a site's lines add up to its
     mean number of lines, so a list has at most that number divided by ratio.
     """
     source = docs.select(F.col(site).alias("site"), F.col(text).alias("text")).filter("site IS NOT NULL")
-    totals = source.groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
     hashes = F.array_distinct(F.transform(F.filter(F.transform(F.split("text", "\n", -1), _trimmed), lambda x: x != ""), lambda x: F.xxhash64(x)))
-    counts = source.select("site", F.explode(hashes).alias("line")).groupBy("site", "line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
+    if copies:
+        pages = source
+    else:
+        hashed = source.select("site", F.xxhash64("text").alias("text_key"), hashes.alias("hashes"))
+        pages, hashes = cut_lineage(hashed.dropDuplicates(["site", "text_key"])), F.col("hashes")
+    totals = pages.groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
+    counts = pages.select("site", F.explode(hashes).alias("line")).groupBy("site", "line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
     return counts.join(totals, "site").filter(F.col("n") > ratio * F.col("pages")).groupBy("site").agg(F.collect_list("line").alias("lines"))
 
 
 def drop_boilerplate(
-    docs: DataFrame, text: str = "text", site: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, max_share: float | None = None
+    docs: DataFrame, text: str = "text", site: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, max_share: float | None = None, copies: bool = True
 ) -> DataFrame:
     """docs with boilerplate lines cut from `text`, and n_lines and n_dropped added.
 
@@ -60,14 +65,15 @@ def drop_boilerplate(
     at both ends are cut (tabs and carriage returns count as blanks). A line counts once
     for a page. Blank lines are never dropped. With max_share, a text whose boilerplate
     lines hold more than that share of its characters stays whole: it is a copy of other
-    texts rather than a page with a frame, and copies are for the near-duplicate operator.
+    texts rather than a page with a frame, and copies are for the near-duplicate operator. Without copies, pages of equal text count as
+    one, so a page is no frame for being copied, and what is left of it is cut like any other.
 
     Null text stays null with no lines. Rows without a site stay whole. Repeated rows are
     pages of their own. Clashing column names are no matter: only n_lines and n_dropped are
     added, in place of columns of that name.
     """
     # Stored first, so that its size is known when the join is planned: few lines go to the texts, not the texts to them.
-    marked = cut_lineage(boilerplate_lines(docs, text, site, ratio, min_pages)).select(F.col("site").alias("__site"), F.col("lines").alias("__boilerplate"))
+    marked = cut_lineage(boilerplate_lines(docs, text, site, ratio, min_pages, copies)).select(F.col("site").alias("__site"), F.col("lines").alias("__boilerplate"))
     lines = F.split(F.col(text), "\n", -1)
     names = docs.columns
     out = docs.join(marked, F.col(site) == F.col("__site"), "left")

@@ -270,6 +270,18 @@ def test_near_duplicates_of_one_large_group(spark, monkeypatch, size):
     assert got == brute_components({d: shingles(t) for d, t in rows.items()})
 
 
+def test_line_dedup_cuts_stubs_and_leaves_copies(spark):
+    """A text that is mostly frame loses its frame; a text that is only copied keeps its lines."""
+    rows = [(k, f"menu of the site\nown text {k}\nfoot of the site", "en", "a", 0) for k in range(20)]
+    rows += [(50 + k, "one whole text\nthat is copied", "en", "a", 0) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r["doc_id"]: r for r in corpus_pipeline.line_dedup(spark, docs, SF).collect()}
+    assert len(out) == len(rows)
+    for k in range(20):
+        assert out[k]["text"] == f"own text {k}" and out[k]["n_chars"] == len(out[k]["text"])
+        assert out[50 + k]["text"] == "one whole text\nthat is copied"
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_matches_sql(spark, name):
     assert difference(queries.QUERIES[name](spark, SF), connect(SF), queries.SQL[name]) is None
