@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import boilerplate, factorization, licenses, minhash, mixture, packing, perplexity, secrets, tiling, transcripts
+from tallyfold.llm import boilerplate, factorization, licenses, minhash, mixing, mixture, packing, perplexity, secrets, tiling, transcripts
 from tallyfold.llm.common import crc_mod, documents, table
 from tallyfold.llm.sql import SQL  # noqa: F401
 
@@ -66,6 +66,10 @@ def op10_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir)).drop("source")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_perplexity": op1_perplexity,
     "op2_packing": op2_packing,
@@ -77,4 +81,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_transcripts": op8_transcripts,
     "op9_entropy": op9_entropy,
     "op10_dice": op10_dice,
+    "op13_mixing": op13_mixing,
 }

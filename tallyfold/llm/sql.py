@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyfold.llm import boilerplate, licenses
+from tallyfold.llm import boilerplate, licenses, mixing
 
 
 def _quoted(text: str) -> str:
@@ -61,4 +61,33 @@ SELECT doc_id, line::BIGINT AS line, arg_max(license, dice * 1000000 - template)
 FROM c WHERE dice >= {licenses.THRESHOLD} GROUP BY doc_id, line"""
 
 
-SQL = {"op7_site_lines": site_lines(), "op10_dice": dice()}
+def mix() -> str:
+    """The level at which the targets meet the total: the first rank, by cap over weight, whose share stays below its cap."""
+    weights = ", ".join(map(str, mixing.WEIGHTS))
+    return f"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, {_quoted(mixing.WORD)})), 0)::BIGINT AS size,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|0'), 1, 15))::BIGINT AS draw
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size,
+             ([{weights}])[1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)}] AS weight
+      FROM d GROUP BY source),
+r AS (SELECT *, {mixing.MAX_EPOCHS} * source_size AS cap, sum(source_size) OVER () AS total,
+             row_number() OVER (ORDER BY {mixing.MAX_EPOCHS} * source_size / weight, source NULLS LAST) AS k FROM s),
+c AS (SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS open_size,
+             (sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS open_weight FROM r),
+v AS (SELECT open_size, open_weight FROM c WHERE open_size * weight <= cap * open_weight ORDER BY k LIMIT 1),
+t AS (SELECT source, source_size,
+             least(cap::DOUBLE, v.open_size::DOUBLE * weight::DOUBLE / v.open_weight::DOUBLE) AS target FROM c, v),
+b AS (SELECT *, least(floor(target + 0.5)::BIGINT, {mixing.MAX_EPOCHS} * source_size) AS budget FROM t),
+p AS (SELECT d.doc_id, d.source, d.size, b.source_size, b.target, b.budget,
+             sum(d.size) OVER (PARTITION BY d.source ORDER BY d.draw, d.doc_id, d.size
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS begins
+      FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, size, source_size, target,
+       CASE WHEN source_size = 0 THEN 0
+            ELSE (budget // source_size) * size + greatest(0, least(size, budget % source_size - begins)) END::BIGINT AS taken
+FROM p"""
+
+
+SQL = {"op7_site_lines": site_lines(), "op10_dice": dice(), "op13_mixing": mix()}
