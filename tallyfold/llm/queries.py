@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import boilerplate, centroids, factorization, licenses, minhash, mixing, mixture, packing, perplexity, secrets, tiling, transcripts
+from tallyfold.llm import boilerplate, centroids, factorization, licenses, minhash, mixing, mixture, packing, perplexity, secrets, tiling, transcripts, trie
 from tallyfold.llm.common import crc_mod, documents, table
 from tallyfold.llm.sql import SQL  # noqa: F401
 
@@ -66,6 +66,10 @@ def op10_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_transcripts": op8_transcripts,
     "op9_entropy": op9_entropy,
     "op10_dice": op10_dice,
+    "op11_trie": op11_trie,
     "op12_centroids": op12_centroids,
     "op13_mixing": op13_mixing,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyfold.llm import boilerplate, licenses, mixing
+from tallyfold.llm import boilerplate, centroids, licenses, mixing
 
 
 def _quoted(text: str) -> str:
@@ -90,4 +90,61 @@ SELECT doc_id, size, source_size, target,
 FROM p"""
 
 
-SQL = {"op7_site_lines": site_lines(), "op10_dice": dice(), "op13_mixing": mix()}
+def trie() -> str:
+    """Nodes by the text of their turns' ids; crc32 bit by bit."""
+    turn = "md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))"
+    n_words = f"coalesce(len(regexp_extract_all(text, {_quoted(mixing.WORD)})), 0)"
+    bits = "list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    codes = "list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)"
+    crc = f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, b: {bits}), 4294967295)"
+    return f"""
+WITH o AS (SELECT conv_id, list({{'id': id, 'words': words}} ORDER BY turn NULLS FIRST, id) AS ts
+           FROM (SELECT conv_id, turn, {turn} AS id, {n_words} AS words FROM conversations WHERE conv_id IS NOT NULL)
+           GROUP BY conv_id),
+r AS (SELECT o.conv_id, list_concat(coalesce(b.ts, [])[1:h], o.ts[h + 1:]) AS ts
+      FROM (SELECT *, ({crc} % 4)::BIGINT AS h FROM o) AS o LEFT JOIN o AS b ON b.conv_id = o.conv_id - o.conv_id % 20),
+m AS (SELECT conv_id, d, array_to_string(list_transform(ts[1:d], lambda t: t.id), '') AS path,
+             CASE WHEN d > 0 THEN array_to_string(list_transform(ts[1:d - 1], lambda t: t.id), '') END AS up,
+             coalesce(ts[d].words, 0) AS words, len(ts) = d AS ended
+      FROM (SELECT *, unnest(range(len(ts) + 1)) AS d FROM r)),
+n AS MATERIALIZED (
+  SELECT path, any_value(up) AS up, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * any_value(words) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ended), '')) AS ends_sha256
+  FROM m GROUP BY path),
+c AS (SELECT up AS path, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up),
+t AS (SELECT substr(n.path, 1, 32 * k) AS path, sum(n.saved)::BIGINT AS saved_tokens, count(*) FILTER (WHERE c.path IS NULL) AS n_leaves
+      FROM (SELECT *, unnest(range(depth + 1)) AS k FROM n) AS n LEFT JOIN c ON c.path = n.path GROUP BY 1)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children,
+       t.n_leaves, t.saved_tokens, n.ends_sha256
+FROM n JOIN t ON t.path = n.path LEFT JOIN n AS p ON p.path = n.up LEFT JOIN c ON c.path = n.path"""
+
+
+def clusters(rounds: int = 10, k: int = 8) -> str:
+    """Every round is a pair of tables: nearest centroids, and their exact floors."""
+    reach, scale = centroids.REACH, centroids.SCALE
+    out = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x) AND abs(x::DOUBLE) < {reach})) = 64),
+e AS MATERIALIZED (SELECT r, unnest(range(64)) AS i, unnest(x) AS x FROM v),
+s AS (SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), x) - 1 AS k, x FROM v),
+c0 AS MATERIALIZED (SELECT k, unnest(range(64)) AS i, unnest(x) AS c FROM s WHERE k < {k})"""
+    for n in range(rounds + 1):
+        out += f""",
+a{n} AS MATERIALIZED (
+  SELECT r, min({{'d': d, 'k': k}}) AS m
+  FROM (SELECT r, k, sum((x - c) * (x - c))::BIGINT AS d FROM e JOIN c{n} USING (i) GROUP BY r, k) GROUP BY r)"""
+        if n < rounds:
+            out += f""",
+c{n + 1} AS MATERIALIZED (
+  SELECT k, i, coalesce((t - ((t % n) + n) % n) // n, c)::BIGINT AS c
+  FROM c{n} LEFT JOIN (SELECT m.k AS k, i, sum(x)::BIGINT AS t, count(*) AS n FROM a{n} JOIN e USING (r) GROUP BY m.k, i) USING (k, i))"""
+    return f"""{out},
+h AS (SELECT k, sha256(string_agg(c::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY k)
+SELECT vec_id, m.k::INTEGER AS cluster, m.d AS distance, (sum(m.d) OVER (PARTITION BY m.k))::BIGINT AS cluster_inertia,
+       (sum(m.d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN v USING (r) JOIN h ON h.k = m.k"""
+
+
+SQL = {"op7_site_lines": site_lines(), "op10_dice": dice(), "op11_trie": trie(), "op12_centroids": clusters(), "op13_mixing": mix()}
