@@ -14,7 +14,7 @@ WEIGHTS = (1, 2, 3)
 #: No source gives more than so many times its size.
 MAX_EPOCHS = 3
 #: Documents in one range of a source's order; a source has as many ranges as it needs.
-RANGE = 1 << 16
+RANGE = 1 << 11
 WORD = r"[^\x20\x09-\x0D]+"
 
 _KEY_BITS = 60
