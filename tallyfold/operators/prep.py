@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.functions.scalar import bin_of
-from tallyfold.operators.ranking import order_statistics
+from tallyfold.operators.ranking import order_statistics_of
 
 ACCURACY = 100_000
 
@@ -97,7 +97,7 @@ def quantile_edges(
 ) -> dict[str, list[float]]:
     """Inner bin edges per column, duplicates dropped.
 
-    Order statistics are exact at any size, for one shuffle of the distinct values per column.
+    Order statistics are exact at any size, in the same few passes for all columns.
     Without `exact` they come from mergeable sketches with rank error n/accuracy. With `interpolate`, edges lie between
     the two neighbouring order statistics; without, an edge is the value at rank ceil(q*n).
     """
@@ -109,7 +109,7 @@ def quantile_edges(
     ranks = {c: _edge_ranks(counts[c], probs, interpolate) for c in columns if counts[c]}
     values: dict[str, dict[int, float]] = {}
     if exact:
-        values = {c: order_statistics(df, c, [r for lo, hi, _ in at for r in (lo, hi)]) for c, at in ranks.items()}
+        values = order_statistics_of(df, {c: [r for lo, hi, _ in at for r in (lo, hi)] for c, at in ranks.items()})
     elif ranks:
         listed = {c: sorted({r for lo, hi, _ in at for r in (lo, hi)}) for c, at in ranks.items()}
         picks = [
@@ -138,16 +138,18 @@ def apply_bins(df: DataFrame, edges: Mapping[str, Sequence[float]], suffix: str
 
 
 def impute(df: DataFrame, how: Mapping[str, str]) -> DataFrame:
-    """Fill missing values with the mean, median or most frequent value (smallest on a tie)."""
+    """Fill missing values with the mean, median (the lower middle value) or most frequent value (smallest on a tie)."""
     fills = {}
-    simple = {c: m for c, m in how.items() if m != "most_frequent"}
-    if simple:
-        picks = [
-            (F.avg(c) if m == "mean" else F.percentile_approx(c, 0.5, ACCURACY)).alias(c)
-            for c, m in simple.items()
-        ]
-        s = df.agg(F.struct(*picks).alias("s")).scalar()
-        fills = {c: F.coalesce(F.col(c), s[c]) for c in simple}
+    means = [c for c, m in how.items() if m == "mean"]
+    if means:
+        s = df.agg(F.struct(*[F.avg(c).alias(c) for c in means]).alias("s")).scalar()
+        fills = {c: F.coalesce(F.col(c), s[c]) for c in means}
+    medians = [c for c, m in how.items() if m == "median"]
+    if medians:
+        sizes = df.agg(*[F.count(c).alias(c) for c in medians]).first()
+        middle = order_statistics_of(df, {c: [(sizes[c] + 1) // 2] for c in medians if sizes[c]})
+        kinds = dict(df.dtypes)
+        fills |= {c: F.coalesce(F.col(c), F.lit(v[(sizes[c] + 1) // 2]).cast(kinds[c])) for c, v in middle.items()}
     for c, m in how.items():
         if m == "most_frequent":
             counts = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("_n"))

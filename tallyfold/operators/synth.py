@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.scalar import bin_of, hash_uniform
 from tallyfold.operators.prep import quantile_edges
-from tallyfold.operators.ranking import order_statistics, rank_by_value
+from tallyfold.operators.ranking import order_statistics_of, rank_by_value
 from tallyfold.session import cut_lineage
 
 
@@ -172,19 +172,17 @@ def synthesize(
             new[c] = F.lit(None).cast("string")
             continue
         new[c] = _draw_level(hash_uniform("row_id", f"{seed}{c}"), shares)
-    if interval:
-        for c in interval:
-            n = filled[c]
-            ranks = [max(1, -(-i * n // grid)) for i in range(grid + 1)]
-            values = order_statistics(df, c, ranks) if n else {}
-            if not n:
-                new[c] = F.lit(None).cast("double")
-                continue
-            at = hash_uniform("row_id", f"{seed}{c}") * grid
-            step = F.floor(at).cast("int")
-            table = F.array(*[F.lit(float(values[r])) for r in ranks])
-            low, high = F.element_at(table, step + 1), F.element_at(table, step + 2)
-            new[c] = low + (at - step) * (high - low)
+    ranks = {c: [max(1, -(-i * filled[c] // grid)) for i in range(grid + 1)] for c in interval}
+    values = order_statistics_of(df, {c: r for c, r in ranks.items() if filled[c]}) if interval else {}
+    for c in interval:
+        if not filled[c]:
+            new[c] = F.lit(None).cast("double")
+            continue
+        at = hash_uniform("row_id", f"{seed}{c}") * grid
+        step = F.floor(at).cast("int")
+        table = F.array(*[F.lit(float(values[c][r])) for r in ranks[c]])
+        low, high = F.element_at(table, step + 1), F.element_at(table, step + 2)
+        new[c] = low + (at - step) * (high - low)
     for c, value in new.items():
         if 0 < filled[c] < filled["_rows"]:
             gone = hash_uniform("row_id", f"{seed}{c}|missing") >= filled[c] / filled["_rows"]
