@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyfold.functions.scalar import bin_of
 from tallyfold.operators.assess import assess_groups
 from tallyfold.operators.prep import quantile_edges
+from tallyfold.session import cut_lineage
 
 
 def period_kpis(df: DataFrame, key: str, y: str, p: str, period: str) -> DataFrame:
@@ -25,7 +26,8 @@ def stability(
     Edges are quantiles of the base. Shares are smoothed by half a row, so an empty bin
     gives a finite index. The counts are at most periods x variables x (bins + 1).
     """
-    edges = quantile_edges(df.filter(F.col(period) == base), columns, bins, interpolate=False)
+    df = cut_lineage(df.select(period, *columns))
+    edges = quantile_edges(df.filter(F.col(period) == base), columns, bins, interpolate=False, stored=True)
     pairs = [
         F.struct(F.lit(c).alias("variable"), F.coalesce(bin_of(c, e), F.lit(-1)).alias("bin"))
         for c, e in edges.items()
@@ -35,6 +37,7 @@ def stability(
         .groupBy("variable", "period", "bin")
         .agg(F.count("*").alias("n"))
     )
+    counts = cut_lineage(counts)
     periods = counts.select("variable", "period").distinct()
     cells = counts.select("variable", "bin").distinct()
     full = periods.join(cells, "variable").join(counts, ["variable", "period", "bin"], "left")

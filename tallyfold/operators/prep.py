@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.scalar import bin_of
 from tallyfold.operators.ranking import order_statistics_of
+from tallyfold.session import cut_lineage
 
 ACCURACY = 100_000
 
@@ -93,11 +94,12 @@ def one_hot(df: DataFrame, columns: Sequence[str], levels: Mapping[str, Sequence
 
 def quantile_edges(
     df: DataFrame, columns: Sequence[str], bins: int, interpolate: bool = True, accuracy: int = ACCURACY,
-    exact: bool = True,
+    exact: bool = True, stored: bool = False,
 ) -> dict[str, list[float]]:
     """Inner bin edges per column, duplicates dropped.
 
-    Order statistics are exact at any size, in the same few passes for all columns.
+    Order statistics are exact at any size, in the same few passes
+    for all columns over rows written once (stored=True: rows that come straight from files).
     Without `exact` they come from mergeable sketches with rank error n/accuracy. With `interpolate`, edges lie between
     the two neighbouring order statistics; without, an edge is the value at rank ceil(q*n).
     """
@@ -105,11 +107,13 @@ def quantile_edges(
     if not interpolate and not exact:
         row = df.agg(*[F.percentile_approx(c, probs, accuracy).alias(c) for c in columns]).first()
         return {c: sorted({float(v) for v in row[c] or []}) for c in columns}
+    if exact and not stored:
+        df = cut_lineage(df.select(*columns))
     counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
     ranks = {c: _edge_ranks(counts[c], probs, interpolate) for c in columns if counts[c]}
     values: dict[str, dict[int, float]] = {}
     if exact:
-        values = order_statistics_of(df, {c: [r for lo, hi, _ in at for r in (lo, hi)] for c, at in ranks.items()})
+        values = order_statistics_of(df, {c: [r for lo, hi, _ in at for r in (lo, hi)] for c, at in ranks.items()}, stored=True)
     elif ranks:
         listed = {c: sorted({r for lo, hi, _ in at for r in (lo, hi)}) for c, at in ranks.items()}
         picks = [
@@ -200,10 +204,10 @@ def column_spec(df: DataFrame, keep: Sequence[str], spec: Sequence[tuple[str, Se
 
 
 def woe_edges(
-    df: DataFrame, columns: Sequence[str], min_bins: int = 3, max_bins: int = 7
+    df: DataFrame, columns: Sequence[str], min_bins: int = 3, max_bins: int = 7, stored: bool = False
 ) -> dict[str, list[float]]:
     """Quantile edges for weight of evidence; a column must give at least min_bins bins."""
-    edges = quantile_edges(df, columns, max_bins, interpolate=False)
+    edges = quantile_edges(df, columns, max_bins, interpolate=False, stored=stored)
     return {c: e for c, e in edges.items() if len(e) + 1 >= min_bins}
 
 
@@ -235,8 +239,9 @@ def woe_transform(
 
     The small table comes back as one map (a scalar subquery) and is looked up per row.
     """
-    edges = woe_edges(df, columns)
-    entries = woe_table(df, edges, target, event).agg(
+    narrow = cut_lineage(df.select(*columns, target))
+    edges = woe_edges(narrow, columns, stored=True)
+    entries = woe_table(narrow, edges, target, event).agg(
         F.map_from_entries(
             F.collect_list(F.struct(F.concat_ws("|", "variable", "bin").alias("k"), F.col("woe")))
         ).alias("w")

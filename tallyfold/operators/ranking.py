@@ -177,17 +177,22 @@ def order_statistics(df: DataFrame, column: str, ranks: Sequence[int]) -> dict[i
     return order_statistics_of(df, {column: ranks})[column]
 
 
-def order_statistics_of(df: DataFrame, wanted: Mapping[str, Sequence[int]]) -> dict[str, dict[int, float]]:
+def order_statistics_of(
+    df: DataFrame, wanted: Mapping[str, Sequence[int]], stored: bool = False
+) -> dict[str, dict[int, float]]:
     """Exact values at 1-based ranks of several columns, missing values left out.
 
     Sketches give split points close around the wanted ranks; exact counts of the cells
     between them say which cell holds each rank, and only the few values in those cells are
     counted one by one. The sketches decide how few, not what comes out. All columns share
-    three passes over narrow rows that are written once.
+    three passes over narrow rows that are written once; pass stored=True for rows that come
+    straight from files.
     """
     columns = {c: sorted({int(r) for r in ranks}) for c, ranks in wanted.items()}
     names = {c: f"_v{i}" for i, c in enumerate(columns)}
-    rows = cut_lineage(df.select(*[F.col(c).cast("double").alias(v) for c, v in names.items()]))
+    rows = df.select(*[F.col(c).cast("double").alias(v) for c, v in names.items()])
+    if not stored:
+        rows = cut_lineage(rows)
     sizes = rows.agg(*[F.count(v).alias(v) for v in names.values()]).first()
     asked = {c: v for c, v in names.items() if sizes[v] and columns[c]}
     if not asked:

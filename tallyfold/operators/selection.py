@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.scalar import bin_of
 from tallyfold.operators.prep import quantile_edges
+from tallyfold.session import cut_lineage
 
 
 def symmetric_uncertainty(
@@ -18,13 +19,15 @@ def symmetric_uncertainty(
 
     The contingency counts are at most bins x levels per variable, whatever the table size.
     """
-    edges = quantile_edges(df, columns, bins, interpolate=False)
+    df = cut_lineage(df.select(target, *columns))
+    edges = quantile_edges(df, columns, bins, interpolate=False, stored=True)
     pairs = [F.struct(F.lit(c).alias("variable"), bin_of(c, e).alias("bin")) for c, e in edges.items()]
     joint = (
         df.select(F.col(target).alias("y"), F.inline(F.array(*pairs)))
         .groupBy("variable", "bin", "y")
         .agg(F.count("*").alias("n"))
     )
+    joint = cut_lineage(joint)
 
     def entropy(keys: list[str]) -> DataFrame:
         cells = joint.groupBy("variable", *keys).agg(F.sum("n").cast("double").alias("n"))

@@ -19,6 +19,7 @@ from tallyfold.plans.views import (
     table,
     uniform_sql,
 )
+from tallyfold.session import cut_lineage
 
 
 @query(
@@ -366,8 +367,8 @@ def prep_woe(spark, d):
     f"WITH {WOE_CTE} SELECT variable, count(*) AS bins, sum(iv) AS iv FROM woe GROUP BY 1",
 )
 def prep_iv(spark, d):
-    rows = loans(spark, d).select("event", *_WOE_IN)
-    cells = prep.woe_table(rows, prep.woe_edges(rows, _WOE_IN), "event", 1)
+    rows = cut_lineage(loans(spark, d).select("event", *_WOE_IN))
+    cells = prep.woe_table(rows, prep.woe_edges(rows, _WOE_IN, stored=True), "event", 1)
     return cells.groupBy("variable").agg(F.count("*").alias("bins"), F.sum("iv").alias("iv"))
 
 
