@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyfold.functions.scalar import linear_predictor, logistic
+from tallyfold.operators.boosting import LEAF, FlatTrees
 from tallyfold.session import scratch_path
 
 
@@ -72,29 +73,44 @@ def _tree_rows(model: PipelineModel, df: DataFrame) -> tuple[list, list[float]]:
     return rows, [float(w) for w in trees.treeWeights]
 
 
-def tree_expression(model: PipelineModel, df: DataFrame, inputs: Sequence[str]) -> Column:
-    """P(event) of a boosted classifier as one column expression: nested conditions, summed.
+def flat_trees(model: PipelineModel, df: DataFrame, inputs: Sequence[str]) -> FlatTrees:
+    """A boosted classifier of any number of trees as flat node arrays; see FlatTrees.
 
-    The driver holds the nodes only (trees x 2^depth), never data.
+    The driver holds the nodes only (trees x 2^depth), never data. Inputs are numbers; the
+    trees' weights are in the leaves.
     """
     rows, weights = _tree_rows(model, df)
-    nodes: dict[int, dict[int, object]] = {}
+    trees: dict[int, dict[int, object]] = {}
     for r in rows:
-        nodes.setdefault(r["treeID"], {})[r["nodeData"]["id"]] = r["nodeData"]
-
-    def grow(tree: dict, i: int) -> Column:
-        node = tree[i]
-        if node["leftChild"] < 0:
-            return F.lit(float(node["prediction"]))
-        split = node["split"]
-        x, values = F.col(inputs[split["featureIndex"]]), list(split["leftCategoriesOrThreshold"])
-        goes_left = x <= values[0] if split["numCategories"] < 0 else x.isin(values)
-        return F.when(goes_left, grow(tree, node["leftChild"])).otherwise(grow(tree, node["rightChild"]))
-
-    margin = F.lit(0.0)
-    for t in sorted(nodes):
-        margin = margin + F.lit(weights[t]) * grow(nodes[t], 0)
-    return 1.0 / (1.0 + F.exp(-2.0 * margin))
+        trees.setdefault(r["treeID"], {})[r["nodeData"]["id"]] = r["nodeData"]
+    parts: dict[str, list] = {c: [] for c in ("roots", "feature", "threshold", "missing_left", "left", "right", "value")}
+    deepest = 0
+    for t in sorted(trees):
+        base = len(parts["left"])
+        parts["roots"].append(base)
+        place = {i: base + k for k, i in enumerate(sorted(trees[t]))}
+        depth = {0: 0}
+        for i in sorted(trees[t]):
+            node = trees[t][i]
+            leaf, split = node["leftChild"] < 0, node["split"]
+            if not leaf:
+                if split["numCategories"] >= 0:
+                    raise ValueError("splits on categories have no threshold")
+                for child in (node["leftChild"], node["rightChild"]):
+                    depth[child] = depth[i] + 1
+            parts["feature"].append(0 if leaf else split["featureIndex"])
+            parts["threshold"].append(0.0 if leaf else float(split["leftCategoriesOrThreshold"][0]))
+            parts["missing_left"].append(False)
+            parts["left"].append(LEAF if leaf else place[node["leftChild"]])
+            parts["right"].append(LEAF if leaf else place[node["rightChild"]])
+            parts["value"].append(weights[t] * float(node["prediction"]) if leaf else 0.0)
+        deepest = max(deepest, *depth.values())
+    return FlatTrees(tuple(inputs), **{c: tuple(v) for c, v in parts.items()}, depth=deepest)
+
+
+def boosted_probability(trees: FlatTrees) -> Column:
+    """P(event) of a boosted classifier of the library, whose margin is half the log odds."""
+    return 1.0 / (1.0 + F.exp(-2.0 * trees.margin()))
 
 
 def contract(df: DataFrame, inputs: Mapping[str, str]) -> DataFrame:

@@ -7,7 +7,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from tallyfold.operators import assess, fairness, models, sampling, scoring, selection
+from tallyfold.operators import assess, boosting, fairness, models, sampling, scoring, selection
 from tallyfold.plans.registry import query
 from tallyfold.plans.views import FEATURES, SCORED, scored
 from tallyfold.session import cut_lineage
@@ -103,6 +103,87 @@ def train_gbt_d3(spark, d):
     return _gbt_report(spark, d, depth=3)
 
 
+def _with_gaps(spark, d):
+    """The modelling rows with every fifth net worth missing; part 0 validates."""
+    gap = F.when(F.col("account_id") % 5 > 0, F.col("net_worth"))
+    rows = scored(spark, d).select("account_id", Y, *FEATURES, "part").withColumn("net_worth", gap)
+    return _stored(rows.filter("part < 2").withColumn("validate", F.col("part") == 0))
+
+
+_GAPS = f"""{SCORED}, gaps AS (SELECT account_id, event, n_lines, qty, avg_disc, amount,
+   CASE WHEN account_id % 5 > 0 THEN net_worth END AS net_worth, part FROM scored WHERE part < 2)"""
+
+
+@query("train_gbt_second_order", "round:i train_loss:f6 valid_loss:f6 train_wrong:f6 valid_wrong:f6 kept:b")
+def train_gbt_second_order(spark, d):
+    """Depth 3, rate 0.1, 100 rounds, ridge 1; stops when 50 rounds bring no lower validation loss."""
+    model = boosting.second_order(_with_gaps(spark, d), FEATURES, Y, "account_id", validation="validate", patience=50)
+    return _trail(spark, model)
+
+
+def _trail(spark, model):
+    names = ["train_loss", "valid_loss", "train_wrong", "valid_wrong"]
+    rows = [(t["round"], *(t.get(c) for c in names), t["kept"]) for t in model.trail]
+    return spark.createDataFrame(rows, "round int, " + ", ".join(f"{c} double" for c in names) + ", kept boolean")
+
+
+@query(
+    "train_gbt_leaves_check",
+    "tree:i n:i outside:i",
+    f"""WITH {_GAPS} SELECT t.tree, count(*) AS n, 0 AS outside FROM gaps, range(0, 5) AS t(tree) WHERE part = 1 GROUP BY 1""",
+)
+def train_gbt_leaves_check(spark, d):
+    """Every leaf is -rate * G / (H + ridge) of the rows in it: for each tree the rows whose leaf is not."""
+    rows = _with_gaps(spark, d)
+    trees = boosting.second_order(rows, FEATURES, Y, "account_id", trees=5, validation="validate").trees
+    out = None
+    for k in range(5):
+        before, upto = trees.first(k).margin(), trees.first(k + 1).margin()
+        p = 1.0 / (1.0 + F.exp(-F.col("m")))
+        at = rows.filter("part = 1").select(Y, before.alias("m"), F.round(upto - before, 9).alias("leaf"))
+        sums = at.withColumns({"g": p - F.col(Y), "h": p * (1 - p)}).groupBy("leaf").agg(
+            F.sum("g").alias("g"), F.sum("h").alias("h"), F.count("*").alias("rows")
+        )
+        wrong = F.abs(F.col("leaf") + 0.1 * F.col("g") / (F.col("h") + 1.0)) > 1e-6
+        part = sums.agg(
+            F.lit(k).alias("tree"), F.sum("rows").alias("n"),
+            F.coalesce(F.sum(F.when(wrong, F.col("rows"))), F.lit(0)).alias("outside"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _stagnant(spark, d):
+    """Depth 5, half of the rows a round, 50 bins, leaves of 5; stops after 5 rounds without a lower error."""
+    return boosting.second_order(
+        _with_gaps(spark, d), FEATURES, Y, "account_id", depth=5, subsample=0.5, bins=50, leaf=5, min_hessian=0.0,
+        validation="validate", metric="wrong", patience=5,
+    )
+
+
+@query("train_gbt_stagnation", "round:i train_loss:f6 valid_loss:f6 train_wrong:f6 valid_wrong:f6 kept:b")
+def train_gbt_stagnation(spark, d):
+    """The errors of every round, and the round that is kept."""
+    return _trail(spark, _stagnant(spark, d))
+
+
+@query(
+    "train_gbt_stagnation_check",
+    "part:i n:i wrong:i",
+    f"WITH {_GAPS} SELECT part, count(*) AS n, 0 AS wrong FROM gaps GROUP BY 1",
+)
+def train_gbt_stagnation_check(spark, d):
+    """The error of the kept round, counted again from the scores: wrong is the difference in rows."""
+    model = _stagnant(spark, d)
+    kept = next(t for t in model.trail if t["kept"])
+    told = F.when(F.col("part") == 1, F.lit(kept["train_wrong"])).otherwise(F.lit(kept["valid_wrong"]))
+    missed = (model.probability() >= 0.5) != (F.col(Y) == 1)
+    counted = _with_gaps(spark, d).select("part", missed.alias("missed")).groupBy("part").agg(
+        F.count("*").alias("n"), F.count_if("missed").alias("missed")
+    )
+    return counted.select("part", "n", (F.col("missed") - F.round(told * F.col("n"))).alias("wrong"))
+
+
 @query("train_rf", "part:i n:i accuracy:f6")
 def train_rf(spark, d):
     rows = _rows(spark, d)
@@ -238,10 +319,11 @@ def score_model_check(spark, d):
     f"WITH {SCORED} SELECT count(*) AS rows, count(*) AS equal FROM scored",
 )
 def score_tree_expr(spark, d):
-    """Exported trees give the model's own scores on every row."""
+    """A whole ensemble of 100 trees as score code gives the model's own scores on every row."""
     rows = _rows(spark, d).select("account_id", *FEATURES, Y, "part")
-    model = models.boosted_trees(rows.filter("part = 1"), FEATURES, Y, trees=5)
-    both = models.probability(model, rows).withColumn("q", scoring.tree_expression(model, rows, FEATURES))
+    model = models.boosted_trees(rows.filter("part = 1"), FEATURES, Y, trees=100)
+    trees = scoring.flat_trees(model, rows, FEATURES)
+    both = models.probability(model, rows).withColumn("q", scoring.boosted_probability(trees))
     return both.agg(
         F.count("*").alias("rows"), F.count_if(F.abs(F.col("p") - F.col("q")) < 1e-8).alias("equal")
     )

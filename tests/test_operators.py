@@ -318,7 +318,7 @@ def test_exported_trees_equal_the_model(spark):
     )
     df = df.withColumn("y", (F.col("a") * F.col("b") > 3).cast("int"))
     model = models.boosted_trees(df, ["a", "b"], "y", trees=4, depth=3)
-    both = models.probability(model, df).withColumn("q", scoring.tree_expression(model, df, ["a", "b"]))
+    both = models.probability(model, df).withColumn("q", scoring.boosted_probability(scoring.flat_trees(model, df, ["a", "b"])))
     assert both.filter("abs(p - q) > 1e-8").count() == 0
     assert assess.auc(both, "y", "p").first()["auc"] > 0.95
 
