@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyfold.functions.scalar import let
+
 
 def slot_number(df: DataFrame, time: str, unit: str) -> Column:
     """Consecutive numbers of the hours, days or months of a calendar; integers are numbers already."""
@@ -76,6 +78,75 @@ def ar1_fit(grid: DataFrame, series: str, time: str, value: str, unit: str = "da
     )
 
 
+#: Halvings of (-1, 1) in the search for the maximum of a likelihood.
+HALVINGS = 52
+
+
+def ar1_likelihood(grid: DataFrame, series: str, time: str, value: str, unit: str = "day") -> DataFrame:
+    """ARIMA(1,1,0) with a mean, on the log, by exact maximum likelihood, all series in one aggregation.
+
+    The first difference of a stretch without gaps has the stationary distribution, each
+    further one follows the difference before it. Nine sums a series give the likelihood at
+    any phi with the best mean and variance for it, and the zero of its slope between -1 and
+    1 is found by halving. One row per series as in ar1_fit, with the mean and `slope`, the
+    derivative of -2 log likelihood at phi. sigma2 is the sum of squares over n - 2. A series
+    without two neighbouring differences, or whose differences are all equal, has NULL estimates.
+    """
+    logged = grid.filter(F.col(value) > 0).withColumn("_y", F.ln(value))
+    d = difference(logged, series, time, "_y", [1], "_d", unit)
+    d = d.withColumn("_l", lagged(d, "_d", series, time, 1, unit))
+    first = F.when(F.col("_l").isNull(), F.col("_d"))
+    # Squares of what is left of a mean, which is taken out first: large means cost no digits.
+    here, before = F.when(F.col("_l").isNotNull(), F.col("_d") - F.col("_c")), F.when(F.col("_d").isNotNull(), F.col("_l") - F.col("_c"))
+    centre = d.groupBy(F.col(series).alias("_s")).agg(F.avg("_d").alias("_c"))
+    d = d.join(centre, F.col(series).eqNullSafe(F.col("_s"))).withColumn("_f", first - F.col("_c")).withColumns({"_h": here, "_b": before})
+    zero = F.lit(0.0)
+    sums = d.groupBy(series).agg(
+        F.first("_c").alias("centre"),
+        F.count("_f").cast("double").alias("runs"), F.count("_h").cast("double").alias("pairs"),
+        *[F.coalesce(F.sum(x), zero).alias(n) for n, x in {
+            "f1": F.col("_f"), "f2": F.col("_f") * F.col("_f"), "h1": F.col("_h"), "b1": F.col("_b"),
+            "h2": F.col("_h") * F.col("_h"), "b2": F.col("_b") * F.col("_b"), "hb": F.col("_h") * F.col("_b"),
+        }.items()],
+        F.max(time).alias("last_time"), F.max_by("_y", time).alias("last_log"),
+        F.max_by("_d", F.when(F.col("_d").isNotNull(), F.col(time))).alias("last_diff"),
+    )
+    c = {n: F.col(n) for n in ("runs", "pairs", "f1", "f2", "h1", "b1", "h2", "b2", "hb")}
+
+    def mean(phi: Column) -> Column:
+        return ((1 + phi) * c["f1"] + c["h1"] - phi * c["b1"]) / ((1 + phi) * c["runs"] + (1 - phi) * c["pairs"])
+
+    def squares(phi: Column, m: Column) -> Column:
+        start = c["f2"] - 2 * m * c["f1"] + m * m * c["runs"]
+        k = (1 - phi) * m
+        rest = c["h2"] + phi * phi * c["b2"] + k * k * c["pairs"] - 2 * phi * c["hb"] - 2 * k * c["h1"] + 2 * phi * k * c["b1"]
+        return (1 - phi * phi) * start + rest
+
+    def slope(phi: Column) -> Column:
+        def at(m: Column) -> Column:
+            start = c["f2"] - 2 * m * c["f1"] + m * m * c["runs"]
+            cross = c["hb"] - m * (c["h1"] + c["b1"]) + m * m * c["pairs"] - phi * (c["b2"] - 2 * m * c["b1"] + m * m * c["pairs"])
+            change = -2 * phi * start - 2 * cross
+            return (c["runs"] + c["pairs"]) * F.try_divide(change, squares(phi, m)) + 2 * c["runs"] * phi / (1 - phi * phi)
+
+        return let(mean(phi), at)
+
+    def halve(acc: Column, _: Column) -> Column:
+        middle = (acc["lo"] + acc["hi"]) / 2
+        return F.when(slope(middle) < 0, F.struct(middle.alias("lo"), acc["hi"].alias("hi"))).otherwise(F.struct(acc["lo"].alias("lo"), middle.alias("hi")))
+
+    start = F.struct(F.lit(-1.0).alias("lo"), F.lit(1.0).alias("hi"))
+    root = F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), start, halve, lambda acc: (acc["lo"] + acc["hi"]) / 2)
+    varies = (c["pairs"] > 1) & (c["h2"] + c["f2"] > 1e-20)
+    found = sums.withColumn("phi", F.when(varies, root))
+    found = found.withColumn("_m", mean(F.col("phi")))
+    return found.select(
+        series, "phi", (F.col("_m") + F.col("centre")).alias("mean"), ((F.col("_m") + F.col("centre")) * (1 - F.col("phi"))).alias("constant"),
+        F.try_divide(squares(F.col("phi"), F.col("_m")), c["runs"] + c["pairs"] - 2).alias("sigma2"),
+        (c["runs"] + c["pairs"]).cast("bigint").alias("n"), slope(F.col("phi")).alias("slope"), "last_time", "last_log", "last_diff",
+    )
+
+
 def ar1_forecast(fit: DataFrame, series: str, lead: int) -> DataFrame:
     """Closed-form forecasts 1..lead. The sum of h AR(1) differences around their mean m is
     h*m + (d - m) * phi * (1 - phi^h) / (1 - phi)."""

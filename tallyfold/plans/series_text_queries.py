@@ -43,6 +43,53 @@ def ts_ar1_forecast(spark, d):
     return series.ar1_forecast(series.ar1_fit(_daily(spark, d), "event_type", "slot", "value"), "event_type", 6)
 
 
+_SLOPE = """n * (-2 * x * (f2 - 2 * m * f1 + m * m * runs)
+   - 2 * (hb - m * (h1 + b1) + m * m * pairs - x * (b2 - 2 * m * b1 + m * m * pairs)))
+   / ((1 - x * x) * (f2 - 2 * m * f1 + m * m * runs) + h2 - 2 * x * hb + x * x * b2
+      - 2 * (1 - x) * m * (h1 - x * b1) + pairs * ((1 - x) * m) * ((1 - x) * m)) + 2 * runs * x / (1 - x * x)"""
+#: The zero of the slope by halving, as a recursive table; sums are about each series' mean difference.
+AR1_ML = f"""RECURSIVE {DAILY}, y AS (SELECT event_type, slot, ln(value) AS y FROM s WHERE value > 0),
+ d AS (SELECT y.event_type, y.slot, y.y, y.y - b.y AS dy FROM y LEFT JOIN y b ON b.event_type = y.event_type AND b.slot = y.slot - 1),
+ c AS (SELECT event_type, avg(dy) AS c FROM d GROUP BY 1),
+ l AS (SELECT d.event_type, d.slot, d.y, d.dy AS raw, d.dy - c.c AS h, b.dy - c.c AS b FROM d JOIN c USING (event_type)
+   LEFT JOIN d b ON b.event_type = d.event_type AND b.slot = d.slot - 1),
+ u AS (SELECT event_type, max_by(y, slot) AS last_log, max_by(raw, slot) FILTER (raw IS NOT NULL) AS last_diff,
+   count(h) AS n, count(h) FILTER (b IS NULL) AS runs, count(h) FILTER (b IS NOT NULL) AS pairs,
+   coalesce(sum(h) FILTER (b IS NULL), 0) AS f1, coalesce(sum(h * h) FILTER (b IS NULL), 0) AS f2,
+   sum(h) FILTER (b IS NOT NULL) AS h1, sum(b) FILTER (h IS NOT NULL) AS b1, sum(h * h) FILTER (b IS NOT NULL) AS h2,
+   sum(b * b) FILTER (h IS NOT NULL) AS b2, sum(h * b) AS hb FROM l GROUP BY 1),
+ z AS (SELECT event_type, -1.0::DOUBLE AS lo, 1.0::DOUBLE AS hi, 0 AS k FROM u WHERE pairs > 1
+   UNION ALL
+   SELECT event_type, CASE WHEN slope < 0 THEN x ELSE lo END, CASE WHEN slope < 0 THEN hi ELSE x END, k + 1
+   FROM (SELECT *, {_SLOPE} AS slope FROM (SELECT *, ((1 + x) * f1 + h1 - x * b1) / ((1 + x) * runs + (1 - x) * pairs) AS m
+     FROM (SELECT z.*, (lo + hi) / 2 AS x, u.* EXCLUDE (event_type) FROM z JOIN u USING (event_type) WHERE k < {series.HALVINGS})))),
+ p AS (SELECT u.*, (lo + hi) / 2 AS x FROM z JOIN u USING (event_type) WHERE k = {series.HALVINGS}),
+ f AS (SELECT event_type, x AS phi, m + c AS mean, (m + c) * (1 - x) AS constant, n, last_log, last_diff, {_SLOPE} AS slope,
+   ((1 - x * x) * (f2 - 2 * m * f1 + m * m * runs) + h2 - 2 * x * hb + x * x * b2 - 2 * (1 - x) * m * (h1 - x * b1)
+     + pairs * ((1 - x) * m) * ((1 - x) * m)) / (n - 2) AS sigma2
+   FROM (SELECT *, ((1 + x) * f1 + h1 - x * b1) / ((1 + x) * runs + (1 - x) * pairs) AS m FROM p) JOIN c USING (event_type))"""
+
+
+@query(
+    "ts_ar1_ml_fit",
+    "event_type:s phi:f7 mean:f7 constant:f7 sigma2:f7 n:i slope:f5",
+    f"WITH {AR1_ML} SELECT event_type, phi, mean, constant, sigma2, n, 0.0::DOUBLE AS slope FROM f",
+)
+def ts_ar1_ml_fit(spark, d):
+    """Exact likelihood; the slope of the likelihood at the estimate is zero."""
+    return series.ar1_likelihood(_daily(spark, d), "event_type", "slot", "value")
+
+
+@query(
+    "ts_ar1_ml_forecast",
+    "event_type:s step:i forecast:f4",
+    f"""WITH {AR1_ML} SELECT event_type, h AS step, exp(last_log + h * mean + (last_diff - mean) * phi * (1 - pow(phi, h)) / (1 - phi))
+        AS forecast FROM f, range(1, 7) AS t(h)""",
+)
+def ts_ar1_ml_forecast(spark, d):
+    return series.ar1_forecast(series.ar1_likelihood(_daily(spark, d), "event_type", "slot", "value"), "event_type", 6)
+
+
 @query(
     "ts_seasonal_diff",
     "event_type:s slot:d w:f7",
