@@ -189,6 +189,8 @@ def order_statistics_of(
     straight from files.
     """
     columns = {c: sorted({int(r) for r in ranks}) for c, ranks in wanted.items()}
+    if not columns:
+        return {}
     names = {c: f"_v{i}" for i, c in enumerate(columns)}
     rows = df.select(*[F.col(c).cast("double").alias(v) for c, v in names.items()])
     if not stored:

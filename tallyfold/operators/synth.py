@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -13,9 +12,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.functions.scalar import bin_of, hash_uniform
+from tallyfold.functions.scalar import bin_of, hash_int, hash_uniform
 from tallyfold.operators.prep import quantile_edges
-from tallyfold.operators.ranking import order_statistics_of, rank_by_value
+from tallyfold.operators.ranking import order_statistics_of, rank_by_hash, rank_by_value
 from tallyfold.session import cut_lineage
 
 
@@ -43,69 +42,148 @@ def smote_ordered(
     return nearest.select(key, *[(F.col(c) + u * (F.col(f"_other.{c}") - F.col(c))).alias(c) for c in columns])
 
 
-def _direction(size: int, seed: int) -> list[float]:
-    """A fixed direction in space, from md5."""
-    raw = [int(hashlib.md5(f"{seed}|{i}".encode()).hexdigest()[:8], 16) / 4294967296.0 - 0.5 for i in range(size)]
-    norm = math.sqrt(sum(x * x for x in raw))
-    return [x / norm for x in raw]
+PIVOTS = 16
+#: Rows of one block at least, and the largest number of blocks, whose summary all tasks hold (1 MB).
+BLOCK, BLOCKS = 1024, 4096
+#: Rows that ask one block in one group.
+ASKING = 4096
+
+
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Squared distances by products; good for choosing, not for comparing near ties."""
+    return np.maximum((x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :] - 2.0 * x @ y.T, 0.0)
+
+
+def _nearest(x: np.ndarray, own: np.ndarray, y: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, float, object, int]]:
+    """(row of x, distance, id, row of y) of the k nearest rows of y with another id; equal distances go by id."""
+    out = []
+    for at in range(0, len(x), 256):
+        part = x[at : at + 256]
+        d = _distances(part, y)
+        d[own[at : at + 256, None] == ids[None, :]] = np.inf
+        slack = 1e-9 * ((part * part).sum(axis=1) + (y * y).sum(axis=1).max())
+        upto = np.partition(d, min(k, len(y)) - 1, axis=1)[:, min(k, len(y)) - 1] + slack
+        for i in range(len(part)):
+            near = np.flatnonzero((d[i] <= upto[i]) & np.isfinite(d[i]))
+            exact = np.round(np.sqrt(((part[i] - y[near]) ** 2).sum(axis=1)), 9)
+            best = sorted(zip(exact.tolist(), ids[near].tolist(), near.tolist(), strict=True))[:k]
+            out += [(at + i, dist, other, j) for dist, other, j in best]
+    return out
+
+
+def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int) -> DataFrame:
+    """(key, _v, _n) with _n the k nearest other rows as (d, id, v), exact at any number of rows.
+
+    Every row knows its distances to PIVOTS fixed rows. Rows in order of (nearest pivot,
+    distance to it) are cut into blocks; a block keeps the least and the largest distance of
+    its rows to each pivot. The k-th distance inside the own block bounds a row's search: only
+    blocks whose distances to every pivot come within that bound of the row's are asked
+    (triangle inequality). Where vectors gather, few blocks are; where all are about equally
+    far from each other, all are, in groups of at most ASKING rows each.
+
+    The key is unique. Vectors that are null, have a null or NaN component, or another length
+    than the first pivot's have no neighbours and are left out; a row alone has none.
+    """
+    spark = df.sparkSession
+    sound = F.col(vector).isNotNull() & F.coalesce(F.forall(vector, lambda c: c.isNotNull() & ~F.isnan(c.cast("double"))), F.lit(False))
+    rows = df.filter(sound).select(F.col(key).alias("id"), F.transform(vector, lambda c: c.cast("double")).alias("v"))
+    first = rows.orderBy(hash_int("id", 0), "id").limit(PIVOTS).collect()
+    if not first:
+        none = df.filter(F.lit(False)).select(key, F.transform(vector, lambda c: c.cast("double")).alias("_v"))
+        kind = dict(df.dtypes)[key]
+        return none.withColumn("_n", F.array().cast(f"array<struct<d:double,id:{kind},v:array<double>>>"))
+    size = len(first[0]["v"])
+    pivots = np.array([r["v"] for r in first if len(r["v"]) == size], dtype=float).reshape(-1, size)
+    kind = dict(rows.dtypes)["id"]
+
+    def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            x = np.stack(pdf["v"].to_numpy()) if len(pdf) else np.empty((0, size))
+            d = np.sqrt(_distances(x, pivots))
+            nearest = d.argmin(axis=1) if len(pdf) else np.empty(0, dtype=int)
+            near = d[np.arange(len(pdf)), nearest]
+            yield pd.DataFrame({"id": pdf["id"], "v": pdf["v"], "p": list(d), "place": nearest + near / (1.0 + near)})
+
+    of_size = rows.filter(F.size("v") == size)
+    stored = cut_lineage(of_size.mapInPandas(placed, f"id {kind}, v array<double>, p array<double>, place double"))
+    ranked = rank_by_value(stored.select("id", "place").withColumn("_t", hash_int("id", 1)), "place", "_t", descending=False)
+    block = F.floor((F.col("rank") - 1) / F.greatest(F.lit(BLOCK), F.ceil(F.col("total") / BLOCKS))).cast("int")
+    blocks = cut_lineage(stored.drop("place").join(ranked.select(F.col("id").alias("_id"), block.alias("block")), F.col("id") == F.col("_id")).drop("_id"))
+
+    # The k-th distance inside the own block: what farther blocks have to beat.
+    def inside(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, ids = np.stack(pdf["v"].to_numpy()), pdf["id"].to_numpy()
+        reach = np.full(len(pdf), np.inf)
+        count = np.zeros(len(pdf), dtype=int)
+        last = np.zeros(len(pdf))
+        for i, d, _, _ in _nearest(x, ids, x, ids, k):
+            count[i] += 1
+            last[i] = d
+        reach[count == k] = last[count == k]
+        return pd.DataFrame({"id": ids, "v": pdf["v"], "p": pdf["p"], "reach": reach})
+
+    asking = cut_lineage(blocks.groupBy("block").applyInPandas(inside, f"id {kind}, v array<double>, p array<double>, reach double"))
+    ends = blocks.groupBy("block").agg(*[f(F.get("p", i)).alias(f"{n}{i}") for i in range(len(pivots)) for n, f in (("lo", F.min), ("hi", F.max))])
+    summary = ends.collect()
+    numbers = np.array([r["block"] for r in summary], dtype=int)
+    low, high = (np.array([[r[f"{n}{i}"] for i in range(len(pivots))] for r in summary]).reshape(len(summary), -1) for n in ("lo", "hi"))
+
+    def asked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for at in range(0, len(pdf), 256):
+                part = pdf.iloc[at : at + 256]
+                p = np.stack(part["p"].to_numpy())
+                gap = np.maximum(np.maximum(p[:, None, :] - high[None], low[None] - p[:, None, :]), 0.0).max(axis=2)
+                # Distances by products round; a little more is asked than the bound says.
+                row, which = np.nonzero(gap <= part["reach"].to_numpy()[:, None] * (1 + 1e-6) + 1e-4 * (1 + p.max(axis=1))[:, None])
+                yield pd.DataFrame({"id": part["id"].to_numpy()[row], "v": part["v"].to_numpy()[row], "block": numbers[which]})
+
+    ask = asking.mapInPandas(asked, f"id {kind}, v array<double>, block int")
+    ask = cut_lineage(ask.withColumn("part", hash_int("id", 2)))
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / ASKING), F.lit(1)).cast("int")
+    n_parts = cut_lineage(ask.groupBy(F.col("block").alias("of")).agg(parts.alias("parts")))
+    left = ask.join(n_parts, F.col("block") == F.col("of")).select("id", "v", "block", (F.col("part") % F.col("parts")).cast("int").alias("part"))
+    right = blocks.join(n_parts, F.col("block") == F.col("of")).select("id", "v", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+
+    def answer(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        found = _nearest(np.stack(a["v"].to_numpy()), a["id"].to_numpy(), np.stack(b["v"].to_numpy()), b["id"].to_numpy(), k) if len(a) and len(b) else []
+        i, d, other, j = zip(*found, strict=True) if found else ((), (), (), ())
+        return pd.DataFrame({"id": a["id"].to_numpy()[list(i)], "v": a["v"].to_numpy()[list(i)], "d": np.array(d, dtype=float), "near": list(other), "nv": b["v"].to_numpy()[list(j)]})
+
+    schema = f"id {kind}, v array<double>, d double, near {kind}, nv array<double>"
+    found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(answer, schema)
+    # At most k of each block.
+    best = F.slice(F.array_sort(F.collect_list(F.struct("d", F.col("near").alias("id"), F.col("nv").alias("v")))), 1, k)
+    return found.groupBy("id").agg(F.first("v").alias("_v"), best.alias("_n")).withColumnRenamed("id", key)
 
 
 def smote(
-    df: DataFrame, key: str, vector: str, class_column: str, class_to_augment, per_row: int, neighbours: int = 5,
-    seed: int = 10, projections: int = 3, block: int = 512, size: int = 64,
-) -> DataFrame:
-    """`per_row` synthetic vectors for each row of a class, between it and a near neighbour.
+    df: DataFrame, key: str, vector: str, class_column: str, class_to_augment, per_row: int | None = None, num_rows: int | None = None,
+    neighbours: int = 5, seed: int = 10,
+) -> DataFrame:
+    """Synthetic vectors of a class, each between a row and one of its nearest neighbours.
 
-    Rows are ranked along a few random directions and cut into blocks of `block` rows in rank
-    order; neighbours are exact within a block and the best over all directions are kept. The
-    search is approximate where a neighbour is far on every direction; block sizes are fixed,
-    so no task grows with the class, and only `neighbours` rows per row leave a block.
+    Every row gives `per_row` vectors; or there are `num_rows` in all, the rows first in a
+    seeded order giving one more where they do not share evenly. Neighbours are exact, see
+    nearest_neighbours(). A class of one row gives none.
     """
-    rows = df.filter(F.col(class_column) == class_to_augment).select(key, F.col(vector).alias("_v"))
-    rows = cut_lineage(rows.withColumn("_v", F.transform("_v", lambda x: x.cast("double"))))
-    kind = dict(df.dtypes)[key]
-    schema = f"{key} {kind}, _near {kind}, _d double, _v array<double>, _nv array<double>"
-
-    def nearest(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(pdf["_v"].to_numpy())
-        ids, n = pdf[key].to_numpy(), len(pdf)
-        if n < 2:
-            return pd.DataFrame({key: ids[:0], "_near": ids[:0], "_d": np.zeros(0), "_v": [], "_nv": []})
-        squares = (x * x).sum(axis=1)
-        d = np.sqrt(np.maximum(squares[:, None] + squares[None, :] - 2.0 * x @ x.T, 0.0))
-        np.fill_diagonal(d, np.inf)
-        k = min(neighbours, n - 1)
-        near = np.argsort(d, axis=1, kind="stable")[:, :k].ravel()
-        me = np.repeat(np.arange(n), k)
-        return pd.DataFrame(
-            {key: ids[me], "_near": ids[near], "_d": d[me, near], "_v": list(x[me]), "_nv": list(x[near])}
-        )
-
-    found: DataFrame | None = None
-    for i in range(projections):
-        weights = _direction(size, seed * 1000 + i)
-        dot = F.aggregate(
-            F.zip_with("_v", F.array(*[F.lit(w) for w in weights]), lambda a, b: a * b),
-            F.lit(0.0),
-            lambda acc, v: acc + v,
-        )
-        ranked = rank_by_value(rows.withColumn("_dot", dot), "_dot", key, descending=False, stored=True)
-        blocks = ranked.withColumn("_block", F.expr(f"(rank - 1) div {block}"))
-        part = blocks.select("_block", key, "_v").groupBy("_block").applyInPandas(nearest, schema)
-        found = part if found is None else found.unionByName(part)
-    best = F.slice(
-        F.array_sort(F.array_distinct(F.collect_list(F.struct(F.round("_d", 9).alias("d"), "_near", "_nv")))),
-        1,
-        neighbours,
-    )
-    # At most projections x neighbours candidates per row reach this list.
-    candidates = found.groupBy(key).agg(best.alias("_n"), F.first("_v").alias("_v"))
-    copies = candidates.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(per_row))))
+    if (per_row is None) == (num_rows is None):
+        raise ValueError("give per_row or num_rows")
+    found = nearest_neighbours(df.filter(F.col(class_column) == class_to_augment), key, vector, neighbours)
+    if per_row is not None:
+        counted = found.withColumn("_copies", F.lit(per_row))
+    else:
+        found = cut_lineage(found)
+        ranked = rank_by_hash(found.select(F.col(key).alias("_key2")), "_key2", seed + 2)
+        more = F.when(F.col("rank") <= F.lit(num_rows) % F.col("total"), 1).otherwise(0)
+        shares = ranked.select("_key2", (F.floor(F.lit(num_rows) / F.col("total")) + more).cast("int").alias("_copies"))
+        counted = found.join(shares, F.col(key) == F.col("_key2")).drop("_key2").filter("_copies > 0")
+    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     draw = F.concat_ws("#", F.col(key), F.col("copy"))
     pick = F.element_at("_n", (F.floor(hash_uniform(draw, seed) * F.size("_n")) + 1).cast("int"))
     u = hash_uniform(draw, seed + 1)
-    moved = F.zip_with("_v", pick["_nv"], lambda a, b: a + u * (b - a))
-    return copies.select(key, "copy", pick["_near"].alias("neighbour"), moved.alias("vector"))
+    moved = F.zip_with("_v", pick["v"], lambda a, b: a + u * (b - a))
+    return copies.select(key, "copy", pick["id"].alias("neighbour"), moved.alias("vector"))
 
 
 def mixture_table(df: DataFrame, column: str, max_clusters: int = 10, seed: int = 1) -> list[tuple]:

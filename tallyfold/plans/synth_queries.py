@@ -34,12 +34,37 @@ def synth_smote_exact(spark, d):
     return synth.smote_ordered(events, "account_id", "amount", _SMOTE, seed=10)
 
 
-@query("synth_smote", "vec_id:i copy:i neighbour:i first:f5")
+def _smote_sql(copies: str) -> str:
+    """All pairs of the class, the five nearest of each row, and the same draws."""
+    draw = "vec_id || '#' || copy"
+    return f"""WITH m AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings WHERE label = 1),
+        d AS (SELECT a.vec_id, a.v, b.vec_id AS other, b.v AS ov, round(list_distance(a.v, b.v), 9) AS d
+          FROM m a JOIN m b ON a.vec_id <> b.vec_id),
+        n AS (SELECT vec_id, any_value(v) AS v, list({{'d': d, 'id': other, 'v': ov}} ORDER BY d, other)[1:5] AS near FROM d GROUP BY 1),
+        r AS (SELECT *, count(*) OVER () AS total,
+            row_number() OVER (ORDER BY CAST('0x' || substr(md5(vec_id || '|12'), 1, 8) AS BIGINT), CAST(vec_id AS VARCHAR)) AS rank FROM n),
+        c AS (SELECT *, unnest(range(1, CAST({copies} AS INT) + 1)) AS copy FROM r),
+        p AS (SELECT *, near[CAST(floor({uniform_sql(draw, 10)} * len(near)) AS INT) + 1] AS pick, {uniform_sql(draw, 11)} AS u FROM c)
+        SELECT vec_id, copy, pick.id AS neighbour, v[1] + u * (pick.v[1] - v[1]) AS first FROM p"""
+
+
+@query("synth_smote", "vec_id:i copy:i neighbour:i first:f5", _smote_sql("2"))
 def synth_smote(spark, d):
     made = synth.smote(table(spark, d, "embeddings"), "vec_id", "embedding", "label", 1, per_row=2)
     return made.withColumn("first", F.element_at("vector", 1))
 
 
+@query(
+    "synth_smote_rows",
+    "vec_id:i copy:i neighbour:i first:f5",
+    _smote_sql("floor(400::DOUBLE / total) + CASE WHEN rank <= 400 % total THEN 1 ELSE 0 END"),
+)
+def synth_smote_rows(spark, d):
+    """400 rows in all, however large the class."""
+    made = synth.smote(table(spark, d, "embeddings"), "vec_id", "embedding", "label", 1, num_rows=400)
+    return made.withColumn("first", F.element_at("vector", 1))
+
+
 @query("synth_gmm", "component:i weight:f4 mean:f2 std:f2")
 def synth_gmm(spark, d):
     rows = synth.mixture_table(table(spark, d, "orders"), "o_totalprice", max_clusters=10)

@@ -374,7 +374,7 @@ def test_smote_stays_between_neighbours(spark):
     df = spark.range(200).select(
         "id", F.array(*[fn.hash_uniform("id", i).cast("float") for i in range(4)]).alias("v"), (F.col("id") % 4).cast("int").alias("label")
     )
-    made = synth.smote(df, "id", "v", "label", 1, per_row=2, neighbours=3, block=16, size=4)
+    made = synth.smote(df, "id", "v", "label", 1, per_row=2, neighbours=3)
     rows, source = made.collect(), {r["id"]: r["v"] for r in df.filter("label = 1").collect()}
     assert len(rows) == 100
     for r in rows:
