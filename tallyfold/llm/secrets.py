@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
+import string
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.functions.scalar import let
+
 WINDOW = 20
 
 #: The base kinds in their order, with the least length of what counts; "group" is of the assigned value.
@@ -20,7 +23,7 @@ _KEYWORDS = ["password", "passwd", "secret", "token", "apikey", "api_key"]
 #: Candidates for the entropy test: whole runs of key characters with a digit in them.
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}"
 #: Lower-case words joined by separators: a slug or path, or a key behind a prefix.
-JOINED = r"^[a-z0-9]+(?:[_/-][a-z0-9]+)+$"
+JOINED = r"^[a-z0-9]++(?:[_/-][a-z0-9]++)++$"
 #: Character class of a candidate (the first that fits) and the entropy of a window that it must reach.
 CLASSES = [
     ("hex", r"^[0-9a-f]+$|^[0-9A-F]+$", 3.0),
@@ -35,9 +38,13 @@ ALLOWED = [
     r"(?i)example|sample|placeholder|dummy|changeme|redacted",
     r"(.)\1{5}",
     r"0123456789|12345678|(?i:abcdefgh)",
-    r"^(?:[A-Za-z]+[/_-])+[0-9]{1,4}$",
+    r"^(?:[A-Za-z]++[/_-])++[0-9]{1,4}$",
 ]
 
+#: Symbols that are counted each by itself: those of candidates.
+ALPHABET = string.ascii_letters + string.digits + "+/_=-"
+COUNT_BITS, PER_WORD = 5, 12
+
 _OPEN, _SHUT, _OTHER = "\ue000", "\ue001", "\ue002"
 _CHUNK = 64
 
@@ -89,29 +96,44 @@ def _where(test: Column, text: Column, pattern: str) -> Column:
     return F.when(test, _found(text, pattern)).otherwise(_none())
 
 
-def window_entropy(value: Column, width: int = WINDOW) -> Column:
+def window_entropy(value: Column, width: int = WINDOW, enough: Column | None = None) -> Column:
     """The largest Shannon entropy, in bits, of `width` consecutive characters; 0 for shorter values.
 
-    The counts of the window are kept while it moves: the character that enters and the one
-    that leaves change the sum of n * log2(n) by the difference of two terms.
+    The counts of the window are kept while it moves, PER_WORD to a long: the character that
+    enters and the one that leaves change two of them, and the sum of n * log2(n) by two
+    differences. Characters are looked up once, so the work is linear in the length; from the
+    first window that has `enough` on, the rest is not looked at. Characters other than
+    ALPHABET's are one symbol. width is at most 31.
     """
-    chars = F.split(value, "")
-    codes = F.transform(F.slice(chars, 1, F.length(value)), lambda c: F.least(F.ascii(c), F.lit(127)))
-    term = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(width + 1)])
-    start = F.struct(F.array_repeat(F.lit(0), 128).alias("n"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"), F.lit(0).alias("at"))
-
-    def step(acc: Column, code: Column) -> Column:
-        full = acc["at"] >= width
-        leaving = F.when(full, F.get(codes, acc["at"] - width)).otherwise(F.lit(-1))
-        left = F.transform(acc["n"], lambda n, k: F.when(k == leaving, n - 1).otherwise(n))
-        less = F.when(full, F.get(term, F.get(acc["n"], leaving)) - F.get(term, F.get(acc["n"], leaving) - 1)).otherwise(F.lit(0.0))
-        before = F.get(left, code)
-        total = acc["sum"] - less + F.get(term, before + 1) - F.get(term, before)
+    term = [n * math.log2(n) if n else 0.0 for n in range(width + 1)]
+    growth = F.array(*[F.lit(term[n + 1] - term[n]) for n in range(width)])
+    words = -(-(len(ALPHABET) + 1) // PER_WORD)
+    places = F.array(
+        *[F.struct(F.lit(c // PER_WORD).alias("word"), F.lit(c % PER_WORD * COUNT_BITS).alias("shift"), F.lit(1 << c % PER_WORD * COUNT_BITS).cast("bigint").alias("unit")) for c in range(len(ALPHABET) + 1)]
+    )
+    start = F.struct(F.array_repeat(F.lit(0).cast("bigint"), words).alias("n"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"), F.lit(0).alias("at"))
+
+    def count(n: Column, place: Column) -> Column:
+        return F.call_function("shiftright", F.get(n, place["word"]), place["shift"]).bitwiseAND(F.lit((1 << COUNT_BITS) - 1)).cast("int")
+
+    def step(acc: Column, pair: Column) -> Column:
+        new, old = pair["new"], pair["old"]
+        full = old.isNotNull()
+        same = full & (old["unit"] == new["unit"]) & (old["word"] == new["word"])
+        less = F.when(full, F.get(growth, count(acc["n"], old) - 1)).otherwise(F.lit(0.0))
+        total = acc["sum"] - less + F.get(growth, count(acc["n"], new) - same.cast("int"))
         now = F.when(acc["at"] >= width - 1, F.lit(math.log2(width)) - total / width).otherwise(F.lit(0.0))
-        counts = F.transform(left, lambda n, k: F.when(k == code, n + 1).otherwise(n))
-        return F.struct(counts.alias("n"), total.alias("sum"), F.greatest(acc["best"], now).alias("best"), (acc["at"] + 1).alias("at"))
 
-    return F.aggregate(codes, start, step, lambda acc: acc["best"])
+        def moved(n: Column, k: Column) -> Column:
+            entered = F.when(new["word"] == k, n + new["unit"]).otherwise(n)
+            return F.when(old["word"] == k, entered - old["unit"]).otherwise(entered)
+
+        after = F.struct(F.transform(acc["n"], moved).alias("n"), total.alias("sum"), F.greatest(acc["best"], now).alias("best"), (acc["at"] + 1).alias("at"))
+        return after if enough is None else F.when(acc["best"] >= enough, acc).otherwise(after)
+
+    found = F.transform(F.slice(F.split(value, ""), 1, F.length(value)), lambda c: F.get(places, F.instr(F.lit(ALPHABET), c)))
+    pairs = let(found, lambda p: F.transform(p, lambda new, i: F.struct(new.alias("new"), F.get(p, i - width).alias("old"))))
+    return F.aggregate(pairs, start, step, lambda acc: acc["best"])
 
 
 def _least(value: Column) -> Column:
@@ -129,8 +151,12 @@ def _strong(value: Column) -> Column:
     it would have as a candidate, so a prefix does not raise what is asked of the key behind it.
     """
     mixed = F.filter(F.split(value, "[_/-]", -1), lambda p: (F.length(p) >= WINDOW) & p.rlike("[a-z]") & p.rlike("[0-9]"))
-    part = F.when(value.rlike(JOINED), F.exists(mixed, lambda p: window_entropy(p) >= _least(p))).otherwise(F.lit(False))
-    return (window_entropy(value) >= _least(value)) | part
+
+    def reaches(v: Column) -> Column:
+        return let(_least(v), lambda least: window_entropy(v, enough=least) >= least)
+
+    part = F.when(value.rlike(JOINED), F.exists(mixed, reaches)).otherwise(F.lit(False))
+    return reaches(value) | part
 
 
 def _allowed(value: Column) -> Column:
