@@ -22,8 +22,12 @@ PENALTY = 1e-4
 BATCH = 128
 #: A term takes part when its presence differs between the classes by so many deviations ...
 DEVIATIONS = 3.0
-#: ... and it lies in so many rows of the sample.
+#: ... and it lies in so many labelled rows.
 MIN_ROWS = 5
+#: Terms without a difference of their own take part when a pair of them differs by so many deviations from what its
+#: terms say alone; the pairs are those of the most frequent terms.
+PAIR_DEVIATIONS = 6.0
+FREQUENT = 1024
 
 
 def terms(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -63,17 +67,70 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit(features: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> tuple[np.ndarray, Machine]:
-    """The used slots (sorted) and the machine over them, by AdaGrad on the logistic loss."""
+Tally = tuple[np.ndarray, np.ndarray, np.ndarray, int, int]
+
+
+def _own_gap(present: np.ndarray, positive: np.ndarray, n: int, n_positive: int) -> np.ndarray:
+    """Terms whose presence differs between the classes by itself."""
+    rate = n_positive / max(n, 1)
+    expected = present * rate
+    gap = np.abs(positive - expected) / np.sqrt(np.maximum(expected * (1 - rate), 1e-9))
+    return (present >= MIN_ROWS) & (gap >= DEVIATIONS)
+
+
+def _paired(rows: np.ndarray, index: np.ndarray, labels: np.ndarray, n_terms: int) -> np.ndarray:
+    """Terms in a pair whose share of label 1 is not the one that its terms' own shares add up to (in log odds).
+
+    Rows of the FREQUENT most frequent terms are counted by products of 0/1 matrices, so that
+    terms which are neutral alone, like a group and an insult that only hits beside it, are kept.
+    """
+    out = np.zeros(n_terms, dtype=bool)
+    rate = labels.mean() if len(labels) else 0.0
+    if not 0 < rate < 1:
+        return out
+    present = np.bincount(index, minlength=n_terms)
+    top = np.argsort(-present, kind="stable")[:FREQUENT]
+    number = np.full(n_terms, -1)
+    number[top] = np.arange(len(top))
+    use = number[index] >= 0
+    rows, index = rows[use], number[index[use]]
+    both, hit = np.zeros((len(top), len(top))), np.zeros((len(top), len(top)))
+    for at in range(0, len(labels), 2048):
+        span = slice(*np.searchsorted(rows, (at, at + 2048)))
+        x = np.zeros((min(2048, len(labels) - at), len(top)), dtype=np.float32)
+        x[rows[span] - at, index[span]] = 1
+        both += x.T @ x
+        hit += x.T @ (x * labels[at : at + 2048, None].astype(np.float32))
+    own = (np.diag(hit) + rate) / (np.diag(both) + 1.0)
+    odds = np.log(own / (1 - own))
+    share = _sigmoid(odds[:, None] + odds[None, :] - np.log(rate / (1 - rate)))
+    expected = both * share
+    enough = (expected >= 5) & (both - expected >= 5)
+    gap = np.abs(hit - expected) / np.sqrt(np.maximum(expected * (1 - share), 1e-9))
+    np.fill_diagonal(gap, 0.0)
+    out[top] = (enough & (gap >= PAIR_DEVIATIONS)).any(axis=1)
+    return out
+
+
+def fit(features: list[np.ndarray], labels: np.ndarray, seed: int = 1, tally: Tally | None = None) -> tuple[np.ndarray, Machine]:
+    """The used slots (sorted) and the machine over them, by AdaGrad on the logistic loss.
+
+    Terms take part that differ between the classes by themselves, counted over `tally` (slots,
+    rows with each, those of label 1, all rows, all of label 1) or else over the rows given,
+    and terms that do so in pairs, counted over the rows given.
+    """
     n = len(labels)
     rows = np.repeat(np.arange(n), [len(f) for f in features])
     flat = np.concatenate([*features, np.empty(0, dtype=np.int64)]).astype(np.int64)
     slots, index, present = np.unique(flat, return_inverse=True, return_counts=True)
-    positive = np.bincount(index, weights=labels[rows].astype(float), minlength=len(slots))
     rate = labels.mean() if n else 0.0
-    expected = present * rate
-    gap = np.abs(positive - expected) / np.sqrt(np.maximum(expected * (1 - rate), 1e-9))
-    chosen = (present >= MIN_ROWS) & (gap >= DEVIATIONS)
+    if tally is None:
+        positive = np.bincount(index, weights=labels[rows].astype(float), minlength=len(slots))
+        chosen = _own_gap(present, positive, n, int(labels.sum()))
+    else:
+        known, *counts = tally
+        chosen = np.isin(slots, known[_own_gap(*counts)])
+    chosen |= _paired(rows, index, labels, len(slots)) & (present >= MIN_ROWS)
     slots, renumber = slots[chosen], np.cumsum(chosen) - 1
     use = chosen[index]
     rows, index = rows[use], renumber[index[use]]
@@ -108,20 +165,39 @@ def fit(features: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> tuple[
     return slots, machine
 
 
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(slot, rows, positive) of a task's rows; slot -1 counts all of them."""
+    total = np.zeros((2, (1 << HASH_BITS) + 1), dtype=np.int64)
+    for batch in kernel.slices(batches, "text"):
+        slots, rows = terms(batch)
+        labels = (batch.column("label").to_numpy() == 1).astype(np.int64)
+        total[0, :-1] += np.bincount(slots, minlength=1 << HASH_BITS)
+        total[1, :-1] += np.bincount(slots, weights=labels[rows], minlength=1 << HASH_BITS).astype(np.int64)
+        total[:, -1] += batch.num_rows, labels.sum()
+    used = np.flatnonzero(total[0])
+    numbers = np.where(used == 1 << HASH_BITS, -1, used)
+    yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(total[0, used]), pa.array(total[1, used])], names=["slot", "n", "positive"])
+
+
 def learn(rows: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id", sample: int = SAMPLE) -> tuple[np.ndarray, Machine]:
     """Fits on the labelled rows, or on a hash sample of about `sample` of them when there are more.
 
-    Only hashed terms and labels of the sample reach the driver. Rows without a label are
-    left out; no rows, or one class only, gives a machine that returns the class share.
+    The counts that choose terms by their own difference are those of all labelled rows. Only
+    these counts (2^HASH_BITS at most) and hashed terms and labels of the sample reach the
+    driver. Rows without a label are left out; no rows, or one class only, gives a machine
+    that returns the class share.
     """
     labelled = rows.select(F.col(key).alias("row_key"), F.col(text).alias("text"), F.col(label).cast("double").alias("label")).filter("label IS NOT NULL")
-    total = labelled.count()
+    labelled = cut_lineage(labelled)
+    counts = labelled.select("text", "label").mapInArrow(_tally, "slot bigint, n bigint, positive bigint")
+    found = counts.groupBy("slot").agg(F.sum("n").alias("n"), F.sum("positive").alias("positive")).orderBy("slot").toArrow()
+    slot, n, positive = (found.column(c).to_numpy() for c in ("slot", "n", "positive"))
+    total, hits = (int(n[0]), int(positive[0])) if len(slot) else (0, 0)
     if total > sample:
         labelled = labelled.filter(F.pmod(F.xxhash64("row_key"), F.lit(1 << 30)) < int(sample / total * (1 << 30)))
-    found = labelled.select("text", "label").mapInArrow(_features, "label double, slots array<int>")
-    table = cut_lineage(found).toArrow()
-    lists = [np.asarray(x, dtype=np.int64) for x in table.column("slots").to_numpy()]
-    return fit(lists, table.column("label").to_numpy())
+    features = cut_lineage(labelled.select("text", "label").mapInArrow(_features, "label double, slots array<int>")).toArrow()
+    lists = [np.asarray(x, dtype=np.int64) for x in features.column("slots").to_numpy()]
+    return fit(lists, features.column("label").to_numpy(), tally=(slot[1:], n[1:], positive[1:], total, hits))
 
 
 def _scores(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
