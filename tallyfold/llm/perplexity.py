@@ -57,36 +57,38 @@ def gram_keys(data: np.ndarray, bounds: np.ndarray, language: np.ndarray) -> tup
     if not _TABLE:
         _TABLE.append(_symbol_table())
     points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32)
-    begins = np.flatnonzero((data & 0xC0) != 0x80)
     symbols = _TABLE[0][points]
-    rows = np.searchsorted(bounds, begins, "right") - 1
     n_rows = len(bounds) - 1
-    # A boundary for each row, then the characters without repeated or leading white space.
-    symbols = np.concatenate([np.ones(n_rows, dtype=np.int64), symbols])
-    rows = np.concatenate([np.arange(n_rows), rows])
-    order = np.argsort(rows, kind="stable")
-    symbols, rows = symbols[order], rows[order]
-    keep = np.ones(len(symbols), dtype=bool)
-    keep[1:] = (symbols[1:] != 1) | (symbols[:-1] != 1) | (rows[1:] != rows[:-1])
+    ends = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[bounds]
+    rows = np.repeat(np.arange(n_rows), np.diff(ends))
+    # The characters without repeated, leading or trailing white space.
+    white = symbols == 1
+    fresh = np.ones(len(rows), dtype=bool)
+    fresh[1:] = rows[1:] != rows[:-1]
+    behind = fresh.copy()
+    behind[1:] |= white[:-1]
+    keep = ~(white & behind)
     symbols, rows = symbols[keep], rows[keep]
     last = np.ones(len(rows), dtype=bool)
     last[:-1] = rows[1:] != rows[:-1]
-    trailing = last & (symbols == 1)
-    symbols, rows = symbols[~trailing], rows[~trailing]
-    real = np.zeros(len(rows), dtype=bool)
-    real[1:] = rows[1:] == rows[:-1]
-
-    def joined(symbols: np.ndarray, bits: int) -> np.ndarray:
-        keys = symbols.copy()
+    inner = ~(last & (symbols == 1))
+    symbols, rows = symbols[inner], rows[inner]
+    # Before each row stand ORDER - 2 pads and its boundary, so no window looks into the row before.
+    gap = ORDER - 1
+    at = np.arange(len(rows)) + gap * (rows + 1)
+    boundary = np.searchsorted(rows, np.arange(n_rows)) + gap * np.arange(1, n_rows + 1) - 1
+
+    def joined(symbols: np.ndarray, bits: int, first: int) -> np.ndarray:
+        line = np.zeros(len(rows) + gap * n_rows, dtype=np.int64)
+        line[at], line[boundary] = symbols, first
+        keys = line.copy()
         for j in range(1, ORDER):
-            if len(symbols) > j:
-                keys[j:] += np.where(rows[j:] == rows[:-j], symbols[:-j], 0) << (bits * j)
-        return keys[real]
+            keys[j:] += line[:-j] << (bits * j)
+        return keys[at]
 
     high = symbols >> SYMBOL_BITS
-    rows_of = rows[real]
-    gram = joined(symbols & ((1 << SYMBOL_BITS) - 1), SYMBOL_BITS) + ((language & ((1 << LANGUAGE_BITS) - 1)) << _LANGUAGE_SHIFT)[rows_of]
-    return gram, joined(high, HIGH_BITS) if high.any() else np.zeros(len(rows_of), dtype=np.int64), rows_of
+    gram = joined(symbols & ((1 << SYMBOL_BITS) - 1), SYMBOL_BITS, 1) + ((language & ((1 << LANGUAGE_BITS) - 1)) << _LANGUAGE_SHIFT)[rows]
+    return gram, joined(high, HIGH_BITS, 0) if high.any() else np.zeros(len(rows), dtype=np.int64), rows
 
 
 def fingerprints(gram: np.ndarray, high: np.ndarray, language: np.ndarray) -> np.ndarray:
@@ -100,12 +102,34 @@ def fingerprints(gram: np.ndarray, high: np.ndarray, language: np.ndarray) -> np
 def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     """Parts are fingerprints, counts and columns of the key; equal fingerprints are summed."""
     prints, counts, *columns = (np.concatenate(p) for p in zip(*parts, strict=True))
-    order = np.argsort(prints, kind="stable")
+    order = np.argsort(prints)
     prints, counts = prints[order], counts[order]
     first = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]]))
     return prints[first], np.add.reduceat(counts, first), *(c[order[first]] for c in columns)
 
 
+def _tallied(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct prints in order, where one of each stands, and how many there are.
+
+    Sorting values is much cheaper than sorting places: a place for each comes from a table by
+    the leading bits, and only prints that lost their cell to another are sorted by place.
+    """
+    ordered = np.sort(prints)
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    distinct, counts = ordered[starts], np.diff(np.append(starts, len(ordered)))
+    shift = np.uint64(63 - math.ceil(math.log2(len(prints) + 1)))
+    cells = (prints >> shift).astype(np.int64)
+    table = np.empty(1 << (64 - int(shift)), dtype=np.int32)
+    table[cells] = np.arange(len(prints), dtype=np.int32)
+    places = table[(distinct >> shift).astype(np.int64)].astype(np.int64)
+    lost = np.flatnonzero(prints[places] != distinct)
+    if len(lost):
+        rest = np.flatnonzero(prints[table[cells]] != prints)
+        rest = rest[np.argsort(prints[rest])]
+        places[lost] = rest[np.searchsorted(prints[rest], distinct[lost])]
+    return distinct, places, counts.astype(np.int64)
+
+
 def _longs(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
 
@@ -121,9 +145,9 @@ def _distinct(batch: pa.RecordBatch) -> tuple[np.ndarray, ...] | None:
     if len(gram) == 0:
         return None
     prints = fingerprints(gram, high, languages[rows]) + folds.astype(np.uint64)[rows]
-    prints, first, n = np.unique(prints, return_index=True, return_counts=True)
+    prints, first, n = _tallied(prints)
     rows = rows[first]
-    return prints, n.astype(np.int64), gram[first], high[first], languages[rows], folds[rows]
+    return prints, n, gram[first], high[first], languages[rows], folds[rows]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,12 +307,12 @@ _NOT_NEWLINE = kernel.byte_class(0x0A, inverse=True)
 
 
 def _repeats(hashes: np.ndarray, rows: np.ndarray, every: bool) -> np.ndarray:
-    """Which entries have an equal one in the same row; without `every`, all but the first of the equal ones."""
+    """Which entries have an equal one in the same row; without `every`, all but one of the equal ones."""
     marked = np.zeros(len(hashes), dtype=bool)
     if len(hashes) < 2:
         return marked
     own = kernel.mix(hashes ^ (rows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-    order = np.argsort(own, kind="stable")
+    order = np.argsort(own)
     same = own[order][1:] == own[order][:-1]
     marked[order[1:][same]] = True
     if every:
