@@ -232,7 +232,8 @@ class Shard:
         for k in range(self.size):
             t, w = term[first[k] : first[k + 1]], weight[first[k] : first[k + 1]]
             self.query.append(t[np.argpartition(-w, QUERY_TERMS)[:QUERY_TERMS]] if len(t) > QUERY_TERMS else t)
-        order = np.argsort(term, kind="stable")
+        # Numbers of 16 bits are sorted by radix.
+        order = np.argsort(term.astype(np.uint16) if term.max(initial=0) < 1 << 16 else term, kind="stable")
         self.owner, self.weight = owner[order], weight[order]
         self.begin = np.searchsorted(term[order], np.arange(len(idf) + 1))
 
@@ -293,9 +294,12 @@ def _packed(batches: Iterator[pa.RecordBatch], shared, window: int, with_ids: bo
     _TOKENS.clear()
     kernel.release()
     idf, mean_length = shared.value
-    keys, documents, shard, n_tokens, part = [], [], None, 0, 0
+    keys, documents, places, shard, n_tokens, part = [], [], [], None, 0, 0
 
     def out() -> pa.RecordBatch:
+        # Rows arrive in any order; the same shard is packed alike whenever its task runs again.
+        order = np.lexsort(np.array(places, dtype=np.int64).T[::-1])
+        keys[:], documents[:] = [keys[k] for k in order], [documents[k] for k in order]
         pieces = pack_shard(documents, idf, mean_length, window)
         crc = [zlib.crc32(documents[d][s : s + n].astype("<u4").tobytes()) for d, s, n, _, _ in pieces]
         at = np.array(pieces, dtype=np.int64).reshape(-1, 5)
@@ -310,17 +314,19 @@ def _packed(batches: Iterator[pa.RecordBatch], shared, window: int, with_ids: bo
 
     for batch in batches:
         shards = batch.column("shard").to_pylist()
+        where = list(zip(batch.column("sketch").to_pylist(), batch.column("tie").to_pylist(), strict=True))
         for r, (raw, n) in enumerate(zip(batch.column("ids"), batch.column("n_tokens").to_pylist(), strict=True)):
             if shard != shards[r]:
                 if documents:
                     yield out()
                     kernel.release()
-                keys, documents, n_tokens, part, shard = [], [], 0, 0, shards[r]
+                keys, documents, places, n_tokens, part, shard = [], [], [], 0, 0, shards[r]
             elif n_tokens > 2 * SHARD_TOKENS or len(documents) >= 2 * SHARD_DOCUMENTS:
                 yield out()
-                keys, documents, n_tokens, part = [], [], 0, part + 1
+                keys, documents, places, n_tokens, part = [], [], [], 0, part + 1
             keys.append(batch.column("row_key").slice(r, 1))
             documents.append(_unpacked(raw.as_buffer(), n))
+            places.append(where[r])
             n_tokens += n
     if documents:
         yield out()
@@ -355,4 +361,4 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     shards = max(1, -(-(total or 0) // SHARD_TOKENS), -(-n // SHARD_DOCUMENTS))
     placed = tokens.repartitionByRange(int(shards), "sketch", "row_key").withColumn("shard", F.spark_partition_id())
     out = f"row_key {key_type}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
-    return placed.select("row_key", "n_tokens", "ids", "shard").mapInArrow(lambda it: _packed(it, shared, window, with_ids), out).withColumnRenamed("row_key", key)
+    return placed.select("row_key", "n_tokens", "ids", "sketch", F.xxhash64("row_key").alias("tie"), "shard").mapInArrow(lambda it: _packed(it, shared, window, with_ids), out).withColumnRenamed("row_key", key)
