@@ -40,13 +40,37 @@ def terms(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return both & ((1 << HASH_BITS) - 1), both >> HASH_BITS
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+#: A step of this size goes on with the next number.
+_ON = (1 << 16) - 1
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts as their distinct hashed terms: 16-bit steps from one slot to the next, a fraction of the text."""
     for batch in kernel.slices(batches, "text"):
         slots, rows = terms(batch)
-        offsets = np.searchsorted(rows, np.arange(batch.num_rows + 1)).astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("label"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(slots.astype(np.int32)))], names=["label", "slots"]
-        )
+        steps = np.diff(slots, prepend=0)
+        fresh = np.flatnonzero(np.diff(rows, prepend=-1))
+        steps[fresh] = slots[fresh]
+        ends = np.concatenate([[0], np.cumsum(steps // _ON + 1)])
+        out = np.full(ends[-1], _ON, dtype="<u2")
+        out[ends[1:] - 1] = steps % _ON
+        bounds = ends[np.searchsorted(rows, np.arange(batch.num_rows + 1))] * 2
+        packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), batch.num_rows, [None, pa.py_buffer(bounds.astype(np.int64).tobytes()), pa.py_buffer(out.tobytes())])
+        others = [n for n in batch.schema.names if n != "text"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in others), packed.cast(pa.binary())], names=[*others, "slots"])
+
+
+def _unhashed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and rows of steps, see _hashed."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    raw = column.buffers()[2]
+    steps = np.frombuffer(raw, dtype=np.uint8)[offsets[0] : offsets[-1]].view("<u2").astype(np.int64) if raw is not None else np.empty(0, dtype=np.int64)
+    begins = (offsets - offsets[0]) // 2
+    sums = np.concatenate([[0], np.cumsum(steps)])
+    rows = np.repeat(np.arange(len(column)), np.diff(begins))
+    whole = steps != _ON
+    return (sums[1:] - sums[begins[:-1]][rows])[whole], rows[whole]
 
 
 class Machine:
@@ -168,8 +192,8 @@ def fit(features: list[np.ndarray], labels: np.ndarray, seed: int = 1, tally: Ta
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(slot, rows, positive) of a task's rows; slot -1 counts all of them."""
     total = np.zeros((2, (1 << HASH_BITS) + 1), dtype=np.int64)
-    for batch in kernel.slices(batches, "text"):
-        slots, rows = terms(batch)
+    for batch in batches:
+        slots, rows = _unhashed(batch.column("slots"))
         labels = (batch.column("label").to_numpy() == 1).astype(np.int64)
         total[0, :-1] += np.bincount(slots, minlength=1 << HASH_BITS)
         total[1, :-1] += np.bincount(slots, weights=labels[rows], minlength=1 << HASH_BITS).astype(np.int64)
@@ -179,24 +203,38 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(total[0, used]), pa.array(total[1, used])], names=["slot", "n", "positive"])
 
 
-def learn(rows: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id", sample: int = SAMPLE) -> tuple[np.ndarray, Machine]:
+def learn(
+    rows: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id", sample: int = SAMPLE, labels: DataFrame | None = None
+) -> tuple[np.ndarray, Machine]:
     """Fits on the labelled rows, or on a hash sample of about `sample` of them when there are more.
 
-    The counts that choose terms by their own difference are those of all labelled rows. Only
-    these counts (2^HASH_BITS at most) and hashed terms and labels of the sample reach the
-    driver. Rows without a label are left out; no rows, or one class only, gives a machine
-    that returns the class share.
+    `labels` has (key, label) where rows have no label; texts become hashed terms before they
+    are joined to it. The counts that choose terms by their own difference are those of all
+    labelled rows. Only these counts (2^HASH_BITS at most) and hashed terms and labels of the
+    sample reach the driver. Rows without a label are left out; no rows, or one class only,
+    gives a machine that returns the class share.
     """
-    labelled = rows.select(F.col(key).alias("row_key"), F.col(text).alias("text"), F.col(label).cast("double").alias("label")).filter("label IS NOT NULL")
-    labelled = cut_lineage(labelled)
-    counts = labelled.select("text", "label").mapInArrow(_tally, "slot bigint, n bigint, positive bigint")
+    source = rows.select(F.col(key).alias("row_key"), F.col(text).alias("text"), *([] if labels is not None else [F.col(label).cast("double").alias("label")]))
+    if labels is None:
+        source = source.filter("label IS NOT NULL")
+    types = [f"{n} {t}" for n, t in source.dtypes if n != "text"]
+    hashed = source.mapInArrow(_hashed, ", ".join([*types, "slots binary"]))
+    if labels is not None:
+        marks = labels.select(F.col(key).alias("of"), F.col(label).cast("double").alias("label")).filter("label IS NOT NULL")
+        hashed = hashed.join(marks.hint("merge"), F.col("row_key") == F.col("of")).drop("of")
+    labelled = cut_lineage(hashed)
+    counts = labelled.select("label", "slots").mapInArrow(_tally, "slot bigint, n bigint, positive bigint")
     found = counts.groupBy("slot").agg(F.sum("n").alias("n"), F.sum("positive").alias("positive")).orderBy("slot").toArrow()
     slot, n, positive = (found.column(c).to_numpy() for c in ("slot", "n", "positive"))
     total, hits = (int(n[0]), int(positive[0])) if len(slot) else (0, 0)
     if total > sample:
         labelled = labelled.filter(F.pmod(F.xxhash64("row_key"), F.lit(1 << 30)) < int(sample / total * (1 << 30)))
-    features = cut_lineage(labelled.select("text", "label").mapInArrow(_features, "label double, slots array<int>")).toArrow()
-    lists = [np.asarray(x, dtype=np.int64) for x in features.column("slots").to_numpy()]
+    # In a fixed order, so that a fit can be repeated.
+    features = labelled.orderBy(F.xxhash64("row_key"), "label", "slots").select("label", "slots").toArrow()
+    lists = []
+    for batch in filter(len, features.to_batches()):
+        slots, owner = _unhashed(batch.column("slots"))
+        lists += np.split(slots, np.searchsorted(owner, np.arange(1, batch.num_rows)))
     return fit(lists, features.column("label").to_numpy(), tally=(slot[1:], n[1:], positive[1:], total, hits))
 
 

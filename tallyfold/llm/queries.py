@@ -39,7 +39,7 @@ def op5_factorization(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = crc_mod("doc_id", 5) == 0
     labels = table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", F.col("toxic").alias("label"))
-    model = factorization.learn(docs.select("doc_id", "text").join(labels, "doc_id"))
+    model = factorization.learn(docs, labels=labels)
     out = factorization.score(docs, model)
     return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
