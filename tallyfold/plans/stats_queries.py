@@ -69,20 +69,18 @@ _PAIRS = [(a, b) for a in NUMERIC for b in NUMERIC]
 @query(
     "stats_corr",
     "variable:s with_variable:s r:f6 n:i p_value:f5",
-    f"WITH {LOANS}, c AS ("
-    + " UNION ALL ".join(
-        f"SELECT '{a}' AS variable, '{b}' AS with_variable, "
-        + (f"corr({a}, {b})" if a != b else "CAST(1 AS DOUBLE)")
-        + " AS r, count(*) AS n FROM loans"
-        for a, b in _PAIRS
-    )
-    + "), t AS (SELECT *, CASE WHEN variable <> with_variable THEN"
+    # All correlations in one pass over the view, which is joined once.
+    f"WITH {LOANS}, k AS MATERIALIZED (SELECT count(*) AS n, "
+    + ", ".join((f"corr({a}, {b})" if a != b else "CAST(1 AS DOUBLE)") + f" AS r{i}" for i, (a, b) in enumerate(_PAIRS))
+    + " FROM loans), c AS ("
+    + " UNION ALL ".join(f"SELECT '{a}' AS variable, '{b}' AS with_variable, r{i} AS r, n FROM k" for i, (a, b) in enumerate(_PAIRS))
+    + "), t AS MATERIALIZED (SELECT *, CASE WHEN variable <> with_variable THEN"
     " atan(abs(r) / sqrt(1 - r * r)) END AS angle FROM c),"
     # P(|T| <= t) is the integral of cos(u)^(n-3) from 0 to atan(t / sqrt(n-2)), over that to pi/2.
     " area AS (SELECT variable, with_variable,"
-    " sum(CASE WHEN i IN (0, 20000) THEN 0.5 ELSE 1 END * pow(cos(angle * i / 20000), n - 3)) * angle AS part,"
-    " sum(CASE WHEN i IN (0, 20000) THEN 0.5 ELSE 1 END * pow(abs(cos(pi() / 2 * i / 20000)), n - 3)) * pi() / 2 AS whole"
-    " FROM t, range(20001) AS g(i) GROUP BY variable, with_variable, angle)"
+    " sum(CASE WHEN i IN (0, 4000) THEN 0.5 ELSE 1 END * pow(cos(angle * i / 4000), n - 3)) * angle AS part,"
+    " sum(CASE WHEN i IN (0, 4000) THEN 0.5 ELSE 1 END * pow(abs(cos(pi() / 2 * i / 4000)), n - 3)) * pi() / 2 AS whole"
+    " FROM t, range(4001) AS g(i) GROUP BY variable, with_variable, angle)"
     " SELECT t.variable, t.with_variable, r, n, 1 - part / whole AS p_value"
     " FROM t JOIN area ON t.variable = area.variable AND t.with_variable = area.with_variable",
 )
