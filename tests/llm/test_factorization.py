@@ -58,3 +58,23 @@ def test_screen_counts_all_labelled_rows(spark):
     slots, present, positive, n, hits = seen["tally"]
     assert n == 8000 and hits == sum(r[2] for r in rows) and 200 < seen["n"] < 600
     assert sorted(present.tolist())[0] == 40 and positive[present == 40].tolist() == [40]
+
+
+def test_labels_of_another_table_with_odd_rows(spark):
+    """Null and repeated keys, null and empty texts, null labels, clashing names, empty tables."""
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "one two"), (4, "one two"), (None, "one two"), (5, "12 ###"), (6, "é" * 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS slots", "2 AS label", "3 AS row_key", "4 AS of")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, None), (4, 1), (4, 0), (None, 1), (99, 1)], "doc_id long, label int")
+    for d, marks in ((docs, labels), (docs.limit(0), labels), (docs, labels.limit(0))):
+        out = factorization.score(docs, factorization.learn(d, labels=marks)).collect()
+        assert len(out) == len(rows) and all(0 < r["score"] < 1 for r in out)
+
+
+def test_steps_give_the_terms_back():
+    import pyarrow as pa
+
+    texts = pa.array(["zeta alpha beta " * 3, None, "", "q w e r t y u i o p " + " ".join(NOISE)])
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    (hashed,) = factorization._hashed(iter([batch]))
+    for got, want in zip(factorization._unhashed(hashed.column("slots")), factorization.terms(batch), strict=True):
+        assert got.tolist() == want.tolist()
