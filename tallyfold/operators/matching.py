@@ -11,36 +11,43 @@ from tallyfold.functions.scalar import compare_key
 from tallyfold.session import cut_lineage
 
 
-def deletion_variants(text: Column, k: int) -> Column:
-    """All strings left after deleting up to k characters.
+def deletion_variants(texts: DataFrame, column: str, k: int, variant: str = "_v") -> DataFrame:
+    """(column, variant): a row for each string left after deleting up to k characters, as 64-bit hash.
 
-    Two strings within edit distance k always share one, so an equi-join on the variants
-    finds every pair without comparing all with all.
+    Two strings within edit distance k always share one, so an equi-join on the variants finds
+    every pair without comparing all with all, and a prefix that all names share makes no key
+    hot. Positions are exploded from left to right, and of a run of equal characters only the
+    first is deleted, as the others give the same string.
     """
-
-    def shorter(t: Column) -> Column:
-        cut = lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t)))
-        return F.when(F.length(t) > 0, F.transform(F.sequence(F.lit(1), F.length(t)), cut)).otherwise(
-            F.array(t)
-        )
-
-    reached = F.array(text)
+    out = texts.select(column, F.col(column).alias("_t"), F.lit(1).alias("_from"))
     for _ in range(k):
-        reached = F.array_distinct(F.concat(reached, F.flatten(F.transform(reached, shorter))))
-    return reached
+        size, at = F.length("_t"), F.col("_at")
+        places = F.when(F.col("_from") <= size, F.concat(F.array(F.lit(0)), F.sequence(F.col("_from"), size))).otherwise(F.array(F.lit(0)))
+        placed = out.select(column, "_t", "_from", F.explode(places).alias("_at"))
+        opens_run = F.substring("_t", at, F.lit(1)) != F.substring("_t", at - 1, F.lit(1))
+        placed = placed.filter((at == 0) | (at == F.col("_from")) | opens_run)
+        shorter = F.concat(F.substring("_t", F.lit(1), at - 1), F.substring("_t", at + 1, size))
+        out = placed.select(
+            column,
+            F.when(at == 0, F.col("_t")).otherwise(shorter).alias("_t"),
+            F.when(at == 0, size + 1).otherwise(at).alias("_from"),
+        )
+    return out.select(column, F.xxhash64("_t").alias(variant))
 
 
 def near_pairs(left: DataFrame, left_col: str, right: DataFrame, right_col: str, k: int) -> DataFrame:
     """Distinct (left, right) texts within edit distance k, with the distance.
 
-    Texts are made distinct first: a name that fills a third of the rows is compared once.
+    Texts are made distinct first: a name that fills a third of the rows is compared once. A
+    text becomes some length**k / k! variants, which no size estimate foresees, so the distinct
+    texts are spread over all shuffle partitions before.
     """
-    a = left.select(F.col(left_col).alias("a")).distinct()
-    b = right.select(F.col(right_col).alias("b")).distinct()
-    a = a.select("a", F.explode(deletion_variants(F.col("a"), k)).alias("_v"))
-    b = b.select("b", F.explode(deletion_variants(F.col("b"), k)).alias("_v"))
-    near = a.join(b, "_v").withColumn("distance", F.levenshtein("a", "b"))
-    return near.filter(F.col("distance") <= k).select("a", "b", "distance").distinct()
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a = left.select(F.col(left_col).alias("a")).filter("a IS NOT NULL").distinct().repartition(parts, "a")
+    b = right.select(F.col(right_col).alias("b")).filter("b IS NOT NULL").distinct().repartition(parts, "b")
+    met = deletion_variants(a, "a", k).join(deletion_variants(b, "b", k), "_v")
+    near = met.select("a", "b", F.levenshtein("a", "b", k).alias("distance"))
+    return near.filter("distance >= 0").distinct()
 
 
 def fuzzy_join(
