@@ -10,6 +10,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyfold.functions.scalar import let
+
 THRESHOLD = 0.8
 
 #: Public license notices.
@@ -116,19 +118,68 @@ def anchors(templates: list[tuple[str, str]], threshold: float) -> list[str]:
     return sorted(chosen)
 
 
+def windows(text: Column, templates: list[tuple[str, str]], threshold: float) -> Column:
+    """[(template, license, dice)]: for each template the best window of the text that reaches the threshold.
+
+    A window has as many words as the template and starts with one of its bigrams: any other
+    window can be moved up to its first common bigram and loses none. Windows that hold fewer
+    of the template's bigrams than a fitting text needs are not compared. Templates of one word
+    have no windows. The words are split once, and only the places of the templates' bigrams
+    are looked at again.
+    """
+    told = []
+    for k, (name, body) in enumerate(templates):
+        listed = re.findall("[a-z0-9]+", body.lower())
+        if len(listed) > 1:
+            told.append((k, name, len(listed), sorted({" ".join(g) for g in zip(listed, listed[1:], strict=False)})))
+    if not told:
+        return F.array().cast("array<struct<template:int,license:string,dice:double>>")
+    every = sorted({g for *_, grams in told for g in grams})
+    first, second = sorted({g.split()[0] for g in every}), sorted({g.split()[1] for g in every})
+
+    def fitting(split: Column, hits: Column, k: int, name: str, length: int, grams: list[str]) -> Column:
+        needed = max(1, math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9))
+
+        def dice(start: Column) -> Column:
+            def compared(own: Column) -> Column:
+                return 2.0 * F.size(F.filter(own, lambda g: g.isin(grams))) / (F.size(own) + len(grams))
+
+            return let(F.slice(split, start + 1, F.lit(length)), lambda part: let(bigrams(part), compared))
+
+        def best(places: Column) -> Column:
+            dense = F.filter(places, lambda at, i: F.get(places, i + (needed - 1)) <= at + (length - 2))
+            return F.array_max(F.transform(dense, dice))
+
+        places = F.transform(F.filter(hits, lambda h: h["gram"].isin(grams)), lambda h: h["at"])
+        return F.struct(F.lit(k).alias("template"), F.lit(name).alias("license"), let(places, best).alias("dice"))
+
+    def of(split: Column) -> Column:
+        def bigram(word: Column, at: Column) -> Column:
+            after = F.get(split, at + 1)
+            return F.when(word.isin(first) & after.isin(second), F.struct(at.alias("at"), F.concat_ws(" ", word, after).alias("gram")))
+
+        hits = F.filter(F.transform(split, bigram), lambda h: h["gram"].isin(every))
+        found = let(hits, lambda h: F.array(*[fitting(split, h, *t) for t in told]))
+        return F.filter(found, lambda x: x["dice"] >= threshold)
+
+    return let(words(text), of)
+
+
 def scan(
     docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, templates: list[tuple[str, str]] | None = None
 ) -> DataFrame:
-    """(key, line, license, dice): each line of a text that a template fits, with its best license.
+    """(key, line, license, dice): each line of a text that a template fits, with its best license; line 0 for the text.
 
     Lines and templates are lower-case words; Dice is 2 * common / (bigrams of the line +
-    bigrams of the template), over distinct bigrams. line counts from 1; a text of several
-    lines is also compared as a whole, as line 0. Templates whose size lies outside
-    size * threshold / (2 - threshold) .. size * (2 - threshold) / threshold cannot reach the
-    threshold and are not compared. Ties go to the first template.
+    bigrams of the template), over distinct bigrams. line counts from 1. Line 0 stands for the
+    text: each license that fits it as a whole, or a window of it as long as the template, so
+    notices that are wrapped over lines or lie inside other text are found. Templates whose
+    size lies outside size * threshold / (2 - threshold) .. size * (2 - threshold) / threshold
+    cannot reach the threshold and are not compared. Ties go to the first template.
 
     Null and empty texts match nothing. Repeated rows give one result; texts that share a
-    key are taken apart, and the best license of a line number is reported for the key.
+    key are taken apart, and the best license of a line number (of line 0, the best Dice of each
+    license) is reported for the key.
     A null key is kept. Other columns are not read.
     """
     templates = templates or TEMPLATES
@@ -160,5 +211,8 @@ def scan(
         .withColumn("dice", 2.0 * F.col("common") / (F.col("own") + F.col("size")))
         .filter(F.col("dice") >= threshold)
     )
-    best = pairs.groupBy("row_key", "line").agg(F.max(F.struct("dice", (-F.col("template")).alias("first"), "license")).alias("best"))
+    inside = source.select("row_key", F.explode(windows(F.col("text"), templates, threshold)).alias("w"))
+    found = pairs.select("row_key", "line", "template", "license", "dice").unionByName(inside.select("row_key", F.lit(0).alias("line"), "w.*"))
+    apart = F.when(F.col("line") == 0, F.col("license")).alias("apart")
+    best = found.groupBy("row_key", "line", apart).agg(F.max(F.struct("dice", (-F.col("template")).alias("first"), "license")).alias("best"))
     return best.select(F.col("row_key").alias(key), F.col("line").cast("bigint").alias("line"), "best.license", "best.dice")

@@ -46,7 +46,7 @@ def dice() -> str:
     words = "list_filter(regexp_split_to_array(lower({0}), '[^a-z0-9]+'), lambda w: w <> '')"
     grams = "CASE WHEN len(w) = 1 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END"
     return f"""
-WITH t AS (SELECT template, license, {grams} AS grams
+WITH t AS (SELECT template, license, len(w) AS n_words, {grams} AS grams
            FROM (SELECT template, license, {words.format("text")} AS w FROM (VALUES {rows}) AS v(template, license, text))),
 s AS (SELECT DISTINCT doc_id, text, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
 u AS (SELECT doc_id, text, unnest(range(1, len(lines) + 1)) AS line, unnest(lines) AS unit FROM s
@@ -56,9 +56,22 @@ g AS (SELECT doc_id, text, line, {grams} AS grams
 c AS (SELECT g.doc_id, g.line, t.template, t.license,
              2.0::DOUBLE * len(list_intersect(g.grams, t.grams)) / (len(g.grams) + len(t.grams)) AS dice
       FROM g, t WHERE len(g.grams) BETWEEN len(t.grams) * {licenses.THRESHOLD} / (2 - {licenses.THRESHOLD})
-                                       AND len(t.grams) * (2 - {licenses.THRESHOLD}) / {licenses.THRESHOLD})
+                                       AND len(t.grams) * (2 - {licenses.THRESHOLD}) / {licenses.THRESHOLD}),
+a AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {words.format("text")} AS w FROM s),
+h AS (SELECT r, i, w[i] || ' ' || w[i + 1] AS gram FROM (SELECT r, w, unnest(range(1, len(w))) AS i FROM a)),
+k AS (SELECT r, i, template, n_words, size,
+             count(*) OVER (PARTITION BY r, template ORDER BY i RANGE BETWEEN CURRENT ROW AND (n_words - 2) FOLLOWING) AS hits
+      FROM h JOIN (SELECT template, n_words, len(grams) AS size, unnest(grams) AS gram FROM t WHERE n_words > 1) USING (gram)),
+x AS (SELECT doc_id, template, {grams} AS grams
+      FROM (SELECT doc_id, template, w[i:i + n_words - 1] AS w FROM k JOIN a USING (r)
+            WHERE hits >= size * {licenses.THRESHOLD} / (2 - {licenses.THRESHOLD}) - 1e-9)),
+f AS (SELECT doc_id, line, template, license, dice FROM c
+      UNION ALL
+      SELECT doc_id, 0 AS line, t.template, t.license,
+             2.0::DOUBLE * len(list_intersect(x.grams, t.grams)) / (len(x.grams) + len(t.grams)) AS dice
+      FROM x JOIN t USING (template))
 SELECT doc_id, line::BIGINT AS line, arg_max(license, dice * 1000000 - template) AS license, max(dice) AS dice
-FROM c WHERE dice >= {licenses.THRESHOLD} GROUP BY doc_id, line"""
+FROM f WHERE dice >= {licenses.THRESHOLD} GROUP BY doc_id, line, CASE WHEN line = 0 THEN license END"""
 
 
 def mix() -> str:
