@@ -119,36 +119,38 @@ def anchors(templates: list[tuple[str, str]], threshold: float) -> list[str]:
 
 
 def windows(text: Column, templates: list[tuple[str, str]], threshold: float) -> Column:
-    """[(template, license, dice)]: for each template the best window of the text that reaches the threshold.
+    """[(template, license, dice)]: for each template the best of the text's windows, and of a text of several lines, from the threshold.
 
     A window has as many words as the template and starts with one of its bigrams: any other
     window can be moved up to its first common bigram and loses none. Windows that hold fewer
-    of the template's bigrams than a fitting text needs are not compared. Templates of one word
-    have no windows. The words are split once, and only the places of the templates' bigrams
+    of the template's bigrams than a fitting text needs are not compared, nor are whole texts
+    that do. Templates of one word have no windows; only a text of this word alone fits them. The words are split once, and only the places of the templates' bigrams
     are looked at again.
     """
-    told = []
+    told, alone = [], []
     for k, (name, body) in enumerate(templates):
         listed = re.findall("[a-z0-9]+", body.lower())
         if len(listed) > 1:
             told.append((k, name, len(listed), sorted({" ".join(g) for g in zip(listed, listed[1:], strict=False)})))
-    if not told:
-        return F.array().cast("array<struct<template:int,license:string,dice:double>>")
+        else:
+            alone.append((k, name, listed))
+    several = F.contains(text, F.lit("\n"))
     every = sorted({g for *_, grams in told for g in grams})
     first, second = sorted({g.split()[0] for g in every}), sorted({g.split()[1] for g in every})
 
     def fitting(split: Column, hits: Column, k: int, name: str, length: int, grams: list[str]) -> Column:
         needed = max(1, math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9))
 
-        def dice(start: Column) -> Column:
-            def compared(own: Column) -> Column:
-                return 2.0 * F.size(F.filter(own, lambda g: g.isin(grams))) / (F.size(own) + len(grams))
+        def compared(own: Column) -> Column:
+            return 2.0 * F.size(F.filter(own, lambda g: g.isin(grams))) / (F.size(own) + len(grams))
 
+        def dice(start: Column) -> Column:
             return let(F.slice(split, start + 1, F.lit(length)), lambda part: let(bigrams(part), compared))
 
         def best(places: Column) -> Column:
             dense = F.filter(places, lambda at, i: F.get(places, i + (needed - 1)) <= at + (length - 2))
-            return F.array_max(F.transform(dense, dice))
+            whole = F.when(several & (F.size(places) >= needed), let(bigrams(split), compared))
+            return F.greatest(F.array_max(F.transform(dense, dice)), whole)
 
         places = F.transform(F.filter(hits, lambda h: h["gram"].isin(grams)), lambda h: h["at"])
         return F.struct(F.lit(k).alias("template"), F.lit(name).alias("license"), let(places, best).alias("dice"))
@@ -159,7 +161,12 @@ def windows(text: Column, templates: list[tuple[str, str]], threshold: float) ->
             return F.when(word.isin(first) & after.isin(second), F.struct(at.alias("at"), F.concat_ws(" ", word, after).alias("gram")))
 
         hits = F.filter(F.transform(split, bigram), lambda h: h["gram"].isin(every))
-        found = let(hits, lambda h: F.array(*[fitting(split, h, *t) for t in told]))
+        words_alone = [
+            F.struct(F.lit(k).alias("template"), F.lit(name).alias("license"), F.when(several & (split == F.array(*map(F.lit, listed))), 1.0).alias("dice"))
+            for k, name, listed in alone
+            if listed
+        ]
+        found = let(hits, lambda h: F.array(*[fitting(split, h, *t) for t in told], *words_alone))
         return F.filter(found, lambda x: x["dice"] >= threshold)
 
     return let(words(text), of)
@@ -193,11 +200,7 @@ def scan(
     least, most = grams.agg(F.min("size"), F.max("size")).first()
     # Lower case comes first, so that the texts and lines without an anchor word can be left out unsplit.
     source = docs.select(F.col(key).alias("row_key"), F.lower(F.col(text)).alias("text")).filter(anchored(F.col("text")))
-    lines = F.split("text", "\n", -1)
-    units = F.concat(
-        F.transform(lines, lambda x, k: F.struct((k + 1).alias("line"), x.alias("unit"))),
-        F.when(F.size(lines) > 1, F.array(F.struct(F.lit(0).alias("line"), F.col("text").alias("unit")))).otherwise(F.array().cast("array<struct<line:int,unit:string>>")),
-    )
+    units = F.transform(F.split("text", "\n", -1), lambda x, k: F.struct((k + 1).alias("line"), x.alias("unit")))
     split = source.select("row_key", F.xxhash64("text").alias("text_key"), F.explode(units).alias("u")).filter(anchored(F.col("u.unit")))
     split = split.select("row_key", "text_key", "u.line", words(F.col("u.unit")).alias("words"))
     sized = split.filter(F.size("words") >= int(least * low)).withColumn("grams", bigrams(F.col("words")))
