@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _ALLOWED = re.compile(r"[\w\s.+\-*/<>=!()%,]*(?:'[^']*')?[\w\s.+\-*/<>=!()%,]*")
@@ -60,6 +60,31 @@ def read_rules(rows: Sequence[Mapping[str, str]]) -> list[Rule]:
     return [Rule(x.name, x.chain, tuple(x.when), tuple(x.then), x.record) for x in ordered]
 
 
+#: Columns of a stored rule-set table, one row per condition or action.
+RULE_ROW = (
+    "rule_set_nm string, rule_id string, rule_nm string, rule_seq_no int, conditional string, record_rule_fired_flag string, "
+    "expression_type string, expression_order int, lhs_term string, expression string"
+)
+
+
+def rule_rows(spark: SparkSession, rule_set: str, rules: Sequence[Rule]) -> DataFrame:
+    """The rows of a rule-set table for these rules; read_rules and stored_rules turn them back."""
+    rows = []
+    for seq, rule in enumerate(rules, 1):
+        head = (rule_set, f"{rule_set}-{seq}", rule.name, seq, rule.chain, "Y" if rule.record else "N")
+        for kind, terms in (("CONDITION", rule.when), ("ACTION", rule.then)):
+            rows += [(*head, kind, order, target, text) for order, (target, text) in enumerate(terms, 1)]
+    return spark.createDataFrame(rows, RULE_ROW)
+
+
+def stored_rules(table: DataFrame, rule_set: str) -> list[Rule]:
+    """The rules of one set of a stored table, in any row order; only this set's rows are fetched."""
+    rules = read_rules([r.asDict() for r in table.filter(F.col("rule_set_nm") == rule_set).collect()])
+    if not rules:
+        raise ValueError(f"no rule set named {rule_set}")
+    return rules
+
+
 def apply_rules(df: DataFrame, rules: Sequence[Rule], only_if: Column | None = None) -> DataFrame:
     """Run a rule set. Each rule sees the values left by the rules before it; Catalyst folds
     the steps into one projection. `rules_fired` collects the names of recorded rules.

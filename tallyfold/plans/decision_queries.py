@@ -10,6 +10,7 @@ from tallyfold.operators import rules, scoring
 from tallyfold.plans.registry import query
 from tallyfold.plans.stats_queries import normal_cdf_sql
 from tallyfold.plans.views import COEFS, FEATURES, INTERCEPT, LOANS, SCORED, XBETA_SQL, loans, scored, table
+from tallyfold.session import cut_lineage
 
 _HOLED = f"""{LOANS}, h AS (SELECT * REPLACE (CASE WHEN status <> 'P' THEN net_worth END AS net_worth) FROM loans),
  s AS (SELECT account_id, 1 / (1 + exp(-{XBETA_SQL})) AS p FROM h)"""
@@ -214,6 +215,21 @@ def rules_loan_size(spark, d):
     return rules.apply_rules(_applications(spark, d), rules.LOAN_SIZE)
 
 
+@query(
+    "rules_from_table",
+    "account_id:i DeclineFlag:i MonthlyIncome:f6 DeclineReason:s",
+    f"""WITH {APPLICATIONS} SELECT account_id, net_worth / 26 AS "MonthlyIncome",
+        CASE WHEN score <= 620 OR dti > 100 OR amount >= 200000 OR amount < 5000 THEN 1 ELSE 0 END AS "DeclineFlag",
+        coalesce({_SCREEN_REASON}, {_SIZE_REASON}) AS "DeclineReason" FROM app""",
+)
+def rules_from_table(spark, d):
+    """Two rule sets stored as rows of one table, compiled from it and run one after the other."""
+    rows = rules.rule_rows(spark, "screening", rules.SCREENING).unionByName(rules.rule_rows(spark, "loan_size", rules.LOAN_SIZE))
+    stored = cut_lineage(rows)
+    screened = rules.apply_rules(_applications(spark, d), rules.stored_rules(stored, "screening"))
+    return rules.apply_rules(screened, rules.stored_rules(stored, "loan_size"), F.col("DeclineFlag") == 0)
+
+
 @query(
     "rules_credit_check",
     "account_id:i current_ok:i prospective_ok:i",

@@ -276,6 +276,19 @@ def test_rule_tables_are_read(spark):
         rules.apply_rules(out and spark.range(1), [rules.Rule("bad", then=[("x", "1; drop table t")])])
 
 
+def test_stored_rule_sets_come_back_in_any_row_order(spark):
+    sets = {"a": rules.SCREENING, "b": rules.CURRENT_CUSTOMER}
+    rows = [rules.rule_rows(spark, name, given) for name, given in sets.items()]
+    stored = rows[0].unionByName(rows[1]).orderBy("expression", F.desc("rule_id"))
+    for name, given in sets.items():
+        back = rules.stored_rules(stored, name)
+        assert [(r.name, r.chain, list(r.when), list(r.then), r.record) for r in back] == [
+            (r.name, r.chain, list(r.when), list(r.then), r.record) for r in given
+        ]
+    with pytest.raises(ValueError):
+        rules.stored_rules(stored, "c")
+
+
 def test_shapley_adds_up(spark):
     df = spark.range(60).select(
         "id", *[(fn.hash_uniform("id", i) * 4 - 2).alias(c) for i, c in enumerate("abc")]
