@@ -102,7 +102,8 @@ def anchors(templates: list[tuple[str, str]], threshold: float) -> list[str]:
 
     A fitting text has at least size * threshold / (2 - threshold) of a template's bigrams.
     For each template the longest words (common ones last) are taken until so many bigrams hold one of them
-    that the others alone would be too few.
+    that the others alone would be too few. A word that holds another chosen one is not listed,
+    as the texts are searched for the signs of a word, not for the word alone.
     """
     chosen: set[str] = set()
     for _, text in templates:
@@ -115,7 +116,7 @@ def anchors(templates: list[tuple[str, str]], threshold: float) -> list[str]:
                 break
             own.add(word)
         chosen |= own
-    return sorted(chosen)
+    return sorted(w for w in chosen if not any(other != w and other in w for other in chosen))
 
 
 def windows(text: Column, templates: list[tuple[str, str]], threshold: float) -> Column:
@@ -187,12 +188,13 @@ def scan(
     names = anchors(templates, threshold)
 
     def anchored(value: Column) -> Column:
-        return functools.reduce(operator.or_, (F.contains(value, F.lit(w)) for w in names))
+        # The lambda binds the value once; a filter over a plain column would lower the text anew for each word.
+        return F.exists(F.array(value), lambda v: functools.reduce(operator.or_, (F.contains(v, F.lit(w)) for w in names)))
 
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     least, most = grams.agg(F.min("size"), F.max("size")).first()
     # Lower case comes first, so that the texts and lines without an anchor word can be left out unsplit.
-    source = docs.select(F.col(key).alias("row_key"), F.lower(F.col(text)).alias("text")).filter(anchored(F.col("text")))
+    source = docs.filter(anchored(F.lower(F.col(text)))).select(F.col(key).alias("row_key"), F.lower(F.col(text)).alias("text"))
     lines = F.split("text", "\n", -1)
     units = F.concat(
         F.transform(lines, lambda x, k: F.struct((k + 1).alias("line"), x.alias("unit"))),
