@@ -70,9 +70,47 @@ def stack_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def long_to_wide(df: DataFrame, key: str, name: str, value: str, names: Sequence) -> DataFrame:
-    """Rows (key, name, value) to one row per key; the names are given, so no extra pass."""
-    return df.groupBy(key).pivot(name, list(names)).agg(F.first(value, ignorenulls=True))
+#: A pivot makes at most this many columns; with more levels the rows keep a map.
+MAX_COLUMNS = 1000
+
+
+def found_levels(df: DataFrame, column: str, most: int = MAX_COLUMNS) -> list:
+    """The levels of a column in ascending order, nulls left out, from one pass over the data.
+
+    At most `most` levels reach the driver; more are an error, as they are no list of columns.
+    """
+    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{column} has more than {most} levels; long_to_map keeps any number of them")
+    return [r[0] for r in rows]
+
+
+def long_to_wide(df: DataFrame, key: str, name: str, value: str, names: Sequence | None = None) -> DataFrame:
+    """Rows (key, name, value) to one row per key; names not given are found in the data by a first pass.
+
+    A key whose names are all null keeps its row; a name without a value is NULL.
+    """
+    names = found_levels(df, name) if names is None else list(names)
+    if not names:
+        return df.select(key).distinct()
+    return df.groupBy(key).pivot(name, names).agg(F.first(value, ignorenulls=True))
+
+
+def long_to_map(df: DataFrame, key: str, name: str, value: str, to: str = "levels") -> DataFrame:
+    """Rows (key, name, value) to one row per key with a map name -> value, names ascending.
+
+    No list of names is needed, so a new level appears by itself. Of rows that repeat a name
+    the greatest value stays; null names are left out, a key without names has an empty map.
+    Rows are reduced to one for each (key, name) before a key's names meet.
+    """
+    single = df.groupBy(key, name).agg(F.max(value).alias("_value"))
+    listed = F.collect_list(F.when(F.col(name).isNotNull(), F.struct(F.col(name).alias("key"), F.col("_value").alias("value"))))
+    return single.groupBy(key).agg(F.map_from_entries(F.array_sort(listed)).alias(to))
+
+
+def map_to_long(df: DataFrame, keep: Sequence[str], levels: str = "levels", name: str = "variable", value: str = "value") -> DataFrame:
+    """One row for each entry of a map column."""
+    return df.select(*keep, F.explode(levels).alias(name, value))
 
 
 def wide_to_long(

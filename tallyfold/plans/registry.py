@@ -2,7 +2,8 @@
 
 A column list such as "account_id:i p:f6 cls:s" fixes names, types and the digits
 that are compared: i = bigint, fN = double rounded to N digits, s = string, d = date,
-t = timestamp without zone, b = boolean.
+t = timestamp without zone, b = boolean. "*:f6" stands for all other columns, as the data have them;
+its SQL lists those of the given tables.
 """
 
 from __future__ import annotations
@@ -33,7 +34,9 @@ def _columns(cols: str) -> list[tuple[str, str]]:
 
 def _shape(df: DataFrame, cols: str) -> DataFrame:
     out = []
-    for name, kind in _columns(cols):
+    listed = _columns(cols)
+    others = [c for c in df.columns if c not in dict(listed)]
+    for name, kind in [(n, k) for name, k in listed for n in (others if name == "*" else [name])]:
         if kind[0] == "f":
             value = F.round(F.col(name).cast("double"), int(kind[1:]))
         else:
@@ -55,8 +58,8 @@ def _shape_sql(sql: str, cols: str) -> str:
     return f"SELECT {', '.join(out)} FROM ({sql}) AS shaped"
 
 
-def query(name: str, cols: str, sql: str | None = None):
-    """Register a function (spark, sf_dir) -> DataFrame under a build key."""
+def query(name: str, cols: str, sql: str | None = None, sql_cols: str | None = None):
+    """Register a function (spark, sf_dir) -> DataFrame under a build key; sql_cols where `cols` leaves columns open."""
 
     def wrap(fn):
         if name in REGISTRY:
@@ -64,7 +67,7 @@ def query(name: str, cols: str, sql: str | None = None):
         REGISTRY[name] = Query(
             name,
             lambda spark, d: _shape(fn(spark, d), cols),
-            None if sql is None else _shape_sql(sql, cols),
+            None if sql is None else _shape_sql(sql, sql_cols or cols),
         )
         return fn
 

@@ -346,14 +346,29 @@ _TYPES = ["click", "error", "purchase", "signup", "view"]
 
 @query(
     "pivot_id",
-    "user_id:i " + " ".join(f"{t}:f2" for t in _TYPES),
+    "user_id:i *:f2",
     "SELECT user_id, "
     + ", ".join(f"sum(value) FILTER (event_type = '{t}') AS {t}" for t in _TYPES)
     + " FROM events GROUP BY 1",
+    sql_cols="user_id:i " + " ".join(f"{t}:f2" for t in _TYPES),
 )
 def pivot_id(spark, d):
+    """A column for each event type that the table holds."""
     totals = table(spark, d, "events").groupBy("user_id", "event_type").agg(F.sum("value").alias("v"))
-    return rel.long_to_wide(totals, "user_id", "event_type", "v", _TYPES)
+    return rel.long_to_wide(totals, "user_id", "event_type", "v")
+
+
+@query(
+    "pivot_map",
+    "user_id:i n_types:i event_type:s value:f2",
+    """SELECT user_id, count(*) OVER (PARTITION BY user_id) AS n_types, event_type, sum(value) AS value
+       FROM events WHERE event_type IS NOT NULL GROUP BY user_id, event_type""",
+)
+def pivot_map(spark, d):
+    """All levels of a user in one row, as a map, and taken apart again."""
+    totals = table(spark, d, "events").groupBy("user_id", "event_type").agg(F.sum("value").alias("v"))
+    wide = rel.long_to_map(totals, "user_id", "event_type", "v").withColumn("n_types", F.size("levels"))
+    return rel.map_to_long(wide, ["user_id", "n_types"], name="event_type")
 
 
 @query(

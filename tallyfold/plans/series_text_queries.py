@@ -7,7 +7,7 @@ import json
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyfold.operators import series, text
+from tallyfold.operators import relational, series, text
 from tallyfold.plans.registry import query
 from tallyfold.plans.views import table
 
@@ -124,9 +124,6 @@ def ts_regularize(spark, d):
     return series.regularize(series.to_grid(events, "event_type", "ts", "value", "hour"), "event_type", "hour")
 
 
-_KINDS = ["click", "error", "purchase", "signup", "view"]
-
-
 @query(
     "ts_panel_pairs",
     "slot:d category:s adjusted:f5 unadjusted:f5",
@@ -139,11 +136,12 @@ def ts_panel_pairs(spark, d):
     week = Window.partitionBy("event_type").orderBy("slot").rowsBetween(-6, 0)
     daily = _daily(spark, d).withColumn("rate", F.col("value") / F.col("n"))
     smooth = daily.withColumn("smooth", F.avg("rate").over(week))
+    kinds = relational.found_levels(table(spark, d, "events"), "event_type")
     wide = smooth.groupBy("slot").agg(
-        *[F.max(F.when(F.col("event_type") == k, F.col("smooth"))).alias(f"sa_{k}") for k in _KINDS],
-        *[F.max(F.when(F.col("event_type") == k, F.col("rate"))).alias(f"nsa_{k}") for k in _KINDS],
+        *[F.max(F.when(F.col("event_type") == k, F.col("smooth"))).alias(f"sa_{k}") for k in kinds],
+        *[F.max(F.when(F.col("event_type") == k, F.col("rate"))).alias(f"nsa_{k}") for k in kinds],
     )
-    return series.panel_pairs(wide, "slot", _KINDS)
+    return series.panel_pairs(wide, "slot", kinds)
 
 
 @query(

@@ -308,6 +308,37 @@ def test_reshape_round_trip(spark):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, wide.collect()))
 
 
+def test_pivots_find_their_levels(spark):
+    rows = [(1, "a", 1.0), (1, "b", 2.0), (2, "b", None), (2, "c", 3.0), (3, None, 4.0), (None, "a", 5.0)]
+    df = spark.createDataFrame(rows, "id int, variable string, value double")
+    wide = relational.long_to_wide(df, "id", "variable", "value")
+    assert wide.columns == ["id", "a", "b", "c"]
+    want = {(1, 1.0, 2.0, None), (2, None, None, 3.0), (3, None, None, None), (None, 5.0, None, None)}
+    assert set(map(tuple, wide.collect())) == want
+    maps = {r["id"]: r["levels"] for r in relational.long_to_map(df, "id", "variable", "value").collect()}
+    assert maps == {1: {"a": 1.0, "b": 2.0}, 2: {"b": None, "c": 3.0}, 3: {}, None: {"a": 5.0}}
+    again = relational.long_to_map(df.union(df.selectExpr("id", "variable", "value + 1")), "id", "variable", "value")
+    assert again.filter("id = 1").first()["levels"] == {"a": 2.0, "b": 3.0}
+    assert relational.long_to_wide(df.limit(0), "id", "variable", "value").columns == ["id"]
+    assert relational.long_to_map(df.limit(0), "id", "variable", "value").count() == 0
+    with pytest.raises(ValueError, match="more than 2 levels"):
+        relational.found_levels(df, "variable", 2)
+    many = spark.range(5000).selectExpr("CAST(id % 2 AS int) AS id", "CAST(id AS string) AS variable", "CAST(id AS double) AS value")
+    assert [len(r["levels"]) for r in relational.long_to_map(many, "id", "variable", "value").collect()] == [2500, 2500]
+
+
+def test_a_sixth_event_type_appears(spark, tmp_path):
+    from tallyfold.plans.catalogue import REGISTRY
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    more = events.limit(50).withColumn("event_type", F.lit("refund"))
+    events.unionByName(more).write.parquet(str(tmp_path / "events.parquet"))
+    wide = REGISTRY["pivot_id"].run(spark, str(tmp_path))
+    assert len(wide.columns) == 7 and wide.filter("refund IS NOT NULL").count() == more.select("user_id").distinct().count()
+    assert REGISTRY["pivot_map"].run(spark, str(tmp_path)).filter("event_type = 'refund'").count() > 0
+    assert REGISTRY["ts_panel_pairs"].run(spark, str(tmp_path)).filter("category = 'refund'").count() > 0
+
+
 def test_delete_keeps_unknown(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "x int")
     assert sorted(str(r[0]) for r in relational.delete_where(df, F.col("x") != 1).collect()) == ["1", "None"]
