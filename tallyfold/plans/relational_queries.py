@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyfold.functions.scalar import lt_or_missing
@@ -44,6 +46,33 @@ def src_csv_roundtrip(spark, d):
     return io.read_csv(spark, path, customer.schema)
 
 
+_STORED_SQL = """SELECT 'promoted' AS stored, o_orderstatus, count(*) AS n, sum(o_totalprice) AS total FROM orders GROUP BY 2
+       UNION ALL SELECT 'copied', o_orderstatus, count(*), sum(o_totalprice) FROM orders
+       WHERE o_totalprice >= 100000 GROUP BY 2
+       UNION ALL SELECT 'replaced', o_orderstatus, count(*), 2 * sum(o_totalprice) FROM orders
+       WHERE o_orderstatus <> 'P' GROUP BY 2"""
+
+
+@query("src_stored_tables", "stored:s o_orderstatus:s n:i total:f1", _STORED_SQL)
+def src_stored_tables(spark, d):
+    """A view is promoted, copied in part, and then replaced by rows made from itself; the names are dropped at the end."""
+    tag = uuid.uuid4().hex
+    kept, part = f"kept_{tag}", f"part_{tag}"
+    io.load_once(spark, "orders", f"{d}/orders.parquet").createOrReplaceTempView(f"session_{tag}")
+    promoted = io.promote_table(spark, f"session_{tag}", kept)
+    copied = io.copy_table(spark, kept, part, ["o_orderstatus", "o_totalprice"], "o_totalprice >= 100000")
+    doubled = promoted.filter("o_orderstatus <> 'P'").withColumn("o_totalprice", 2 * F.col("o_totalprice"))
+    replaced = io.replace_table(doubled, kept)
+    sums = [
+        t.groupBy(F.lit(name).alias("stored"), "o_orderstatus").agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("total"))
+        for name, t in (("promoted", promoted), ("copied", copied), ("replaced", replaced))
+    ]
+    for name in (kept, part):
+        io.drop_table(spark, name)
+    spark.catalog.dropTempView(f"session_{tag}")
+    return rel.stack_all(sums)
+
+
 @query(
     "src_inline",
     "area:s customers:i",

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallyfold.session import scratch_path
+
 
 def load_once(spark: SparkSession, name: str, path: str) -> DataFrame:
     """The view of a stored parquet table, registered on first use of that path."""
@@ -34,6 +37,54 @@ def save_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> No
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
 
 
+def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Store rows as a catalog table, in place of an older one of that name, and return the new table.
+
+    The rows are written whole to a new folder below the shared one, and only then does the
+    name move to them: a write that fails leaves the old table as it was, and the rows may come
+    from the table they replace. Frames that read an old table without partitions go on with
+    its files; a partitioned one is looked up by name when it is read.
+    """
+    spark = df.sparkSession
+    staged = f"{name}_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").option("path", scratch_path(spark, "table"))
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(staged)
+    drop_table(spark, name)
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    return spark.table(name)
+
+
+def promote_table(spark: SparkSession, view: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Make a view of this session a stored table that all sessions of the catalog see.
+
+    A name that is already stored is refused; drop or replace it first. The view stays.
+    """
+    if spark.catalog.tableExists(name):
+        raise ValueError(f"{name} is already stored")
+    return replace_table(spark.table(view), name, partition_by)
+
+
+def copy_table(
+    spark: SparkSession, source: str, target: str, columns: Sequence[str] | None = None, where: str | None = None, replace: bool = False
+) -> DataFrame:
+    """A stored table of the source's rows, or of some columns and the rows for which `where` holds.
+
+    An existing target is refused unless `replace`; the copy does not follow later changes.
+    """
+    if not replace and spark.catalog.tableExists(target):
+        raise ValueError(f"{target} is already stored")
+    rows = spark.table(source)
+    rows = rows.filter(where) if where is not None else rows
+    return replace_table(rows.select(*columns) if columns else rows, target)
+
+
+def drop_table(spark: SparkSession, name: str) -> bool:
+    """Forget a stored table, whose files stay; False if there is none of that name."""
+    known = spark.catalog.tableExists(name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return known
+
+
 def read_warehouse(
     spark: SparkSession,
     url: str,

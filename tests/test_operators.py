@@ -308,6 +308,28 @@ def test_reshape_round_trip(spark):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, wide.collect()))
 
 
+def test_stored_tables_are_promoted_copied_and_replaced(spark):
+    spark.range(10).selectExpr("id", "CAST(id % 2 AS string) AS k").createOrReplaceTempView("tallyfold_view")
+    io.drop_table(spark, "tallyfold_kept")
+    first = io.promote_table(spark, "tallyfold_view", "tallyfold_kept")
+    with pytest.raises(ValueError, match="already stored"):
+        io.promote_table(spark, "tallyfold_view", "tallyfold_kept")
+    assert spark.newSession().table("tallyfold_kept").count() == 10
+    copied = io.copy_table(spark, "tallyfold_kept", "tallyfold_copy", ["k"], "id > 6")
+    assert copied.columns == ["k"] and copied.count() == 3
+    with pytest.raises(ValueError, match="already stored"):
+        io.copy_table(spark, "tallyfold_kept", "tallyfold_copy")
+    again = io.replace_table(spark.table("tallyfold_kept").filter("id < 4"), "tallyfold_kept", ["k"])
+    assert (again.count(), first.count(), copied.count()) == (4, 10, 3)
+    assert dict(again.dtypes) == {"id": "bigint", "k": "string"}
+    broken = spark.table("tallyfold_kept").withColumn("id", F.raise_error(F.lit("stop")).cast("bigint"))
+    with pytest.raises(Exception, match="stop"):
+        io.replace_table(broken, "tallyfold_kept")
+    assert spark.table("tallyfold_kept").count() == 4
+    assert io.copy_table(spark, "tallyfold_kept", "tallyfold_copy", where="id < 0", replace=True).count() == 0
+    assert io.drop_table(spark, "tallyfold_kept") and io.drop_table(spark, "tallyfold_copy") and not io.drop_table(spark, "tallyfold_copy")
+
+
 def test_pivots_find_their_levels(spark):
     rows = [(1, "a", 1.0), (1, "b", 2.0), (2, "b", None), (2, "c", 3.0), (3, None, 4.0), (None, "a", 5.0)]
     df = spark.createDataFrame(rows, "id int, variable string, value double")
