@@ -188,6 +188,34 @@ def test_near_pairs_are_complete(spark):
     assert got == want
 
 
+def _edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("k", [0, 1, 2, 3])
+def test_near_pairs_of_short_and_repetitive_texts(spark, k):
+    """All lengths from none, runs of equal characters, shared ends, a right side without some lengths."""
+    draw = random.Random(k)
+    words = sorted({"".join(draw.choice("ab1") for _ in range(n)) for n in range(7) for _ in range(12)})
+    for left, right in ((words, words[::2]), ([f"xxa{w}é" for w in words], [f"xxa{w}é" for w in words if len(w) in (0, 5)])):
+        a, b = (spark.createDataFrame([(w,) for w in [*side, None]], "w string") for side in (left, right))
+        got = [(r["a"], r["b"], r["distance"]) for r in matching.near_pairs(a, "w", b, "w", k).collect()]
+        want = {(x, y, _edits(x, y)) for x in left for y in right if _edits(x, y) <= k}
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_near_pairs_bring_no_far_texts_of_one_length_together(spark):
+    """Numbers that differ in up to four digits share what is left after two deletions; they are not compared."""
+    numbers = spark.range(1000).select(F.format_string("%04d", F.col("id") * 7 % 10000).alias("a"))
+    met = matching._met(numbers, numbers.withColumnRenamed("a", "b"), 2)
+    assert met.filter(F.levenshtein("a", "b") > 2).count() == 0
+
+
 def test_entity_chains_are_followed(spark):
     # 0-1-2-...-19 linked alternately by rule a and rule b: one long chain, one hot value, one loner.
     rows = [(i, f"a{i // 2}", f"b{(i + 1) // 2}") for i in range(20)]
