@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
@@ -186,26 +189,115 @@ def smote(
     return copies.select(key, "copy", pick["id"].alias("neighbour"), moved.alias("vector"))
 
 
+#: Rows of a block of numbers, and partitions up to which the driver alone adds up their sums.
+NUMBERS, FEW = 1 << 14, 32
+#: Spark's spread of a density, and the tolerance and rounds of its estimator.
+EPSILON, TOLERANCE, ROUNDS = 2.0**-52, 0.01, 50
+
+
+@dataclass
+class _Mixture:
+    """Weights, means and variances of the components, and how far the fit has come."""
+
+    weight: np.ndarray
+    mean: np.ndarray
+    var: np.ndarray
+    value: float = -float(np.finfo(float).max)
+    before: float = 0.0
+
+    def settled(self) -> bool:
+        return not abs(self.value - self.before) > TOLERANCE
+
+    def sums(self, x: np.ndarray) -> tuple[float, np.ndarray]:
+        """Log likelihood of some rows; each component's sums of shares, of share * x and of share * x * x."""
+        sound = self.var > EPSILON * self.var
+        safe = np.where(sound, self.var, 1.0)
+        p = x[None, :] - self.mean[:, None]
+        p *= np.where(sound, np.sqrt(1.0 / safe), 0.0)[:, None]
+        p *= p
+        p *= -0.5
+        p += (-0.5 * (math.log(2.0 * math.pi) + np.log(safe)))[:, None]
+        np.exp(p, out=p)
+        p *= self.weight[:, None]
+        p += EPSILON
+        total = p.sum(axis=0)
+        p /= total
+        return float(np.log(total).sum()), np.stack([p.sum(axis=1), p @ x, p @ (x * x)])
+
+    def moved(self, value: float, sums: np.ndarray) -> _Mixture:
+        share, first, second = sums
+        mean = first / share
+        return _Mixture(share / share.sum(), mean, (second - share * mean * mean) / share, value, self.value)
+
+
+def _numbers(rows: DataFrame, column: str) -> RDD:
+    """The column's values as arrays, at most NUMBERS in one."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column(0).to_numpy(zero_copy_only=False)
+            for at in range(0, len(x), NUMBERS):
+                yield pa.RecordBatch.from_arrays([pa.array([x[at : at + NUMBERS].tobytes()], type=pa.binary())], names=["x"])
+
+    return rows.select(column).mapInArrow(packed, "x binary").rdd.map(lambda r: np.frombuffer(r[0], dtype=np.float64))
+
+
+def _climbed(blocks: RDD, models: dict[int, _Mixture]) -> dict[int, _Mixture]:
+    """Expectation-maximisation of all models at once: a round is one pass, which the settled ones sit out."""
+    models = dict(models)
+    for _ in range(ROUNDS):
+        going = {k: m for k, m in models.items() if not m.settled()}
+        if not going:
+            break
+
+        def one(items: Iterator[np.ndarray], going: dict = going) -> Iterator[dict]:
+            out: dict = {}
+            for x in items:
+                found = {k: m.sums(x) for k, m in going.items()}
+                out = merge(out, found)
+            yield out
+
+        def merge(a: dict, b: dict) -> dict:
+            return {k: (a[k][0] + b[k][0], a[k][1] + b[k][1]) for k in a} if a and b else a or b
+
+        depth = 1 if blocks.getNumPartitions() <= FEW else 2
+        found = blocks.mapPartitions(one).treeAggregate({}, merge, merge, depth)
+        models |= {k: m.moved(*found[k]) for k, m in going.items()}
+    return models
+
+
 def mixture_table(df: DataFrame, column: str, max_clusters: int = 10, seed: int = 1) -> list[tuple]:
     """(component, weight, mean, std) of a one-column Gaussian mixture; the number of
-    components has the lowest BIC among 1..max_clusters."""
+    components has the lowest BIC among 1..max_clusters.
+
+    Spark's estimator draws the starts; its rounds are made here, for all numbers of components
+    in one pass over arrays, with its formulas, tolerance and limit of rounds.
+    """
     rows = VectorAssembler(inputCols=[column], outputCol="features", handleInvalid="skip").transform(df.select(column))
-    stored = cut_lineage(rows.select("features"))
+    stored = cut_lineage(rows.select("features", F.col(column).cast("double").alias("_x")))
     x = F.col(column).cast("double")
     one = df.agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.var_pop(x).alias("var")).first()
     n, std = one["n"], math.sqrt(one["var"])
     single = -0.5 * n * (math.log(2 * math.pi * one["var"]) + 1.0)
     best = (-2.0 * single + 2 * math.log(n), None)
+    models = {}
     for k in range(2, max_clusters + 1):
-        model = GaussianMixture(k=k, seed=seed, maxIter=50).fit(stored)
-        bic = -2.0 * model.summary.logLikelihood + (3 * k - 1) * math.log(n)
+        start = GaussianMixture(k=k, seed=seed, maxIter=0).fit(stored.select("features"))
+        var = [float(g.cov.toArray()[0][0]) for g in start.gaussians]
+        models[k] = _Mixture(np.array(start.weights, dtype=float), np.array([float(g.mean[0]) for g in start.gaussians]), np.array(var))
+    if models:
+        blocks = _numbers(stored, "_x").persist(StorageLevel.MEMORY_AND_DISK)
+        models = _climbed(blocks, models)
+        blocks.unpersist()
+    for k, model in models.items():
+        bic = -2.0 * model.value + (3 * k - 1) * math.log(n)
         if bic < best[0]:
             best = (bic, model)
     model = best[1]
     if model is None:
         return [(0, 1.0, one["mean"], std)]
-    parts = [(float(w), g) for w, g in zip(model.weights, model.gaussians, strict=True)]
-    return [(i, w, float(g.mean[0]), math.sqrt(float(g.cov.toArray()[0][0]))) for i, (w, g) in enumerate(parts)]
+    parts = zip(model.weight.tolist(), model.mean.tolist(), model.var.tolist(), strict=True)
+    return [(i, w, mean, math.sqrt(var)) for i, (w, mean, var) in enumerate(parts)]
 
 
 def level_shares(df: DataFrame, columns: Sequence[str], at_most: int = 1000) -> dict[str, list[tuple[str, float]]]:

@@ -6,9 +6,12 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.clustering import GaussianMixture
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from tallyfold.operators import boosting, ranking, series, synth
+from tallyfold.session import cut_lineage
 
 
 def _rows(spark, n=4000, seed=0):
@@ -176,3 +179,24 @@ def test_order_statistics_of_many_columns(spark, monkeypatch):
         values = sorted(float(r[i]) for r in rows if r[i] is not None)
         assert got[c] == {r: values[r - 1] for r in ranks}
     assert got["d"] == {}
+
+
+def test_mixtures_equal_the_estimator_in_one_pass_a_round(spark, monkeypatch):
+    """Spark's estimator gives the starts only; all numbers of components climb together to where it would end."""
+    draw = np.random.default_rng(4)
+    values = np.concatenate([draw.normal(0, 1, 300), draw.normal(9, 2, 200), [0.0] * 20]).round(3).tolist()
+    df = spark.createDataFrame([(v,) for v in [*values, None, None]], "v double")
+    rows = VectorAssembler(inputCols=["v"], outputCol="features", handleInvalid="skip").transform(df).select("features")
+    want, low = None, math.inf
+    for k in range(2, 5):
+        model = GaussianMixture(k=k, seed=1, maxIter=50).fit(cut_lineage(rows))
+        bic = -2 * model.summary.logLikelihood + (3 * k - 1) * math.log(len(values))
+        if bic < low:
+            want, low = model, bic
+    asked = []
+    monkeypatch.setattr(synth, "GaussianMixture", lambda **p: asked.append(p["maxIter"]) or GaussianMixture(**p))
+    got = synth.mixture_table(df, "v", max_clusters=4)
+    assert asked == [0, 0, 0]
+    assert [i for i, *_ in got] == list(range(len(want.weights)))
+    for (_, w, mean, std), weight, g in zip(got, want.weights, want.gaussians, strict=True):
+        assert np.allclose([w, mean, std], [weight, g.mean[0], math.sqrt(g.cov.toArray()[0][0])], rtol=1e-6)
