@@ -3,6 +3,7 @@
 Rows are binned, written once and held as blocks of arrays. A level of a tree is one pass in
 which every task sums gradients and Hessians by (node, input, bin); the sums are reduced in a
 tree, and the driver sees at most 2^depth x inputs x (bins + 1) cells and picks the splits.
+Bins are held by input in the smallest whole numbers, so a sum is one count over an array.
 The blocks are an RDD because a fit is some hundred such passes: one takes 0.05 s of overhead,
 as a query 0.3 to 0.5 s. Gradients are summed as whole numbers (2^-24 steps), so a fit does
 not depend on partitions, order or retries.
@@ -10,27 +11,32 @@ not depend on partitions, order or retries.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field, replace
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.functions.scalar import hash_int, let
+from tallyfold.functions.scalar import hash_int
 from tallyfold.operators.prep import quantile_edges
 from tallyfold.session import cut_lineage
 
 UNIT = 1 << 24
 #: Rounds after which the blocks' margins are moved on, so that a pass walks at most so many trees.
-MOVED_EVERY = 10
+MOVED_EVERY = 4
 LEAF = -1
 #: Rows of a block.
 BLOCK = 1 << 14
 #: Partitions up to which histograms are merged by the driver alone.
 FEW = 32
+#: Cells of all partial histograms up to which the driver alone merges them.
+MERGED = 1 << 22
+#: Rows that are walked through a tree at a time when scoring.
+WALKED = 1 << 12
 
 
 @dataclass(frozen=True)
@@ -52,26 +58,38 @@ class FlatTrees:
         return FlatTrees(self.inputs, self.roots[:n], self.feature, self.threshold, self.missing_left, self.left, self.right, self.value, self.depth)
 
     def margin(self, base: float = 0.0) -> Column:
-        """The sum over trees of the leaf each row falls in: a fold over the trees, in it a fold over the levels.
+        """The sum over trees of the leaf each row falls in, walked for many rows at a time, tree after tree.
 
-        The arrays are literals, whatever the number of trees, and no condition is nested. A
-        leaf is its own child, so every row takes the same number of steps.
+        A leaf is its own child, so every row takes the same number of steps. Null and NaN are missing.
         """
         if not self.roots:
             return F.lit(float(base))
-        feature, threshold, value = _literal(self.feature, "int"), _literal(self.threshold, "double"), _literal(self.value, "double")
-        pairs = [(i, i) if l == LEAF else (l, r) for i, (l, r) in enumerate(zip(self.left, self.right, strict=True))]
-        children, side = _literal([c for pair in pairs for c in pair], "int"), _literal([0 if m else 1 for m in self.missing_left], "int")
-
-        def leaf(x: Column, root: Column) -> Column:
-            def step(node: Column, _: Column) -> Column:
-                right = (F.get(x, F.get(feature, node)) > F.get(threshold, node)).cast("int")
-                return F.get(children, node * 2 + F.coalesce(right, F.get(side, node)))
-
-            return F.aggregate(F.sequence(F.lit(1), F.lit(max(self.depth, 1))), root, step)
-
-        x = F.array(*[F.nullif(F.col(c).cast("double"), F.lit(float("nan"))) for c in self.inputs])
-        return let(x, lambda x: F.aggregate(_literal(self.roots, "int"), F.lit(float(base)), lambda acc, root: acc + F.get(value, leaf(x, root))))
+        trees, inputs = self, len(self.inputs)
+
+        @F.pandas_udf("double")
+        def total(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+            feature, threshold, value = np.array(trees.feature, dtype=np.int32), np.array(trees.threshold, dtype=float), np.array(trees.value, dtype=float)
+            missing_right = ~np.array(trees.missing_left, dtype=bool)
+            children = np.array([(i, i) if l == LEAF else (l, r) for i, (l, r) in enumerate(zip(trees.left, trees.right, strict=True))], dtype=np.int32).ravel()
+            for columns in batches:
+                x = np.stack([c.to_numpy(dtype=float, na_value=np.nan) for c in columns])
+                out = np.full(x.shape[1], float(base))
+                for start in range(0, len(out), WALKED):
+                    part = np.ascontiguousarray(x[:, start : start + WALKED])
+                    n = part.shape[1]
+                    flat, rows, gone = part.ravel(), np.arange(n, dtype=np.int32), np.isnan(part).any()
+                    for root in trees.roots:
+                        at = np.full(n, root, dtype=np.int32)
+                        for _ in range(max(trees.depth, 1)):
+                            v = flat[feature[at] * n + rows] if inputs > 1 else flat
+                            right = v > threshold[at]
+                            if gone:
+                                right |= np.isnan(v) & missing_right[at]
+                            at = children[2 * at + right]
+                        out[start : start + n] += value[at]
+                yield pd.Series(out)
+
+        return total(*[F.col(c).cast("double") for c in self.inputs])
 
     def table(self, df: DataFrame) -> DataFrame:
         """Score code as rows: (tree, node, variable, threshold, missing_left, left, right, value)."""
@@ -83,11 +101,6 @@ class FlatTrees:
         return df.sparkSession.createDataFrame(rows, "tree int, node int, variable string, threshold double, missing_left boolean, left int, right int, value double")
 
 
-def _literal(values: Sequence, kind: str) -> Column:
-    """A literal array from one text, folded when the query is planned."""
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
-
-
 @dataclass
 class Boosted:
     trees: FlatTrees
@@ -134,35 +147,9 @@ def _grow(cells: dict, node: int, edges: list[np.ndarray], s: Settings) -> tuple
     return best
 
 
-class _Walker:
-    """Margins and nodes of binned rows, inside tasks."""
-
-    def __init__(self, trees: list[dict]):
-        self.trees = trees
-
-    @staticmethod
-    def node(tree: dict, bins: np.ndarray, missing: np.ndarray) -> np.ndarray:
-        at = np.zeros(len(bins), dtype=np.int64)
-        left, right, f, k, ml = (np.asarray(tree[c]) for c in ("left", "right", "feature", "bin", "missing_left"))
-        while True:
-            go = np.flatnonzero(left[at] != LEAF)
-            if len(go) == 0:
-                return at
-            here = at[go]
-            x = bins[go, f[here]]
-            goes_left = np.where(x == missing[f[here]], ml[here], x <= k[here])
-            at[go] = np.where(goes_left, left[here], right[here])
-
-    def margins(self, start: np.ndarray, bins: np.ndarray, missing: np.ndarray) -> np.ndarray:
-        out = start.copy()
-        for tree in self.trees:
-            out += np.asarray(tree["value"])[self.node(tree, bins, missing)]
-        return out
-
-
 @dataclass
 class _Block:
-    """Some rows: bins by input, target, 1 for validation rows, random bits, margin."""
+    """Some rows: bins as inputs x rows, target, 1 for validation rows, random bits, margin."""
 
     bins: np.ndarray
     y: np.ndarray
@@ -175,17 +162,19 @@ class _Block:
 
 
 def _node(tree: dict, bins: np.ndarray, missing: np.ndarray) -> np.ndarray:
-    """The last node of each row on its way down."""
-    at = np.zeros(len(bins), dtype=np.int64)
-    left, right, f, k, ml = (np.asarray(tree[c]) for c in ("left", "right", "feature", "bin", "missing_left"))
-    while True:
-        go = np.flatnonzero(left[at] != LEAF)
-        if len(go) == 0:
-            return at
-        here = at[go]
-        x = bins[go, f[here]]
-        goes_left = np.where(x == missing[f[here]], ml[here], x <= k[here])
-        at[go] = np.where(goes_left, left[here], right[here])
+    """The last node of each row on its way down; a leaf is its own child."""
+    n = bins.shape[1]
+    flat, rows = bins.ravel(), np.arange(n)
+    at = np.zeros(n, dtype=np.int64)
+    leaf = np.array(tree["left"]) == LEAF
+    itself = np.arange(len(leaf))
+    children = np.stack([np.where(leaf, itself, tree["left"]), np.where(leaf, itself, tree["right"])], axis=1).ravel()
+    f, k = np.array(tree["feature"]), np.array(tree["bin"])
+    none, missing_right = missing[f], ~np.array(tree["missing_left"], dtype=bool)
+    while not leaf[at].all():
+        x = flat[f[at] * n + rows]
+        at = children[2 * at + np.where(x == none[at], missing_right[at], x > k[at])]
+    return at
 
 
 def _margins(trees: list[dict], start: np.ndarray, bins: np.ndarray, missing: np.ndarray) -> np.ndarray:
@@ -195,64 +184,72 @@ def _margins(trees: list[dict], start: np.ndarray, bins: np.ndarray, missing: np
     return out
 
 
-def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Parts are cells and rows of three sums; equal cells are added up."""
-    cells, where = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-    total = np.zeros((len(cells), 3), dtype=np.int64)
-    np.add.at(total, where, np.concatenate([v for _, v in parts]))
-    return cells, total
+#: Sums of the losses, wrong rows and rows of training and of validation rows, and of G, H and rows by (node, input, bin).
+_Sums = tuple[np.ndarray, np.ndarray]
+
 
+def _summed(a: _Sums | None, b: _Sums | None) -> _Sums | None:
+    return (a[0] + b[0], a[1] + b[1]) if a is not None and b is not None else b if a is None else a
 
-_NOTHING = (np.empty(0, dtype=np.int64), np.empty((0, 3), dtype=np.int64))
 
+def _cells(block: _Block, done: list[dict], current: dict | None, missing: np.ndarray, width: int, cut: int, round_: int) -> _Sums:
+    """Sums over the sampled training rows by open node, input and bin; without a current tree the losses of all rows too.
 
-def _cells(block: _Block, done: list[dict], current: dict | None, missing: np.ndarray, width: int, cut: int, round_: int) -> tuple[np.ndarray, np.ndarray]:
-    """(node, input, bin) cells of the sampled training rows with G, H and n; below 0 the losses of all rows."""
-    n_inputs = len(missing)
+    All are whole numbers far below 2^53, which sums of doubles keep.
+    """
+    opened = [0] if current is None else current["open"]
     p = 1.0 / (1.0 + np.exp(-np.clip(_margins(done, block.margin, block.bins, missing), -500, 500)))
-    g, h = np.rint((p - block.y) * UNIT).astype(np.int64), np.rint(p * (1 - p) * UNIT).astype(np.int64)
-    used = (block.role == 0) & (sampled(block.draw, round_) < cut)
-    parts = []
+    used = block.role == 0
+    if cut < 1 << 32:
+        used &= sampled(block.draw, round_) < cut
+    losses = np.zeros((2, 3), dtype=np.int64)
     if current is None:
         at = np.zeros(len(p), dtype=np.int64)
-        loss = np.rint(-np.log(np.maximum(np.where(block.y == 1, p, 1 - p), 1e-15)) * UNIT).astype(np.int64)
-        wrong = (p >= 0.5) != (block.y == 1)
-        parts.append((-1 - block.role.astype(np.int64), np.stack([loss, wrong.astype(np.int64), np.ones_like(loss)], axis=1)))
+        loss = np.rint(-np.log(np.maximum(np.where(block.y == 1, p, 1 - p), 1e-15)) * UNIT)
+        for part, values in enumerate((loss, (p >= 0.5) != (block.y == 1), None)):
+            losses[:, part] = np.bincount(block.role, weights=values, minlength=2)
+    else:
+        slots = np.full(len(current["left"]), -1, dtype=np.int64)
+        slots[opened] = np.arange(len(opened))
+        at = slots[_node(current, block.bins, missing)]
+        used &= at >= 0
+    if not used.all():
+        at, p, y, bins = at[used], p[used], block.y[used], block.bins[:, used]
     else:
-        at = _node(current, block.bins, missing)
-        used &= np.isin(at, current["open"])
-    cells = (at[used, None] * n_inputs + np.arange(n_inputs)) * width + block.bins[used]
-    parts.append((cells.ravel(), np.repeat(np.stack([g[used], h[used], np.ones_like(g[used])], axis=1), n_inputs, axis=0)))
-    return _summed(parts)
+        y, bins = block.y, block.bins
+    g, h = np.rint((p - y) * UNIT), np.rint(p * (1 - p) * UNIT)
+    sums = np.empty((len(opened), len(missing), 3, width), dtype=np.int64)
+    at = at * width
+    for f in range(len(missing)):
+        cell = at + bins[f]
+        for part, values in enumerate((g, h, None)):
+            sums[:, f, part] = np.bincount(cell, weights=values, minlength=len(opened) * width).reshape(len(opened), width)
+    return losses, sums
 
 
 def _histograms(blocks: RDD, done: list[dict], current: dict | None, sizes: list[int], cut: int, round_: int) -> dict[int, list]:
-    """{node: [(G, H, n) of each input]}; with a current tree its open leaves are the nodes, else node 0."""
-    n_inputs, width, missing = len(sizes), max(sizes) + 1, np.array(sizes)
+    """{node: [(G, H, n) of each input]}; with a current tree its open leaves are the nodes, else node 0 and, below 0, the losses."""
+    width, missing = max(sizes) + 1, np.array(sizes)
+    opened = [0] if current is None else current["open"]
 
-    def one(items: Iterator[_Block]) -> Iterator[tuple]:
-        total = _NOTHING
+    def one(items: Iterator[_Block]) -> Iterator[_Sums | None]:
+        total = None
         for block in items:
-            total = _summed([total, _cells(block, done, current, missing, width, cut, round_)])
+            total = _summed(total, _cells(block, done, current, missing, width, cut, round_))
         yield total
 
-    def merge(a: tuple, b: tuple) -> tuple:
-        return _summed([a, b])
-
-    # At most FEW partial histograms reach the driver; more are merged by tasks first.
-    depth = 1 if blocks.getNumPartitions() <= FEW else 2
-    cells, sums = blocks.mapPartitions(one).treeAggregate(_NOTHING, merge, merge, depth)
+    # At most FEW partial histograms, and MERGED cells of them, reach the driver; more are merged by tasks first.
+    parts = blocks.getNumPartitions()
+    depth = 1 if parts <= FEW and parts * len(opened) * len(sizes) * 3 * width <= MERGED else 2
+    found = blocks.mapPartitions(one).treeAggregate(None, _summed, _summed, depth)
     out: dict[int, list] = {}
-    for cell, v in zip(cells.tolist(), sums, strict=True):
-        if cell < 0:
-            out[cell] = v.tolist()
-            continue
-        node, rest = divmod(cell, n_inputs * width)
-        f, b = divmod(rest, width)
-        if node not in out:
-            out[node] = [tuple(np.zeros(k + 1, dtype=np.int64) for _ in range(3)) for k in sizes]
-        for a, x in zip(out[node][f], v, strict=True):
-            a[b] = x
+    if found is None:
+        return out
+    losses, sums = found
+    out |= {-1 - role: v.tolist() for role, v in enumerate(losses) if v[2]}
+    for node, cells in zip(opened, sums, strict=True):
+        if cells[0, 2].any():
+            out[node] = [tuple(a[: k + 1] for a in cells[f]) for f, k in enumerate(sizes)]
     return out
 
 
@@ -288,18 +285,26 @@ def second_order(
     edges = [np.array(found[c]) for c in names]
     sizes = [len(e) + 1 for e in edges]
 
-    def block(rows: Iterator) -> Iterator[_Block]:
-        while part := list(itertools.islice(rows, BLOCK)):
-            y, role, draw, *x = (np.array(c) for c in zip(*part, strict=True))
-            codes = np.empty((len(part), len(names)), dtype=np.int32)
+    kind = np.uint8 if max(sizes) < 1 << 8 else np.uint16 if max(sizes) < 1 << 16 else np.int32
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            y, role, draw, *x = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            codes = np.empty((len(names), batch.num_rows), dtype=kind)
             for i, v in enumerate(x):
-                v = v.astype(np.float64)
-                codes[:, i] = np.where(np.isnan(v), sizes[i], np.searchsorted(edges[i], v, "left"))
-            yield _Block(codes, y, role, draw.astype(np.int64), np.zeros(len(part)))
+                codes[i] = np.where(np.isnan(v), sizes[i], np.searchsorted(edges[i], v, "left"))
+            arrays = (codes, y.astype(np.float64), role.astype(np.int8), draw.astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()], type=pa.binary()) for a in arrays], names=["bins", "y", "role", "draw"])
+
+    def block(r) -> _Block:
+        y = np.frombuffer(r["y"], dtype=np.float64)
+        codes = np.frombuffer(r["bins"], dtype=kind).reshape(len(names), len(y))
+        return _Block(codes, y, np.frombuffer(r["role"], dtype=np.int8), np.frombuffer(r["draw"], dtype=np.int64), np.zeros(len(y)))
 
     # No more tasks than full blocks: on little data a pass is mostly the start of its tasks.
     n_rows = narrow.count()
-    blocks = narrow.coalesce(max(1, -(-n_rows // BLOCK))).rdd.mapPartitions(block).persist(StorageLevel.MEMORY_AND_DISK)
+    packed = narrow.coalesce(max(1, -(-n_rows // BLOCK))).mapInArrow(coded, "bins binary, y binary, role binary, draw binary")
+    blocks = packed.filter("length(y) > 0").rdd.map(block).persist(StorageLevel.MEMORY_AND_DISK)
     s = Settings(rate, depth, ridge, min_hessian, leaf)
     cut = round(subsample * (1 << 32))
     grown: list[dict] = []
@@ -326,6 +331,10 @@ def second_order(
             latest, old = grown[since:], blocks
             blocks, since = old.map(lambda b, latest=latest: b.moved(latest, missing)).persist(StorageLevel.MEMORY_AND_DISK), len(grown)
             held.append(blocks)
+            # The last ones are computed from those before in the next pass; what is older is no longer read.
+            for spent in held[:-2]:
+                spent.unpersist()
+            del held[:-2]
     for old in held:
         old.unpersist()
     best = len(grown)

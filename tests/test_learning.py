@@ -200,3 +200,38 @@ def test_mixtures_equal_the_estimator_in_one_pass_a_round(spark, monkeypatch):
     assert [i for i, *_ in got] == list(range(len(want.weights)))
     for (_, w, mean, std), weight, g in zip(got, want.weights, want.gaussians, strict=True):
         assert np.allclose([w, mean, std], [weight, g.mean[0], math.sqrt(g.cov.toArray()[0][0])], rtol=1e-6)
+
+
+def test_histograms_have_a_cell_for_each_bin_whatever_the_rows():
+    """Whole sums by open node, input and bin; a leaf that is not open and a row that does not train count nowhere."""
+    draw = np.random.default_rng(5)
+    n = 3000
+    bins = draw.integers(0, 4, (2, n)).astype(np.uint8)
+    y, role = draw.integers(0, 2, n).astype(float), draw.integers(0, 2, n).astype(np.int8)
+    tree = {"feature": [0, 0, 0], "bin": [1, 0, 0], "missing_left": [True, False, False], "left": [1, -1, -1], "right": [2, -1, -1], "value": [0.0, 0.5, -0.5], "open": [2]}
+    block = boosting._Block(bins, y, role, np.zeros(n, dtype=np.int64), np.zeros(n))
+    _, sums = boosting._cells(block, [], tree, np.array([3, 3]), 4, 1 << 32, 0)
+    assert sums.shape == (1, 2, 3, 4)
+    inside = (role == 0) & np.isin(bins[0], [2])
+    for f in range(2):
+        for b in range(4):
+            at = inside & (bins[f] == b)
+            assert sums[0, f, :, b].tolist() == [int(((0.5 - y[at]) * boosting.UNIT).sum()), int(at.sum()) * boosting.UNIT // 4, int(at.sum())]
+    losses, _ = boosting._cells(block, [tree], None, np.array([3, 3]), 4, 1 << 32, 0)
+    assert losses[:, 2].tolist() == [int((role == 0).sum()), int((role == 1).sum())]
+
+
+def test_score_code_walks_rows_together(spark):
+    """No fold over trees inside a row; null, NaN and infinite inputs, a leaf above others, an empty table."""
+    trees = boosting.FlatTrees(
+        ("a", "b"), (0, 3), (0, 0, 0, 1, 0, 0, 0, 0), (1.0, 0.0, 0.0, 2.0, 0.0, 0.5, 0.0, 0.0),
+        (True, False, False, False, False, True, False, False), (1, -1, -1, 4, -1, 6, -1, -1), (2, -1, -1, 5, -1, 7, -1, -1),
+        (0.0, 1.0, 10.0, 0.0, 100.0, 0.0, 1000.0, 10000.0), 2,
+    )
+    rows = [(1.0, 2, 101.0), (1.5, 3, 10010.0), (None, None, 1001.0), (math.nan, 2, 101.0), (math.inf, None, 10010.0), (-math.inf, 9, 1001.0)]
+    df = spark.createDataFrame(rows, "a double, b int, want double")
+    out = df.withColumn("m", trees.margin(0.25))
+    assert all(r["m"] == r["want"] + 0.25 for r in out.collect())
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan
+    assert out.limit(0).count() == 0 and trees.first(0).roots == ()
