@@ -64,7 +64,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array([name] * len(cells), type=pa.string()), pa.array(cells), pa.array(table[cells])], names=["lang", "cell", "n"]
             )
 
-    for batch in kernel.slices(batches, "text"):
+    for batch in kernel.slices(batches, "text", kernel.SLICE // 2):
         cells, begins, rows = word_cells(batch)
         if len(cells) == 0:
             continue

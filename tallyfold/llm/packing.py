@@ -330,6 +330,10 @@ def _packed(batches: Iterator[pa.RecordBatch], shared, window: int, with_ids: bo
             n_tokens += n
     if documents:
         yield out()
+    # The worker is used again: the last shard's arrays go before its next stage begins.
+    keys, documents, places = [], [], []
+    batch = raw = shards = where = None
+    kernel.release()
 
 
 def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", window: int = WINDOW, end: int = END, with_ids: bool = True) -> DataFrame:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tallyfold.llm import packing
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -56,3 +61,15 @@ def test_empty_tables(spark, name):
     out = dict(corpus_pipeline.STAGES)[name](spark, empty, SF)
     assert out.count() == 0
     assert name == "pack" or out.columns == COLUMNS
+
+
+def test_packing_hands_its_memory_back_at_the_end_of_a_task(monkeypatch):
+    """Workers are used again by the next stage, which must not find the last shard's arrays still held."""
+    calls = []
+    monkeypatch.setattr(packing.kernel, "release", lambda: calls.append("released"))
+    ids = [np.array([5, 6, 2], dtype="<u2").tobytes(), np.array([2], dtype="<u2").tobytes()]
+    columns = {"row_key": [1, 2], "n_tokens": [3, 1], "ids": ids, "sketch": [0, 0], "tie": [1, 2], "shard": [0, 0]}
+    shared = SimpleNamespace(value=(np.ones(8), 2.0))
+    for made in packing._packed(iter([pa.RecordBatch.from_pydict(columns)]), shared, 4096, True):
+        calls.append(made.num_rows)
+    assert calls == ["released", 2, "released"]
