@@ -6,7 +6,7 @@ import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
@@ -19,6 +19,9 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.operators.forest import Forest
+from tallyfold.operators.forest import fit as fit_forest
+
 FEATURES = "_features"
 SEED = 12345
 
@@ -70,13 +73,10 @@ def boosted_trees(
 
 def forest(
     df: DataFrame, inputs: Sequence[str], target: str, trees: int = 100, depth: int = 20, leaf: int = 5,
-    seed: int = SEED,
-) -> PipelineModel:
-    est = RandomForestClassifier(
-        featuresCol=FEATURES, labelCol=target, numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=seed,
-        maxMemoryInMB=1024,
-    )
-    return _fit([_assembler(inputs), est], df, [*inputs, target])
+    seed: int = SEED, key: str | None = None,
+) -> Forest:
+    """A random forest for a 0/1 target; the bootstrap draws hash `key`."""
+    return fit_forest(df, inputs, target, trees, depth, leaf, key=key, seed=seed)
 
 
 REGRESSORS = {"tree": DecisionTreeRegressor, "boosting": GBTRegressor, "forest": RandomForestRegressor}
@@ -191,8 +191,10 @@ def importance_table(df: DataFrame, model: PipelineModel, inputs: Sequence[str])
     return table.orderBy(F.desc("importance"), "variable")
 
 
-def probability(model: PipelineModel, df: DataFrame, out: str = "p") -> DataFrame:
+def probability(model: PipelineModel | Forest, df: DataFrame, out: str = "p") -> DataFrame:
     """Score a table and keep its columns beside P(event)."""
+    if isinstance(model, Forest):
+        return model.probability(df, out)
     scored = model.transform(df)
     return scored.withColumn(out, vector_to_array("probability")[1]).select(*df.columns, out)
 

@@ -187,7 +187,7 @@ def train_gbt_stagnation_check(spark, d):
 @query("train_rf", "part:i n:i accuracy:f6")
 def train_rf(spark, d):
     rows = _rows(spark, d)
-    model = models.forest(rows.filter("part = 1"), FEATURES, Y)
+    model = models.forest(rows.filter("part = 1"), FEATURES, Y, key="account_id")
     return assess.accuracy(models.probability(model, rows), Y, "p", by=["part"])
 
 
