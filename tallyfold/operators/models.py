@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
@@ -84,7 +86,7 @@ REGRESSORS = {"tree": DecisionTreeRegressor, "boosting": GBTRegressor, "forest":
 
 def tree_regression(
     df: DataFrame, inputs: Sequence[str], target: str, kind: str = "boosting", nominal: Sequence[str] = (),
-    seed: int = SEED, **params,
+    seed: int = SEED, weight: str | None = None, **params,
 ) -> PipelineModel:
     """Tree regressors for an interval target; nominal inputs are indexed, not dummied."""
     coded = [f"_{c}" for c in nominal]
@@ -92,7 +94,64 @@ def tree_regression(
     if nominal:
         stages.append(StringIndexer(inputCols=list(nominal), outputCols=coded, handleInvalid="keep"))
     est = REGRESSORS[kind](featuresCol=FEATURES, labelCol=target, seed=seed, **params)
-    return _fit([*stages, _assembler([*inputs, *coded]), est], df, [*inputs, *nominal, target])
+    if weight:
+        est = est.setWeightCol(weight)
+    return _fit([*stages, _assembler([*inputs, *coded]), est], df, [*inputs, *nominal, target, weight])
+
+
+def split_candidates(values: np.ndarray, bins: int) -> np.ndarray:
+    """Thresholds between `bins` bins of equal counts, as Spark's trees choose them from the rows they look at."""
+    found, counts = np.unique(values, return_counts=True)
+    if len(found) <= bins:
+        return (found[:-1] + found[1:]) / 2
+    stride = len(values) / bins
+    out, target, below = [], stride, counts[0]
+    for i in range(1, len(found)):
+        upto = below + counts[i]
+        if abs(below - target) < abs(upto - target):
+            out.append((found[i - 1] + found[i]) / 2)
+            target += stride
+        below = upto
+    return np.array(out)
+
+
+#: Rows that a tree's thresholds are chosen from; Spark's estimator looks at 10 000.
+LOOKED_AT = 100_000
+
+
+def fold_cells(
+    df: DataFrame, inputs: Sequence[str], target: str, fold: str, folds: Sequence[int], bins: int = 32
+) -> DataFrame:
+    """The rows of each fold as cells of binned inputs: (model, fold, inputs, rows, target, squares).
+
+    For each k of `folds` (the column model) the bins are those of a tree trained on the rows outside fold k. A split
+    between bins depends on a cell's rows and mean only, so trees are fitted on at most bins^inputs cells a fold, whatever
+    the number of rows. Rows without an input are left out; a row without target is an error, as for Spark's estimators.
+    """
+    used = df.select(F.col(fold).cast("int").alias("fold"), *[F.col(c).cast("double").alias(c) for c in inputs], F.col(target).cast("double").alias("_y"))
+    for c in inputs:
+        used = used.filter(F.col(c).isNotNull() & ~F.isnan(c))
+    n = used.count()
+    looked = used.select("fold", *inputs) if n <= LOOKED_AT else used.select("fold", *inputs).sample(fraction=LOOKED_AT / n, seed=SEED)
+    seen = looked.toPandas()
+    edges = {k: [split_candidates(seen.loc[seen["fold"] != k, c].to_numpy(), bins) for c in inputs] for k in folds}
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [batch.column(c).to_numpy() for c in inputs]
+            for k, cuts in edges.items():
+                codes = [pa.array(np.searchsorted(e, v, "left").astype(np.int32) + 1) for e, v in zip(cuts, values, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(batch.num_rows, k, dtype=np.int32)), batch.column("fold"), *codes, batch.column("_y")],
+                    names=["model", "fold", *inputs, "_y"],
+                )
+
+    schema = ", ".join(["model int, fold int", *(f"`{c}` int" for c in inputs), "_y double"])
+    y = F.when(F.col("_y").isNull() | F.isnan("_y"), F.raise_error("Labels MUST NOT be Null or NaN").cast("double")).otherwise(F.col("_y"))
+    return (
+        used.mapInArrow(coded, schema).groupBy("model", "fold", *inputs)
+        .agg(F.count("*").cast("double").alias("rows"), F.avg(y).alias(target), F.sum(y * y).alias("squares"))
+    )
 
 
 def glm(

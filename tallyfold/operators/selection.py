@@ -50,18 +50,26 @@ def recursive_elimination(
     importances: Callable[[object, Sequence[str]], Mapping[str, float]],
     folds: Sequence[int],
     min_features: int = 1,
+    split: Callable[[Sequence[str]], Callable[[int], tuple[DataFrame, DataFrame]]] | None = None,
 ) -> list[dict]:
     """Cross-validated recursive elimination: drop the least important input until
     `min_features` remain. The driver sees one loss and the importances per fit.
 
+    `split` may prepare the rows for a list of inputs and then gives those outside and inside each fold.
     Returns one entry per size, the best marked.
     """
+
+    def plain(_):
+        return lambda k: (df.filter(F.col(fold) != k), df.filter(F.col(fold) == k))
+
     left, trail = list(columns), []
     while left:
         scores, weight = [], dict.fromkeys(left, 0.0)
+        parts = (split or plain)(left)
         for k in folds:
-            model = fit(df.filter(F.col(fold) != k), left)
-            scores.append(loss(model, df.filter(F.col(fold) == k)))
+            outside, inside = parts(k)
+            model = fit(outside, left)
+            scores.append(loss(model, inside))
             for c, v in importances(model, left).items():
                 weight[c] += v
         worst = min(left, key=lambda c: (weight[c], c))

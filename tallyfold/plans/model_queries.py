@@ -331,22 +331,28 @@ def score_tree_expr(spark, d):
 
 @query("select_rfe", "n:i inputs:s loss:f6 drops:s best:b")
 def select_rfe(spark, d):
-    """Recursive elimination with cross-validation on the training rows only."""
+    """Recursive elimination with cross-validation on the training rows only; trees are fitted on cells of binned inputs."""
     inputs = ["n_lines", "avg_disc", "amount"]
     folded = _stored(sampling.kfold(_train(spark, d).select("account_id", "qty", *inputs), "account_id", 10, seed=1))
 
     def loss(model, held_out):
-        e = F.col("qty") - F.col("predicted")
-        return models.prediction(model, held_out).agg(F.avg(e * e).alias("mse")).first()["mse"]
+        p, n = F.col("predicted"), F.col("rows")
+        error = F.col("squares") - 2 * p * n * F.col("qty") + n * p * p
+        return models.prediction(model, held_out).agg((F.sum(error) / F.sum(n)).alias("mse")).first()["mse"]
+
+    def split(x):
+        cells = _stored(models.fold_cells(folded, x, "qty", "fold", range(1, 11)))
+        return lambda k: (cells.filter((F.col("model") == k) & (F.col("fold") != k)), cells.filter((F.col("model") == k) & (F.col("fold") == k)))
 
     trail = selection.recursive_elimination(
         folded,
         inputs,
         "fold",
-        fit=lambda t, x: models.tree_regression(t, x, "qty", "tree", maxDepth=4),
+        fit=lambda t, x: models.tree_regression(t, x, "qty", "tree", weight="rows", maxDepth=4, maxBins=64),
         loss=loss,
         importances=lambda m, x: dict(zip(x, m.stages[-1].featureImportances.toArray(), strict=True)),
         folds=range(1, 11),
+        split=split,
     )
     rows = [(e["n"], ",".join(e["inputs"]), float(e["loss"]), e["drops"], e["best"]) for e in trail]
     return spark.createDataFrame(rows, "n int, inputs string, loss double, drops string, best boolean")

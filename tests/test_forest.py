@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyfold.operators import forest, models
 
@@ -51,3 +52,31 @@ def test_one_class_and_no_rows(spark):
     assert set(_scores(models.forest(df, ["a"], "y", trees=2, key="id"), df).values()) == {0.0}
     with pytest.raises(ValueError, match="training rows"):
         models.forest(df.filter("y = 1"), ["a"], "y")
+
+
+def test_trees_on_cells_equal_trees_on_rows(spark):
+    """The rows a fit reads do not grow with the table; before, every fit read all rows."""
+    rng = np.random.default_rng(2)
+    n = 4000
+    a, b = rng.random(n), rng.integers(0, 5, n)
+    y = np.where(a > 0.4, 3.0, 0.0) + b + rng.normal(size=n)
+    rows = [(int(i % 3), None if i % 40 == 0 else float(a[i]), int(b[i]), float(y[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, "fold int, a double, b int, y double")
+    cells = models.fold_cells(df, ["a", "b"], "y", "fold", range(3)).cache()
+    assert cells.count() <= 3 * 3 * 32 * 5
+    for k in range(2):
+        plain = models.tree_regression(df.filter(f"fold != {k}"), ["a", "b"], "y", "tree", maxDepth=3)
+        fitted = models.tree_regression(cells.filter(f"model = {k} AND fold != {k}"), ["a", "b"], "y", "tree", weight="rows", maxDepth=3, maxBins=64)
+        assert np.allclose(plain.stages[-1].featureImportances.toArray(), fitted.stages[-1].featureImportances.toArray())
+        e = models.prediction(plain, df.filter(f"fold = {k}")).selectExpr("avg((y - predicted) * (y - predicted))").first()[0]
+        held = models.prediction(fitted, cells.filter(f"model = {k} AND fold = {k}"))
+        f = held.selectExpr("sum(squares - 2 * predicted * rows * y + rows * predicted * predicted) / sum(rows)").first()[0]
+        assert abs(e - f) < 1e-9
+    with pytest.raises(Exception, match="MUST NOT be Null"):
+        models.fold_cells(df.withColumn("y", F.when(F.col("b") > 0, F.col("y"))), ["a", "b"], "y", "fold", range(3)).collect()
+
+
+def test_split_candidates_cut_values_evenly():
+    assert list(models.split_candidates(np.array([1.0, 1.0, 2.0, 4.0]), 32)) == [1.5, 3.0]
+    cuts = models.split_candidates(np.arange(1000.0), 10)
+    assert len(cuts) == 9 and abs(np.diff(cuts) - 100).max() <= 1
