@@ -27,8 +27,10 @@ SHARD_DOCUMENTS = 1_500
 QUERY_TERMS = 48
 K1 = 1.2
 B = 0.75
-#: Words whose ids a worker remembers before it starts anew.
+#: Words that are not plain whose ids a worker remembers before it starts anew.
 REMEMBERED = 150_000
+#: Plain words that a worker remembers, some 50 bytes each.
+REMEMBERED_PLAIN = 400_000
 #: Bytes of text that are tokenized at once: the more, the fewer distinct words in all.
 TOKENIZE_SLICE = 4 << 20
 
@@ -38,6 +40,8 @@ _PUNCTUATION = string.punctuation
 #: Byte values as the characters that byte-level vocabularies use for them.
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_SIGNS = {b: chr(b) for b in _VISIBLE} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+#: The bytes of joined words as UTF-16 code units of those characters; the line feed between words stays.
+_UNITS = np.array([b if b == 10 else ord(_BYTE_SIGNS[b]) for b in range(256)], dtype="<u2")
 
 
 class WordTokens:
@@ -45,7 +49,8 @@ class WordTokens:
 
     Plain words (Latin letters) are cut from the ASCII signs after them, one token run of their own, and given to the merge
     model directly, since normalisation only lowers them; all other words take the whole
-    way. Words met in a second batch are remembered.
+    way. Plain words are remembered in arrays, so words met before are found together; others are remembered when met in a
+    second batch.
     """
 
     def __init__(self, path: str):
@@ -55,26 +60,57 @@ class WordTokens:
         self.merge = self.tokenizer.model.tokenize
         self.known: dict[str, bytes] = {}
         self.met: set[int] = set()
-
-    def _plain(self, word: str) -> bytes:
-        signs = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_SIGNS)
-        return array("I", [t.id for t in self.merge(signs)]).tobytes()
+        #: Remembered plain words, their ids in a row, and where each one's ids begin (one entry more).
+        self.words = pa.array([], type=pa.large_string())
+        self.flat, self.begins = np.empty(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
+
+    def _merged(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of plain words in a row, and how many each has."""
+        merge, ids, sizes = self.merge, array("I"), []
+        if len(words):
+            data, bounds = kernel.utf8(words)
+            signs = _UNITS[np.insert(data, bounds[1:-1], 10)].tobytes().decode("utf-16-le")
+            for word in signs.split("\n"):
+                tokens = merge(word)
+                ids.extend([t.id for t in tokens])
+                sizes.append(len(tokens))
+        return np.array(ids, dtype=np.uint32), np.array(sizes, dtype=np.int64)
 
     def _other(self, word: str) -> bytes:
         return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
-    def lookup(self, words: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the words in a row, and how many each has."""
-        known, met, fresh = self.known, self.met, self._plain if plain else self._other
+    def plain(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For distinct plain words in lower case: ids in a row, where each word's begin there, and how many each has."""
+        words = words.cast(pa.large_string())
+        at = pc.index_in(words, value_set=self.words)
+        fresh = words.filter(pc.is_null(at))
+        ids, own = self._merged(fresh)
+        place = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[place < 0] = len(self.words) + np.arange(len(own))
+        self.words = pa.concat_arrays([self.words, fresh])
+        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(own)])
+        self.flat = np.concatenate([self.flat, ids])
+        flat, begins, sizes = found = self.flat, self.begins[place], np.diff(self.begins)[place]
+        if len(self.words) > REMEMBERED_PLAIN:
+            # Frequent words are in every slice: the last one's stay.
+            if len(words) > REMEMBERED_PLAIN:
+                words, begins, sizes = words.slice(0, REMEMBERED_PLAIN // 2), begins[: REMEMBERED_PLAIN // 2], sizes[: REMEMBERED_PLAIN // 2]
+            self.words, self.begins = words, np.concatenate([[0], np.cumsum(sizes)])
+            self.flat = np.empty(self.begins[-1], dtype=np.uint32)
+            _copy(flat, begins, self.flat, self.begins[:-1], sizes)
+        return found
+
+    def lookup(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words that take the whole way in a row, and how many each has."""
+        known, met = self.known, self.met
         out = []
         for word in words:
-            name = word if plain else "\0" + word
-            ids = known.get(name)
+            ids = known.get(word)
             if ids is None:
-                ids = fresh(word)
-                mark = hash(name)
+                ids = self._other(word)
+                mark = hash(word)
                 if mark in met:
-                    known[name] = ids
+                    known[word] = ids
                 else:
                     met.add(mark)
             out.append(ids)
@@ -118,16 +154,17 @@ class WordTokens:
         cores = pc.utf8_lower(core.filter(plain)).dictionary_encode()
         tails = _tails(words.filter(plain), core.filter(plain)).dictionary_encode()
         others = words.filter(pc.invert(plain))
-        for coded, is_core in ((cores, True), (tails, False)):
-            flat, own = self.lookup(coded.dictionary.to_pylist(), is_core)
-            parts.append((flat, np.concatenate([[0], np.cumsum(own)]), own, coded.indices.to_numpy(zero_copy_only=False), is_core))
-        flat, own = self.lookup(others.to_pylist(), False)
+        flat, starts, own = self.plain(cores.dictionary)
+        parts.append((flat, starts, own, cores.indices.to_numpy(zero_copy_only=False)))
+        flat, own = self.lookup(tails.dictionary.to_pylist())
+        parts.append((flat, np.cumsum(own) - own, own, tails.indices.to_numpy(zero_copy_only=False)))
+        flat, own = self.lookup(others.to_pylist())
         sizes[is_plain] = parts[0][2][parts[0][3]] + parts[1][2][parts[1][3]]
         sizes[~is_plain] = own
         begins = np.concatenate([[0], np.cumsum(sizes)])
         out = np.empty(begins[-1], dtype=np.uint32)
         to = begins[:-1][is_plain]
-        for found, starts, own_sizes, codes, _ in parts:
+        for found, starts, own_sizes, codes in parts:
             n = own_sizes[codes]
             _copy(found, starts[codes], out, to, n)
             to = to + n
