@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators.forest import Forest
 from tallyfold.operators.forest import fit as fit_forest
+from tallyfold.operators.gradient import LOOKED_AT, GradientBoosted, split_candidates
+from tallyfold.operators.gradient import fit as fit_gradient
 
 FEATURES = "_features"
 SEED = 12345
@@ -61,15 +63,19 @@ def logit(
 def boosted_trees(
     df: DataFrame, inputs: Sequence[str], target: str, trees: int = 100, rate: float = 0.1,
     subsample: float = 0.5, depth: int = 5, leaf: int = 5, bins: int = 50, seed: int = SEED,
-    validation: str | None = None,
-) -> PipelineModel:
-    """Boosted classification trees; a boolean `validation` column stops the boosting early."""
+    validation: str | None = None, key: str | None = None,
+) -> PipelineModel | GradientBoosted:
+    """Boosted classification trees; the draws hash `key`.
+
+    A boolean `validation` column stops the boosting early, mostly after a few trees; such fits are Spark's own.
+    """
+    if not validation:
+        return fit_gradient(df, inputs, target, trees, rate, subsample, depth, leaf, bins, seed, key)
     est = GBTClassifier(
         featuresCol=FEATURES, labelCol=target, maxIter=trees, stepSize=rate, subsamplingRate=subsample,
         maxDepth=depth, minInstancesPerNode=leaf, maxBins=bins, seed=seed,
     )
-    if validation:
-        est = est.setValidationIndicatorCol(validation)
+    est = est.setValidationIndicatorCol(validation)
     return _fit([_assembler(inputs), est], df, [*inputs, target, validation])
 
 
@@ -99,26 +105,6 @@ def tree_regression(
     return _fit([*stages, _assembler([*inputs, *coded]), est], df, [*inputs, *nominal, target, weight])
 
 
-def split_candidates(values: np.ndarray, bins: int) -> np.ndarray:
-    """Thresholds between `bins` bins of equal counts, as Spark's trees choose them from the rows they look at."""
-    found, counts = np.unique(values, return_counts=True)
-    if len(found) <= bins:
-        return (found[:-1] + found[1:]) / 2
-    stride = len(values) / bins
-    out, target, below = [], stride, counts[0]
-    for i in range(1, len(found)):
-        upto = below + counts[i]
-        if abs(below - target) < abs(upto - target):
-            out.append((found[i - 1] + found[i]) / 2)
-            target += stride
-        below = upto
-    return np.array(out)
-
-
-#: Rows that a tree's thresholds are chosen from; Spark's estimator looks at 10 000.
-LOOKED_AT = 100_000
-
-
 def fold_cells(
     df: DataFrame, inputs: Sequence[str], target: str, fold: str, folds: Sequence[int], bins: int = 32
 ) -> DataFrame:
@@ -244,15 +230,18 @@ def coefficient_table(df: DataFrame, model: PipelineModel, inputs: Sequence[str]
     return df.sparkSession.createDataFrame(rows, "variable string, coefficient double, odds_ratio double")
 
 
-def importance_table(df: DataFrame, model: PipelineModel, inputs: Sequence[str]) -> DataFrame:
-    rows = list(zip(inputs, (float(x) for x in model.stages[-1].featureImportances.toArray()), strict=True))
+def importance_table(df: DataFrame, model: PipelineModel | GradientBoosted, inputs: Sequence[str]) -> DataFrame:
+    if isinstance(model, GradientBoosted):
+        rows = [(c, model.importance[c]) for c in inputs]
+    else:
+        rows = list(zip(inputs, (float(x) for x in model.stages[-1].featureImportances.toArray()), strict=True))
     table = df.sparkSession.createDataFrame(rows, "variable string, importance double")
     return table.orderBy(F.desc("importance"), "variable")
 
 
-def probability(model: PipelineModel | Forest, df: DataFrame, out: str = "p") -> DataFrame:
+def probability(model: PipelineModel | Forest | GradientBoosted, df: DataFrame, out: str = "p") -> DataFrame:
     """Score a table and keep its columns beside P(event)."""
-    if isinstance(model, Forest):
+    if isinstance(model, Forest | GradientBoosted):
         return model.probability(df, out)
     scored = model.transform(df)
     return scored.withColumn(out, vector_to_array("probability")[1]).select(*df.columns, out)

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from tallyfold.functions.scalar import linear_predictor, logistic
 from tallyfold.operators.boosting import LEAF, FlatTrees
+from tallyfold.operators.gradient import GradientBoosted
 from tallyfold.session import scratch_path
 
 
@@ -73,12 +74,14 @@ def _tree_rows(model: PipelineModel, df: DataFrame) -> tuple[list, list[float]]:
     return rows, [float(w) for w in trees.treeWeights]
 
 
-def flat_trees(model: PipelineModel, df: DataFrame, inputs: Sequence[str]) -> FlatTrees:
+def flat_trees(model: PipelineModel | GradientBoosted, df: DataFrame, inputs: Sequence[str]) -> FlatTrees:
     """A boosted classifier of any number of trees as flat node arrays; see FlatTrees.
 
     The driver holds the nodes only (trees x 2^depth), never data. Inputs are numbers; the
     trees' weights are in the leaves.
     """
+    if isinstance(model, GradientBoosted):
+        return model.flat()
     rows, weights = _tree_rows(model, df)
     trees: dict[int, dict[int, object]] = {}
     for r in rows:

@@ -277,7 +277,7 @@ def train_linear(spark, d):
 @query("train_importance", "variable:s importance:f6")
 def train_importance(spark, d):
     train = _train(spark, d)
-    return models.importance_table(train, models.boosted_trees(train, FEATURES, Y), FEATURES)
+    return models.importance_table(train, models.boosted_trees(train, FEATURES, Y, key="account_id"), FEATURES)
 
 
 @query("train_kfold", "fold:i predicted:i wrong:i n:i")
@@ -321,7 +321,7 @@ def score_model_check(spark, d):
 def score_tree_expr(spark, d):
     """A whole ensemble of 100 trees as score code gives the model's own scores on every row."""
     rows = _rows(spark, d).select("account_id", *FEATURES, Y, "part")
-    model = models.boosted_trees(rows.filter("part = 1"), FEATURES, Y, trees=100)
+    model = models.boosted_trees(rows.filter("part = 1"), FEATURES, Y, trees=100, key="account_id")
     trees = scoring.flat_trees(model, rows, FEATURES)
     both = models.probability(model, rows).withColumn("q", scoring.boosted_probability(trees))
     return both.agg(
