@@ -1,10 +1,12 @@
 """Random forest for a 0/1 target: upper levels by histograms over all rows, the subtrees below them in tasks.
 
-Rows are binned and written once as blocks of arrays. While a node holds more than SMALL rows of its tree's
-bootstrap sample, a level is one pass: every task sums its rows by (tree, node, input, bin, class), the sums are added by
-node and the driver sees one split a node. The rows of smaller nodes are dealt by (tree, node), and each group grows its
-subtree level by level over arrays. So the deep levels, which have nearly as many nodes as rows, need no histogram of every
-node from every task. Scoring deals rows in the same way to stored subtrees; no tree passes through the driver whole.
+A tree sees a row as its bins and class only. So rows are binned, dealt by ranges of their bins, and the bootstrap counts of
+rows that are equal in bins and class are added up, tree by tree: what is written once, as blocks of arrays, are such entries
+and their counts. While a node holds more than SMALL entries of its tree's sample, a level is one pass: every task sums its
+entries by (tree, node, input, bin, class), the sums are added by node and the driver sees one split a node. The entries of
+smaller nodes are dealt by (tree, node), and each group grows its subtree level by level over arrays. So the deep levels,
+which have nearly as many nodes as entries, need no histogram of every node from every task. Scoring deals the distinct bins
+of the rows in the same way to stored subtrees and joins the scores to the rows; no tree passes through the driver whole.
 """
 
 from __future__ import annotations
@@ -24,18 +26,22 @@ from tallyfold.operators.prep import quantile_edges
 from tallyfold.session import cut_lineage
 
 LEAF = -1
-#: Rows of a sample up to which a node's subtree is grown by one task.
-SMALL = 1 << 19
-#: Rows of a block; positions in it fit 16 bits.
+#: Entries of a sample up to which a node's subtree is grown by one task.
+SMALL = 1 << 20
+#: Entries of a block; positions in it fit 16 bits.
 BLOCK = 1 << 16
-#: Blocks whose rows may meet in one group when scoring.
+#: Inputs whose bins share a long.
+PACKED = 7
+#: Rows that walk down a tree together.
+TOGETHER = 1 << 14
+#: Blocks that may meet in one group when scoring.
 MET = 256
 #: Cells of a histogram held at a time.
 CELLS = 1 << 22
 #: Most partitions that groups are dealt to.
 DEALT = 4000
 #: Shares of 2^32 at which a Poisson(1) count steps up.
-_STEPS = (np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)]) * (1 << 32)).astype(np.uint64)
+_STEPS = (np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)]) * (1 << 32)).astype(np.uint32)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -50,8 +56,8 @@ def _word(n: int) -> np.uint64:
 
 def drawn(draw: np.ndarray, tree: int, seed: int) -> np.ndarray:
     """How often each row is in a tree's bootstrap sample: Poisson(1) from the row's own bits."""
-    bits = _mixed(draw.view(np.uint64) + _word(seed * 1_000_003 + tree + 1)) >> np.uint64(32)
-    return np.searchsorted(_STEPS, bits, "right").astype(np.uint8)
+    bits = (_mixed(draw.view(np.uint64) + _word(seed * 1_000_003 + tree + 1)) >> np.uint64(32)).astype(np.uint32)
+    return sum((bits >= step).view(np.uint8) for step in _STEPS)
 
 
 def _tried(path: np.ndarray, tree: int, seed: int, inputs: int) -> np.ndarray:
@@ -85,13 +91,22 @@ def _counted(slot: np.ndarray, bins: np.ndarray, y: np.ndarray, w: np.ndarray, n
 
 def _walked(feature: np.ndarray, cut: np.ndarray, left: np.ndarray, bins: np.ndarray) -> np.ndarray:
     """The last node of each row; a right child follows its left one."""
-    n = bins.shape[1]
-    at, going = np.zeros(n, dtype=np.int64), np.arange(n)
-    while len(going):
-        going = going[left[at[going]] != LEAF]
-        here = at[going]
-        at[going] = left[here] + (bins[feature[here], going] > cut[here])
-    return at
+    out, leaf = np.empty(bins.shape[1], dtype=np.int64), left == LEAF
+    # The next node, input and bin in one number; a leaf is its own next node, as no bin is above 255.
+    step = np.where(leaf, np.arange(len(left)) << 16 | 255, left.astype(np.int64) << 16 | feature.astype(np.int64) << 8 | cut)
+    for start in range(0, len(out), TOGETHER):
+        some = np.ascontiguousarray(bins[:, start : start + TOGETHER])
+        n, flat = some.shape[1], some.ravel()
+        at, going = np.zeros(n, dtype=np.int64), np.arange(n)
+        while len(going):
+            here = at[going]
+            for _ in range(2):
+                node = step[here]
+                here = (node >> 16) + (flat[(node >> 8 & 255) * n + going] > (node & 255))
+            at[going] = here
+            going = going[~leaf[here]]
+        out[start : start + n] = at
+    return out
 
 
 @dataclass(frozen=True)
@@ -128,20 +143,26 @@ def _subtree(bins: np.ndarray, y: np.ndarray, w: np.ndarray, tree: int, path: in
     parts = {c: [] for c in ("feature", "cut", "left", "n0", "n1")}
     n1 = np.array([weight @ y])
     n0, paths, total = weight.sum() - n1, np.array([path], dtype=np.uint64), 1
-    at = np.zeros(bins.shape[1], dtype=np.int64)
+
+    def to_split() -> np.ndarray:
+        return np.flatnonzero((n0 > 0) & (n1 > 0) & (n0 + n1 >= 2 * leaf))
+
+    # Only the rows of nodes that may be split are kept: at is a node's place among these.
+    opened, at = to_split(), np.zeros(bins.shape[1], dtype=np.int64)
     for level in range(depth + 1):
         m = len(n0)
         feature, cut, left = np.zeros(m, dtype=np.int8), np.zeros(m, dtype=np.uint8), np.full(m, LEAF, dtype=np.int32)
         left0, left1 = np.zeros(m), np.zeros(m)
-        opened = np.flatnonzero((n0 > 0) & (n1 > 0) & (n0 + n1 >= 2 * leaf)) if level < depth else np.array([], dtype=np.int64)
-        slots = np.full(m, -1, dtype=np.int64)
-        slots[opened] = np.arange(len(opened))
-        slot = slots[at]
+        if level == depth:
+            opened = opened[:0]
         step = max(1, CELLS // (len(bins) * 2 * width))
         for start in range(0, len(opened), step):
             some = opened[start : start + step]
-            mine = (slot >= start) & (slot < start + step)
-            cells = _counted(slot[mine] - start, bins[:, mine], y[mine], weight[mine], len(some), width)
+            if len(some) == len(opened):
+                cells = _counted(at, bins, y, weight, len(some), width)
+            else:
+                mine = np.flatnonzero((at >= start) & (at < start + step))
+                cells = _counted(at[mine] - start, bins.take(mine, axis=1), y[mine], weight[mine], len(some), width)
             ok, f, k, a, b = _best(cells, _tried(paths[some], tree, seed, len(bins)), leaf)
             some = some[ok]
             feature[some], cut[some], left0[some], left1[some] = f[ok], k[ok], a[ok], b[ok]
@@ -152,14 +173,20 @@ def _subtree(bins: np.ndarray, y: np.ndarray, w: np.ndarray, tree: int, path: in
             parts[c].append(v)
         if not len(split):
             break
-        kept = left[at] != LEAF
-        bins, y, weight, at = bins[:, kept], y[kept], weight[kept], at[kept]
-        at = left[at] - total + (bins[feature[at], np.arange(len(at))] > cut[at])
-        total += 2 * len(split)
+        children = np.full((m, 2), -1, dtype=np.int64)
+        children[split] = np.arange(2 * len(split)).reshape(-1, 2)
         n0, n1, paths = (
             np.stack([a, b], axis=1).ravel()
             for a, b in ((left0[split], n0[split] - left0[split]), (left1[split], n1[split] - left1[split]), (2 * paths[split], 2 * paths[split] + np.uint64(1)))
         )
+        total, before, opened = total + 2 * len(split), opened, to_split()
+        places = np.full(2 * len(split) + 1, -1, dtype=np.int64)
+        places[opened] = np.arange(len(opened))
+        right = bins.ravel()[feature[before].astype(np.int64)[at] * bins.shape[1] + np.arange(bins.shape[1])] > cut[before][at]
+        at = places[children[before]].ravel()[2 * at + right]
+        kept = np.flatnonzero(at >= 0)
+        if len(kept) < len(at):
+            bins, y, weight, at = bins.take(kept, axis=1), y[kept], weight[kept], at[kept]
     g = _Grown(*(np.concatenate(parts[c]) for c in ("feature", "cut", "left", "n0", "n1")))
     left = _pruned(g.left, g.n1 > g.n0, np.ones(len(g.left), dtype=bool))
     alive = np.zeros(len(left), dtype=bool)
@@ -180,13 +207,13 @@ class _Top:
         self.feature, self.cut, self.left, self.n0, self.n1 = [0], [0], [LEAF], [0.0], [0.0]
         self.path, self.level, self.closed, self.large = [1], [0], [False], [True]
 
-    def split(self, node: int, f: int, k: int, counts: Sequence[float], small: int) -> None:
+    def split(self, node: int, f: int, k: int, counts: Sequence[float], large: tuple[bool, bool]) -> None:
         self.feature[node], self.cut[node], self.left[node] = f, k, len(self.left)
         for side in (0, 1):
             n0, n1 = counts[2 * side : 2 * side + 2]
             for values, v in (
                 (self.feature, 0), (self.cut, 0), (self.left, LEAF), (self.n0, n0), (self.n1, n1), (self.path, 2 * self.path[node] + side),
-                (self.level, self.level[node] + 1), (self.closed, False), (self.large, n0 + n1 > small),
+                (self.level, self.level[node] + 1), (self.closed, False), (self.large, large[side]),
             ):
                 values.append(v)
 
@@ -198,36 +225,90 @@ class _Top:
         return (np.array(self.left) == LEAF) & ~np.array(self.closed) & (np.array(self.large) == large)
 
 
-def _coded(rows: DataFrame, edges: list[np.ndarray], extra: dict[str, type]) -> DataFrame:
-    """Blocks written once: block, the extra columns' arrays, bins as inputs x rows."""
+def _names(inputs: int) -> list[str]:
+    return [f"_bins_{i}" for i in range(-(-inputs // PACKED))]
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, count, first = [], 0, TaskContext.get().partitionId() << 32
 
-        def packed(table: pa.Table, number: int) -> pa.RecordBatch:
-            columns = [table.column(i).to_numpy() for i in range(table.num_columns)]
-            codes = np.stack([np.searchsorted(e, v, "left").astype(np.uint8) for e, v in zip(edges, columns[len(extra) :], strict=True)])
-            arrays = [c.astype(kind).tobytes() for c, kind in zip(columns, extra.values(), strict=False)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([first + number]), *(pa.array([a], type=pa.binary()) for a in (*arrays, codes.tobytes()))], names=["block", *extra, "bins"]
-            )
+def _with_codes(rows: DataFrame, values: Sequence, edges: list[np.ndarray]) -> DataFrame:
+    """The bins of PACKED inputs in each column of _names, a byte each."""
+
+    def coded(some: list[np.ndarray]):
+        @F.pandas_udf("bigint")
+        def code(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+            for columns in batches:
+                columns = (columns,) if isinstance(columns, pd.Series) else columns
+                out = np.zeros(len(columns[0]), dtype=np.int64)
+                for e, v in zip(some, columns, strict=True):
+                    out = out << 8 | np.searchsorted(e, v.to_numpy(dtype=float, na_value=np.nan), "left")
+                yield pd.Series(out)
+
+        # Not to be computed again by filters that are made from it.
+        return code.asNondeterministic()
+
+    parts = range(0, len(edges), PACKED)
+    return rows.withColumns({c: coded(edges[i : i + PACKED])(*values[i : i + PACKED]) for c, i in zip(_names(len(edges)), parts, strict=True)})
+
+
+def _bins(codes: Sequence[np.ndarray], inputs: int) -> np.ndarray:
+    out = np.empty((inputs, len(codes[0])), dtype=np.uint8)
+    for f in range(inputs):
+        first = f // PACKED * PACKED
+        out[f] = codes[f // PACKED] >> 8 * (min(PACKED, inputs - first) - 1 - (f - first)) & 255
+    return out
 
-        for batch in batches:
-            held.append(batch)
-            while sum(b.num_rows for b in held) >= BLOCK:
-                table = pa.Table.from_batches(held)
-                yield packed(table.slice(0, BLOCK), count)
-                held, count = table.slice(BLOCK).to_batches(), count + 1
-        if sum(b.num_rows for b in held):
-            yield packed(pa.Table.from_batches(held), count)
 
-    schema = ", ".join(["block bigint", *(f"{c} binary" for c in extra), "bins binary"])
-    return cut_lineage(rows.mapInArrow(pack, schema))
+def _slabs(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[list[np.ndarray]]:
+    """The columns of some `rows` rows at a time."""
+    held = []
 
+    def joined() -> list[np.ndarray]:
+        table = pa.Table.from_batches(held)
+        return [table.column(i).to_numpy() for i in range(table.num_columns)]
 
-def _read(batch: pa.RecordBatch, i: int, inputs: int) -> dict:
-    row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-    return row | {"bins": np.frombuffer(row["bins"], dtype=np.uint8).reshape(inputs, -1)}
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            yield joined()
+            held = []
+    if sum(b.num_rows for b in held):
+        yield joined()
+
+
+def _entries(rows: DataFrame, n_rows: int, inputs: int, trees: int, seed: int) -> DataFrame:
+    """Blocks of entries, written once: entries, bins as inputs x entries, class, and as trees x entries how often the rows
+    of an entry are in a tree's sample. Rows are dealt by ranges, so equal ones meet, however many they are."""
+    names = _names(inputs)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for y, draw, *codes in _slabs(batches, 2 * BLOCK):
+            order = np.lexsort((y, *codes[::-1]))
+            y, draw, codes = y[order], draw[order], [c[order] for c in codes]
+            new = np.ones(len(y), dtype=bool)
+            new[1:] = y[1:] != y[:-1]
+            for c in codes:
+                new[1:] |= c[1:] != c[:-1]
+            starts = np.flatnonzero(new)
+            for i in range(0, len(starts), BLOCK):
+                some = starts[i : i + BLOCK]
+                end = starts[i + BLOCK] if i + BLOCK < len(starts) else len(y)
+                mine, counts = draw[some[0] : end], np.empty((trees, len(some)), dtype=np.uint32)
+                for tree in range(trees):
+                    counts[tree] = np.add.reduceat(drawn(mine, tree, seed), some - some[0], dtype=np.uint32)
+                kind = np.min_scalar_type(counts.max())
+                arrays = (_bins([c[some] for c in codes], inputs), y[some].astype(np.uint8), counts.astype(kind))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([len(some)], pa.int32()), *(pa.array([a.tobytes()], type=pa.binary()) for a in arrays)], names=["entries", "bins", "y", "counts"]
+                )
+
+    dealt = rows.select("y", "draw", *names).repartitionByRange(min(DEALT, max(1, -(-n_rows // BLOCK))), *names, "y", "draw")
+    return cut_lineage(dealt.mapInArrow(pack, "entries int, bins binary, y binary, counts binary"))
+
+
+def _blocks(batch: pa.RecordBatch, inputs: int, trees: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    for i in range(batch.num_rows):
+        n, bins, y, counts = (batch.column(c)[i].as_py() for c in ("entries", "bins", "y", "counts"))
+        kind = np.dtype(f"u{len(counts) // (trees * n)}")
+        yield np.frombuffer(bins, dtype=np.uint8).reshape(inputs, n), np.frombuffer(y, dtype=np.uint8), np.frombuffer(counts, dtype=kind).reshape(trees, n)
 
 
 def _usable(df: DataFrame, inputs: Sequence[str]) -> DataFrame:
@@ -261,22 +342,32 @@ class Forest:
 
     def probability(self, df: DataFrame, out: str = "p") -> DataFrame:
         """The columns of a table beside P(event), the mean over trees of the leaf's share of events. Rows without an
-        input, or with NaN, are left out."""
+        input, or with NaN, are left out. The table is read twice; store it before if its plan is long."""
         inputs, tops, trees = len(self.inputs), self.tops, len(self.tops)
-        base = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
-        blocks = _coded(_usable(base, self.inputs).select("_row", *_doubles(self.inputs)), self.edges, {"row": np.int64})
+        names = _names(inputs)
+        coded = _with_codes(_usable(df, self.inputs), [F.col(c).cast("double") for c in self.inputs], self.edges)
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            first = TaskContext.get().partitionId() << 32
+            for number, codes in enumerate(_slabs(batches, BLOCK)):
+                for i in range(0, len(codes[0]), BLOCK):
+                    arrays = [pa.array([c[i : i + BLOCK].tobytes()], type=pa.binary()) for c in codes]
+                    yield pa.RecordBatch.from_arrays([pa.array([first + (number << 16) + i // BLOCK]), *arrays], names=["block", *names])
+
+        blocks = cut_lineage(coded.select(*names).distinct().mapInArrow(pack, ", ".join(["block bigint", *(f"{c} binary" for c in names)])))
         salts = max(1, -(-blocks.count() // MET))
 
         def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for i in range(batch.num_rows):
-                    r = _read(batch, i, inputs)
+                    block = batch.column("block")[i].as_py()
+                    bins = _bins([np.frombuffer(batch.column(c)[i].as_py(), dtype=np.int64) for c in names], inputs)
                     for tree, top in enumerate(tops):
-                        for node, sel in _groups(top, r["bins"]):
+                        for node, sel in _groups(top, bins):
                             yield pa.RecordBatch.from_pydict(
                                 {
-                                    "tree": pa.array([tree], pa.int32()), "node": pa.array([node], pa.int32()), "salt": pa.array([hash(r["block"]) % salts], pa.int32()),
-                                    "block": [r["block"]], "pos": [sel.astype(np.uint16).tobytes()], "bins": [np.ascontiguousarray(r["bins"][:, sel]).tobytes()],
+                                    "tree": pa.array([tree], pa.int32()), "node": pa.array([node], pa.int32()), "salt": pa.array([hash(block) % salts], pa.int32()),
+                                    "block": [block], "pos": [sel.astype(np.uint16).tobytes()], "bins": [np.ascontiguousarray(bins[:, sel]).tobytes()],
                                 }
                             )
 
@@ -289,12 +380,12 @@ class Forest:
             return pd.DataFrame({"block": rows["block"], "tree": key[0], "pos": rows["pos"], "p": values})
 
         def total(key: tuple, block: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
-            row = np.frombuffer(block["row"].iloc[0], dtype=np.int64)
-            bins = np.frombuffer(block["bins"].iloc[0], dtype=np.uint8).reshape(inputs, -1)
+            codes = [np.frombuffer(block[c].iloc[0], dtype=np.int64) for c in names]
+            bins = _bins(codes, inputs)
             by_tree: dict[int, list] = {}
             for tree, pos, p in zip(parts["tree"], parts["pos"], parts["p"], strict=True):
                 by_tree.setdefault(tree, []).append((np.frombuffer(pos, dtype=np.uint16), np.frombuffer(p, dtype=np.float64)))
-            sums = np.zeros(len(row))
+            sums = np.zeros(bins.shape[1])
             for tree, top in enumerate(tops):
                 closed = np.array(top.closed) & (np.array(top.left) == LEAF)
                 if closed.any():
@@ -302,7 +393,7 @@ class Forest:
                     sums += np.where(closed, n1 / np.maximum(n0 + n1, 1), 0.0)[top.last(bins)]
                 for pos, p in by_tree.get(tree, ()):
                     sums[pos] += p
-            return pd.DataFrame({"_row": row, out: sums / trees})
+            return pd.DataFrame({**dict(zip(names, codes, strict=True)), "_share": sums / trees})
 
         keys = ["tree", "node", "salt"]
         dealt = min(DEALT, max(salts * sum(int(t.opened(False).sum()) for t in tops), 1))
@@ -311,8 +402,8 @@ class Forest:
         # Groups of rows always have their subtree; subtrees without rows give none.
         by_rows = rows.groupBy(*keys).cogroup(held.groupBy(*keys))
         parts = by_rows.applyInPandas(scored, "block bigint, tree int, pos binary, p binary")
-        summed = blocks.groupBy("block").cogroup(parts.groupBy("block")).applyInPandas(total, f"_row bigint, `{out}` double")
-        return base.join(summed, "_row").select(*df.columns, out)
+        summed = blocks.groupBy("block").cogroup(parts.groupBy("block")).applyInPandas(total, ", ".join([*(f"{c} bigint" for c in names), "_share double"]))
+        return coded.join(summed, names).select(*[df[c] for c in df.columns if c != out], F.col("_share").alias(out))
 
 
 def _groups(top: _Top, bins: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -352,10 +443,11 @@ def fit(
     width, n_inputs = max(len(e) for e in edges) + 1, len(names)
     if width == 1:
         width = 2
-    blocks = _coded(narrow.select("draw", "y", *names), edges, {"draw": np.int64, "y": np.uint8})
+    blocks = _entries(_with_codes(narrow, [F.col(c) for c in names], edges), n_rows, n_inputs, trees, seed)
+    n_entries = blocks.agg(F.sum("entries")).first()[0]
     tops = [_Top() for _ in range(trees)]
     for top in tops:
-        top.large[0] = n_rows > small
+        top.large[0] = n_entries > small
     for level in range(depth):
         if not any(t.opened(True).any() for t in tops):
             break
@@ -363,7 +455,8 @@ def fit(
             top, node = tops[r["tree"]], r["node"]
             top.n0[node], top.n1[node] = r["n0"], r["n1"]
             if r["split"]:
-                top.split(node, r["feature"], r["cut"], (r["left0"], r["left1"], r["n0"] - r["left0"], r["n1"] - r["left1"]), small)
+                counts = (r["left0"], r["left1"], r["n0"] - r["left0"], r["n1"] - r["left1"])
+                top.split(node, r["feature"], r["cut"], counts, (r["entries_left"] > small, r["entries"] - r["entries_left"] > small))
             else:
                 top.closed[node] = True
     for top in tops:
@@ -386,19 +479,21 @@ def _level(blocks: DataFrame, tops: list[_Top], inputs: int, width: int, leaf: i
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened = [np.flatnonzero(t.opened(True)) for t in tops]
-        sums = [np.zeros((len(o), inputs, 2, width)) for o in opened]
+        sums = [np.zeros((len(o), inputs, 3, width)) for o in opened]
         for batch in batches:
-            for i in range(batch.num_rows):
-                r = _read(batch, i, inputs)
-                draw, y = np.frombuffer(r["draw"], dtype=np.int64), np.frombuffer(r["y"], dtype=np.uint8).astype(np.int64)
+            for bins, y, counts in _blocks(batch, inputs, len(tops)):
+                y = y.astype(np.int64)
                 for tree, top in enumerate(tops):
                     if not len(opened[tree]):
                         continue
                     slots = np.full(len(top.left), -1, dtype=np.int64)
                     slots[opened[tree]] = np.arange(len(opened[tree]))
-                    slot, w = slots[top.last(r["bins"])], drawn(draw, tree, seed)
-                    mine = (slot >= 0) & (w > 0)
-                    sums[tree] += _counted(slot[mine], r["bins"][:, mine], y[mine], w[mine], len(opened[tree]), width)
+                    slot = slots[top.last(bins)]
+                    mine = (slot >= 0) & (counts[tree] > 0)
+                    slot, here = slot[mine], bins[:, mine]
+                    sums[tree][:, :, :2] += _counted(slot, here, y[mine], counts[tree][mine], len(opened[tree]), width)
+                    for f in range(inputs):
+                        sums[tree][:, f, 2] += np.bincount(slot * width + here[f], minlength=len(opened[tree]) * width).reshape(-1, width)
         for tree, nodes in enumerate(opened):
             if len(nodes):
                 yield pa.RecordBatch.from_pydict(
@@ -408,36 +503,35 @@ def _level(blocks: DataFrame, tops: list[_Top], inputs: int, width: int, leaf: i
     paths = [t.path for t in tops]
 
     def best(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        cells = sum(np.frombuffer(c, dtype=np.float64) for c in rows["cells"]).reshape(1, inputs, 2, width)
+        cells = sum(np.frombuffer(c, dtype=np.float64) for c in rows["cells"]).reshape(1, inputs, 3, width)
+        cells, met = cells[:, :, :2], cells[0, :, 2]
         tree, node = int(key[0]), int(key[1])
         ok, f, k, a, b = _best(cells, _tried(np.array([paths[tree][node]], dtype=np.uint64), tree, seed, inputs), leaf)
         n0, n1 = (float(cells[0, 0, c].sum()) for c in (0, 1))
-        names = ["tree", "node", "split", "feature", "cut", "left0", "left1", "n0", "n1"]
-        return pd.DataFrame([(tree, node, bool(ok[0]), int(f[0]), int(k[0]), float(a[0]), float(b[0]), n0, n1)], columns=names)
+        names = ["tree", "node", "split", "feature", "cut", "left0", "left1", "n0", "n1", "entries_left", "entries"]
+        row = (tree, node, bool(ok[0]), int(f[0]), int(k[0]), float(a[0]), float(b[0]), n0, n1, float(met[f[0], : k[0] + 1].sum()), float(met[0].sum()))
+        return pd.DataFrame([row], columns=names)
 
     sums = blocks.mapInArrow(count, "tree int, node int, cells binary")
     return sums.groupBy("tree", "node").applyInPandas(
-        best, "tree int, node int, split boolean, feature int, cut int, left0 double, left1 double, n0 double, n1 double"
+        best, "tree int, node int, split boolean, feature int, cut int, left0 double, left1 double, n0 double, n1 double, entries_left double, entries double"
     )
 
 
 def _subtrees(blocks: DataFrame, tops: list[_Top], inputs: int, width: int, depth: int, leaf: int, seed: int) -> DataFrame:
-    """The rows of each small node, dealt to a task that grows its subtree."""
+    """The entries of each small node, dealt to a task that grows its subtree."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                r = _read(batch, i, inputs)
-                draw, y = np.frombuffer(r["draw"], dtype=np.int64), np.frombuffer(r["y"], dtype=np.uint8)
+            for every, y, counts in _blocks(batch, inputs, len(tops)):
                 for tree, top in enumerate(tops):
-                    w = drawn(draw, tree, seed)
-                    inside = np.flatnonzero(w)
-                    bins, wy = r["bins"][:, inside], (w * 2 + y)[inside]
+                    inside = np.flatnonzero(counts[tree])
+                    bins = every[:, inside]
                     for node, sel in _groups(top, bins):
                         yield pa.RecordBatch.from_pydict(
                             {
-                                "tree": pa.array([tree], pa.int32()), "node": pa.array([node], pa.int32()),
-                                "bins": [np.ascontiguousarray(bins[:, sel]).tobytes()], "wy": [wy[sel].tobytes()],
+                                "tree": pa.array([tree], pa.int32()), "node": pa.array([node], pa.int32()), "bins": [np.ascontiguousarray(bins[:, sel]).tobytes()],
+                                "y": [y[inside[sel]].tobytes()], "counts": [counts[tree][inside[sel]].tobytes()],
                             }
                         )
 
@@ -446,9 +540,10 @@ def _subtrees(blocks: DataFrame, tops: list[_Top], inputs: int, width: int, dept
     def grow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         tree, node = int(key[0]), int(key[1])
         bins = np.concatenate([np.frombuffer(b, dtype=np.uint8).reshape(inputs, -1) for b in rows["bins"]], axis=1)
-        wy = np.concatenate([np.frombuffer(b, dtype=np.uint8) for b in rows["wy"]])
+        y = np.concatenate([np.frombuffer(b, dtype=np.uint8) for b in rows["y"]])
+        counts = np.concatenate([np.frombuffer(b, dtype=f"u{len(b) // len(c)}") for b, c in zip(rows["counts"], rows["y"], strict=True)])
         path, level = places[tree][0][node], places[tree][1][node]
-        g = _subtree(bins, wy & 1, wy >> 1, tree, path, depth - level, width, leaf, seed)
+        g = _subtree(bins, y, counts, tree, path, depth - level, width, leaf, seed)
         return pd.DataFrame(
             {
                 "tree": [tree], "node": [node], "n_nodes": [len(g.left)], "n0": [g.n0[0]], "n1": [g.n1[0]], "feature": [g.feature.tobytes()],
@@ -457,7 +552,7 @@ def _subtrees(blocks: DataFrame, tops: list[_Top], inputs: int, width: int, dept
         )
 
     groups = sum(int(t.opened(False).sum()) for t in tops)
-    rows = blocks.mapInArrow(spread, "tree int, node int, bins binary, wy binary").repartition(min(DEALT, max(groups, 1)), "tree", "node")
+    rows = blocks.mapInArrow(spread, "tree int, node int, bins binary, y binary, counts binary").repartition(min(DEALT, max(groups, 1)), "tree", "node")
     return rows.groupBy("tree", "node").applyInPandas(
         grow, "tree int, node int, n_nodes int, n0 double, n1 double, feature binary, cut binary, left binary, share binary"
     )

@@ -54,6 +54,35 @@ def test_one_class_and_no_rows(spark):
         models.forest(df.filter("y = 1"), ["a"], "y")
 
 
+def test_equal_rows_are_one_entry_with_their_counts(spark):
+    """What the trees read is bounded by the bins; before, every level and the scoring read all rows."""
+    rng = np.random.default_rng(8)
+    a, y, draw = rng.integers(0, 5, 6000), rng.integers(0, 2, 6000), rng.integers(-(2**62), 2**62, 6000)
+    df = spark.createDataFrame([(int(d), int(t), float(v)) for d, t, v in zip(draw, y, a, strict=True)], "draw bigint, y int, x0 double").repartition(4)
+    blocks = forest._entries(forest._with_codes(df, [F.col("x0")], [np.arange(4) + 0.5]), 6000, 1, 3, 7)
+    assert blocks.agg(F.sum("entries")).first()[0] == 10
+    for batch in blocks.toArrow().to_batches():
+        for bins, classes, counts in forest._blocks(batch, 1, 3):
+            for tree in range(3):
+                want = [forest.drawn(draw[(a == b) & (y == t)], tree, 7).sum() for b, t in zip(bins[0], classes, strict=True)]
+                assert counts[tree].tolist() == want
+    model = forest.fit(df, ["x0"], "y", 2, 5, 5, key="draw")
+    scores = model.probability(df.repartition(3))
+    assert scores.count() == 6000 and scores.groupBy("x0").agg(F.count_distinct("p").alias("n")).filter("n > 1").count() == 0
+
+
+def test_many_inputs_share_several_longs(spark):
+    rng = np.random.default_rng(9)
+    x, names = rng.integers(0, 6, (2000, 9)), [f"_c{i}" for i in range(9)]
+    rows = [(i, *map(int, r), int(r[8] > 2)) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, ", ".join(["id bigint", *(f"{c} int" for c in names), "y int"]))
+    whole, parts = (_scores(forest.fit(df, names, "y", 9, 6, 5, key="id", small=k), df) for k in (1 << 20, 150))
+    assert max(abs(whole[i] - parts[i]) for i in whole) < 1e-12
+    assert np.mean([(whole[i] >= 0.5) == (x[i, 8] > 2) for i in whole]) > 0.9
+    codes = [np.array([int.from_bytes(bytes([1, 2, 3, 4, 5, 6, 255]), "big")]), np.array([8 << 8 | 9])]
+    assert forest._bins(codes, 9)[:, 0].tolist() == [1, 2, 3, 4, 5, 6, 255, 8, 9]
+
+
 def test_trees_on_cells_equal_trees_on_rows(spark):
     """The rows a fit reads do not grow with the table; before, every fit read all rows."""
     rng = np.random.default_rng(2)
