@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-import numpy as np
-import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
@@ -21,9 +19,10 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.operators import regression
 from tallyfold.operators.forest import Forest
 from tallyfold.operators.forest import fit as fit_forest
-from tallyfold.operators.gradient import LOOKED_AT, GradientBoosted, split_candidates
+from tallyfold.operators.gradient import GradientBoosted, split_candidates  # noqa: F401
 from tallyfold.operators.gradient import fit as fit_gradient
 
 FEATURES = "_features"
@@ -92,9 +91,14 @@ REGRESSORS = {"tree": DecisionTreeRegressor, "boosting": GBTRegressor, "forest":
 
 def tree_regression(
     df: DataFrame, inputs: Sequence[str], target: str, kind: str = "boosting", nominal: Sequence[str] = (),
-    seed: int = SEED, weight: str | None = None, **params,
-) -> PipelineModel:
-    """Tree regressors for an interval target; nominal inputs are indexed, not dummied."""
+    seed: int = SEED, weight: str | None = None, lists: Mapping[int, Sequence[str]] | None = None, **params,
+) -> PipelineModel | regression.CellTrees:
+    """Tree regressors for an interval target; nominal inputs are indexed, not dummied.
+
+    With `lists`, one fit for each model of fold_cells (a forest: of fold_samples), on the inputs listed for it.
+    """
+    if lists is not None:
+        return regression.fit(df, inputs, lists, target, kind, **params)
     coded = [f"_{c}" for c in nominal]
     stages: list = []
     if nominal:
@@ -105,39 +109,36 @@ def tree_regression(
     return _fit([*stages, _assembler([*inputs, *coded]), est], df, [*inputs, *nominal, target, weight])
 
 
+def fold_edges(
+    df: DataFrame, inputs: Sequence[str], target: str, fold: str, lists: Mapping[int, Sequence[str]], bins: int = 32
+) -> regression.Edges:
+    """For each fold k (the model) the thresholds of its listed inputs, as a tree chooses them that looks at all rows outside fold k."""
+    return regression.fold_edges(regression.narrowed(df, inputs, target, fold), inputs, lists, bins)
+
+
 def fold_cells(
-    df: DataFrame, inputs: Sequence[str], target: str, fold: str, folds: Sequence[int], bins: int = 32
+    df: DataFrame, inputs: Sequence[str], target: str, fold: str, folds: Sequence[int], bins: int = 32,
+    edges: regression.Edges | None = None,
 ) -> DataFrame:
     """The rows of each fold as cells of binned inputs: (model, fold, inputs, rows, target, squares).
 
     For each k of `folds` (the column model) the bins are those of a tree trained on the rows outside fold k. A split
     between bins depends on a cell's rows and mean only, so trees are fitted on at most bins^inputs cells a fold, whatever
     the number of rows. Rows without an input are left out; a row without target is an error, as for Spark's estimators.
+    `edges` may give other inputs to each model; those it does not list are 0.
     """
-    used = df.select(F.col(fold).cast("int").alias("fold"), *[F.col(c).cast("double").alias(c) for c in inputs], F.col(target).cast("double").alias("_y"))
-    for c in inputs:
-        used = used.filter(F.col(c).isNotNull() & ~F.isnan(c))
-    n = used.count()
-    looked = used.select("fold", *inputs) if n <= LOOKED_AT else used.select("fold", *inputs).sample(fraction=LOOKED_AT / n, seed=SEED)
-    seen = looked.toPandas()
-    edges = {k: [split_candidates(seen.loc[seen["fold"] != k, c].to_numpy(), bins) for c in inputs] for k in folds}
-
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [batch.column(c).to_numpy() for c in inputs]
-            for k, cuts in edges.items():
-                codes = [pa.array(np.searchsorted(e, v, "left").astype(np.int32) + 1) for e, v in zip(cuts, values, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(batch.num_rows, k, dtype=np.int32)), batch.column("fold"), *codes, batch.column("_y")],
-                    names=["model", "fold", *inputs, "_y"],
-                )
-
-    schema = ", ".join(["model int, fold int", *(f"`{c}` int" for c in inputs), "_y double"])
-    y = F.when(F.col("_y").isNull() | F.isnan("_y"), F.raise_error("Labels MUST NOT be Null or NaN").cast("double")).otherwise(F.col("_y"))
-    return (
-        used.mapInArrow(coded, schema).groupBy("model", "fold", *inputs)
-        .agg(F.count("*").cast("double").alias("rows"), F.avg(y).alias(target), F.sum(y * y).alias("squares"))
-    )
+    rows = regression.narrowed(df, inputs, target, fold)
+    if edges is None:
+        edges = regression.fold_edges(rows, inputs, {k: list(inputs) for k in folds}, bins)
+    return regression.cells(rows, inputs, target, {k: edges[k] for k in folds}, bins)
+
+
+def fold_samples(
+    df: DataFrame, inputs: Sequence[str], target: str, fold: str, edges: regression.Edges, key: str,
+    trees: int = 100, seed: int = SEED, bins: int = 32,
+) -> DataFrame:
+    """The cells of fold_cells as the bootstrap samples of a forest's trees hold them; the draws hash `key`."""
+    return regression.samples(regression.narrowed(df, inputs, target, fold, key), inputs, target, edges, trees, seed, bins)
 
 
 def glm(
@@ -247,7 +248,9 @@ def probability(model: PipelineModel | Forest | GradientBoosted, df: DataFrame,
     return scored.withColumn(out, vector_to_array("probability")[1]).select(*df.columns, out)
 
 
-def prediction(model: PipelineModel, df: DataFrame, out: str = "predicted") -> DataFrame:
+def prediction(model: PipelineModel | regression.CellTrees, df: DataFrame, out: str = "predicted") -> DataFrame:
+    if isinstance(model, regression.CellTrees):
+        return model.prediction(df, out)
     return model.transform(df).withColumn(out, F.col("prediction")).select(*df.columns, out)
 
 

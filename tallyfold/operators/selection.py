@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -41,42 +42,33 @@ def symmetric_uncertainty(
     return h.select("variable", su.alias("su")).orderBy(F.desc("su"), "variable")
 
 
+#: The model that is fitted on all rows, beside one a fold.
+WHOLE = 0
+
+
 def recursive_elimination(
-    df: DataFrame,
     columns: Sequence[str],
-    fold: str,
-    fit: Callable[[DataFrame, Sequence[str]], object],
-    loss: Callable[[object, DataFrame], float],
-    importances: Callable[[object, Sequence[str]], Mapping[str, float]],
     folds: Sequence[int],
+    fits: Callable[[Mapping[int, Sequence[str]]], Mapping[int, tuple[float | None, Mapping[str, float]]]],
     min_features: int = 1,
-    split: Callable[[Sequence[str]], Callable[[int], tuple[DataFrame, DataFrame]]] | None = None,
 ) -> list[dict]:
-    """Cross-validated recursive elimination: drop the least important input until
-    `min_features` remain. The driver sees one loss and the importances per fit.
+    """Recursive elimination with cross-validation: drop the least important input until `min_features` remain.
 
-    `split` may prepare the rows for a list of inputs and then gives those outside and inside each fold.
+    Each fold eliminates by the fits on the rows outside it alone, and its loss is that of these fits on its own rows; the best
+    size has the least mean loss. WHOLE eliminates by the fits on all rows: its inputs at the best size are those selected.
+    `fits` fits all of them for one size: for each model and its inputs the loss (None: no rows) and the importances.
     Returns one entry per size, the best marked.
     """
-
-    def plain(_):
-        return lambda k: (df.filter(F.col(fold) != k), df.filter(F.col(fold) == k))
-
-    left, trail = list(columns), []
-    while left:
-        scores, weight = [], dict.fromkeys(left, 0.0)
-        parts = (split or plain)(left)
-        for k in folds:
-            outside, inside = parts(k)
-            model = fit(outside, left)
-            scores.append(loss(model, inside))
-            for c, v in importances(model, left).items():
-                weight[c] += v
-        worst = min(left, key=lambda c: (weight[c], c))
-        trail.append({"n": len(left), "inputs": list(left), "loss": sum(scores) / len(scores), "drops": worst})
-        if len(left) <= min_features:
+    left, trail = {k: list(columns) for k in (WHOLE, *folds)}, []
+    while left[WHOLE]:
+        found = fits(left)
+        scores = [found[k][0] for k in folds if found[k][0] is not None]
+        worst = {k: min(inputs, key=lambda c, k=k: (found[k][1][c], c)) for k, inputs in left.items()}
+        loss = sum(scores) / len(scores) if scores else math.nan
+        trail.append({"n": len(left[WHOLE]), "inputs": list(left[WHOLE]), "loss": loss, "drops": worst[WHOLE]})
+        if len(left[WHOLE]) <= min_features:
             break
-        left = [c for c in left if c != worst]
+        left = {k: [c for c in inputs if c != worst[k]] for k, inputs in left.items()}
     best = min(trail, key=lambda e: (e["loss"], e["n"]))
     return [{**e, "best": e is best} for e in trail]
 

@@ -329,33 +329,47 @@ def score_tree_expr(spark, d):
     )
 
 
-@query("select_rfe", "n:i inputs:s loss:f6 drops:s best:b")
+#: The estimators of the elimination as the scripts use them: grown out, 100 boosted trees of depth 3, 100 bootstrapped trees.
+_SELECTORS = {
+    "tree": {"maxDepth": 30},
+    "boosting": {"maxDepth": 3, "maxIter": 100, "stepSize": 0.1},
+    "forest": {"maxDepth": 30},
+}
+
+
+@query("select_rfe", "estimator:s n:i inputs:s loss:f6 drops:s best:b")
 def select_rfe(spark, d):
-    """Recursive elimination with cross-validation on the training rows only; trees are fitted on cells of binned inputs."""
-    inputs = ["n_lines", "avg_disc", "amount"]
+    """Recursive elimination with 10-fold cross-validation by a tree, boosting and a forest, on the training rows only; trees are fitted on cells of binned inputs."""
+    inputs, folds = ["n_lines", "avg_disc", "amount"], range(1, 11)
     folded = _stored(sampling.kfold(_train(spark, d).select("account_id", "qty", *inputs), "account_id", 10, seed=1))
-
-    def loss(model, held_out):
-        p, n = F.col("predicted"), F.col("rows")
-        error = F.col("squares") - 2 * p * n * F.col("qty") + n * p * p
-        return models.prediction(model, held_out).agg((F.sum(error) / F.sum(n)).alias("mse")).first()["mse"]
-
-    def split(x):
-        cells = _stored(models.fold_cells(folded, x, "qty", "fold", range(1, 11)))
-        return lambda k: (cells.filter((F.col("model") == k) & (F.col("fold") != k)), cells.filter((F.col("model") == k) & (F.col("fold") == k)))
-
-    trail = selection.recursive_elimination(
-        folded,
-        inputs,
-        "fold",
-        fit=lambda t, x: models.tree_regression(t, x, "qty", "tree", weight="rows", maxDepth=4, maxBins=64),
-        loss=loss,
-        importances=lambda m, x: dict(zip(x, m.stages[-1].featureImportances.toArray(), strict=True)),
-        folds=range(1, 11),
-        split=split,
-    )
-    rows = [(e["n"], ",".join(e["inputs"]), float(e["loss"]), e["drops"], e["best"]) for e in trail]
-    return spark.createDataFrame(rows, "n int, inputs string, loss double, drops string, best boolean")
+    known = {}
+
+    def cells(lists):
+        """The thresholds and cells for these inputs, the same for all estimators."""
+        at = tuple((k, tuple(x)) for k, x in lists.items())
+        if at not in known:
+            edges = models.fold_edges(folded, inputs, "qty", "fold", lists)
+            known[at] = edges, _stored(models.fold_cells(folded, inputs, "qty", "fold", list(lists), edges=edges))
+        return known[at]
+
+    def by(kind):
+        def fits(lists):
+            edges, rows = cells(lists)
+            seen = models.fold_samples(folded, inputs, "qty", "fold", edges, "account_id") if kind == "forest" else rows
+            model = models.tree_regression(seen, inputs, "qty", kind, lists=lists, **_SELECTORS[kind])
+            p, n = F.col("predicted"), F.col("rows")
+            error = F.col("squares") - 2 * p * n * F.col("qty") + n * p * p
+            held_out = models.prediction(model, rows.filter("fold = model")).groupBy("model").agg((F.sum(error) / F.sum(n)).alias("mse"))
+            loss = {r["model"]: r["mse"] for r in held_out.collect()}
+            return {k: (loss.get(k), importances) for k, importances in model.importances.items()}
+
+        return fits
+
+    rows = []
+    for kind in _SELECTORS:
+        trail = selection.recursive_elimination(inputs, folds, by(kind))
+        rows += [(kind, e["n"], ",".join(e["inputs"]), float(e["loss"]), e["drops"], e["best"]) for e in trail]
+    return spark.createDataFrame(rows, "estimator string, n int, inputs string, loss double, drops string, best boolean")
 
 
 @query("select_stepwise", "step:i action:s variable:s aic:f4")
